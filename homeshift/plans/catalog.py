@@ -1,7 +1,8 @@
 """Registry of named queries: key -> callable(spark, sf_dir) -> DataFrame.
 
 Every query reads the driver's ``events`` table (through the visits rollup)
-and runs over all of it.
+and runs over all of it.  One-day operators run on ``SNAPSHOT_DAY`` against
+the state of the day before (see ``plans.snapshot``).
 """
 
 from __future__ import annotations
@@ -9,12 +10,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from homeshift.config import FIXTURE_THRESHOLDS as TH
+from homeshift.config import FIXTURE_THRESHOLDS as TH, SNAPSHOT_AGE_LIMIT, SNAPSHOT_DAY
+from homeshift.operators import confirm as cf
 from homeshift.operators import home_zip as hz
+from homeshift.operators import reference as rf
+from homeshift.operators import streak as sk
+from homeshift.plans.snapshot import DayStep
 from homeshift.sources import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
+TH_SNAPSHOT = TH.with_(age_limit=SNAPSHOT_AGE_LIMIT)
 
 
 def _visits(spark, sf):
@@ -25,8 +32,69 @@ def _dhz(spark, sf):
     return hz.daily_home_zip(_visits(spark, sf))
 
 
+def _annotated(spark, sf):
+    return rf.annotate(_dhz(spark, sf), TH)
+
+
+def _step(spark, sf) -> DayStep:
+    return DayStep(_dhz(spark, sf), SNAPSHOT_DAY, TH_SNAPSHOT)
+
+
+def _on_step(fn) -> Query:
+    return lambda spark, sf: fn(_step(spark, sf))
+
+
 def build() -> dict[str, Query]:
     q: dict[str, Query] = {}
+    # ---- sources and the daily home zip
     q["visits_from_events"] = _visits
     q["daily_home_zip"] = _dhz
+    q["daily_home_zip_weekend"] = lambda s, sf: hz.daily_home_zip(_visits(s, sf), weekend=True)
+    q["daily_home_zip_weekday"] = lambda s, sf: hz.daily_home_zip(_visits(s, sf), weekend=False)
+    q["scan_visits_distinct"] = lambda s, sf: tb.scan_visits_distinct(_visits(s, sf))
+    q["hits_per_user_zip"] = lambda s, sf: hz.hits_per_user_zip(hz.home_rows(_visits(s, sf)))
+    q["max_hits_per_user"] = lambda s, sf: hz.max_hits_per_user(hz.hits_per_user_zip(hz.home_rows(_visits(s, sf))))
+    q["argmax_zip"] = lambda s, sf: hz.argmax_zip(hz.hits_per_user_zip(hz.home_rows(_visits(s, sf))))
+    q["filter_valid_zip"] = lambda s, sf: hz.valid_visits(_visits(s, sf))
+    q["label_home_hours"] = lambda s, sf: hz.label_home_hours(_visits(s, sf))
+    q["filter_home_hours"] = lambda s, sf: hz.filter_home_hours(_visits(s, sf))
+
+    # ---- reference, closed form over all days
+    q["reference_zip"] = lambda s, sf: rf.reference_zip(_annotated(s, sf))
+    q["mover_streak"] = lambda s, sf: sk.mover_streak(_annotated(s, sf))
+    q["mover_pool"] = lambda s, sf: sk.mover_pool(_annotated(s, sf), TH)
+
+    # ---- one day on the snapshot state
+    q["scan_day_partition"] = lambda s, sf: _dhz(s, sf).where(F.col("day") == F.lit(SNAPSHOT_DAY))
+    q["compare_with_reference"] = _on_step(lambda d: d.compared)
+    q["no_reference_yet"] = _on_step(lambda d: rf.no_reference_yet(d.today, d.ref))
+    q["already_in_pool"] = _on_step(lambda d: rf.already_in_pool(d.compared, d.pool))
+    q["not_in_pool"] = _on_step(lambda d: rf.not_in_pool(d.compared, d.pool))
+    q["route_day"] = _on_step(lambda d: rf.route_day(d.compared, d.pool))
+    q["tag_constants"] = _on_step(lambda d: rf.tag_day_counters(d.reference_feed, d.day))
+    q["history_update"] = _on_step(lambda d: d.history_after)
+    q["registry_update"] = _on_step(lambda d: d.registry_after)
+    q["derive_total_days"] = _on_step(
+        lambda d: d.history_after.withColumn("total_day_zip", F.col("weekend_days") + F.col("weekday_days"))
+    )
+    q["history_with_totals"] = _on_step(lambda d: rf.history_with_totals(d.history_after))
+    q["reference_candidates"] = _on_step(lambda d: rf.reference_candidates(d.history_after, d.registry_after, d.th))
+    q["streak_new"] = _on_step(lambda d: sk.streak_new(d.mover_feed, d.streak, d.day))
+    q["streak_continued"] = _on_step(lambda d: sk.streak_continued(d.mover_feed, d.streak, d.day))
+    q["streak_changed"] = _on_step(lambda d: sk.streak_changed(d.mover_feed, d.streak, d.day))
+    q["streak_unseen"] = _on_step(lambda d: sk.streak_unseen(d.mover_feed, d.streak))
+    q["streak_other_zip"] = _on_step(lambda d: sk.streak_other_zip(d.mover_feed, d.streak))
+    q["streak_merge"] = _on_step(lambda d: d.streak_after)
+    q["pool_merge"] = _on_step(lambda d: d.pool_after)
+    q["max_streak_age"] = _on_step(lambda d: cf.max_streak_age(d.streak_after, d.day))
+    q["anniversary_rows"] = _on_step(lambda d: cf.anniversary_rows(d.streak_after, d.day))
+    q["week_shares"] = _on_step(lambda d: cf.week_shares(d.streak_after))
+    q["week_confirmed"] = _on_step(lambda d: d.confirmed)
+    q["confirmed_home"] = _on_step(lambda d: d.home)
+    q["confirmed_elsewhere"] = _on_step(lambda d: d.elsewhere)
+    q["pool_age"] = _on_step(lambda d: cf.pool_age(d.pool_after, d.day))
+    q["audit_returned_home"] = _on_step(lambda d: cf.audit_returned_home(d.home, d.pool_after, d.day, d.th))
+    q["audit_aged_out"] = _on_step(lambda d: cf.audit_aged_out(d.pool_after, d.day, d.th))
+    q["pool_after_eviction"] = _on_step(lambda d: d.pool_evicted)
+    q["streak_after_eviction"] = _on_step(lambda d: d.streak_evicted)
     return q

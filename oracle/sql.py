@@ -43,8 +43,207 @@ def w(ctes, select: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + select
 
 
+S, P = TH.min_days, TH.min_share
+AGE_LIMIT = SNAPSHOT_AGE_LIMIT
+WK = (TH.week_min_weekend, TH.week_min_weekday, TH.week_share_weekend, TH.week_share_weekday)
+
+
+def we(d: str) -> str:
+    return f"CASE WHEN isodow({d}) IN (6, 7) THEN 1 ELSE 0 END"
+
+
+def wd(d: str) -> str:
+    return f"CASE WHEN isodow({d}) IN (6, 7) THEN 0 ELSE 1 END"
+
+
+def days(a: str, b: str) -> str:
+    """Inclusive day count from b to a, as INTEGER."""
+    return f"CAST(date_diff('day', {b}, {a}) + 1 AS INTEGER)"
+
+
+def share(x: str, tot: str) -> str:
+    return f"CASE WHEN {tot} = 0 THEN 0.0 ELSE {x} / ({tot} * 1.0) END"
+
+
+def week_ok(x_we, x_sem, t_we, t_sem) -> str:
+    a, b, c, d = WK
+    return (f"({t_we} >= {a} AND {t_sem} >= {b} AND {share(x_we, t_we)} >= {c} "
+            f"AND {share(x_sem, t_sem)} >= {d})")
+
+
+def closed_form(src: str, p: str) -> list[str]:
+    """Reference, routes, islands and pool without eviction over relation ``src``.
+
+    Names are prefixed with ``p``.  Islands use the row-number difference
+    (a different technique from the Spark side's lag + running sum).
+    """
+    return [
+        f"""{p}ax AS (SELECT user_id, zipcode, day,
+  min(day) OVER (PARTITION BY user_id) AS first_seen,
+  count(*) OVER (PARTITION BY user_id, zipcode ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS zip_days
+  FROM {src})""",
+        f"""{p}rz AS (SELECT user_id, arg_min(zipcode, day) AS reference_zip, min(day) AS ref_day FROM {p}ax
+  WHERE zip_days >= {S} AND zip_days / ({days('day', 'first_seen')} * 1.0) >= {P} GROUP BY user_id)""",
+        f"""{p}fa AS (SELECT a.user_id, min(a.day) AS first_away FROM {p}ax a JOIN {p}rz r ON a.user_id = r.user_id
+  WHERE a.day > r.ref_day AND a.zipcode <> r.reference_zip GROUP BY a.user_id)""",
+        f"""{p}ro AS (SELECT a.user_id, a.zipcode, a.day, r.reference_zip, r.ref_day,
+  CASE WHEN r.ref_day IS NULL OR a.day <= r.ref_day THEN 'reference'
+       WHEN f.first_away IS NULL OR a.day < f.first_away THEN 'home' ELSE 'mover' END AS route
+  FROM {p}ax a LEFT JOIN {p}rz r ON a.user_id = r.user_id LEFT JOIN {p}fa f ON a.user_id = f.user_id)""",
+        f"""{p}mg AS (SELECT user_id, zipcode, day, reference_zip,
+  row_number() OVER (PARTITION BY user_id ORDER BY day)
+  - row_number() OVER (PARTITION BY user_id, zipcode ORDER BY day) AS grp
+  FROM {p}ro WHERE route = 'mover')""",
+        f"""{p}mi AS (SELECT user_id, zipcode, day, reference_zip,
+  min(day) OVER (PARTITION BY user_id, zipcode, grp) AS streak_start,
+  CAST(sum({we('day')}) OVER (PARTITION BY user_id, zipcode, grp ORDER BY day) AS BIGINT) AS weekend_days,
+  CAST(sum({wd('day')}) OVER (PARTITION BY user_id, zipcode, grp ORDER BY day) AS BIGINT) AS weekday_days
+  FROM {p}mg)""",
+        f"""{p}st AS (SELECT user_id, zipcode, streak_start, weekend_days, weekday_days,
+  CAST({days('day', 'streak_start')} // 7 AS INTEGER) AS week_no
+  FROM (SELECT *, max(day) OVER (PARTITION BY user_id) AS last_day FROM {p}mi) WHERE day = last_day)""",
+        f"""{p}po AS (SELECT user_id, zipcode, confirmed_week, min(since) AS since FROM (
+  SELECT user_id, zipcode, 0 AS confirmed_week, streak_start AS since FROM {p}mi
+  UNION ALL
+  SELECT user_id, zipcode, CAST({days('day', 'streak_start')} // 7 AS INTEGER), day FROM {p}mi
+  WHERE {days('day', 'streak_start')} >= 7 AND {days('day', 'streak_start')} % 7 = 0
+    AND zipcode <> reference_zip
+    AND {week_ok('weekend_days', 'weekday_days', 'weekend_days', 'weekday_days')}
+  ) GROUP BY user_id, zipcode, confirmed_week)""",
+    ]
+
+
+DL = f"(DATE '{SNAPSHOT_DAY.isoformat()}' - INTERVAL 1 DAY)::DATE"
+
+SNAP = BASE + [f"bf AS (SELECT * FROM dhz WHERE day < {D})"] + closed_form("bf", "s_") + [
+    f"td AS (SELECT user_id, zipcode FROM dhz WHERE day = {D})",
+    "ref AS (SELECT user_id, reference_zip FROM s_rz)",
+    f"""hist AS (SELECT user_id, zipcode, CAST(sum({we('day')}) AS BIGINT) AS weekend_days,
+  CAST(sum({wd('day')}) AS BIGINT) AS weekday_days FROM s_ro WHERE route IN ('reference', 'home') GROUP BY ALL)""",
+    f"""reg AS (SELECT user_id, max(day) AS last_seen, min(day) AS first_seen,
+  coalesce({days(DL, 'max(CASE WHEN day < ' + DL + ' THEN day END)')}, 1) AS gap_days,
+  {days(DL, 'min(day)')} AS tenure_days
+  FROM s_ro WHERE route IN ('reference', 'home') GROUP BY user_id)""",
+    "streak AS (SELECT * FROM s_st)",
+    "pool AS (SELECT * FROM s_po)",
+    """cmp AS (SELECT t.user_id, t.zipcode,
+  CASE WHEN t.zipcode IS NOT DISTINCT FROM r.reference_zip THEN 1 ELSE 0 END AS matches_reference
+  FROM td t JOIN ref r ON t.user_id = r.user_id)""",
+    "nor AS (SELECT user_id, zipcode FROM td t WHERE NOT EXISTS (SELECT 1 FROM ref r WHERE r.user_id = t.user_id))",
+    "pu AS (SELECT DISTINCT user_id FROM pool WHERE zipcode IS NOT NULL)",
+    """rt AS (SELECT c.user_id, c.zipcode, c.matches_reference,
+  CASE WHEN pu.user_id IS NOT NULL THEN 'mover' WHEN c.matches_reference = 1 THEN 'home' ELSE 'mover' END AS route
+  FROM cmp c LEFT JOIN pu ON c.user_id = pu.user_id)""",
+    "rfeed AS (SELECT user_id, zipcode FROM nor UNION ALL SELECT user_id, zipcode FROM rt WHERE route = 'home')",
+    "mfeed AS (SELECT DISTINCT user_id, zipcode FROM rt WHERE route = 'mover')",
+    f"""hist2 AS (SELECT user_id, zipcode, CAST(sum(weekend_days) AS BIGINT) AS weekend_days,
+  CAST(sum(weekday_days) AS BIGINT) AS weekday_days FROM (
+  SELECT user_id, zipcode, weekend_days, weekday_days FROM hist UNION ALL
+  SELECT user_id, zipcode, {we(D)}, {wd(D)} FROM rfeed) GROUP BY user_id, zipcode)""",
+    f"""reg2 AS (SELECT user_id, max(last_seen) AS last_seen, min(first_seen) AS first_seen,
+  max(gap_days) AS gap_days, max(tenure_days) AS tenure_days FROM (
+  SELECT user_id, last_seen, first_seen, {days(D, 'last_seen')} AS gap_days, {days(D, 'first_seen')} AS tenure_days FROM reg
+  UNION SELECT user_id, {D}, {D}, 1, 1 FROM rfeed) GROUP BY user_id)""",
+    f"""sA AS (SELECT f.user_id, f.zipcode, {D} AS streak_start, CAST({we(D)} AS BIGINT) AS weekend_days,
+  CAST({wd(D)} AS BIGINT) AS weekday_days, 0 AS week_no
+  FROM mfeed f LEFT JOIN streak s ON f.user_id = s.user_id WHERE s.user_id IS NULL)""",
+    f"""sB AS (SELECT s.user_id, s.zipcode, s.streak_start, s.weekend_days + {we(D)} AS weekend_days,
+  s.weekday_days + {wd(D)} AS weekday_days, CAST({days(D, 's.streak_start')} // 7 AS INTEGER) AS week_no
+  FROM mfeed f JOIN streak s ON f.user_id = s.user_id AND f.zipcode = s.zipcode)""",
+    f"""sC AS (SELECT f.user_id, f.zipcode, {D} AS streak_start, CAST({we(D)} AS BIGINT) AS weekend_days,
+  CAST({wd(D)} AS BIGINT) AS weekday_days, 0 AS week_no
+  FROM mfeed f JOIN streak s ON f.user_id = s.user_id AND f.zipcode <> s.zipcode)""",
+    """sD AS (SELECT s.* FROM streak s WHERE NOT EXISTS (SELECT 1 FROM mfeed f WHERE f.user_id = s.user_id))""",
+    """st2 AS (SELECT user_id, zipcode, min(streak_start) AS streak_start, CAST(sum(weekend_days) AS BIGINT) AS weekend_days,
+  CAST(sum(weekday_days) AS BIGINT) AS weekday_days, max(week_no) AS week_no FROM (
+  SELECT * FROM sA UNION ALL SELECT * FROM sC UNION ALL SELECT * FROM sB UNION ALL SELECT * FROM sD)
+  GROUP BY user_id, zipcode)""",
+    f"""po2 AS (SELECT user_id, zipcode, confirmed_week, min(since) AS since FROM (
+  SELECT * FROM pool UNION ALL SELECT user_id, zipcode, 0, {D} FROM sA UNION ALL SELECT user_id, zipcode, 0, {D} FROM sC)
+  GROUP BY user_id, zipcode, confirmed_week)""",
+    f"st2a AS (SELECT *, {days(D, 'streak_start')} AS age FROM st2)",
+    "ann AS (SELECT * FROM st2a WHERE age >= 7 AND age % 7 = 0 AND week_no = age // 7)",
+    """tots AS (SELECT user_id, week_no, CAST(sum(weekend_days) AS BIGINT) AS total_weekend,
+  CAST(sum(weekday_days) AS BIGINT) AS total_weekday FROM st2 GROUP BY user_id, week_no)""",
+    f"""conf AS (SELECT a.user_id, max(a.zipcode) AS zipcode, a.week_no FROM ann a
+  JOIN (SELECT user_id, week_no, CAST(sum(weekend_days) AS BIGINT) AS tw, CAST(sum(weekday_days) AS BIGINT) AS ts
+        FROM ann GROUP BY ALL) t ON a.user_id = t.user_id AND a.week_no = t.week_no
+  WHERE {week_ok('a.weekend_days', 'a.weekday_days', 't.tw', 't.ts')} GROUP BY a.user_id, a.week_no)""",
+    """chome AS (SELECT DISTINCT c.user_id, c.week_no FROM conf c JOIN ref r ON c.user_id = r.user_id
+  AND c.zipcode = r.reference_zip)""",
+    f"""celse AS (SELECT c.user_id, c.zipcode, c.week_no AS confirmed_week, {D} AS since FROM conf c
+  JOIN ref r ON c.user_id = r.user_id WHERE c.zipcode <> r.reference_zip)""",
+    f"""page AS (SELECT user_id, min(since) AS date_min, max(since) AS date_max,
+  {days(D, 'min(since)')} AS presence_days FROM po2 GROUP BY user_id)""",
+    f"""aret AS (SELECT h.user_id, h.week_no AS week, p.date_min, p.date_max, {D} AS day, p.presence_days
+  FROM chome h JOIN page p ON h.user_id = p.user_id WHERE p.presence_days <= {TH.return_limit})""",
+    f"""aold AS (SELECT o.user_id, o.zipcode, o.confirmed_week, o.since, p.date_min, p.date_max, {D} AS day,
+  p.presence_days FROM po2 o JOIN page p ON o.user_id = p.user_id WHERE p.presence_days > {AGE_LIMIT})""",
+    "gone AS (SELECT user_id FROM aret UNION SELECT user_id FROM aold)",
+]
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["visits_from_events"] = w([VISITS], "SELECT * FROM visits")
     q["daily_home_zip"] = w(BASE, "SELECT user_id, zipcode, day FROM dhz")
+    we_day = WE.format(d="day")
+    dz = lambda cond: w([VISITS, VD, VV, f"hr AS (SELECT * FROM vv WHERE {cond})", HITS, MH, DHZ],
+                        "SELECT user_id, zipcode, day FROM dhz")
+    q["daily_home_zip_weekend"] = dz(we_day)
+    q["daily_home_zip_weekday"] = dz(f"NOT {we_day} AND tranche IN (2, 3)")
+    q["scan_visits_distinct"] = w([VISITS, VD], "SELECT * FROM vd")
+    q["hits_per_user_zip"] = w(BASE, "SELECT * FROM hits")
+    q["max_hits_per_user"] = w(BASE, "SELECT * FROM mh")
+    q["argmax_zip"] = w(BASE, "SELECT user_id, zipcode, day FROM dhz")
+    q["filter_valid_zip"] = w([VISITS, VD, VV], "SELECT * FROM vv")
+    lab = "CASE WHEN tranche IN (2, 3) THEN 'home' ELSE 'middayOrWork' END"
+    q["label_home_hours"] = w([VISITS, VD, VV], f"SELECT *, {lab} AS hours FROM vv")
+    q["filter_home_hours"] = w([VISITS, VD, VV], f"SELECT * FROM vv WHERE {lab} = 'home'")
+
+    full = BASE + closed_form("dhz", "f_")
+    q["reference_zip"] = w(full, "SELECT user_id, reference_zip, ref_day FROM f_rz")
+    q["mover_streak"] = w(full, "SELECT * FROM f_st")
+    q["mover_pool"] = w(full, "SELECT * FROM f_po")
+
+    q["scan_day_partition"] = w(BASE, f"SELECT user_id, zipcode, day FROM dhz WHERE day = {D}")
+    q["compare_with_reference"] = w(SNAP, "SELECT * FROM cmp")
+    q["no_reference_yet"] = w(SNAP, "SELECT * FROM nor")
+    q["already_in_pool"] = w(SNAP, "SELECT * FROM cmp WHERE user_id IN (SELECT user_id FROM pu)")
+    q["not_in_pool"] = w(SNAP, "SELECT * FROM cmp WHERE user_id NOT IN (SELECT user_id FROM pu)")
+    q["route_day"] = w(SNAP, "SELECT * FROM rt")
+    q["tag_constants"] = w(SNAP, f"SELECT user_id, zipcode, CAST({we(D)} AS BIGINT) AS weekend_days, "
+                                 f"CAST({wd(D)} AS BIGINT) AS weekday_days FROM rfeed")
+    q["history_update"] = w(SNAP, "SELECT * FROM hist2")
+    q["registry_update"] = w(SNAP, "SELECT * FROM reg2")
+    q["derive_total_days"] = w(SNAP, "SELECT *, weekend_days + weekday_days AS total_day_zip FROM hist2")
+    q["history_with_totals"] = w(SNAP, """SELECT h.*, h.weekend_days + h.weekday_days AS total_day_zip,
+  t.total_weekend, t.total_weekday FROM hist2 h JOIN (SELECT user_id, CAST(sum(weekend_days) AS BIGINT) AS total_weekend,
+  CAST(sum(weekday_days) AS BIGINT) AS total_weekday FROM hist2 GROUP BY user_id) t ON h.user_id = t.user_id""")
+    q["reference_candidates"] = w(SNAP, f"""SELECT h.user_id, h.zipcode AS reference_zip FROM hist2 h
+  JOIN reg2 r ON h.user_id = r.user_id WHERE h.weekend_days + h.weekday_days >= {S}
+  AND (h.weekend_days + h.weekday_days) / (r.tenure_days * 1.0) >= {P}""")
+    q["streak_new"] = w(SNAP, "SELECT * FROM sA")
+    q["streak_continued"] = w(SNAP, "SELECT * FROM sB")
+    q["streak_changed"] = w(SNAP, "SELECT * FROM sC")
+    q["streak_unseen"] = w(SNAP, "SELECT * FROM sD")
+    q["streak_other_zip"] = w(SNAP, """SELECT s.*, f.zipcode AS new_zip FROM streak s
+  JOIN mfeed f ON f.user_id = s.user_id AND f.zipcode <> s.zipcode""")
+    q["streak_merge"] = w(SNAP, "SELECT * FROM st2")
+    q["pool_merge"] = w(SNAP, "SELECT * FROM po2")
+    q["max_streak_age"] = w(SNAP, "SELECT max(age) AS max_age, CAST(max(age) // 7 AS INTEGER) AS rounds FROM st2a")
+    q["anniversary_rows"] = w(SNAP, "SELECT * FROM ann")
+    q["week_shares"] = w(SNAP, f"""SELECT s.*, t.total_weekend, t.total_weekday,
+  {share('s.weekend_days', 't.total_weekend')} AS share_weekend, {share('s.weekday_days', 't.total_weekday')} AS share_weekday
+  FROM st2 s JOIN tots t ON s.user_id = t.user_id AND s.week_no = t.week_no""")
+    q["week_confirmed"] = w(SNAP, "SELECT user_id, zipcode, week_no FROM conf")
+    q["confirmed_home"] = w(SNAP, "SELECT * FROM chome")
+    q["confirmed_elsewhere"] = w(SNAP, "SELECT * FROM celse")
+    q["pool_age"] = w(SNAP, "SELECT * FROM page")
+    q["audit_returned_home"] = w(SNAP, "SELECT * FROM aret")
+    q["audit_aged_out"] = w(SNAP, "SELECT * FROM aold")
+    q["pool_after_eviction"] = w(SNAP, """SELECT user_id, zipcode, confirmed_week, min(since) AS since FROM (
+  SELECT * FROM po2 UNION ALL SELECT * FROM celse) WHERE user_id NOT IN (SELECT user_id FROM gone)
+  GROUP BY user_id, zipcode, confirmed_week""")
+    q["streak_after_eviction"] = w(SNAP, "SELECT * FROM st2 WHERE user_id NOT IN (SELECT user_id FROM gone)")
     return q
