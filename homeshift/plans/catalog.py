@@ -17,6 +17,7 @@ from homeshift.operators import confirm as cf
 from homeshift.operators import home_zip as hz
 from homeshift.operators import reference as rf
 from homeshift.operators import streak as sk
+from homeshift.plans.movers import MoverRun
 from homeshift.plans.snapshot import DayStep
 from homeshift.sources import tables as tb
 
@@ -40,6 +41,14 @@ def _step(spark, sf) -> DayStep:
     return DayStep(_dhz(spark, sf), SNAPSHOT_DAY, TH_SNAPSHOT)
 
 
+def _run(spark, sf, materialize: bool = False) -> MoverRun:
+    return MoverRun(_dhz(spark, sf), TH, materialize=materialize)
+
+
+def _on_run(fn) -> Query:
+    return lambda spark, sf: fn(_run(spark, sf))
+
+
 def _on_step(fn) -> Query:
     return lambda spark, sf: fn(_step(spark, sf))
 
@@ -97,4 +106,14 @@ def build() -> dict[str, Query]:
     q["audit_aged_out"] = _on_step(lambda d: cf.audit_aged_out(d.pool_after, d.day, d.th))
     q["pool_after_eviction"] = _on_step(lambda d: d.pool_evicted)
     q["streak_after_eviction"] = _on_step(lambda d: d.streak_evicted)
+
+    # ---- whole run: per-user fold with confirmation and eviction
+    q["mover_pool_final"] = _on_run(lambda r: r.pool)
+    q["mover_streak_final"] = _on_run(lambda r: r.streak)
+    q["reference_history"] = _on_run(lambda r: r.history)
+    q["evictions"] = _on_run(lambda r: r.evictions)
+    q["home_seen_in_pool"] = _on_run(lambda r: r.home_seen_in_pool)
+    q["potential_movers"] = _on_run(lambda r: r.potential_movers)
+    q["moves"] = _on_run(lambda r: r.moves)
+    q["pool_profile"] = _on_run(lambda r: r.pool_profile)
     return q

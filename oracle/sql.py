@@ -40,7 +40,9 @@ BASE = [VISITS, VD, VV, HR, HITS, MH, DHZ]
 
 
 def w(ctes, select: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + select
+    rec = any(c.startswith("RECURSIVE ") for c in ctes)
+    body = ",\n".join(c[len("RECURSIVE "):] if c.startswith("RECURSIVE ") else c for c in ctes)
+    return ("WITH RECURSIVE " if rec else "WITH ") + body + "\n" + select
 
 
 S, P = TH.min_days, TH.min_share
@@ -246,4 +248,119 @@ def build() -> dict[str, str]:
   SELECT * FROM po2 UNION ALL SELECT * FROM celse) WHERE user_id NOT IN (SELECT user_id FROM gone)
   GROUP BY user_id, zipcode, confirmed_week""")
     q["streak_after_eviction"] = w(SNAP, "SELECT * FROM st2 WHERE user_id NOT IN (SELECT user_id FROM gone)")
+    q.update(fold_oracles())
     return q
+
+
+# ------------------------------------------------------------------ the fold
+def fold_ctes(l1: int = TH.return_limit, l2: int = TH.age_limit) -> list[str]:
+    """Recursive per-user fold in SQL: one recursion step per sighting after the reference day.
+
+    Every step carries the state (streak zip/start/counters/week, first pool
+    date, eviction epoch) and at most one emitted pool row, tagged with the
+    epoch it was emitted in; rows of older epochs are dropped at the end.
+    """
+    ok = week_ok("q_we", "q_sem", "q_we", "q_sem")
+    step = f"""SELECT f.user_id, s.n, s.zipcode, s.day, s.rz, s.wk, f.s_zip, f.s_start, f.s_we, f.s_sem, f.s_wk,
+      f.pfirst, f.epoch, f.pfirst IS NOT NULL AND date_diff('day', f.pfirst, s.day) > {l2} AS evict0
+    FROM fo f JOIN sg s ON s.user_id = f.user_id AND s.n = f.n + 1"""
+    p1 = f"""SELECT user_id, n, zipcode, day, rz, wk, evict0,
+      CASE WHEN evict0 THEN CAST(pfirst + {l2} AS DATE) END AS ev0_day,
+      CASE WHEN evict0 THEN NULL ELSE s_zip END AS p_zip,
+      CASE WHEN evict0 THEN NULL ELSE s_start END AS p_start,
+      CASE WHEN evict0 THEN 0 ELSE s_we END AS p_we,
+      CASE WHEN evict0 THEN 0 ELSE s_sem END AS p_sem,
+      CASE WHEN evict0 THEN 0 ELSE s_wk END AS p_wk,
+      CASE WHEN evict0 THEN NULL ELSE pfirst END AS p_first,
+      epoch + CASE WHEN evict0 THEN 1 ELSE 0 END AS p_epoch
+    FROM ({step})"""
+    p2 = f"SELECT *, p_first IS NULL AND zipcode = rz AS home FROM ({p1})"
+    p3 = f"""SELECT *, NOT home AND (p_zip IS NULL OR p_zip <> zipcode) AS new_streak,
+      NOT home AND p_zip = zipcode AS cont FROM ({p2})"""
+    p4 = f"""SELECT *,
+      CASE WHEN new_streak THEN zipcode ELSE p_zip END AS q_zip,
+      CASE WHEN new_streak THEN day ELSE p_start END AS q_start,
+      CASE WHEN new_streak THEN wk WHEN cont THEN p_we + wk ELSE p_we END AS q_we,
+      CASE WHEN new_streak THEN 1 - wk WHEN cont THEN p_sem + 1 - wk ELSE p_sem END AS q_sem,
+      CASE WHEN NOT home AND p_first IS NULL THEN day ELSE p_first END AS q_first
+    FROM ({p3})"""
+    p5 = f"""SELECT *, CAST(date_diff('day', q_start, day) + 1 AS INTEGER) AS age,
+      CAST(date_diff('day', q_first, day) + 1 AS INTEGER) AS presence FROM ({p4})"""
+    p6 = f"""SELECT *, CASE WHEN new_streak THEN 0 WHEN cont THEN age // 7 ELSE p_wk END AS q_wk,
+      cont AND age >= 7 AND age % 7 = 0 AND {ok} AS conf FROM ({p5})"""
+    p7 = f"""SELECT *, conf AND zipcode = rz AND presence <= {l1} AS returned,
+      q_first IS NOT NULL AND presence > {l2} AS aged FROM ({p6})"""
+    p8 = f"SELECT *, returned OR aged AS gone FROM ({p7})"
+    rec = f"""SELECT user_id, n,
+      CASE WHEN gone THEN NULL ELSE q_zip END, CASE WHEN gone THEN NULL ELSE q_start END,
+      CASE WHEN gone THEN 0 ELSE q_we END, CASE WHEN gone THEN 0 ELSE q_sem END,
+      CASE WHEN gone THEN 0 ELSE q_wk END,
+      CASE WHEN gone THEN NULL ELSE q_first END, p_epoch + CASE WHEN gone THEN 1 ELSE 0 END,
+      day, home,
+      CASE WHEN new_streak THEN zipcode WHEN conf AND zipcode <> rz THEN zipcode END,
+      CAST(CASE WHEN new_streak THEN 0 WHEN conf AND zipcode <> rz THEN age // 7 END AS INTEGER),
+      CASE WHEN new_streak OR (conf AND zipcode <> rz) THEN day END,
+      p_epoch,
+      CASE WHEN returned OR aged THEN day WHEN evict0 THEN ev0_day END,
+      CASE WHEN returned THEN 'returned' WHEN aged THEN 'aged' WHEN evict0 THEN 'aged' END,
+      CAST(CASE WHEN returned OR aged THEN presence WHEN evict0 THEN {l2 + 1} END AS INTEGER)
+    FROM ({p8})"""
+    return BASE + closed_form("dhz", "f_") + [
+        "hz AS (SELECT max(day) AS h FROM dhz)",
+        f"""sg AS (SELECT d.user_id, d.zipcode, d.day, r.reference_zip AS rz, {we('d.day')} AS wk,
+  row_number() OVER (PARTITION BY d.user_id ORDER BY d.day) AS n
+  FROM dhz d JOIN f_rz r ON d.user_id = r.user_id WHERE d.day > r.ref_day)""",
+        f"""RECURSIVE fo(user_id, n, s_zip, s_start, s_we, s_sem, s_wk, pfirst, epoch,
+             day, home, e_zip, e_week, e_day, e_epoch, ev_day, ev_reason, ev_presence) AS (
+  SELECT DISTINCT user_id, CAST(0 AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS DATE), 0, 0, 0, CAST(NULL AS DATE), 0,
+         CAST(NULL AS DATE), FALSE, CAST(NULL AS VARCHAR), CAST(NULL AS INTEGER), CAST(NULL AS DATE), 0,
+         CAST(NULL AS DATE), CAST(NULL AS VARCHAR), CAST(NULL AS INTEGER)
+  FROM sg
+  UNION ALL
+  {rec})""",
+        """fl AS (SELECT f.*, hz.h FROM fo f JOIN (SELECT user_id, max(n) AS mn FROM fo GROUP BY user_id) m
+  ON f.user_id = m.user_id AND f.n = m.mn CROSS JOIN hz)""",
+        f"""fe AS (SELECT user_id, s_zip, s_start, s_we, s_sem, s_wk, pfirst, h,
+  pfirst IS NOT NULL AND date_diff('day', pfirst, h) + 1 > {l2} AS hgone,
+  epoch + CASE WHEN pfirst IS NOT NULL AND date_diff('day', pfirst, h) + 1 > {l2} THEN 1 ELSE 0 END AS final_epoch
+  FROM fl)""",
+        """fpool AS (SELECT o.user_id, o.e_zip AS zipcode, o.e_week AS confirmed_week, min(o.e_day) AS since
+  FROM fo o JOIN fe ON o.user_id = fe.user_id AND o.e_epoch = fe.final_epoch
+  WHERE o.e_zip IS NOT NULL GROUP BY o.user_id, o.e_zip, o.e_week)""",
+        """fstreak AS (SELECT user_id, s_zip AS zipcode, s_start AS streak_start, CAST(s_we AS BIGINT) AS weekend_days,
+  CAST(s_sem AS BIGINT) AS weekday_days, CAST(s_wk AS INTEGER) AS week_no
+  FROM fe WHERE s_zip IS NOT NULL AND NOT hgone)""",
+        f"""fevict AS (SELECT user_id, ev_day AS day, ev_reason AS reason, ev_presence AS presence_days
+  FROM fo WHERE ev_day IS NOT NULL
+  UNION ALL SELECT user_id, CAST(pfirst + {l2} AS DATE), 'aged', {l2 + 1} FROM fe WHERE hgone)""",
+        f"""fhist AS (SELECT user_id, zipcode, CAST(sum({we('day')}) AS BIGINT) AS weekend_days,
+  CAST(sum({wd('day')}) AS BIGINT) AS weekday_days FROM (
+  SELECT user_id, zipcode, day FROM f_ro WHERE route = 'reference'
+  UNION ALL SELECT s.user_id, s.zipcode, s.day FROM fo f JOIN sg s ON f.user_id = s.user_id AND f.n = s.n WHERE f.home)
+  GROUP BY user_id, zipcode)""",
+        """fhome AS (SELECT DISTINCT p.user_id FROM fpool p JOIN f_rz r ON p.user_id = r.user_id
+  AND p.zipcode = r.reference_zip)""",
+        "fpot AS (SELECT * FROM fpool WHERE user_id NOT IN (SELECT user_id FROM fhome))",
+        """fmoves AS (SELECT b.user_id, r.reference_zip AS old_zip, b.zipcode AS new_zip,
+  (SELECT min(since) FROM fpot p WHERE p.user_id = b.user_id AND p.zipcode = b.zipcode) AS moved_on
+  FROM (SELECT user_id, zipcode, row_number() OVER (PARTITION BY user_id
+          ORDER BY confirmed_week DESC, since DESC, zipcode DESC) AS rk
+        FROM fpot WHERE confirmed_week >= 1) b
+  JOIN f_rz r ON b.user_id = r.user_id WHERE b.rk = 1)""",
+    ]
+
+
+def fold_oracles() -> dict[str, str]:
+    F = fold_ctes()
+    return {
+        "mover_pool_final": w(F, "SELECT * FROM fpool"),
+        "mover_streak_final": w(F, "SELECT * FROM fstreak"),
+        "reference_history": w(F, "SELECT * FROM fhist"),
+        "evictions": w(F, "SELECT * FROM fevict"),
+        "home_seen_in_pool": w(F, "SELECT * FROM fhome"),
+        "potential_movers": w(F, "SELECT * FROM fpot"),
+        "moves": w(F, "SELECT * FROM fmoves"),
+        "pool_profile": w(F, """SELECT user_id, count(DISTINCT confirmed_week) AS n_states,
+  count(DISTINCT since) AS n_dates, count(CASE WHEN confirmed_week >= 1 THEN zipcode END) AS n_confirmed_zips
+  FROM fpool GROUP BY user_id"""),
+    }
