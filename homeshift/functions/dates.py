@@ -31,8 +31,8 @@ def weekday_name(day) -> Column:
 def parse_day(s) -> Column:
     """A day given as 'yyyy-MM-dd' or 'yyyyMMdd' text."""
     s = _c(s)
-    return F.when(s.contains("-"), F.try_to_date(s, F.lit("yyyy-MM-dd"))).otherwise(
-        F.try_to_date(s, F.lit("yyyyMMdd"))
+    return F.when(s.contains("-"), F.try_to_date(s, "yyyy-MM-dd")).otherwise(
+        F.try_to_date(s, "yyyyMMdd")
     )
 
 

@@ -19,6 +19,10 @@ from homeshift.operators import reference as rf
 from homeshift.operators import streak as sk
 from homeshift.plans.movers import MoverRun
 from homeshift.plans.snapshot import DayStep
+from homeshift.functions import dates as dt
+from homeshift.functions import zips as zp
+from homeshift.sources import calendar as cal
+from homeshift.sources import sinks
 from homeshift.sources import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +57,35 @@ def _on_step(fn) -> Query:
     return lambda spark, sf: fn(_step(spark, sf))
 
 
+# Fixed value: zipcode fragment of the LIKE filter ('_' would match any character).
+LIKE_FRAGMENT = "7500"
+
+
+def _days(spark, sf):
+    return cal.present_days(_visits(spark, sf))
+
+
+def _spans(spark, sf):
+    return _dhz(spark, sf).groupBy("user_id").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+
+
+def _safe_share(spark, sf):
+    hits = hz.hits_per_user_zip(hz.home_rows(_visits(spark, sf)))
+    tot = hits.groupBy("user_id", "day").agg(F.sum("nb_page").alias("total"))
+    return hits.join(tot, ["user_id", "day"]).select(
+        "user_id", "day", "zipcode", "nb_page", zp.safe_share("nb_page", "total").alias("share")
+    )
+
+
+def _date_parts(spark, sf):
+    d = _days(spark, sf).select(F.date_format("day", "yyyy-MM-dd").alias("dashed"), dt.compact_day("day").alias("compact"))
+    a, b = dt.parse_day("dashed"), dt.parse_day("compact")
+    return d.select(
+        "dashed", "compact", F.year(a).alias("year"), F.month(a).alias("month"), F.dayofmonth(a).alias("day_of_month"),
+        F.year(b).alias("c_year"), F.month(b).alias("c_month"), F.dayofmonth(b).alias("c_day_of_month"),
+    )
+
+
 def build() -> dict[str, Query]:
     q: dict[str, Query] = {}
     # ---- sources and the daily home zip
@@ -68,6 +101,49 @@ def build() -> dict[str, Query]:
     q["label_home_hours"] = lambda s, sf: hz.label_home_hours(_visits(s, sf))
     q["filter_home_hours"] = lambda s, sf: hz.filter_home_hours(_visits(s, sf))
 
+    q["scan_visits_all"] = _visits
+    q["project_cast"] = lambda s, sf: _visits(s, sf).select(
+        F.expr("try_cast(cookie AS BIGINT)").alias("user_id"), "zipcode", "nb_hits",
+        F.expr("try_cast(tranche AS INT)").alias("tranche"), "date",
+    )
+    q["load_days_tagged"] = lambda s, sf: tb.load_days_tagged(_visits(s, sf))
+    q["date_bounds"] = lambda s, sf: tb.date_bounds(_visits(s, sf))
+    q["distinct_projection"] = lambda s, sf: _dhz(s, sf).select("user_id", "zipcode").distinct()
+    q["filter_like"] = lambda s, sf: _visits(s, sf).select("zipcode").distinct().where(
+        F.col("zipcode").like("%" + LIKE_FRAGMENT + "%")
+    )
+    q["safe_share"] = _safe_share
+    q["calendar_range"] = lambda s, sf: cal.calendar_range(_visits(s, sf))
+    q["day_exists"] = lambda s, sf: cal.day_exists(_visits(s, sf))
+    q["available_days"] = lambda s, sf: cal.available_days(_visits(s, sf))
+    q["missing_days"] = lambda s, sf: cal.missing_days(_visits(s, sf))
+    q["date_parts"] = _date_parts
+    q["weekend_label"] = lambda s, sf: _days(s, sf).select("day", dt.weekend_label("day").alias("label"))
+    q["weekday_name"] = lambda s, sf: _days(s, sf).select("day", dt.weekday_name("day").alias("day_name"))
+    q["format_day"] = lambda s, sf: _days(s, sf).select(dt.compact_day("day").alias("c")).select(
+        F.col("c").alias("day_compact"), dt.format_day("c", "-").alias("day_dashed"),
+        dt.format_day("c", "/").alias("day_slashed"),
+    )
+    q["day_before"] = lambda s, sf: _days(s, sf).select(dt.compact_day("day").alias("c")).select(
+        F.col("c").alias("day_compact"), dt.day_before("c", 1).alias("day_before_1"),
+        dt.day_before("c", 7).alias("day_before_7"),
+    )
+    q["inclusive_day_diff"] = lambda s, sf: _spans(s, sf).select(
+        "user_id", "first_day", "last_day", dt.inclusive_day_diff("last_day", "first_day").alias("span_days")
+    )
+    q["elapsed_weeks"] = lambda s, sf: _spans(s, sf).select(
+        "user_id", dt.elapsed_weeks("last_day", "first_day").alias("weeks")
+    )
+    q["zip_equal_flag"] = lambda s, sf: _dhz(s, sf).join(
+        rf.reference_zip(_annotated(s, sf)), "user_id", "inner"
+    ).select("user_id", "day", "zipcode", zp.zip_equal_flag("zipcode", "reference_zip").alias("matches_reference"))
+    q["sink_roundtrip"] = lambda s, sf: sinks.roundtrip(s, _dhz(s, sf), "daily_home_zip")
+    q["sink_append"] = lambda s, sf: sinks.append_parts(
+        s, [hz.daily_home_zip(_visits(s, sf), weekend=True), hz.daily_home_zip(_visits(s, sf), weekend=False)],
+        "daily_home_zip_append",
+    )
+    q["split_by_day"] = lambda s, sf: sinks.split_by_day(s, _visits(s, sf), "date", "visits_by_day")
+
     # ---- reference, closed form over all days
     q["reference_zip"] = lambda s, sf: rf.reference_zip(_annotated(s, sf))
     q["mover_streak"] = lambda s, sf: sk.mover_streak(_annotated(s, sf))
@@ -115,5 +191,8 @@ def build() -> dict[str, Query]:
     q["home_seen_in_pool"] = _on_run(lambda r: r.home_seen_in_pool)
     q["potential_movers"] = _on_run(lambda r: r.potential_movers)
     q["moves"] = _on_run(lambda r: r.moves)
+    q["user_registry"] = _on_run(lambda r: r.registry)
+    q["scan_state_distinct"] = _on_run(lambda r: r.reference_feed.select("user_id", "zipcode").distinct())
+    q["run_metrics"] = lambda s, sf: _run(s, sf, materialize=True).metrics(_visits(s, sf))
     q["pool_profile"] = _on_run(lambda r: r.pool_profile)
     return q

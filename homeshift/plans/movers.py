@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homeshift.config import Thresholds
-from homeshift.functions.dates import weekday_flag, weekend_flag
+from homeshift.functions.dates import inclusive_day_diff, weekday_flag, weekend_flag
 from homeshift.operators import fold as fd
 from homeshift.operators import reference as rf
 from homeshift.operators.streak import POOL_COLS, STREAK_COLS
@@ -63,15 +63,35 @@ class MoverRun:
         )
 
     @cached_property
-    def history(self) -> DataFrame:
-        """Reference history at the end: sightings up to the reference day plus home sightings."""
+    def reference_feed(self) -> DataFrame:
+        """Every sighting that fed the reference history: up to the reference day, then home days."""
         pre = self.annotated.where(rf.is_pre_reference()).select("user_id", "zipcode", "day")
         home = self.fold.where(F.col("route") == rf.ROUTE_HOME).select("user_id", "zipcode", "day")
-        return pre.unionByName(home).groupBy("user_id", "zipcode").agg(
+        return pre.unionByName(home)
+
+    @cached_property
+    def history(self) -> DataFrame:
+        """Reference history at the end of the run."""
+        return self.reference_feed.groupBy("user_id", "zipcode").agg(
             F.sum(weekend_flag("day")).cast("bigint").alias("weekend_days"),
             F.sum(weekday_flag("day")).cast("bigint").alias("weekday_days"),
         )
 
+    @cached_property
+    def registry(self) -> DataFrame:
+        """User registry at the end of the run (first / last feed day, gap and tenure on the horizon)."""
+        h = self.horizon
+        g = self.reference_feed.groupBy("user_id").agg(
+            F.max("day").alias("last_seen"),
+            F.min("day").alias("first_seen"),
+            F.max(F.when(F.col("day") < h, F.col("day"))).alias("prev_seen"),
+        )
+        return g.select(
+            "user_id", "last_seen", "first_seen",
+            F.coalesce(inclusive_day_diff(h, "prev_seen"), F.lit(1)).alias("gap_days"),
+            inclusive_day_diff(h, "first_seen").alias("tenure_days"),
+        )
+
     @cached_property
     def evictions(self) -> DataFrame:
         """One row per eviction: (user_id, day, reason, presence_days)."""
@@ -111,5 +131,22 @@ class MoverRun:
             F.count(F.when(F.col("confirmed_week") >= 1, F.col("zipcode"))).alias("n_confirmed_zips"),
         )
 
-    def streak_cols(self) -> list[str]:
-        return STREAK_COLS
+    def metrics(self, visits: DataFrame) -> DataFrame:
+        """Row counts of every table of the run, as (metric, value) rows."""
+        parts = [
+            ("visits_rows", visits),
+            ("daily_home_zip_rows", self.dhz),
+            ("users_with_reference", self.reference),
+            ("reference_history_rows", self.history),
+            ("mover_streak_rows", self.streak),
+            ("mover_pool_rows", self.pool),
+            ("returned_home_evictions", self.evictions.where(F.col("reason") == "returned")),
+            ("potential_mover_users", self.potential_movers.select("user_id").distinct()),
+            ("potential_mover_rows", self.potential_movers),
+            ("moves_rows", self.moves),
+        ]
+        out = None
+        for name, df in parts:
+            one = df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("metric"), "value")
+            out = one if out is None else out.unionByName(one)
+        return out

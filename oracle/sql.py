@@ -248,6 +248,49 @@ def build() -> dict[str, str]:
   SELECT * FROM po2 UNION ALL SELECT * FROM celse) WHERE user_id NOT IN (SELECT user_id FROM gone)
   GROUP BY user_id, zipcode, confirmed_week""")
     q["streak_after_eviction"] = w(SNAP, "SELECT * FROM st2 WHERE user_id NOT IN (SELECT user_id FROM gone)")
+    V = [VISITS]
+    q["scan_visits_all"] = w(V, "SELECT * FROM visits")
+    q["project_cast"] = w(V, """SELECT TRY_CAST(cookie AS BIGINT) AS user_id, zipcode, nb_hits,
+  TRY_CAST(tranche AS INTEGER) AS tranche, "date" FROM visits""")
+    q["load_days_tagged"] = w(V, """SELECT *, strftime("date", '%Y%m%d') AS day1 FROM visits""")
+    q["date_bounds"] = w(V, """SELECT min("date") AS date_min, max("date") AS date_max FROM visits""")
+    q["distinct_projection"] = w(BASE, "SELECT DISTINCT user_id, zipcode FROM dhz")
+    q["filter_like"] = w(V, "SELECT DISTINCT zipcode FROM visits WHERE zipcode LIKE '%7500%'")
+    q["safe_share"] = w(BASE, f"""SELECT h.user_id, h.day, h.zipcode, h.nb_page, {share('h.nb_page', 't.total')} AS share
+  FROM hits h JOIN (SELECT user_id, day, sum(nb_page) AS total FROM hits GROUP BY user_id, day) t
+  ON h.user_id = t.user_id AND h.day = t.day""")
+    cal = lambda pad: f"""SELECT CAST(d AS DATE) AS day FROM (SELECT unnest(generate_series(
+  CAST(min("date") - {pad} AS TIMESTAMP), CAST(max("date") + {pad} AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM visits)"""
+    q["calendar_range"] = w(V, f"""SELECT day, strftime(day, '%Y-%m-%d') AS day_dashed, strftime(day, '%Y%m%d') AS day_compact
+  FROM ({cal(0)})""")
+    q["day_exists"] = w(V, f"""SELECT day, day IN (SELECT "date" FROM visits) AS exists FROM ({cal(2)})""")
+    lb = """lb AS (SELECT o AS off, CAST((SELECT max("date") FROM visits) + 1 - CAST(o AS INTEGER) AS DATE) AS day
+  FROM range(3, 50) t(o))"""
+    q["available_days"] = w(V + [lb], """SELECT CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS pos,
+  strftime(day, '%Y%m%d') AS day_compact FROM (
+  SELECT * FROM lb WHERE day IN (SELECT "date" FROM visits) ORDER BY off LIMIT 21)""")
+    q["missing_days"] = w(V + [lb], """SELECT CAST(row_number() OVER (ORDER BY off) AS INTEGER) AS pos,
+  strftime(day, '%Y%m%d') AS day_compact FROM lb WHERE day NOT IN (SELECT "date" FROM visits)""")
+    dd = 'dd AS (SELECT DISTINCT "date" AS day FROM visits)'
+    q["date_parts"] = w(V + [dd], """SELECT strftime(day, '%Y-%m-%d') AS dashed, strftime(day, '%Y%m%d') AS compact,
+  CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month, CAST(day(day) AS INTEGER) AS day_of_month,
+  CAST(year(day) AS INTEGER) AS c_year, CAST(month(day) AS INTEGER) AS c_month,
+  CAST(day(day) AS INTEGER) AS c_day_of_month FROM dd""")
+    q["weekend_label"] = w(V + [dd], f"SELECT day, CASE WHEN {WE.format(d='day')} THEN 'we' ELSE 'sem' END AS label FROM dd")
+    q["weekday_name"] = w(V + [dd], "SELECT day, dayname(day) AS day_name FROM dd")
+    q["format_day"] = w(V + [dd], """SELECT strftime(day, '%Y%m%d') AS day_compact, strftime(day, '%Y-%m-%d') AS day_dashed,
+  strftime(day, '%Y/%m/%d') AS day_slashed FROM dd""")
+    q["day_before"] = w(V + [dd], """SELECT strftime(day, '%Y%m%d') AS day_compact, strftime(day - 1, '%Y%m%d') AS day_before_1,
+  strftime(day - 7, '%Y%m%d') AS day_before_7 FROM dd""")
+    spans = "sp AS (SELECT user_id, min(day) AS first_day, max(day) AS last_day FROM dhz GROUP BY user_id)"
+    q["inclusive_day_diff"] = w(BASE + [spans], f"SELECT *, {days('last_day', 'first_day')} AS span_days FROM sp")
+    q["elapsed_weeks"] = w(BASE + [spans], f"SELECT user_id, CAST({days('last_day', 'first_day')} // 7 AS INTEGER) AS weeks FROM sp")
+    q["zip_equal_flag"] = w(full, """SELECT d.user_id, d.day, d.zipcode,
+  CASE WHEN d.zipcode IS NOT DISTINCT FROM r.reference_zip THEN 1 ELSE 0 END AS matches_reference
+  FROM dhz d JOIN f_rz r ON d.user_id = r.user_id""")
+    q["sink_roundtrip"] = q["daily_home_zip"]
+    q["sink_append"] = q["daily_home_zip"]
+    q["split_by_day"] = w(V, "SELECT * FROM visits")
     q.update(fold_oracles())
     return q
 
@@ -333,11 +376,13 @@ def fold_ctes(l1: int = TH.return_limit, l2: int = TH.age_limit) -> list[str]:
         f"""fevict AS (SELECT user_id, ev_day AS day, ev_reason AS reason, ev_presence AS presence_days
   FROM fo WHERE ev_day IS NOT NULL
   UNION ALL SELECT user_id, CAST(pfirst + {l2} AS DATE), 'aged', {l2 + 1} FROM fe WHERE hgone)""",
+        """ffeed AS (SELECT user_id, zipcode, day FROM f_ro WHERE route = 'reference'
+  UNION ALL SELECT s.user_id, s.zipcode, s.day FROM fo f JOIN sg s ON f.user_id = s.user_id AND f.n = s.n WHERE f.home)""",
         f"""fhist AS (SELECT user_id, zipcode, CAST(sum({we('day')}) AS BIGINT) AS weekend_days,
-  CAST(sum({wd('day')}) AS BIGINT) AS weekday_days FROM (
-  SELECT user_id, zipcode, day FROM f_ro WHERE route = 'reference'
-  UNION ALL SELECT s.user_id, s.zipcode, s.day FROM fo f JOIN sg s ON f.user_id = s.user_id AND f.n = s.n WHERE f.home)
-  GROUP BY user_id, zipcode)""",
+  CAST(sum({wd('day')}) AS BIGINT) AS weekday_days FROM ffeed GROUP BY user_id, zipcode)""",
+        f"""freg AS (SELECT user_id, max(day) AS last_seen, min(day) AS first_seen,
+  coalesce({days('(SELECT h FROM hz)', 'max(CASE WHEN day < (SELECT h FROM hz) THEN day END)')}, 1) AS gap_days,
+  {days('(SELECT h FROM hz)', 'min(day)')} AS tenure_days FROM ffeed GROUP BY user_id)""",
         """fhome AS (SELECT DISTINCT p.user_id FROM fpool p JOIN f_rz r ON p.user_id = r.user_id
   AND p.zipcode = r.reference_zip)""",
         "fpot AS (SELECT * FROM fpool WHERE user_id NOT IN (SELECT user_id FROM fhome))",
@@ -358,6 +403,18 @@ def fold_oracles() -> dict[str, str]:
         "reference_history": w(F, "SELECT * FROM fhist"),
         "evictions": w(F, "SELECT * FROM fevict"),
         "home_seen_in_pool": w(F, "SELECT * FROM fhome"),
+        "user_registry": w(F, "SELECT * FROM freg"),
+        "scan_state_distinct": w(F, "SELECT DISTINCT user_id, zipcode FROM ffeed"),
+        "run_metrics": w(F, """SELECT 'visits_rows' AS metric, count(*) AS value FROM visits
+  UNION ALL SELECT 'daily_home_zip_rows', count(*) FROM dhz
+  UNION ALL SELECT 'users_with_reference', count(*) FROM f_rz
+  UNION ALL SELECT 'reference_history_rows', count(*) FROM fhist
+  UNION ALL SELECT 'mover_streak_rows', count(*) FROM fstreak
+  UNION ALL SELECT 'mover_pool_rows', count(*) FROM fpool
+  UNION ALL SELECT 'returned_home_evictions', count(*) FROM fevict WHERE reason = 'returned'
+  UNION ALL SELECT 'potential_mover_users', count(DISTINCT user_id) FROM fpot
+  UNION ALL SELECT 'potential_mover_rows', count(*) FROM fpot
+  UNION ALL SELECT 'moves_rows', count(*) FROM fmoves"""),
         "potential_movers": w(F, "SELECT * FROM fpot"),
         "moves": w(F, "SELECT * FROM fmoves"),
         "pool_profile": w(F, """SELECT user_id, count(DISTINCT confirmed_week) AS n_states,
