@@ -1,14 +1,15 @@
-"""Per-user fold over the days after the reference: routing, streaks, pool,
-weekly confirmation and eviction.
+"""Per-user fold over all days: reference history, routing, streaks, pool,
+weekly confirmation and eviction, emitted as one small record stream.
 
 Why a fold.  An evicted user is routed again from scratch (home sightings
 feed the history, another zip opens a new streak), so eviction feeds back into
 everything before it and the chain has no window form.  Users never interact,
 so the day-by-day loop of the reference is a fold per user.
 
-How it runs.  ``fold_sightings`` is a grouped ``applyInPandas`` keyed by
-``user_id``: the input is clustered by ``user_id`` already (the windows of
-``reference.annotate`` use the same key), so no extra exchange is planned.  A
+How it runs.  The reference zip and its day come from Spark windows
+(``reference.annotate``); ``fold_sightings`` is then a grouped ``applyInPandas``
+keyed by ``user_id`` whose input is clustered by ``user_id`` already (same key
+as the windows), so no extra exchange is planned.  A
 group holds at most one row per user and day (the daily home zip), so its size
 is bounded by the number of days in the run, never by the data volume.  The
 same ``UserState.observe`` step drives the streaming variant.
@@ -63,40 +64,51 @@ def _date(n: int) -> _dt.date:
 
 
 class UserState:
-    """State of one user after the reference day.  Days are epoch-day ints."""
+    """State of one user over the whole run.  Days are epoch-day ints."""
 
-    __slots__ = ("user_id", "ref_zip", "th", "streak", "pool", "first", "out")
+    __slots__ = ("user_id", "ref_zip", "ref_day", "th", "streak", "pool", "first", "fed", "fed_days", "out")
 
-    def __init__(self, user_id: int, ref_zip: str, th: Thresholds):
-        self.user_id, self.ref_zip, self.th = user_id, ref_zip, th
+    def __init__(self, user_id: int, ref_zip: str | None, ref_day: int | None, th: Thresholds):
+        self.user_id, self.ref_zip, self.ref_day, self.th = user_id, ref_zip, ref_day, th
         self.streak = None  # [zip, start, weekend_days, weekday_days, week_no]
         self.pool: dict[tuple[str, int], int] = {}  # (zip, week) -> since
         self.first = None  # earliest pool date, None when not in the pool
+        self.fed: dict[str, list[int]] = {}  # reference history: zip -> [weekend days, weekday days]
+        self.fed_days = [None, None, None]  # first, last and previous day that fed the history
         self.out: list[tuple] = []
 
     # ---------------------------------------------------------------- rows
-    def _row(self, kind, day=None, zipcode=None, route=None, week=None, since=None, start=None,
-             we=None, sem=None, dmin=None, dmax=None, presence=None):
-        self.out.append((self.user_id, kind, day, zipcode, route, week, since, start, we, sem, dmin, dmax, presence))
+    def _row(self, kind, **kw):
+        self.out.append((self.user_id, kind) + tuple(kw.get(c) for c in FOLD_COLUMNS[2:]))
 
     def _evict_aged(self, day: int) -> None:
         dmax = max(self.pool.values())
         presence = day - self.first + 1
         for (z, wk), since in self.pool.items():
-            self._row("aged", _date(day), z, week=wk, since=_date(since), dmin=_date(self.first),
-                      dmax=_date(dmax), presence=presence)
+            self._row("aged", day=_date(day), zipcode=z, week=wk, since=_date(since), date_min=_date(self.first),
+                      date_max=_date(dmax), presence_days=presence)
         self._clear()
 
     def _clear(self) -> None:
         self.streak, self.pool, self.first = None, {}, None
 
+    def _feed(self, day: int, zipcode: str, weekend: bool) -> None:
+        c = self.fed.setdefault(zipcode, [0, 0])
+        c[0 if weekend else 1] += 1
+        first, last, _ = self.fed_days
+        self.fed_days = [day if first is None else first, day, last]
+
     # ---------------------------------------------------------------- step
     def observe(self, day: int, zipcode: str, weekend: bool) -> None:
+        """One sighting (the user's home zip of that day), days in increasing order."""
+        if self.ref_day is None or day <= self.ref_day:
+            self._feed(day, zipcode, weekend)
+            return
         th = self.th
         if self.first is not None and day - self.first > th.age_limit:
             self._evict_aged(self.first + th.age_limit)
         if self.first is None and zipcode == self.ref_zip:
-            self._row("route", _date(day), zipcode, route="home")
+            self._feed(day, zipcode, weekend)
             return
         s = self.streak
         confirmed_week = None
@@ -117,8 +129,8 @@ class UserState:
         returned = False
         if confirmed_week is not None and zipcode == self.ref_zip and presence <= th.return_limit:
             returned = True
-            self._row("returned", _date(day), zipcode, week=confirmed_week, dmin=_date(self.first),
-                      dmax=_date(max(self.pool.values())), presence=presence)
+            self._row("returned", day=_date(day), zipcode=zipcode, week=confirmed_week, date_min=_date(self.first),
+                      date_max=_date(max(self.pool.values())), presence_days=presence)
         if presence > th.age_limit:
             self._evict_aged(day)
             return
@@ -130,28 +142,43 @@ class UserState:
             self.pool[key] = min(self.pool.get(key, day), day)
 
     def close(self, horizon: int) -> list[tuple]:
-        """Last age check on the horizon day, then the final pool and streak rows."""
+        """Last age check on the horizon day, then the final rows of every table."""
         if self.first is not None and horizon - self.first + 1 > self.th.age_limit:
             self._evict_aged(self.first + self.th.age_limit)
+        if self.ref_day is not None:
+            self._row("reference", zipcode=self.ref_zip, day=_date(self.ref_day))
+        for z, (we, sem) in self.fed.items():
+            self._row("history", zipcode=z, weekend_days=we, weekday_days=sem)
+        first, last, prev = self.fed_days
+        if first is not None:
+            before = last if last < horizon else prev
+            gap = 1 if before is None else horizon - before + 1
+            self._row("registry", first_seen=_date(first), last_seen=_date(last), gap_days=gap,
+                      tenure_days=horizon - first + 1)
         for (z, wk), since in sorted(self.pool.items()):
             self._row("pool", zipcode=z, week=wk, since=_date(since))
         if self.streak is not None:
             z, start, we, sem, wk = self.streak
-            self._row("streak", zipcode=z, week=wk, start=_date(start), we=we, sem=sem)
+            self._row("streak", zipcode=z, week=wk, streak_start=_date(start), weekend_days=we, weekday_days=sem)
         return self.out
 
     # ------------------------------------------------- state for streaming
     def dump(self) -> tuple:
-        return (self.ref_zip, json.dumps(self.streak), json.dumps(sorted([z, w, s] for (z, w), s in self.pool.items())),
-                -1 if self.first is None else self.first)
+        return (
+            self.ref_zip, -1 if self.ref_day is None else self.ref_day, json.dumps(self.streak),
+            json.dumps(sorted([z, w, s] for (z, w), s in self.pool.items())),
+            -1 if self.first is None else self.first, json.dumps(self.fed), json.dumps(self.fed_days),
+        )
 
     @classmethod
     def load(cls, user_id: int, th: Thresholds, state: tuple) -> "UserState":
-        ref_zip, streak, pool, first = state
-        u = cls(user_id, ref_zip, th)
+        ref_zip, ref_day, streak, pool, first, fed, fed_days = state
+        u = cls(user_id, ref_zip, None if ref_day < 0 else int(ref_day), th)
         u.streak = json.loads(streak)
         u.pool = {(z, int(w)): int(s) for z, w, s in json.loads(pool)}
         u.first = None if first < 0 else int(first)
+        u.fed = json.loads(fed)
+        u.fed_days = json.loads(fed_days)
         return u
 
 
@@ -159,20 +186,29 @@ def _epoch_days(s: pd.Series) -> np.ndarray:
     return (pd.to_datetime(s).values.astype("datetime64[D]").astype(np.int64))
 
 
+def is_weekend_epoch(days: np.ndarray) -> np.ndarray:
+    # Monday = 0: days 5 and 6 of the week are the weekend (1970-01-01 was a Thursday)
+    return ((days + 3) % 7) >= 5
+
+
 def fold_group(pdf: pd.DataFrame, th: Thresholds) -> pd.DataFrame:
-    """One user's sightings after its reference day -> fold output rows."""
+    """All sightings of one user -> fold output rows."""
     pdf = pdf.sort_values("day", kind="stable")
     days = _epoch_days(pdf["day"])
     horizon = int(_epoch_days(pdf["horizon"])[0])
-    # Monday = 0: days 5 and 6 of the week are the weekend (1970-01-01 was a Thursday)
-    weekend = ((days + 3) % 7) >= 5
-    u = UserState(int(pdf["user_id"].iloc[0]), pdf["reference_zip"].iloc[0], th)
-    for d, z, we in zip(days.tolist(), pdf["zipcode"].tolist(), weekend.tolist()):
+    ref_day = pdf["ref_day"].iloc[0]
+    u = UserState(
+        int(pdf["user_id"].iloc[0]),
+        pdf["reference_zip"].iloc[0] if pd.notna(ref_day) else None,
+        int(_epoch_days(pd.Series([ref_day]))[0]) if pd.notna(ref_day) else None,
+        th,
+    )
+    for d, z, we in zip(days.tolist(), pdf["zipcode"].tolist(), is_weekend_epoch(days).tolist()):
         u.observe(d, z, we)
     return pd.DataFrame.from_records(u.close(horizon), columns=FOLD_COLUMNS)
 
 
-def fold_sightings(after_ref: DataFrame, th: Thresholds) -> DataFrame:
-    """(user_id, zipcode, day, reference_zip, horizon) -> FOLD_OUTPUT rows."""
-    cols = after_ref.select("user_id", "zipcode", "day", "reference_zip", "horizon")
+def fold_sightings(annotated: DataFrame, th: Thresholds) -> DataFrame:
+    """(user_id, zipcode, day, reference_zip, ref_day, horizon) -> FOLD_OUTPUT rows."""
+    cols = annotated.select("user_id", "zipcode", "day", "reference_zip", "ref_day", "horizon")
     return cols.groupBy("user_id").applyInPandas(lambda pdf: fold_group(pdf, th), schema=FOLD_OUTPUT)

@@ -45,8 +45,9 @@ def _step(spark, sf) -> DayStep:
     return DayStep(_dhz(spark, sf), SNAPSHOT_DAY, TH_SNAPSHOT)
 
 
-def _run(spark, sf, materialize: bool = False) -> MoverRun:
-    return MoverRun(_dhz(spark, sf), TH, materialize=materialize)
+def _run(spark, sf) -> MoverRun:
+    v = _visits(spark, sf)
+    return MoverRun(hz.daily_home_zip(v), TH, visits=v)
 
 
 def _on_run(fn) -> Query:
@@ -192,7 +193,7 @@ def build() -> dict[str, Query]:
     q["potential_movers"] = _on_run(lambda r: r.potential_movers)
     q["moves"] = _on_run(lambda r: r.moves)
     q["user_registry"] = _on_run(lambda r: r.registry)
-    q["scan_state_distinct"] = _on_run(lambda r: r.reference_feed.select("user_id", "zipcode").distinct())
-    q["run_metrics"] = lambda s, sf: _run(s, sf, materialize=True).metrics(_visits(s, sf))
+    q["scan_state_distinct"] = _on_run(lambda r: r.history.select("user_id", "zipcode").distinct())
+    q["run_metrics"] = lambda s, sf: _run(s, sf).metrics(_visits(s, sf))
     q["pool_profile"] = _on_run(lambda r: r.pool_profile)
     return q

@@ -17,41 +17,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homeshift.config import Thresholds
-from homeshift.functions.dates import inclusive_day_diff, weekday_flag, weekend_flag
 from homeshift.operators import fold as fd
 from homeshift.operators import reference as rf
-from homeshift.operators.streak import POOL_COLS, STREAK_COLS
+from homeshift.operators.streak import POOL_COLS
 
 
 class MoverRun:
-    def __init__(self, dhz: DataFrame, th: Thresholds, horizon: _dt.date | None = None, materialize: bool = False):
+    """Whole-run tables.  ``visits`` (optional) gives the horizon cheaply: the
+    last input day, read from a single pruned column."""
+
+    def __init__(self, dhz: DataFrame, th: Thresholds, horizon: _dt.date | None = None,
+                 materialize: bool = True, visits: DataFrame | None = None):
         self.dhz, self.th, self.materialize = dhz, th, materialize
-        self._horizon = horizon
+        self._horizon, self._visits = horizon, visits
 
     @cached_property
     def horizon(self):
-        """Last day of the run: given, or the last day of the input (scalar subquery)."""
+        """Last day of the run: given, or the last input day (a scalar subquery)."""
         if self._horizon is not None:
             return F.lit(self._horizon)
+        if self._visits is not None:
+            return self._visits.select(F.max("date")).scalar()
         return self.dhz.select(F.max("day")).scalar()
 
     @cached_property
     def annotated(self) -> DataFrame:
         return rf.annotate(self.dhz, self.th)
 
-    @cached_property
-    def reference(self) -> DataFrame:
-        return rf.reference_zip(self.annotated)
-
     @cached_property
     def fold(self) -> DataFrame:
-        after = self.annotated.where(F.col("ref_day").isNotNull() & (F.col("day") > F.col("ref_day")))
-        out = fd.fold_sightings(after.withColumn("horizon", self.horizon), self.th)
+        out = fd.fold_sightings(self.annotated.withColumn("horizon", self.horizon), self.th)
         return out.checkpoint() if self.materialize else out
 
     def _kind(self, kind: str) -> DataFrame:
         return self.fold.where(F.col("kind") == kind)
 
+    @cached_property
+    def reference(self) -> DataFrame:
+        return self._kind("reference").select(
+            "user_id", F.col("zipcode").alias("reference_zip"), F.col("day").alias("ref_day")
+        )
+
     @cached_property
     def pool(self) -> DataFrame:
         return self._kind("pool").select("user_id", "zipcode", F.col("week").alias("confirmed_week"), "since")
@@ -62,35 +68,15 @@ class MoverRun:
             "user_id", "zipcode", "streak_start", "weekend_days", "weekday_days", F.col("week").alias("week_no")
         )
 
-    @cached_property
-    def reference_feed(self) -> DataFrame:
-        """Every sighting that fed the reference history: up to the reference day, then home days."""
-        pre = self.annotated.where(rf.is_pre_reference()).select("user_id", "zipcode", "day")
-        home = self.fold.where(F.col("route") == rf.ROUTE_HOME).select("user_id", "zipcode", "day")
-        return pre.unionByName(home)
-
     @cached_property
     def history(self) -> DataFrame:
         """Reference history at the end of the run."""
-        return self.reference_feed.groupBy("user_id", "zipcode").agg(
-            F.sum(weekend_flag("day")).cast("bigint").alias("weekend_days"),
-            F.sum(weekday_flag("day")).cast("bigint").alias("weekday_days"),
-        )
+        return self._kind("history").select("user_id", "zipcode", "weekend_days", "weekday_days")
 
     @cached_property
     def registry(self) -> DataFrame:
         """User registry at the end of the run (first / last feed day, gap and tenure on the horizon)."""
-        h = self.horizon
-        g = self.reference_feed.groupBy("user_id").agg(
-            F.max("day").alias("last_seen"),
-            F.min("day").alias("first_seen"),
-            F.max(F.when(F.col("day") < h, F.col("day"))).alias("prev_seen"),
-        )
-        return g.select(
-            "user_id", "last_seen", "first_seen",
-            F.coalesce(inclusive_day_diff(h, "prev_seen"), F.lit(1)).alias("gap_days"),
-            inclusive_day_diff(h, "first_seen").alias("tenure_days"),
-        )
+        return self._kind("registry").select("user_id", "last_seen", "first_seen", "gap_days", "tenure_days")
 
     @cached_property
     def evictions(self) -> DataFrame:
@@ -99,7 +85,6 @@ class MoverRun:
         return ev.groupBy("user_id", "day", F.col("kind").alias("reason")).agg(
             F.max("presence_days").alias("presence_days")
         )
-
     @cached_property
     def home_seen_in_pool(self) -> DataFrame:
         r = self.reference.select("user_id", F.col("reference_zip").alias("zipcode"))

@@ -3,6 +3,11 @@
 The state is the closed form without eviction over the days before ``day``;
 the one-day operators then run on it exactly as the reference runs one day of
 its loop.  Used to check every branch of the daily step on real data.
+
+Like the reference's state tables, every state and intermediate table is
+materialised (``checkpoint()`` into the shared checkpoint folder) the first
+time it is used: later steps read a small table instead of re-planning the
+whole lineage, and a lost executor only replays from the last table.
 """
 
 from __future__ import annotations
@@ -21,21 +26,28 @@ from homeshift.operators import streak as sk
 
 
 class DayStep:
-    def __init__(self, dhz: DataFrame, day: _dt.date, th: Thresholds):
-        self.dhz, self.day, self.th = dhz, day, th
+    def __init__(self, dhz: DataFrame, day: _dt.date, th: Thresholds, materialize: bool = True):
+        self._dhz, self.day, self.th, self.materialize = dhz, day, th, materialize
+
+    def _m(self, df: DataFrame) -> DataFrame:
+        return df.checkpoint() if self.materialize else df
+
+    @cached_property
+    def dhz(self) -> DataFrame:
+        return self._m(self._dhz)
 
     # ------------------------------------------------------------ state before
     @cached_property
     def annotated_before(self) -> DataFrame:
-        return rf.annotate(self.dhz.where(F.col("day") < F.lit(self.day)), self.th)
+        return self._m(rf.annotate(self.dhz.where(F.col("day") < F.lit(self.day)), self.th))
 
     @cached_property
     def routed_before(self) -> DataFrame:
-        return sk.route_without_eviction(self.annotated_before)
+        return self._m(sk.route_without_eviction(self.annotated_before))
 
     @cached_property
     def ref(self) -> DataFrame:
-        return rf.reference_zip(self.annotated_before).select("user_id", "reference_zip")
+        return self._m(rf.reference_zip(self.annotated_before).select("user_id", "reference_zip"))
 
     @cached_property
     def feed_days_before(self) -> DataFrame:
@@ -43,10 +55,10 @@ class DayStep:
 
     @cached_property
     def history(self) -> DataFrame:
-        return self.feed_days_before.groupBy("user_id", "zipcode").agg(
+        return self._m(self.feed_days_before.groupBy("user_id", "zipcode").agg(
             F.sum(weekend_flag("day")).cast("bigint").alias("weekend_days"),
             F.sum(weekday_flag("day")).cast("bigint").alias("weekday_days"),
-        )
+        ))
 
     @cached_property
     def registry(self) -> DataFrame:
@@ -56,24 +68,24 @@ class DayStep:
             F.min("day").alias("first_seen"),
             F.max(F.when(F.col("day") < last, F.col("day"))).alias("prev_seen"),
         )
-        return g.select(
+        return self._m(g.select(
             "user_id", "last_seen", "first_seen",
             F.coalesce(inclusive_day_diff(last, "prev_seen"), F.lit(1)).alias("gap_days"),
             inclusive_day_diff(last, "first_seen").alias("tenure_days"),
-        )
+        ))
 
     @cached_property
     def streak(self) -> DataFrame:
-        return sk.mover_streak(self.annotated_before)
+        return self._m(sk.mover_streak(self.annotated_before))
 
     @cached_property
     def pool(self) -> DataFrame:
-        return sk.mover_pool(self.annotated_before, self.th)
+        return self._m(sk.mover_pool(self.annotated_before, self.th))
 
     # --------------------------------------------------------------- the day
     @cached_property
     def today(self) -> DataFrame:
-        return self.dhz.where(F.col("day") == F.lit(self.day)).select("user_id", "zipcode")
+        return self._m(self.dhz.where(F.col("day") == F.lit(self.day)).select("user_id", "zipcode"))
 
     @cached_property
     def compared(self) -> DataFrame:
@@ -81,7 +93,7 @@ class DayStep:
 
     @cached_property
     def feeds(self) -> tuple[DataFrame, DataFrame]:
-        return rf.feeds(self.today, self.ref, self.pool)
+        return tuple(self._m(f) for f in rf.feeds(self.today, self.ref, self.pool))
 
     @property
     def reference_feed(self) -> DataFrame:
@@ -93,23 +105,23 @@ class DayStep:
 
     @cached_property
     def history_after(self) -> DataFrame:
-        return rf.history_update(self.history, self.reference_feed, self.day)
+        return self._m(rf.history_update(self.history, self.reference_feed, self.day))
 
     @cached_property
     def registry_after(self) -> DataFrame:
-        return rf.registry_update(self.registry, self.reference_feed, self.day)
+        return self._m(rf.registry_update(self.registry, self.reference_feed, self.day))
 
     @cached_property
     def streak_after(self) -> DataFrame:
-        return sk.streak_merge(self.mover_feed, self.streak, self.day)
+        return self._m(sk.streak_merge(self.mover_feed, self.streak, self.day))
 
     @cached_property
     def pool_after(self) -> DataFrame:
-        return sk.pool_merge(self.mover_feed, self.streak, self.pool, self.day)
+        return self._m(sk.pool_merge(self.mover_feed, self.streak, self.pool, self.day))
 
     @cached_property
     def confirmed(self) -> DataFrame:
-        return cf.week_confirmed(self.streak_after, self.day, self.th)
+        return self._m(cf.week_confirmed(self.streak_after, self.day, self.th))
 
     @cached_property
     def home(self) -> DataFrame:

@@ -29,18 +29,20 @@ MOVER_STREAK = _st(
 MOVER_POOL = _st(("user_id", L), ("zipcode", S), ("confirmed_week", I), ("since", D))
 MOVES = _st(("user_id", L), ("old_zip", S), ("new_zip", S), ("moved_on", D))
 
-# Output of the per-user fold: one record stream, told apart by ``kind``.
-#   route    one per sighting: route = 'reference' (before a reference exists),
-#            'home' (at the reference zip, not in the pool) or 'mover'
-#   pool     final pool rows of live users
-#   streak   final streak row of live users
-#   returned audit row of a user evicted after a confirmed return home
-#   aged     audit rows (one per pool row) of a user evicted for pool age
+# Output of the per-user fold: one small record stream, told apart by ``kind``.
+#   reference  the user's reference zip and the day it was fixed
+#   history    reference history row (days fed per zip, weekend / weekday)
+#   registry   first / last day fed, gap and tenure on the horizon day
+#   pool       final pool rows of live users
+#   streak     final streak row of live users
+#   returned   audit row of a user evicted after a confirmed return home
+#   aged       audit rows (one per pool row) of a user evicted for pool age
 FOLD_OUTPUT = _st(
-    ("user_id", L), ("kind", S), ("day", D), ("zipcode", S), ("route", S),
+    ("user_id", L), ("kind", S), ("day", D), ("zipcode", S),
     ("week", I), ("since", D), ("streak_start", D),
     ("weekend_days", L), ("weekday_days", L),
     ("date_min", D), ("date_max", D), ("presence_days", I),
+    ("first_seen", D), ("last_seen", D), ("gap_days", I), ("tenure_days", I),
 )
 
 STATE_TABLES = {
