@@ -7,12 +7,14 @@ everything before it and the chain has no window form.  Users never interact,
 so the day-by-day loop of the reference is a fold per user.
 
 How it runs.  The reference zip and its day come from Spark windows
-(``reference.annotate``); ``fold_sightings`` is then a grouped ``applyInPandas``
-keyed by ``user_id`` whose input is clustered by ``user_id`` already (same key
-as the windows), so no extra exchange is planned.  A
-group holds at most one row per user and day (the daily home zip), so its size
-is bounded by the number of days in the run, never by the data volume.  The
-same ``UserState.observe`` step drives the streaming variant.
+(``reference.annotate``).  ``fold_sightings`` hash-partitions on ``user_id``
+(the same partitioning as the windows, so Spark plans no extra exchange),
+sorts each partition by (user_id, day) and runs ``mapInArrow``: one pass over
+Arrow batches, many users per batch, the state of the user at a batch border
+carried to the next batch.  A user has at most one row per day (the daily
+home zip), so the state held at any time is bounded by the length of the run,
+never by the data volume; nothing is collected per group or on the driver.
+The same ``UserState.observe`` step drives the streaming variant.
 
 Rules of one sighting (day d, zip z), in the reference's order within a day:
 1. pool age: if the user was in the pool and ``d - first > age_limit``, it was
@@ -35,6 +37,7 @@ import json
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -208,7 +211,58 @@ def fold_group(pdf: pd.DataFrame, th: Thresholds) -> pd.DataFrame:
     return pd.DataFrame.from_records(u.close(horizon), columns=FOLD_COLUMNS)
 
 
+ARROW_SCHEMA = pa.schema([
+    (f.name, {"LongType": pa.int64(), "StringType": pa.string(), "DateType": pa.date32(),
+              "IntegerType": pa.int32()}[type(f.dataType).__name__])
+    for f in FOLD_OUTPUT.fields
+])
+
+
+def _to_batch(rows: list[tuple]) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [[] for _ in FOLD_COLUMNS]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), type=f.type) for c, f in zip(cols, ARROW_SCHEMA)], schema=ARROW_SCHEMA
+    )
+
+
+def _days(col: pa.Array) -> list:
+    return col.cast(pa.int32()).to_pylist()
+
+
+def fold_batches(batches, th: Thresholds):
+    """Rows sorted by (user_id, day) within the partition -> fold output batches."""
+    cur, horizon = None, None
+    for b in batches:
+        uid = b.column("user_id").to_pylist()
+        zips = b.column("zipcode").to_pylist()
+        days = _days(b.column("day"))
+        refz = b.column("reference_zip").to_pylist()
+        refd = _days(b.column("ref_day"))
+        hz = _days(b.column("horizon"))
+        out: list[tuple] = []
+        for i, u in enumerate(uid):
+            if cur is None or u != cur.user_id:
+                if cur is not None:
+                    out.extend(cur.close(horizon))
+                cur, horizon = UserState(u, refz[i] if refd[i] is not None else None, refd[i], th), hz[i]
+            d = days[i]
+            cur.observe(d, zips[i], (d + 3) % 7 >= 5)
+        if out:
+            yield _to_batch(out)
+    if cur is not None:
+        yield _to_batch(cur.close(horizon))
+
+
 def fold_sightings(annotated: DataFrame, th: Thresholds) -> DataFrame:
     """(user_id, zipcode, day, reference_zip, ref_day, horizon) -> FOLD_OUTPUT rows."""
+    from homeshift.operators.reference import by_user_partitions
+
+    cols = annotated.select("user_id", "zipcode", "day", "reference_zip", "ref_day", "horizon")
+    ordered = by_user_partitions(cols).sortWithinPartitions("user_id", "day")
+    return ordered.mapInArrow(lambda it: fold_batches(it, th), schema=FOLD_OUTPUT)
+
+
+def fold_sightings_grouped(annotated: DataFrame, th: Thresholds) -> DataFrame:
+    """Same result with one pandas call per user (simpler, slower per user); kept for tests."""
     cols = annotated.select("user_id", "zipcode", "day", "reference_zip", "ref_day", "horizon")
     return cols.groupBy("user_id").applyInPandas(lambda pdf: fold_group(pdf, th), schema=FOLD_OUTPUT)

@@ -35,13 +35,26 @@ def qualifies(days: Column, tenure: Column, th: Thresholds) -> Column:
     return (days >= th.min_days) & (days / (tenure * F.lit(1.0)) >= th.min_share)
 
 
+def by_user_partitions(df: DataFrame) -> DataFrame:
+    """Hash-partition on user_id into ``spark.sql.shuffle.partitions`` parts.
+
+    An explicit count keeps AQE from coalescing the (small, but Python-heavy)
+    per-user stage into a handful of tasks; the windows and the fold that
+    follow reuse this partitioning, and Spark drops a repeated identical
+    repartition, so the whole per-user analysis costs one exchange.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, "user_id")
+
+
 def annotate(dhz: DataFrame, th: Thresholds) -> DataFrame:
     """Add first_seen, reference_zip and ref_day to every sighting.
 
-    The user-level window runs first so that its hash partitioning on
-    ``user_id`` also serves the (user_id, zipcode) window and later per-user
-    steps: a single exchange for the whole per-user analysis.
+    Windows partitioned by ``user_id`` (and ``user_id, zipcode``) over the
+    explicit user partitioning: a single exchange for the whole per-user
+    analysis; each window group is one user's days (bounded by the run length).
     """
+    dhz = by_user_partitions(dhz)
     w_u = by_user()
     w_uz = (
         Window.partitionBy("user_id", "zipcode")

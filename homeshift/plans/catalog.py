@@ -46,8 +46,7 @@ def _step(spark, sf) -> DayStep:
 
 
 def _run(spark, sf) -> MoverRun:
-    v = _visits(spark, sf)
-    return MoverRun(hz.daily_home_zip(v), TH, visits=v)
+    return MoverRun(_dhz(spark, sf), TH, horizon=tb.last_day(spark, sf))
 
 
 def _on_run(fn) -> Query:

@@ -2,10 +2,9 @@
 
 visits -> daily home zip (partial aggregates) -> per-user windows (one hash
 exchange on user_id) -> per-user fold (applyInPandas, same partitioning) ->
-final tables.  The fold output is materialised once with ``checkpoint()``
-(into the shared ``spark.checkpoint.dir``) when several tables are read from
-it, which also cuts the lineage so a lost executor does not replay the whole
-chain.
+final tables.  The fold output is materialised once as a parquet table in the shared
+``spark.checkpoint.dir`` folder, since every final table is read from it; this
+also cuts the lineage so a lost executor does not replay the whole chain.
 """
 
 from __future__ import annotations
@@ -17,28 +16,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homeshift.config import Thresholds
+from homeshift.session import materialize
 from homeshift.operators import fold as fd
 from homeshift.operators import reference as rf
 from homeshift.operators.streak import POOL_COLS
 
 
 class MoverRun:
-    """Whole-run tables.  ``visits`` (optional) gives the horizon cheaply: the
-    last input day, read from a single pruned column."""
+    """Whole-run tables.
 
-    def __init__(self, dhz: DataFrame, th: Thresholds, horizon: _dt.date | None = None,
-                 materialize: bool = True, visits: DataFrame | None = None):
+    ``horizon`` is the last day of the run: a date, a Column (e.g. a scalar
+    subquery over one pruned date column of the raw input), or None for the
+    last day of ``dhz`` (a scalar subquery that recomputes the daily home zip).
+    """
+
+    def __init__(self, dhz: DataFrame, th: Thresholds, horizon=None, materialize: bool = True):
         self.dhz, self.th, self.materialize = dhz, th, materialize
-        self._horizon, self._visits = horizon, visits
+        self._horizon = horizon
 
     @cached_property
     def horizon(self):
-        """Last day of the run: given, or the last input day (a scalar subquery)."""
-        if self._horizon is not None:
+        if self._horizon is None:
+            return self.dhz.select(F.max("day")).scalar()
+        if isinstance(self._horizon, _dt.date):
             return F.lit(self._horizon)
-        if self._visits is not None:
-            return self._visits.select(F.max("date")).scalar()
-        return self.dhz.select(F.max("day")).scalar()
+        return self._horizon
 
     @cached_property
     def annotated(self) -> DataFrame:
@@ -47,7 +49,7 @@ class MoverRun:
     @cached_property
     def fold(self) -> DataFrame:
         out = fd.fold_sightings(self.annotated.withColumn("horizon", self.horizon), self.th)
-        return out.checkpoint() if self.materialize else out
+        return materialize(out, "fold") if self.materialize else out
 
     def _kind(self, kind: str) -> DataFrame:
         return self.fold.where(F.col("kind") == kind)

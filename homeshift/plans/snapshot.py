@@ -5,7 +5,7 @@ the one-day operators then run on it exactly as the reference runs one day of
 its loop.  Used to check every branch of the daily step on real data.
 
 Like the reference's state tables, every state and intermediate table is
-materialised (``checkpoint()`` into the shared checkpoint folder) the first
+materialised (a parquet table written in the shared checkpoint folder) the first
 time it is used: later steps read a small table instead of re-planning the
 whole lineage, and a lost executor only replays from the last table.
 """
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homeshift.config import Thresholds
+from homeshift.session import materialize
 from homeshift.functions.dates import inclusive_day_diff, weekday_flag, weekend_flag
 from homeshift.operators import confirm as cf
 from homeshift.operators import reference as rf
@@ -30,7 +31,7 @@ class DayStep:
         self._dhz, self.day, self.th, self.materialize = dhz, day, th, materialize
 
     def _m(self, df: DataFrame) -> DataFrame:
-        return df.checkpoint() if self.materialize else df
+        return materialize(df, "daystep") if self.materialize else df
 
     @cached_property
     def dhz(self) -> DataFrame:

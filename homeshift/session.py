@@ -56,3 +56,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a parquet table in the shared checkpoint folder and read it back.
+
+    One job (a reliable ``checkpoint()`` of an unpersisted plan computes it
+    twice), and the lineage is cut: a lost executor replays from this table.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

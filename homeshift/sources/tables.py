@@ -64,6 +64,11 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return visits_from_events(table(spark, sf_dir, "events"))
 
 
+def last_day(spark: SparkSession, sf_dir: str) -> F.Column:
+    """Last day of the input as a scalar subquery over the one pruned ``ts`` column."""
+    return table(spark, sf_dir, "events").select(F.max(F.to_date("ts"))).scalar()
+
+
 def scan_visits_distinct(v: DataFrame) -> DataFrame:
     """DISTINCT (user_id, zipcode, nb_hits, tranche, day) with tolerant casts.
 
