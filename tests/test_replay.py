@@ -1,0 +1,81 @@
+"""Literal day-by-day replay of the one-day operators must equal the fold.
+
+The replay chains the one-day DataFrame operators over every day exactly as
+the reference's daily loop does (split, route, history, registry, reference,
+streak and pool branches, confirmation, eviction), bringing the small state
+back to the driver between days (test only).  The whole-run fold must give
+the same final pool, streak, history and reference, for several eviction
+limits.
+"""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from homeshift.config import FIXTURE_THRESHOLDS as TH
+from homeshift.operators import confirm as cf
+from homeshift.operators import home_zip as hz
+from homeshift.operators import reference as rf
+from homeshift.operators import streak as sk
+from homeshift.plans.movers import MoverRun
+from homeshift import schemas
+from homeshift.sources import tables as tb
+from conftest import SF_SMALL
+
+
+def _rows(df, cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def replay(spark, dhz, th, days):
+    def again(df, schema):
+        return spark.createDataFrame(df.collect(), schema)
+
+    ref = spark.createDataFrame([], schemas.REFERENCE_ZIP)
+    history = spark.createDataFrame([], schemas.REFERENCE_HISTORY)
+    registry = spark.createDataFrame([], schemas.USER_REGISTRY)
+    streak = spark.createDataFrame([], schemas.MOVER_STREAK)
+    pool = spark.createDataFrame([], schemas.MOVER_POOL)
+    dhz = spark.createDataFrame(dhz.collect(), schemas.DAILY_HOME_ZIP)
+    for d in days:
+        today = dhz.where(F.col("day") == F.lit(d)).select("user_id", "zipcode")
+        ref_feed, mover_feed = rf.feeds(today, ref, pool)
+        history = again(rf.history_update(history, ref_feed, d), schemas.REFERENCE_HISTORY)
+        registry = again(rf.registry_update(registry, ref_feed, d).select(
+            "user_id", "last_seen", "first_seen", "gap_days", "tenure_days"), schemas.USER_REGISTRY)
+        ref = again(ref.unionByName(rf.reference_candidates(history, registry, th)).distinct(), schemas.REFERENCE_ZIP)
+        streak2 = sk.streak_merge(mover_feed, streak, d)
+        pool2 = sk.pool_merge(mover_feed, streak, pool, d)
+        conf = cf.week_confirmed(streak2, d, th)
+        home = cf.confirmed_home(conf, ref)
+        elsewhere = cf.confirmed_elsewhere(conf, ref, d)
+        returned, aged = cf.evicted_users(home, pool2, d, th)
+        pool = again(cf.pool_after_eviction(pool2, elsewhere, returned, aged), schemas.MOVER_POOL)
+        streak = again(cf.streak_after_eviction(streak2, returned, aged).select(*sk.STREAK_COLS), schemas.MOVER_STREAK)
+    return ref, history, streak, pool
+
+
+@pytest.fixture
+def one_partition(spark):
+    # the replay runs ~150 tiny jobs on 15 users: one shuffle partition each
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    yield spark
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+@pytest.mark.parametrize("limits", [(28, 148), (28, 12), (10, 9)])
+def test_replay_equals_fold(one_partition, limits):
+    spark = one_partition
+    th = TH.with_(return_limit=limits[0], age_limit=limits[1])
+    dhz = hz.daily_home_zip(tb.visits(spark, SF_SMALL))
+    lo, hi = [r for r in dhz.agg(F.min("day"), F.max("day")).collect()[0]]
+    days = [lo + dt.timedelta(days=i) for i in range((hi - lo).days + 1)]
+    ref, history, streak, pool = replay(spark, dhz, th, days)
+    run = MoverRun(dhz, th, horizon=hi)
+    assert _rows(run.pool, sk.POOL_COLS) == _rows(pool, sk.POOL_COLS)
+    assert _rows(run.streak, sk.STREAK_COLS) == _rows(streak, sk.STREAK_COLS)
+    hcols = ["user_id", "zipcode", "weekend_days", "weekday_days"]
+    assert _rows(run.history, hcols) == _rows(history, hcols)
+    assert _rows(run.reference, ["user_id", "reference_zip"]) == _rows(ref, ["user_id", "reference_zip"])
