@@ -69,10 +69,11 @@ def _date(n: int) -> _dt.date:
 class UserState:
     """State of one user over the whole run.  Days are epoch-day ints."""
 
-    __slots__ = ("user_id", "ref_zip", "ref_day", "th", "streak", "pool", "first", "fed", "fed_days", "out")
+    __slots__ = ("user_id", "ref_zip", "ref_day", "th", "learn", "streak", "pool", "first", "fed", "fed_days", "out")
 
-    def __init__(self, user_id: int, ref_zip: str | None, ref_day: int | None, th: Thresholds):
-        self.user_id, self.ref_zip, self.ref_day, self.th = user_id, ref_zip, ref_day, th
+    def __init__(self, user_id: int, ref_zip: str | None, ref_day: int | None, th: Thresholds, learn: bool = False):
+        """``learn``: find the reference day on the fly (streaming) instead of taking it from the windows."""
+        self.user_id, self.ref_zip, self.ref_day, self.th, self.learn = user_id, ref_zip, ref_day, th, learn
         self.streak = None  # [zip, start, weekend_days, weekday_days, week_no]
         self.pool: dict[tuple[str, int], int] = {}  # (zip, week) -> since
         self.first = None  # earliest pool date, None when not in the pool
@@ -101,11 +102,38 @@ class UserState:
         first, last, _ = self.fed_days
         self.fed_days = [day if first is None else first, day, last]
 
+    def _fix_reference(self, day: int, zipcode: str) -> None:
+        """Incremental reference test: only the zip seen today can newly qualify."""
+        c = sum(self.fed[zipcode])
+        tenure = day - self.fed_days[0] + 1
+        if c >= self.th.min_days and c / (tenure * 1.0) >= self.th.min_share:
+            self.ref_zip, self.ref_day = zipcode, day
+
+    def snapshot(self) -> list[tuple]:
+        """Rows emitted so far (audits) plus the current pool, streak and reference; clears the emitted rows."""
+        emitted, self.out = self.out, []
+        for (z, wk), since in sorted(self.pool.items()):
+            self._row("pool", zipcode=z, week=wk, since=_date(since))
+        if self.streak is not None:
+            z, start, we, sem, wk = self.streak
+            self._row("streak", zipcode=z, week=wk, streak_start=_date(start), weekend_days=we, weekday_days=sem)
+        if self.ref_day is not None:
+            self._row("reference", zipcode=self.ref_zip, day=_date(self.ref_day))
+        rows, self.out = emitted + self.out, []
+        return rows
+
+    def expire(self, day: int) -> None:
+        """Pool-age check without a sighting (streaming timer): evict if presence on ``day`` is over the limit."""
+        if self.first is not None and day - self.first + 1 > self.th.age_limit:
+            self._evict_aged(self.first + self.th.age_limit)
+
     # ---------------------------------------------------------------- step
     def observe(self, day: int, zipcode: str, weekend: bool) -> None:
         """One sighting (the user's home zip of that day), days in increasing order."""
         if self.ref_day is None or day <= self.ref_day:
             self._feed(day, zipcode, weekend)
+            if self.learn and self.ref_day is None:
+                self._fix_reference(day, zipcode)
             return
         th = self.th
         if self.first is not None and day - self.first > th.age_limit:
@@ -174,9 +202,9 @@ class UserState:
         )
 
     @classmethod
-    def load(cls, user_id: int, th: Thresholds, state: tuple) -> "UserState":
+    def load(cls, user_id: int, th: Thresholds, state: tuple, learn: bool = True) -> "UserState":
         ref_zip, ref_day, streak, pool, first, fed, fed_days = state
-        u = cls(user_id, ref_zip, None if ref_day < 0 else int(ref_day), th)
+        u = cls(user_id, ref_zip, None if ref_day < 0 else int(ref_day), th, learn=learn)
         u.streak = json.loads(streak)
         u.pool = {(z, int(w)): int(s) for z, w, s in json.loads(pool)}
         u.first = None if first < 0 else int(first)

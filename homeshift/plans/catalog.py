@@ -24,6 +24,7 @@ from homeshift.functions import zips as zp
 from homeshift.sources import calendar as cal
 from homeshift.sources import sinks
 from homeshift.sources import tables as tb
+from homeshift.streaming import movers_stream as ms
 
 Query = Callable[[SparkSession, str], DataFrame]
 TH_SNAPSHOT = TH.with_(age_limit=SNAPSHOT_AGE_LIMIT)
@@ -195,4 +196,10 @@ def build() -> dict[str, Query]:
     q["scan_state_distinct"] = _on_run(lambda r: r.history.select("user_id", "zipcode").distinct())
     q["run_metrics"] = lambda s, sf: _run(s, sf).metrics(_visits(s, sf))
     q["pool_profile"] = _on_run(lambda r: r.pool_profile)
+
+    # ---- streaming: event-time day buckets, per-user state across micro-batches
+    q["stream_daily_home_zip"] = lambda s, sf: ms.run_daily_home_zip_stream(s, f"{sf}/events.parquet")
+    q["stream_movers"] = lambda s, sf: ms.latest_state(ms.run_mover_stream(s, _dhz(s, sf), TH)).where(
+        F.col("kind") == "pool"
+    ).select("user_id", "zipcode", F.col("week").alias("confirmed_week"), "since")
     return q

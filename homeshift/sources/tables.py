@@ -37,8 +37,8 @@ def tranche_of_hour(h) -> F.Column:
     )
 
 
-def visits_from_events(events: DataFrame) -> DataFrame:
-    """events(user_id, ts, props) -> visits(cookie, zipcode, tranche, date, nb_hits)."""
+def visit_rows(events: DataFrame) -> DataFrame:
+    """events(user_id, ts, props) -> one row per event: (ts, cookie, zipcode, tranche, date, n)."""
     k = F.get_json_object("props", "$.k").cast("int")
     uid = F.col("user_id")
     day = F.to_date("ts")
@@ -48,14 +48,19 @@ def visits_from_events(events: DataFrame) -> DataFrame:
         .when((uid % 4 == 0) & (day >= F.lit(MOVE_DAY)), (F.lit(13001) + (uid * 11) % 900).cast("string"))
         .otherwise((F.lit(75001) + (uid * 37) % 900).cast("string"))
     )
-    rows = events.select(
+    return events.select(
+        "ts",
         uid.cast("string").alias("cookie"),
         zipcode.alias("zipcode"),
         tranche_of_hour(F.hour("ts")).alias("tranche"),
         day.alias("date"),
         (F.lit(1) + k % 5).alias("n"),
     )
-    return rows.groupBy("cookie", "zipcode", "tranche", "date").agg(
+
+
+def visits_from_events(events: DataFrame) -> DataFrame:
+    """events(user_id, ts, props) -> visits(cookie, zipcode, tranche, date, nb_hits)."""
+    return visit_rows(events).groupBy("cookie", "zipcode", "tranche", "date").agg(
         F.sum("n").cast("bigint").alias("nb_hits")
     )
 

@@ -291,6 +291,7 @@ def build() -> dict[str, str]:
     q["sink_roundtrip"] = q["daily_home_zip"]
     q["sink_append"] = q["daily_home_zip"]
     q["split_by_day"] = w(V, "SELECT * FROM visits")
+    q["stream_daily_home_zip"] = w(BASE, "SELECT user_id, zipcode, day FROM dhz WHERE day < (SELECT max(day) FROM dhz)")
     q.update(fold_oracles())
     return q
 
@@ -416,6 +417,7 @@ def fold_oracles() -> dict[str, str]:
   UNION ALL SELECT 'potential_mover_rows', count(*) FROM fpot
   UNION ALL SELECT 'moves_rows', count(*) FROM fmoves"""),
         "potential_movers": w(F, "SELECT * FROM fpot"),
+        "stream_movers": w(F, "SELECT * FROM fpool"),
         "moves": w(F, "SELECT * FROM fmoves"),
         "pool_profile": w(F, """SELECT user_id, count(DISTINCT confirmed_week) AS n_states,
   count(DISTINCT since) AS n_dates, count(CASE WHEN confirmed_week >= 1 THEN zipcode END) AS n_confirmed_zips
