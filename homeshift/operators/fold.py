@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homeshift.config import Thresholds
+from homeshift.operators.partitioning import by_user_partitions
 from homeshift.schemas import FOLD_OUTPUT
 
 EPOCH = _dt.date(1970, 1, 1)
@@ -283,8 +284,6 @@ def fold_batches(batches, th: Thresholds):
 
 def fold_sightings(annotated: DataFrame, th: Thresholds) -> DataFrame:
     """(user_id, zipcode, day, reference_zip, ref_day, horizon) -> FOLD_OUTPUT rows."""
-    from homeshift.operators.reference import by_user_partitions
-
     cols = annotated.select("user_id", "zipcode", "day", "reference_zip", "ref_day", "horizon")
     ordered = by_user_partitions(cols).sortWithinPartitions("user_id", "day")
     return ordered.mapInArrow(lambda it: fold_batches(it, th), schema=FOLD_OUTPUT)

@@ -4,10 +4,12 @@ Rule: distinct visit rows, 5-character zipcodes only, all hours on weekend
 days and only the home hours (tranche 2 or 3) on working days; sum hits per
 zipcode, keep the largest sum, break ties by the largest zipcode.
 
-Plan: every step is a hash aggregate with a map-side partial step, so copies
-and hot users are combined before each exchange.  The arg-max is ``max`` of a
-(hits, zipcode) struct, which orders exactly like the rule, instead of the
-reference's aggregate + self-join + second aggregate.
+Plan: the distinct and the per-zip sums are hash aggregates with a map-side
+partial step, so copies and hot users are combined before each exchange.  The
+sums are then hash-partitioned on ``user_id`` (the partitioning every later
+per-user step reuses), and the arg-max runs there without another exchange: it
+is ``max`` of a (hits, zipcode) struct, which orders exactly like the rule,
+instead of the reference's aggregate + self-join + second aggregate.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homeshift.functions.dates import is_weekend
+from homeshift.operators.partitioning import by_user_partitions
 from homeshift.functions.zips import home_hours_label, is_home_hours, is_valid_zip, HOME_LABEL
 from homeshift.sources.tables import scan_visits_distinct
 
@@ -62,5 +65,5 @@ def argmax_zip(hits: DataFrame) -> DataFrame:
 
 
 def daily_home_zip(v: DataFrame, weekend: bool | None = None) -> DataFrame:
-    """visits -> (user_id, zipcode, day)."""
-    return argmax_zip(hits_per_user_zip(home_rows(v, weekend)))
+    """visits -> (user_id, zipcode, day), hash-partitioned on user_id."""
+    return argmax_zip(by_user_partitions(hits_per_user_zip(home_rows(v, weekend))))

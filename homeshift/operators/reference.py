@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from homeshift.config import Thresholds
 from homeshift.functions.dates import inclusive_day_diff, weekday_flag, weekend_flag
 from homeshift.functions.zips import zip_equal_flag
+from homeshift.operators.partitioning import by_user_partitions
 
 ROUTE_REFERENCE = "reference"   # no reference yet
 ROUTE_HOME = "home"             # at the reference zip, not in the pool
@@ -35,18 +36,6 @@ def qualifies(days: Column, tenure: Column, th: Thresholds) -> Column:
     return (days >= th.min_days) & (days / (tenure * F.lit(1.0)) >= th.min_share)
 
 
-def by_user_partitions(df: DataFrame) -> DataFrame:
-    """Hash-partition on user_id into ``spark.sql.shuffle.partitions`` parts.
-
-    An explicit count keeps AQE from coalescing the (small, but Python-heavy)
-    per-user stage into a handful of tasks; the windows and the fold that
-    follow reuse this partitioning, and Spark drops a repeated identical
-    repartition, so the whole per-user analysis costs one exchange.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, "user_id")
-
-
 def annotate(dhz: DataFrame, th: Thresholds) -> DataFrame:
     """Add first_seen, reference_zip and ref_day to every sighting.
 

@@ -4,10 +4,12 @@ The state is the closed form without eviction over the days before ``day``;
 the one-day operators then run on it exactly as the reference runs one day of
 its loop.  Used to check every branch of the daily step on real data.
 
-Like the reference's state tables, every state and intermediate table is
-materialised (a parquet table written in the shared checkpoint folder) the first
-time it is used: later steps read a small table instead of re-planning the
-whole lineage, and a lost executor only replays from the last table.
+The daily home zips, the routed sightings before the day, the day's feeds and
+the merged streak / pool / confirmations (the tables read several times by the
+later steps) are materialised as parquet tables written in the shared
+checkpoint folder the first time they are used; later plans read them instead
+of re-planning the whole lineage, and a lost executor only replays from them.  Set ``materialize_state`` to also
+write every state table, as the reference does each day.
 """
 
 from __future__ import annotations
@@ -27,28 +29,33 @@ from homeshift.operators import streak as sk
 
 
 class DayStep:
-    def __init__(self, dhz: DataFrame, day: _dt.date, th: Thresholds, materialize: bool = True):
-        self._dhz, self.day, self.th, self.materialize = dhz, day, th, materialize
+    def __init__(self, dhz: DataFrame, day: _dt.date, th: Thresholds, materialize: bool = True,
+                 materialize_state: bool = False):
+        self._dhz, self.day, self.th = dhz, day, th
+        self.materialize, self.materialize_state = materialize, materialize_state
 
-    def _m(self, df: DataFrame) -> DataFrame:
+    def _big(self, df: DataFrame) -> DataFrame:
         return materialize(df, "daystep") if self.materialize else df
 
+    def _m(self, df: DataFrame) -> DataFrame:
+        return materialize(df, "daystate") if self.materialize_state else df
+
     @cached_property
     def dhz(self) -> DataFrame:
-        return self._m(self._dhz)
+        return self._big(self._dhz)
 
     # ------------------------------------------------------------ state before
     @cached_property
     def annotated_before(self) -> DataFrame:
-        return self._m(rf.annotate(self.dhz.where(F.col("day") < F.lit(self.day)), self.th))
+        return rf.annotate(self.dhz.where(F.col("day") < F.lit(self.day)), self.th)
 
     @cached_property
     def routed_before(self) -> DataFrame:
-        return self._m(sk.route_without_eviction(self.annotated_before))
+        return self._big(sk.route_without_eviction(self.annotated_before))
 
     @cached_property
     def ref(self) -> DataFrame:
-        return self._m(rf.reference_zip(self.annotated_before).select("user_id", "reference_zip"))
+        return self._m(rf.reference_zip(self.routed_before).select("user_id", "reference_zip"))
 
     @cached_property
     def feed_days_before(self) -> DataFrame:
@@ -77,16 +84,16 @@ class DayStep:
 
     @cached_property
     def streak(self) -> DataFrame:
-        return self._m(sk.mover_streak(self.annotated_before))
+        return self._m(sk.mover_streak(self.routed_before))
 
     @cached_property
     def pool(self) -> DataFrame:
-        return self._m(sk.mover_pool(self.annotated_before, self.th))
+        return self._m(sk.mover_pool(self.routed_before, self.th))
 
     # --------------------------------------------------------------- the day
     @cached_property
     def today(self) -> DataFrame:
-        return self._m(self.dhz.where(F.col("day") == F.lit(self.day)).select("user_id", "zipcode"))
+        return self.dhz.where(F.col("day") == F.lit(self.day)).select("user_id", "zipcode")
 
     @cached_property
     def compared(self) -> DataFrame:
@@ -94,7 +101,7 @@ class DayStep:
 
     @cached_property
     def feeds(self) -> tuple[DataFrame, DataFrame]:
-        return tuple(self._m(f) for f in rf.feeds(self.today, self.ref, self.pool))
+        return tuple(self._big(f) for f in rf.feeds(self.today, self.ref, self.pool))
 
     @property
     def reference_feed(self) -> DataFrame:
@@ -114,15 +121,15 @@ class DayStep:
 
     @cached_property
     def streak_after(self) -> DataFrame:
-        return self._m(sk.streak_merge(self.mover_feed, self.streak, self.day))
+        return self._big(sk.streak_merge(self.mover_feed, self.streak, self.day))
 
     @cached_property
     def pool_after(self) -> DataFrame:
-        return self._m(sk.pool_merge(self.mover_feed, self.streak, self.pool, self.day))
+        return self._big(sk.pool_merge(self.mover_feed, self.streak, self.pool, self.day))
 
     @cached_property
     def confirmed(self) -> DataFrame:
-        return self._m(cf.week_confirmed(self.streak_after, self.day, self.th))
+        return self._big(cf.week_confirmed(self.streak_after, self.day, self.th))
 
     @cached_property
     def home(self) -> DataFrame:
