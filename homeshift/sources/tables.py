@@ -37,8 +37,8 @@ def tranche_of_hour(h) -> F.Column:
     )
 
 
-def visit_rows(events: DataFrame) -> DataFrame:
-    """events(user_id, ts, props) -> one row per event: (ts, cookie, zipcode, tranche, date, n)."""
+def visit_rows(events: DataFrame, *keep: str) -> DataFrame:
+    """events(user_id, ts, props) -> one row per event: (cookie, zipcode, tranche, date, n, *keep)."""
     k = F.get_json_object("props", "$.k").cast("int")
     uid = F.col("user_id")
     day = F.to_date("ts")
@@ -49,7 +49,7 @@ def visit_rows(events: DataFrame) -> DataFrame:
         .otherwise((F.lit(75001) + (uid * 37) % 900).cast("string"))
     )
     return events.select(
-        "ts",
+        *keep,
         uid.cast("string").alias("cookie"),
         zipcode.alias("zipcode"),
         tranche_of_hour(F.hour("ts")).alias("tranche"),

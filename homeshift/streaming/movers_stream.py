@@ -50,23 +50,40 @@ STREAM_OUTPUT = T.StructType(FOLD_OUTPUT.fields + [T.StructField("as_of", T.Date
 
 # ----------------------------------------------------------- home zip stream
 
+def wall_clock_as_utc(c: F.Column, with_time: bool = True) -> F.Column:
+    """Event time whose UTC instant equals a wall-clock value (NTZ timestamp, or a date).
+
+    Built from the wall-clock fields, so no time zone is involved; day windows
+    are aligned on UTC midnights, so each wall-clock day is exactly one window
+    whatever the session time zone is.
+    """
+    secs = F.unix_date(F.to_date(c)).cast("bigint") * 86400
+    if with_time:
+        secs = secs + F.hour(c) * 3600 + F.minute(c) * 60 + F.floor(F.second(c))
+    return F.timestamp_seconds(secs)
+
+
 def visits_by_window(ev: DataFrame) -> DataFrame:
-    """events -> visits per 1-day event-time window (same rules as the batch rollup)."""
-    g = visit_rows(ev).groupBy(F.window("ts", "1 day").alias("w"), "cookie", "zipcode", "tranche")
-    return g.agg(F.sum("n").cast("bigint").alias("nb_hits")).select(
-        "cookie", "zipcode", "tranche", F.to_date(F.col("w.start")).alias("date"), "nb_hits"
+    """events (with ``event_time``) -> visits per 1-day event-time window (same rules as the batch rollup).
+
+    Day and hour come from the wall-clock ``ts``; the window from ``event_time``,
+    so each wall-clock day is exactly one window.
+    """
+    g = visit_rows(ev, "event_time").groupBy(
+        F.window("event_time", "1 day").alias("w"), "date", "cookie", "zipcode", "tranche"
     )
+    return g.agg(F.sum("n").cast("bigint").alias("nb_hits")).select("cookie", "zipcode", "tranche", "date", "nb_hits")
 
 
 def daily_home_zip_stream(spark: SparkSession, events_path: str, out_path: str, checkpoint: str,
                           lateness: str = "1 hour"):
     """Start the event-time rollup; each micro-batch appends the home zips of the days it closes."""
     schema = spark.read.parquet(events_path).schema
-    # event time must be a session-zone TIMESTAMP (the session zone is UTC, so wall clock is unchanged)
     if os.path.isfile(events_path):  # a single file: the file source wants a folder or a glob
         events_path = os.path.join(os.path.dirname(events_path), "{" + os.path.basename(events_path) + "}")
     ev = spark.readStream.schema(schema).parquet(events_path)
-    ev = ev.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", lateness)
+    # watermarks need a TIMESTAMP event time; ts stays the wall clock for day and hour
+    ev = ev.withColumn("event_time", wall_clock_as_utc(F.col("ts"))).withWatermark("event_time", lateness)
 
     def emit(batch: DataFrame, _epoch: int) -> None:
         hz.daily_home_zip(batch).write.mode("append").parquet(out_path)
@@ -114,7 +131,7 @@ def mover_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint
     src = spark.readStream.schema("user_id long, zipcode string, day date")
     if max_files:
         src = src.option("maxFilesPerTrigger", max_files)
-    s = src.parquet(source_dir).withColumn("event_time", F.col("day").cast("timestamp")).withWatermark(
+    s = src.parquet(source_dir).withColumn("event_time", wall_clock_as_utc(F.col("day"), with_time=False)).withWatermark(
         "event_time", "0 seconds"
     )
     out = s.groupBy("user_id").applyInPandasWithState(
