@@ -39,7 +39,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from homeshift.config import Thresholds
 from homeshift.operators.partitioning import by_user_partitions

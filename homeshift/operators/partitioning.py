@@ -13,5 +13,12 @@ def by_user_partitions(df: DataFrame) -> DataFrame:
     the reference windows and the fold all run on this partitioning; Spark
     drops a repeated identical repartition, so they share one exchange.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, "user_id")
+    return df.repartition(user_partitions(df.sparkSession), "user_id")
+
+
+def user_partitions(spark) -> int:
+    value = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        return int(value)
+    except (TypeError, ValueError):  # e.g. a platform-specific "auto"
+        return spark.sparkContext.defaultParallelism
