@@ -151,10 +151,14 @@ def confirmed_anniversaries(isl: DataFrame, th: Thresholds) -> DataFrame:
     )
 
 
-def mover_streak(annotated: DataFrame) -> DataFrame:
-    """Current streak of every user, no eviction: the last sighting of the last run."""
+def mover_islands(annotated: DataFrame) -> DataFrame:
+    """Mover sightings (no eviction) numbered into runs, with running counters and age."""
     movers = route_without_eviction(annotated).where(F.col("route") == ROUTE_MOVER)
-    isl = islands(movers.select("user_id", "zipcode", "day"))
+    return islands(movers.select("user_id", "zipcode", "day", "reference_zip"))
+
+
+def streak_from_islands(isl: DataFrame) -> DataFrame:
+    """Current streak of every user: the last sighting of the last run."""
     last = isl.withColumn("last_day", F.max("day").over(by_user())).where(F.col("day") == F.col("last_day"))
     return last.select(
         "user_id", "zipcode", "streak_start", "weekend_days", "weekday_days",
@@ -162,10 +166,8 @@ def mover_streak(annotated: DataFrame) -> DataFrame:
     )
 
 
-def mover_pool(annotated: DataFrame, th: Thresholds) -> DataFrame:
-    """Pool rows, no eviction: run starts (week 0) and confirmations away from the reference."""
-    movers = route_without_eviction(annotated).where(F.col("route") == ROUTE_MOVER)
-    isl = islands(movers.select("user_id", "zipcode", "day", "reference_zip"))
+def pool_from_islands(isl: DataFrame, th: Thresholds) -> DataFrame:
+    """Pool rows: run starts (week 0) and confirmations away from the reference."""
     starts = isl.where(F.col("day") == F.col("streak_start")).select(
         "user_id", "zipcode", F.lit(0).alias("confirmed_week"), F.col("day").alias("since")
     )
@@ -175,3 +177,13 @@ def mover_pool(annotated: DataFrame, th: Thresholds) -> DataFrame:
     return starts.unionByName(conf).groupBy("user_id", "zipcode", "confirmed_week").agg(
         F.min("since").alias("since")
     )
+
+
+def mover_streak(annotated: DataFrame) -> DataFrame:
+    """Current streak of every user, no eviction."""
+    return streak_from_islands(mover_islands(annotated))
+
+
+def mover_pool(annotated: DataFrame, th: Thresholds) -> DataFrame:
+    """Pool rows, no eviction."""
+    return pool_from_islands(mover_islands(annotated), th)

@@ -82,13 +82,17 @@ class DayStep:
             inclusive_day_diff(last, "first_seen").alias("tenure_days"),
         ))
 
+    @cached_property
+    def islands_before(self) -> DataFrame:
+        return self._big(sk.mover_islands(self.routed_before))
+
     @cached_property
     def streak(self) -> DataFrame:
-        return self._m(sk.mover_streak(self.routed_before))
+        return self._m(sk.streak_from_islands(self.islands_before))
 
     @cached_property
     def pool(self) -> DataFrame:
-        return self._m(sk.mover_pool(self.routed_before, self.th))
+        return self._m(sk.pool_from_islands(self.islands_before, self.th))
 
     # --------------------------------------------------------------- the day
     @cached_property
