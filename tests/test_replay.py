@@ -1,9 +1,10 @@
 """Literal day-by-day replay of the one-day operators must equal the fold.
 
-The replay chains the one-day DataFrame operators over every day exactly as
-the reference's daily loop does (split, route, history, registry, reference,
-streak and pool branches, confirmation, eviction), bringing the small state
-back to the driver between days (test only).  The whole-run fold must give
+The replay runs the daily job (``plans.daily.advance_day``) once per day: the
+one-day DataFrame operators chained exactly as the reference's daily loop
+does (split, route, history, registry, reference, streak and pool branches,
+confirmation, eviction), each day reading the state version written the day
+before.  The whole-run fold must give
 the same final pool, streak, history and reference, for several eviction
 limits.
 """
@@ -15,12 +16,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from homeshift.config import FIXTURE_THRESHOLDS as TH
-from homeshift.operators import confirm as cf
 from homeshift.operators import home_zip as hz
-from homeshift.operators import reference as rf
 from homeshift.operators import streak as sk
+from homeshift.plans import daily
 from homeshift.plans.movers import MoverRun
-from homeshift import schemas
 from homeshift.sources import tables as tb
 from conftest import SF_SMALL
 
@@ -30,31 +29,13 @@ def _rows(df, cols):
 
 
 def replay(spark, dhz, th, days):
-    def again(df, schema):
-        return spark.createDataFrame(df.collect(), schema)
-
-    ref = spark.createDataFrame([], schemas.REFERENCE_ZIP)
-    history = spark.createDataFrame([], schemas.REFERENCE_HISTORY)
-    registry = spark.createDataFrame([], schemas.USER_REGISTRY)
-    streak = spark.createDataFrame([], schemas.MOVER_STREAK)
-    pool = spark.createDataFrame([], schemas.MOVER_POOL)
-    dhz = spark.createDataFrame(dhz.collect(), schemas.DAILY_HOME_ZIP)
+    """Run the daily job once per day; each day reads the previous day's written state."""
+    dhz = dhz.persist()
+    path = None
     for d in days:
-        today = dhz.where(F.col("day") == F.lit(d)).select("user_id", "zipcode")
-        ref_feed, mover_feed = rf.feeds(today, ref, pool)
-        history = again(rf.history_update(history, ref_feed, d), schemas.REFERENCE_HISTORY)
-        registry = again(rf.registry_update(registry, ref_feed, d).select(
-            "user_id", "last_seen", "first_seen", "gap_days", "tenure_days"), schemas.USER_REGISTRY)
-        ref = again(ref.unionByName(rf.reference_candidates(history, registry, th)).distinct(), schemas.REFERENCE_ZIP)
-        streak2 = sk.streak_merge(mover_feed, streak, d)
-        pool2 = sk.pool_merge(mover_feed, streak, pool, d)
-        conf = cf.week_confirmed(streak2, d, th)
-        home = cf.confirmed_home(conf, ref)
-        elsewhere = cf.confirmed_elsewhere(conf, ref, d)
-        returned, aged = cf.evicted_users(home, pool2, d, th)
-        pool = again(cf.pool_after_eviction(pool2, elsewhere, returned, aged), schemas.MOVER_POOL)
-        streak = again(cf.streak_after_eviction(streak2, returned, aged).select(*sk.STREAK_COLS), schemas.MOVER_STREAK)
-    return ref, history, streak, pool
+        path = daily.advance_day(spark, path, dhz, d, th)
+    state = daily.State.read(spark, path)
+    return state.reference, state.history, state.streak, state.pool
 
 
 @pytest.fixture
