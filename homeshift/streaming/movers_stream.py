@@ -85,8 +85,9 @@ def daily_home_zip_stream(spark: SparkSession, events_path: str, out_path: str,
     # watermarks need a TIMESTAMP event time; ts stays the wall clock for day and hour
     ev = ev.withColumn("event_time", wall_clock_as_utc(F.col("ts"))).withWatermark("event_time", lateness)
 
-    def emit(batch: DataFrame, _epoch: int) -> None:
-        hz.daily_home_zip(batch).write.mode("append").parquet(out_path)
+    def emit(batch: DataFrame, epoch: int) -> None:
+        # one folder per micro-batch, overwritten if the batch is replayed after a failure: exactly once
+        hz.daily_home_zip(batch).write.mode("overwrite").parquet(os.path.join(out_path, f"batch={epoch}"))
 
     return (visits_by_window(ev).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
             .foreachBatch(emit).trigger(availableNow=True).start())
@@ -94,8 +95,10 @@ def daily_home_zip_stream(spark: SparkSession, events_path: str, out_path: str,
 
 def run_daily_home_zip_stream(spark: SparkSession, events_path: str) -> DataFrame:
     out, ck = scratch_path(spark, "dhz-stream-out"), scratch_path(spark, "dhz-stream-ck")
+    # an empty first part, so the output reads back even when no day has closed yet
+    spark.createDataFrame([], "user_id long, zipcode string, day date").write.parquet(os.path.join(out, "batch=-1"))
     daily_home_zip_stream(spark, events_path, out, ck).awaitTermination()
-    return spark.read.schema("user_id long, zipcode string, day date").parquet(out)
+    return spark.read.parquet(out).select("user_id", "zipcode", "day")
 
 
 # -------------------------------------------------------------- mover stream
