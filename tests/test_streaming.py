@@ -37,3 +37,15 @@ def test_daily_home_zip_stream_emits_closed_days(spark):
     got = ms.run_daily_home_zip_stream(spark, f"{SF_SMALL}/events.parquet")
     want = hz.daily_home_zip(tb.visits(spark, SF_SMALL)).where("day < DATE'2024-01-30'")
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from oracle_compare import compare
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        res = compare(spark, SF_SMALL, ["stream_daily_home_zip", "daily_home_zip", "moves"], verbose=False)
+        assert all(all(v) for v in res.values()), res
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
