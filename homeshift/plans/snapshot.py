@@ -4,10 +4,10 @@ The state is the closed form without eviction over the days before ``day``;
 the one-day operators then run on it exactly as the reference runs one day of
 its loop.  Used to check every branch of the daily step on real data.
 
-The daily home zips, the routed sightings before the day, the day's feeds and
-the merged streak / pool / confirmations (the tables read several times by the
-later steps) are materialised as parquet tables written in the shared
-checkpoint folder the first time they are used; later plans read them instead
+The daily home zips, the routed sightings before the day (with the runs of
+the mover sightings), today's routes and the merged streak / pool (the tables
+read several times by the later steps) are materialised as parquet tables
+written in the shared checkpoint folder the first time they are used; later plans read them instead
 of re-planning the whole lineage, and a lost executor only replays from them.  Set ``materialize_state`` to also
 write every state table, as the reference does each day.
 """
@@ -51,7 +51,12 @@ class DayStep:
 
     @cached_property
     def routed_before(self) -> DataFrame:
-        return self._big(sk.route_without_eviction(self.annotated_before))
+        """Every sighting before the day with its route; mover sightings also carry their run (island)."""
+        cols = ["user_id", "zipcode", "day", "reference_zip", "ref_day", "route"]
+        routed = sk.route_without_eviction(self.annotated_before).select(*cols)
+        movers = sk.islands(routed.where(F.col("route") == rf.ROUTE_MOVER))
+        others = routed.where(F.col("route") != rf.ROUTE_MOVER)
+        return self._big(others.unionByName(movers, allowMissingColumns=True))
 
     @cached_property
     def ref(self) -> DataFrame:
@@ -84,7 +89,7 @@ class DayStep:
 
     @cached_property
     def islands_before(self) -> DataFrame:
-        return self._big(sk.mover_islands(self.routed_before))
+        return self.routed_before.where(F.col("route") == rf.ROUTE_MOVER)
 
     @cached_property
     def streak(self) -> DataFrame:
@@ -103,9 +108,20 @@ class DayStep:
     def compared(self) -> DataFrame:
         return rf.compare_with_reference(self.today, self.ref)
 
+    @cached_property
+    def routed_today(self) -> DataFrame:
+        """Today's users with their route: reference (no reference yet), home or mover."""
+        no_ref = rf.no_reference_yet(self.today, self.ref).select(
+            "user_id", "zipcode", F.lit(rf.ROUTE_REFERENCE).alias("route"))
+        routed = rf.route_day(self.compared, self.pool).select("user_id", "zipcode", "route")
+        return self._big(no_ref.unionByName(routed))
+
     @cached_property
     def feeds(self) -> tuple[DataFrame, DataFrame]:
-        return tuple(self._big(f) for f in rf.feeds(self.today, self.ref, self.pool))
+        r = self.routed_today
+        ref_feed = r.where(F.col("route") != rf.ROUTE_MOVER).select("user_id", "zipcode")
+        mover_feed = r.where(F.col("route") == rf.ROUTE_MOVER).select("user_id", "zipcode").distinct()
+        return ref_feed, mover_feed
 
     @property
     def reference_feed(self) -> DataFrame:
@@ -133,7 +149,7 @@ class DayStep:
 
     @cached_property
     def confirmed(self) -> DataFrame:
-        return self._big(cf.week_confirmed(self.streak_after, self.day, self.th))
+        return cf.week_confirmed(self.streak_after, self.day, self.th)
 
     @cached_property
     def home(self) -> DataFrame:
