@@ -1,8 +1,11 @@
 """Batch job: visits (or raw events) -> every final table, written as parquet.
 
-    spark-submit homeshift/plans/job.py --events /data/events --out /data/movers \
+    python -m homeshift.plans.job --events /data/events --out /data/movers \
         [--horizon 2024-01-30] [--thresholds reference|fixture]
 
+On a cluster: zip the ``homeshift`` package and run
+``spark-submit --py-files homeshift.zip homeshift/plans/job.py ...``.
+
 ``--visits`` takes a table already counted per cookie, zipcode, time of day
 and day (the reference's input); ``--events`` rolls raw events up first.  Each
 table goes to ``<out>/<name>``; the run fails rather than overwrite an
