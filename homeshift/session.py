@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -37,25 +38,26 @@ def local_session(cores: str = "*", app: str = "homeshift", extra: dict | None =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if unset."""
+    """Return the shared checkpoint folder; create a local one only for a local master.
+
+    Off ``local*`` the cluster must name the folder: a machine-local one would
+    be written by every executor to its own disk.
+    """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="homeshift-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        current = tempfile.mkdtemp(prefix="homeshift-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh folder under the shared checkpoint folder for written tables (scheme kept)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df, name: str):
@@ -67,4 +69,38 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table of this job that nothing reads any more (Hadoop file system call)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    if not path.startswith(base + "/"):
+        raise ValueError(f"{path} is not under {base}")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(conf).delete(target, True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers (once per application).
+
+    Functions of the package are pickled by reference, so every worker must be
+    able to import it whatever the current folder of the driver is.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="homeshift-code-"), "homeshift.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if not f.endswith((".pyc", ".pyo")):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(target)
+    _SHIPPED.add(app)
