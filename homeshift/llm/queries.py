@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from homeshift.llm import exact_dedup, sharding, url_filter
+from homeshift.llm import bpe, exact_dedup, packing, sharding, url_filter
 from homeshift.llm.common import table
 
 
@@ -12,6 +12,17 @@ def op1_url_filter(spark, sf_dir):
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), url_filter.rule_table(spark))
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer file (a parameter of the operators; never copied)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), capacity=1024, end_id=2)
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -21,6 +32,10 @@ def op7_sharding(spark, sf_dir):
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_bpe(spark, sf_dir):
+    return bpe.encode_digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
 def build():
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
