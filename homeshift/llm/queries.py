@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from homeshift.llm import bpe, exact_dedup, packing, sharding, url_filter
+from homeshift.llm import bpe, exact_dedup, packing, quality_rules, sharding, url_filter
 from homeshift.llm.common import table
 
 
@@ -12,6 +12,12 @@ def op1_url_filter(spark, sf_dir):
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), url_filter.rule_table(spark))
 
 
+def op4_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.score_documents(docs.select("doc_id", "text"), model).select("doc_id", "held_out", "score", "predicted")
+
+
 def tokenizer_file(name: str) -> str:
     """Place of a public tokenizer file (a parameter of the operators; never copied)."""
     import public_tokenizers
