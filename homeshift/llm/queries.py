@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from homeshift.llm import bpe, exact_dedup, ngram_join, packing, quality_rules, sharding, url_filter
+from homeshift.llm import bpe, exact_dedup, ngram_join, packing, quality_rules, sharding, sphere_filters, url_filter
 from homeshift.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op1_url_filter(spark, sf_dir):
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"), url_filter.rule_table(spark))
 
 
+def op2_sphere_filters(spark, sf_dir):
+    return sphere_filters.embedding_components(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op3_ngram_join(spark, sf_dir):
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"), k=5, percent=80)
 
