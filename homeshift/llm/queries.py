@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from homeshift.llm import bpe, exact_dedup, ngram_join, packing, quality_rules, sharding, sphere_filters, url_filter
+from homeshift.llm import bpe, exact_dedup, html_blocks, license_digest, ngram_join, packing, quality_rules, sharding, sphere_filters, url_filter
 from homeshift.llm.common import table
 
 
@@ -50,9 +50,17 @@ def op8_bpe(spark, sf_dir):
     return bpe.encode_digests(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op9_license_scan(spark, sf_dir):
+    return license_digest.scan_licenses(table(spark, sf_dir, "documents"), license_digest.license_table(spark))
+
+
+def op10_html_blocks(spark, sf_dir):
+    return html_blocks.extract_text(table(spark, sf_dir, "pages"))
+
+
 def build():
     return {k: v for k, v in globals().items() if k.startswith("op")}
 
 
 def oracle():
-    return {"op1_url_filter": url_filter.ORACLE_SQL, "op6_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op1_url_filter": url_filter.ORACLE_SQL, "op6_exact_dedup": exact_dedup.ORACLE_SQL, "op9_license_scan": license_digest.oracle_sql()}
