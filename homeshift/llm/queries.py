@@ -58,8 +58,15 @@ def op10_html_blocks(spark, sf_dir):
     return html_blocks.extract_text(table(spark, sf_dir, "pages"))
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def build():
-    return {k: v for k, v in globals().items() if k.startswith("op")}
+    ops = {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
+    return {**dict(sorted(ops.items(), key=lambda x: int(x[0][2:].split("_")[0]))), "pipeline": pipeline}
 
 
 def oracle():
