@@ -52,8 +52,8 @@ from homeshift.llm.components import components
 from homeshift.llm.flat_text import U, mix64, shingle_hashes, spans_hash, string_chunks
 from homeshift.session import materialize
 
-CHUNK_TEXT = 8_000_000
-RANGE_TEXT = 32_000_000
+CHUNK_TEXT = 3_000_000
+RANGE_TEXT = 16_000_000
 COMMON, COMMON_DF = 65_536, 64
 BLOCK_SETS, BLOCK_TOKENS = 4096, 3_000_000
 NODE_SEED = U(0x9E3779B97F4A7C15)
