@@ -22,12 +22,14 @@ from __future__ import annotations
 
 import hashlib
 import json
-import unicodedata
+import re
+import sys
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
+from tokenizers import Regex, normalizers, pre_tokenizers
 
 CHUNK_BYTES = 2_000_000
 CACHE_WORDS = 200_000
@@ -41,18 +43,36 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in set(own) else chr(next(rest)) for b in range(256)]
 
 
+@lru_cache
+def ranges_of(category: str) -> str:
+    """The inside of a character class for a general category, as the tokenizers library's own patterns see it
+    (Python's Unicode tables are of another version)."""
+    every = "".join(chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000)
+    runs = pre_tokenizers.Split(Regex(r"\p{%s}+" % category), "removed", invert=True).pre_tokenize_str(every)
+    return "".join(f"\\U{ord(s[0]):08x}-\\U{ord(s[-1]):08x}" for s, _ in runs)
+
+
+#: Characters with the property White_Space (fixed values).
+WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 class WordBPE:
     """A BPE tokenizer file with word pattern, byte-level alphabet and optional word-end suffix."""
 
     def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
         model = spec["model"]
+        self.lower = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
         self.suffix = model.get("end_of_word_suffix") or ""
         vocab = dict(model["vocab"])
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.special = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) or r"(?!)")
+        self.special = re.compile("|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) or r"(?!)")
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.word = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
+        pattern = split["pattern"]["Regex"].replace(r"\s", WHITE_SPACE)
+        for category in "LN":  # inside a class the ranges alone, elsewhere a class of their own
+            name = r"\p{%s}" % category
+            pattern = pattern.replace(f"[{name}]", name).replace(f"|{name}", f"|[{ranges_of(category)}]").replace(name, ranges_of(category))
+        self.word = re.compile(pattern)
         self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.added.items()}
         alphabet = byte_alphabet()
         self.inner = np.array([vocab[c] for c in alphabet], dtype=np.int64)
@@ -66,9 +86,7 @@ class WordBPE:
 
     def normalize(self, text: str) -> str:
         """NFC and lower case by character; white space needs no step of its own, as the pattern leaves it out."""
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return text.lower()
+        return text.lower() if text.isascii() else self.lower.normalize_str(text)
 
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
         """Ids of each (non-empty, normalized) word: merge rounds over all words at once."""
