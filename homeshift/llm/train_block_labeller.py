@@ -28,7 +28,7 @@ BOILER = {
     "footer": ("footer foot bottom copyright colophon legal credits", "© Copyright All rights reserved. Imprint Privacy Terms of use Contact".split()),
 }
 GOOD = "article content main post entry story text body maincontent articlebody postbody entrycontent storybody page prose news blog".split()
-NEUTRAL = "container wrapper row col md inner outer box block clearfix group grid layout wrap section".split()
+NEUTRAL = "container wrapper row col md inner outer box block clearfix group grid layout wrap section area slot holder zone unit panel list item page main".split()
 
 
 def draw_words(r: random.Random, n: int) -> str:
@@ -58,12 +58,14 @@ class Page:
 
     def attrs(self, names: list[str]) -> str:
         r = self.r
-        if r.random() < 0.3:
+        if r.random() < 0.45:
             names = names + [r.choice(NEUTRAL)]
         if r.random() < 0.1:
             names = names + ["x%d" % r.randrange(1000)]
         key = "id" if r.random() < 0.25 else "class"
-        return ' %s="%s"' % (key, r.choice((" ", "-", "_", " ")).join(names)) if names else ""
+        value = r.choice((" ", "-", "_", " ")).join(names)
+        quote = r.choice(('"', '"', "'")) if " " in value or r.random() < 0.8 else ""
+        return f" {key}={quote}{value}{quote}" if names else ""
 
     def boiler(self, kind: str, depth: int = 0) -> str:
         r = self.r
@@ -115,7 +117,7 @@ class Page:
             parts.append(f"<header>{title}</header>" if r.random() < 0.1 else title)
         for _ in range(r.choice((0, 1, 1, 2, 3, 4, 5, 6, 8, 10, 15, 25))):
             style = r.random()
-            s = self.text(draw_words(r, r.choice((1, 2, 4, 8, 15, 30, 50, 80))), True)
+            s = self.text(draw_words(r, r.choice((1, 1, 2, 4, 8, 15, 30, 50, 80))), True)
             if style < 0.55:
                 s = f"<p>{s}" + ("</p>" if r.random() < 0.9 else "")
             elif style < 0.65:
@@ -137,7 +139,7 @@ class Page:
             else:
                 s = f"<div>{s}</div>"
             parts.append(s)
-            if r.random() < 0.07:
+            if r.random() < 0.12:
                 parts.append(self.boiler(r.choice(("advert", "advert", "related", "notice", "form", "side"))))
         if r.random() < 0.15:
             parts.append(self.boiler(r.choice(("comments", "comments", "related", "form", "footer", "notice"))))
@@ -153,11 +155,13 @@ class Page:
 
     def html(self) -> str:
         r = self.r
+        if r.random() < 0.05:  # nothing but text, with little or no markup
+            return "".join(r.choice(("%s", "<p>%s</p>", "<div>%s</div>", "<h2>%s</h2>")) % self.text(draw_words(r, r.randint(3, 40)), True) for _ in range(r.choice((1, 1, 2, 4))))
         above = [k for k in ("notice", "header", "menu", "crumbs", "advert", "side", "form") if r.random() < (0.75 if k == "menu" else 0.35)]
         below = [k for k in ("related", "side", "advert", "comments", "form", "notice", "footer") if r.random() < (0.75 if k == "footer" else 0.35)]
         parts = [self.boiler(k) for k in above] + [self.article()] + [self.boiler(k) for k in below]
         body = "".join(parts)
-        if r.random() < 0.25:
+        if r.random() < 0.35:
             body = f'<div{self.attrs([r.choice(NEUTRAL)])}>{body}</div>'
         head = '<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>x</title><style>p{}</style><script>var t="</p>";</script></head><body>'
         return head + body + ("</body></html>" if r.random() < 0.8 else "")
@@ -241,7 +245,7 @@ def loss_and_grad(w, b):
     return -np.mean(np.log(np.where(b["y"] > 0.5, p, 1 - p) + 1e-7)), g, p
 
 
-def train(pages: int = 9000, epochs: int = 8, hidden: int = 16, path_dim: int = 12, word_dim: int = 4, seed: int = 1, rate: float = 0.006):
+def train(pages: int = 15000, epochs: int = 8, hidden: int = 20, path_dim: int = 16, word_dim: int = 4, seed: int = 1, rate: float = 0.006):
     rng = np.random.default_rng(seed)
     dim = path_dim + word_dim + NUMBERS
 
@@ -260,7 +264,10 @@ def train(pages: int = 9000, epochs: int = 8, hidden: int = 16, path_dim: int =
     for epoch in range(epochs):
         total = 0.0
         for i in rng.permutation(len(batches)):
-            loss, g, _ = loss_and_grad(w, batches[i])
+            b = batches[i]
+            told = rng.random(len(b["rows"])) > 0.07  # names are left out at random, so that no single one decides
+            owner = np.repeat(np.arange(len(b["per_row"])), b["per_row"])
+            loss, g, _ = loss_and_grad(w, b | {"rows": b["rows"][told], "per_row": np.bincount(owner[told], minlength=len(b["per_row"]))})
             total += loss
             step += 1
             lr = rate * min(1, step / 100) * (0.15 ** (epoch / max(1, epochs - 1)))
@@ -286,4 +293,4 @@ def held_out_accuracy(w, seed: int = 77, pages: int = 500) -> tuple[float, float
 if __name__ == "__main__":
     weights = train()
     print("held out: blocks %.4f, whole pages %.4f" % held_out_accuracy(weights))
-    np.savez_compressed(WEIGHTS, **{k: v.astype(np.float16 if k in ("path", "word") else np.float32) for k, v in weights.items()})
+    np.savez_compressed(sys.argv[1] if len(sys.argv) > 1 else WEIGHTS, **{k: v.astype(np.float16 if k in ("path", "word") else np.float32) for k, v in weights.items()})
