@@ -43,3 +43,6 @@ SNAPSHOT_DAY = _dt.date(2024, 1, 19)
 
 # Low age limit used to make the aged-out audit fire within 30 days of data.
 SNAPSHOT_AGE_LIMIT = 5
+
+# Age limit of the whole-run queries in which users age out within 30 days of data.
+RUN_AGE_LIMIT = 12

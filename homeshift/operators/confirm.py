@@ -47,7 +47,7 @@ def week_shares(streak: DataFrame) -> DataFrame:
 
 def week_confirmed(streak: DataFrame, day, th: Thresholds) -> DataFrame:
     """(user_id, zipcode, week_no) confirmed today."""
-    x = week_shares(anniversary_rows(streak, day).select(*STREAK_COLS))
+    x = anniversary_rows(week_shares(streak), day)  # shares of the whole week's totals, then the anniversaries
     ok = week_passes(F.col("weekend_days"), F.col("weekday_days"), F.col("total_weekend"), F.col("total_weekday"), th)
     return x.where(ok).groupBy("user_id", "week_no").agg(F.max("zipcode").alias("zipcode")).select(
         "user_id", "zipcode", "week_no"
@@ -82,7 +82,9 @@ def audit_returned_home(home: DataFrame, pool: DataFrame, day, th: Thresholds) -
 
 
 def audit_aged_out(pool: DataFrame, day, th: Thresholds) -> DataFrame:
-    x = pool.select(*POOL_COLS).join(pool_age(pool, day), "user_id", "inner").where(
+    w = Window.partitionBy("user_id")
+    x = pool.select(*POOL_COLS, F.min("since").over(w).alias("date_min"), F.max("since").over(w).alias("date_max"))
+    x = x.withColumn("presence_days", inclusive_day_diff(F.lit(day), "date_min")).where(
         F.col("presence_days") > th.age_limit
     )
     return x.select(*POOL_COLS, "date_min", "date_max", F.lit(day).alias("day"), "presence_days")
@@ -97,12 +99,12 @@ def evicted_users(home: DataFrame, pool: DataFrame, day, th: Thresholds) -> tupl
 def pool_after_eviction(pool: DataFrame, elsewhere: DataFrame, returned: DataFrame, aged: DataFrame) -> DataFrame:
     return (
         pool.select(*POOL_COLS).unionByName(elsewhere.select(*POOL_COLS))
-        .join(returned, "user_id", "left_anti")
-        .join(aged, "user_id", "left_anti")
+        .join(returned.select("user_id").unionByName(aged.select("user_id")), "user_id", "left_anti")
         .groupBy("user_id", "zipcode", "confirmed_week")
         .agg(F.min("since").alias("since"))
     )
 
 
 def streak_after_eviction(streak: DataFrame, returned: DataFrame, aged: DataFrame) -> DataFrame:
-    return streak.select(*STREAK_COLS).join(returned, "user_id", "left_anti").join(aged, "user_id", "left_anti")
+    gone = returned.select("user_id").unionByName(aged.select("user_id"))
+    return streak.select(*STREAK_COLS).join(gone, "user_id", "left_anti")

@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame
 from homeshift.config import Thresholds
 from homeshift.operators.partitioning import by_user_partitions
 from homeshift.schemas import FOLD_OUTPUT
+from homeshift.session import ship_package
 
 EPOCH = _dt.date(1970, 1, 1)
 FOLD_COLUMNS = [f.name for f in FOLD_OUTPUT.fields]
@@ -222,23 +223,6 @@ def is_weekend_epoch(days: np.ndarray) -> np.ndarray:
     return ((days + 3) % 7) >= 5
 
 
-def fold_group(pdf: pd.DataFrame, th: Thresholds) -> pd.DataFrame:
-    """All sightings of one user -> fold output rows."""
-    pdf = pdf.sort_values("day", kind="stable")
-    days = _epoch_days(pdf["day"])
-    horizon = int(_epoch_days(pdf["horizon"])[0])
-    ref_day = pdf["ref_day"].iloc[0]
-    u = UserState(
-        int(pdf["user_id"].iloc[0]),
-        pdf["reference_zip"].iloc[0] if pd.notna(ref_day) else None,
-        int(_epoch_days(pd.Series([ref_day]))[0]) if pd.notna(ref_day) else None,
-        th,
-    )
-    for d, z, we in zip(days.tolist(), pdf["zipcode"].tolist(), is_weekend_epoch(days).tolist()):
-        u.observe(d, z, we)
-    return pd.DataFrame.from_records(u.close(horizon), columns=FOLD_COLUMNS)
-
-
 ARROW_SCHEMA = pa.schema([
     (f.name, {"LongType": pa.int64(), "StringType": pa.string(), "DateType": pa.date32(),
               "IntegerType": pa.int32()}[type(f.dataType).__name__])
@@ -284,11 +268,6 @@ def fold_batches(batches, th: Thresholds):
 def fold_sightings(annotated: DataFrame, th: Thresholds) -> DataFrame:
     """(user_id, zipcode, day, reference_zip, ref_day, horizon) -> FOLD_OUTPUT rows."""
     cols = annotated.select("user_id", "zipcode", "day", "reference_zip", "ref_day", "horizon")
+    ship_package(annotated.sparkSession)
     ordered = by_user_partitions(cols).sortWithinPartitions("user_id", "day")
     return ordered.mapInArrow(lambda it: fold_batches(it, th), schema=FOLD_OUTPUT)
-
-
-def fold_sightings_grouped(annotated: DataFrame, th: Thresholds) -> DataFrame:
-    """Same result with one pandas call per user (simpler, slower per user); kept for tests."""
-    cols = annotated.select("user_id", "zipcode", "day", "reference_zip", "ref_day", "horizon")
-    return cols.groupBy("user_id").applyInPandas(lambda pdf: fold_group(pdf, th), schema=FOLD_OUTPUT)

@@ -56,14 +56,15 @@ def max_hits_per_user(hits: DataFrame) -> DataFrame:
 
 
 def argmax_zip(hits: DataFrame) -> DataFrame:
+    """Most hits, then largest zip, of each user and day: (user_id, zipcode, day, nb_page)."""
     best = (
         hits.where(F.col("nb_page").isNotNull())
         .groupBy("user_id", "day")
         .agg(F.max(F.struct("nb_page", "zipcode")).alias("best"))
     )
-    return best.select("user_id", F.col("best.zipcode").alias("zipcode"), "day")
+    return best.select("user_id", F.col("best.zipcode").alias("zipcode"), "day", F.col("best.nb_page").alias("nb_page"))
 
 
 def daily_home_zip(v: DataFrame, weekend: bool | None = None) -> DataFrame:
     """visits -> (user_id, zipcode, day), hash-partitioned on user_id."""
-    return argmax_zip(by_user_partitions(hits_per_user_zip(home_rows(v, weekend))))
+    return argmax_zip(by_user_partitions(hits_per_user_zip(home_rows(v, weekend)))).select("user_id", "zipcode", "day")

@@ -17,8 +17,8 @@ def by_user_partitions(df: DataFrame) -> DataFrame:
 
 
 def user_partitions(spark) -> int:
-    value = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        return int(value)
-    except (TypeError, ValueError):  # e.g. a platform-specific "auto"
-        return spark.sparkContext.defaultParallelism
+    """Parts of the user exchange: ``homeshift.user.partitions`` of the session, else the shuffle partitions."""
+    value = spark.conf.get("homeshift.user.partitions", None) or spark.conf.get("spark.sql.shuffle.partitions")
+    if not str(value).isdigit():
+        raise ValueError(f"set homeshift.user.partitions to a number (spark.sql.shuffle.partitions is {value!r})")
+    return int(value)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from homeshift.config import Thresholds
 from homeshift.functions.dates import elapsed_weeks, inclusive_day_diff, weekday_flag, weekend_flag
 from homeshift.functions.zips import safe_share
+from homeshift.operators.partitioning import by_user_partitions
 from homeshift.operators.reference import ROUTE_HOME, ROUTE_MOVER, ROUTE_REFERENCE, by_user
 
 STREAK_COLS = ["user_id", "zipcode", "streak_start", "weekend_days", "weekday_days", "week_no"]
@@ -86,14 +87,47 @@ def streak_other_zip(feed: DataFrame, streak: DataFrame) -> DataFrame:
     ).select(*[F.col(f"s.{c}").alias(c) for c in STREAK_COLS], F.col("f.zipcode").alias("new_zip"))
 
 
-def streak_merge(feed: DataFrame, streak: DataFrame, day) -> DataFrame:
-    parts = (
-        streak_new(feed, streak, day)
-        .unionByName(streak_changed(feed, streak, day))
-        .unionByName(streak_continued(feed, streak, day))
-        .unionByName(streak_unseen(feed, streak))
+def day_pass(feed: DataFrame, streak: DataFrame, day, pool: DataFrame | None = None) -> DataFrame:
+    """Branches A, B, C and D (and the pool rows they start) in one pass, without a join.
+
+    Feed, streak and pool rows of a user meet by one exchange on ``user_id``; windows
+    over the user tell each streak row today's zip and the feed row whether a streak
+    at its zip exists.  Rows are tagged ``kind`` (streak or pool).
+    """
+    d, none = F.lit(day), F.lit(None)
+    cols = ["user_id", "zipcode", "streak_start", "weekend_days", "weekday_days", "week_no"]
+    rows = feed.select("user_id", "zipcode", none.cast("date").alias("streak_start"), *_counters(d), F.lit(0).alias("week_no")).withColumn("src", F.lit("feed"))
+    rows = rows.unionByName(streak.select(*cols).withColumn("src", F.lit("streak")))
+    rows = rows.withColumn("confirmed_week", none.cast("int")).withColumn("since", none.cast("date"))
+    if pool is not None:
+        rows = rows.unionByName(pool.select(*POOL_COLS).withColumn("src", F.lit("pool")), allowMissingColumns=True)
+    feed_row, streak_row = F.col("src") == "feed", F.col("src") == "streak"
+    rows = by_user_partitions(rows)
+    rows = rows.withColumn("today", F.max(F.when(feed_row, F.col("zipcode"))).over(by_user()))
+    goes_on = F.max(F.when(streak_row, F.col("zipcode") == F.col("today"))).over(by_user())
+    rows = rows.withColumn("goes_on", F.coalesce(goes_on, F.lit(False)))
+    seen = streak_row & F.col("today").isNotNull()
+    add_we, add_sem = _counters(d)
+    old = rows.where(streak_row & (F.col("today").isNull() | (F.col("zipcode") == F.col("today")))).select(
+        F.lit("streak").alias("kind"), "user_id", "zipcode", "streak_start",
+        F.when(seen, F.col("weekend_days") + add_we).otherwise(F.col("weekend_days")).alias("weekend_days"),
+        F.when(seen, F.col("weekday_days") + add_sem).otherwise(F.col("weekday_days")).alias("weekday_days"),
+        F.when(seen, elapsed_weeks(d, "streak_start")).otherwise(F.col("week_no")).alias("week_no"),
+        "confirmed_week", "since",
+    )
+    # a started streak is a streak row and a week-0 pool row
+    started = rows.where(feed_row & ~F.col("goes_on")).withColumn("kind", F.explode(F.array(F.lit("streak"), F.lit("pool")))).select(
+        "kind", "user_id", "zipcode", d.alias("streak_start"), "weekend_days", "weekday_days", "week_no",
+        F.lit(0).alias("confirmed_week"), d.alias("since"),
     )
-    return parts.groupBy("user_id", "zipcode").agg(
+    out = old.unionByName(started)
+    if pool is not None:
+        out = out.unionByName(rows.where(F.col("src") == "pool").select(F.lit("pool").alias("kind"), *cols, "confirmed_week", "since"))
+    return out
+
+
+def streak_rows(passed: DataFrame) -> DataFrame:
+    return passed.where("kind = 'streak'").groupBy("user_id", "zipcode").agg(
         F.min("streak_start").alias("streak_start"),
         F.sum("weekend_days").cast("bigint").alias("weekend_days"),
         F.sum("weekday_days").cast("bigint").alias("weekday_days"),
@@ -101,17 +135,18 @@ def streak_merge(feed: DataFrame, streak: DataFrame, day) -> DataFrame:
     )
 
 
+def pool_rows(passed: DataFrame) -> DataFrame:
+    return passed.where("kind = 'pool'").groupBy("user_id", "zipcode", "confirmed_week").agg(F.min("since").alias("since"))
+
+
+def streak_merge(feed: DataFrame, streak: DataFrame, day) -> DataFrame:
+    """Streaks at the end of the day: started, changed, continued and unseen ones."""
+    return streak_rows(day_pass(feed, streak, day))
+
+
 def pool_merge(feed: DataFrame, streak: DataFrame, pool: DataFrame, day) -> DataFrame:
     """Pool plus a week-0 row for every new or changed streak; earliest date kept."""
-    d = F.lit(day)
-    started = streak_new(feed, streak, day).unionByName(streak_changed(feed, streak, day)).select(
-        "user_id", "zipcode", F.lit(0).alias("confirmed_week"), d.alias("since")
-    )
-    return (
-        pool.select(*POOL_COLS).unionByName(started)
-        .groupBy("user_id", "zipcode", "confirmed_week")
-        .agg(F.min("since").alias("since"))
-    )
+    return pool_rows(day_pass(feed, streak, day, pool))
 
 
 # ---------------------------------------------------- closed form, no eviction

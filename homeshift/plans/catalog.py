@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from homeshift.config import FIXTURE_THRESHOLDS as TH, SNAPSHOT_AGE_LIMIT, SNAPSHOT_DAY
+from homeshift.config import FIXTURE_THRESHOLDS as TH, RUN_AGE_LIMIT, SNAPSHOT_AGE_LIMIT, SNAPSHOT_DAY
 from homeshift.operators import confirm as cf
 from homeshift.operators import home_zip as hz
 from homeshift.operators import reference as rf
@@ -27,6 +27,7 @@ from homeshift.sources import tables as tb
 from homeshift.streaming import movers_stream as ms
 
 Query = Callable[[SparkSession, str], DataFrame]
+TH_AGED = TH.with_(age_limit=RUN_AGE_LIMIT)
 TH_SNAPSHOT = TH.with_(age_limit=SNAPSHOT_AGE_LIMIT)
 
 
@@ -46,12 +47,12 @@ def _step(spark, sf) -> DayStep:
     return DayStep(_dhz(spark, sf), SNAPSHOT_DAY, TH_SNAPSHOT)
 
 
-def _run(spark, sf) -> MoverRun:
-    return MoverRun(_dhz(spark, sf), TH, horizon=tb.last_day(spark, sf))
+def _run(spark, sf, th=TH) -> MoverRun:
+    return MoverRun(_dhz(spark, sf), th, horizon=tb.last_day(spark, sf))
 
 
-def _on_run(fn) -> Query:
-    return lambda spark, sf: fn(_run(spark, sf))
+def _on_run(fn, th=TH) -> Query:
+    return lambda spark, sf: fn(_run(spark, sf, th))
 
 
 def _on_step(fn) -> Query:
@@ -72,8 +73,8 @@ def _spans(spark, sf):
 
 def _safe_share(spark, sf):
     hits = hz.hits_per_user_zip(hz.home_rows(_visits(spark, sf)))
-    tot = hits.groupBy("user_id", "day").agg(F.sum("nb_page").alias("total"))
-    return hits.join(tot, ["user_id", "day"]).select(
+    total = F.sum("nb_page").over(Window.partitionBy("user_id", "day"))
+    return hits.withColumn("total", total).select(
         "user_id", "day", "zipcode", "nb_page", zp.safe_share("nb_page", "total").alias("share")
     )
 
@@ -102,7 +103,7 @@ def build() -> dict[str, Query]:
     q["label_home_hours"] = lambda s, sf: hz.label_home_hours(_visits(s, sf))
     q["filter_home_hours"] = lambda s, sf: hz.filter_home_hours(_visits(s, sf))
 
-    q["scan_visits_all"] = _visits
+    q["scan_visits_all"] = lambda s, sf: tb.scan_days(_visits(s, sf))
     q["project_cast"] = lambda s, sf: _visits(s, sf).select(
         F.expr("try_cast(cookie AS BIGINT)").alias("user_id"), "zipcode", "nb_hits",
         F.expr("try_cast(tranche AS INT)").alias("tranche"), "date",
@@ -135,9 +136,7 @@ def build() -> dict[str, Query]:
     q["elapsed_weeks"] = lambda s, sf: _spans(s, sf).select(
         "user_id", dt.elapsed_weeks("last_day", "first_day").alias("weeks")
     )
-    q["zip_equal_flag"] = lambda s, sf: _dhz(s, sf).join(
-        rf.reference_zip(_annotated(s, sf)), "user_id", "inner"
-    ).select("user_id", "day", "zipcode", zp.zip_equal_flag("zipcode", "reference_zip").alias("matches_reference"))
+    q["zip_equal_flag"] = lambda s, sf: _annotated(s, sf).where("reference_zip is not null").select("user_id", "day", "zipcode", zp.zip_equal_flag("zipcode", "reference_zip").alias("matches_reference"))
     q["sink_roundtrip"] = lambda s, sf: sinks.roundtrip(s, _dhz(s, sf), "daily_home_zip")
     q["sink_append"] = lambda s, sf: sinks.append_parts(
         s, [hz.daily_home_zip(_visits(s, sf), weekend=True), hz.daily_home_zip(_visits(s, sf), weekend=False)],
@@ -189,6 +188,9 @@ def build() -> dict[str, Query]:
     q["mover_streak_final"] = _on_run(lambda r: r.streak)
     q["reference_history"] = _on_run(lambda r: r.history)
     q["evictions"] = _on_run(lambda r: r.evictions)
+    q["evictions_aged"] = _on_run(lambda r: r.evictions, TH_AGED)
+    q["mover_pool_aged"] = _on_run(lambda r: r.pool, TH_AGED)
+    q["mover_streak_aged"] = _on_run(lambda r: r.streak, TH_AGED)
     q["home_seen_in_pool"] = _on_run(lambda r: r.home_seen_in_pool)
     q["potential_movers"] = _on_run(lambda r: r.potential_movers)
     q["moves"] = _on_run(lambda r: r.moves)
@@ -199,7 +201,15 @@ def build() -> dict[str, Query]:
 
     # ---- streaming: event-time day buckets, per-user state across micro-batches
     q["stream_daily_home_zip"] = lambda s, sf: ms.run_daily_home_zip_stream(s, f"{sf}/events.parquet")
-    q["stream_movers"] = lambda s, sf: ms.latest_state(ms.run_mover_stream(s, _dhz(s, sf), TH)).where(
-        F.col("kind") == "pool"
-    ).select("user_id", "zipcode", F.col("week").alias("confirmed_week"), "since")
+    q["stream_movers"] = _stream_pool(TH)
+    q["stream_movers_aged"] = _stream_pool(TH_AGED)
     return q
+
+
+def _stream_pool(th) -> Query:
+    """Pool at the end of the stream; the files come out of order over several micro-batches."""
+    def run(spark, sf):
+        out = ms.latest_state(ms.run_mover_stream(spark, _dhz(spark, sf), th))
+        return out.where("kind = 'pool'").select("user_id", "zipcode", F.col("week").alias("confirmed_week"), "since")
+
+    return run

@@ -12,7 +12,6 @@ checkpoint instead.
 from __future__ import annotations
 
 import datetime as _dt
-import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +22,7 @@ from homeshift.config import Thresholds
 from homeshift.operators import confirm as cf
 from homeshift.operators import reference as rf
 from homeshift.operators import streak as sk
-from homeshift.session import scratch_path
+from homeshift.session import path_exists, scratch_path
 
 TABLES = ("reference", "history", "registry", "streak", "pool")
 SCHEMAS = {
@@ -35,6 +34,10 @@ SCHEMAS = {
 }
 
 
+#: Marker table of a finished day version.
+DONE = "_finished"
+
+
 @dataclass
 class State:
     reference: DataFrame
@@ -49,46 +52,7 @@ class State:
 
     @classmethod
     def read(cls, spark: SparkSession, path: str) -> "State":
-        return cls(**{t: spark.read.schema(SCHEMAS[t]).parquet(os.path.join(path, t)) for t in TABLES})
-
-    def write(self, path: str) -> None:
-        for t in TABLES:
-            df = getattr(self, t)
-            df.select(*SCHEMAS[t].fieldNames()).write.mode("error").parquet(os.path.join(path, t))
-
-
-@dataclass
-class DayOutput:
-    state: State
-    returned: DataFrame  # audit of users evicted after a confirmed return home
-    aged: DataFrame      # audit of users evicted for pool age
-
-
-def advance(state: State, today: DataFrame, day: _dt.date, th: Thresholds) -> DayOutput:
-    """Lazy plan of one day.  ``today``: (user_id, zipcode) home zips of ``day``."""
-    ref_feed, mover_feed = rf.feeds(today, state.reference, state.pool)
-    history = rf.history_update(state.history, ref_feed, day)
-    registry = rf.registry_update(state.registry, ref_feed, day)
-    reference = state.reference.select("user_id", "reference_zip").unionByName(
-        rf.reference_candidates(history, registry, th)
-    ).distinct()
-    streak = sk.streak_merge(mover_feed, state.streak, day)
-    pool = sk.pool_merge(mover_feed, state.streak, state.pool, day)
-    confirmed = cf.week_confirmed(streak, day, th)
-    home = cf.confirmed_home(confirmed, reference)
-    elsewhere = cf.confirmed_elsewhere(confirmed, reference, day)
-    returned_audit = cf.audit_returned_home(home, pool, day, th)
-    aged_audit = cf.audit_aged_out(pool, day, th)
-    returned = returned_audit.select("user_id").distinct()
-    aged = aged_audit.select("user_id").distinct()
-    new = State(
-        reference=reference,
-        history=history,
-        registry=registry,
-        streak=cf.streak_after_eviction(streak, returned, aged),
-        pool=cf.pool_after_eviction(pool, elsewhere, returned, aged),
-    )
-    return DayOutput(new, returned_audit, aged_audit)
+        return cls(**{t: spark.read.schema(SCHEMAS[t]).parquet(f"{path}/{t}") for t in TABLES})
 
 
 def advance_day(spark: SparkSession, state_path: str | None, dhz: DataFrame, day: _dt.date, th: Thresholds,
@@ -96,34 +60,38 @@ def advance_day(spark: SparkSession, state_path: str | None, dhz: DataFrame, day
     """Read the state at ``state_path`` (None: empty), run ``day``, write the new version; return its path.
 
     Tables are written in dependency order and read back, as the reference's
-    state tables are, so no step re-runs another; today's feeds and the merged
-    streak / pool, read several times within the day, are persisted for the
-    day only.  The day's audits are written next to the state (``returned``,
-    ``aged``).
+    state tables are, so no step re-runs another; today's feeds are persisted for the
+    day only, and the pass over streak and pool is written once.  The day's audits are written next to
+    the state (``returned``, ``aged``), and last a marker: a version without it
+    is replaced when the day runs again, one with it is never touched.
     """
     old = State.read(spark, state_path) if state_path else State.empty(spark)
     path = out_path or scratch_path(spark, f"state-{day.isoformat()}")
+    if path_exists(spark, f"{path}/{DONE}"):
+        raise FileExistsError(f"{path} already holds a finished day")
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("error").parquet(os.path.join(path, name))
-        return spark.read.parquet(os.path.join(path, name))
+        df.write.mode("overwrite").parquet(f"{path}/{name}")  # a half-written version is replaced by a retry
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
     today = dhz.where(F.col("day") == F.lit(day)).select("user_id", "zipcode")
     ref_feed, mover_feed = (f.persist() for f in rf.feeds(today, old.reference, old.pool))
-    history = put("history", rf.history_update(old.history, ref_feed, day))
-    registry = put("registry", rf.registry_update(old.registry, ref_feed, day).select(*SCHEMAS["registry"].fieldNames()))
-    reference = put("reference", old.reference.select("user_id", "reference_zip").unionByName(
-        rf.reference_candidates(history, registry, th)
-    ).distinct())
-    streak = sk.streak_merge(mover_feed, old.streak, day).persist()
-    pool = sk.pool_merge(mover_feed, old.streak, old.pool, day).persist()
-    confirmed = cf.week_confirmed(streak, day, th)
-    returned = put("returned", cf.audit_returned_home(cf.confirmed_home(confirmed, reference), pool, day, th))
-    aged = put("aged", cf.audit_aged_out(pool, day, th))
-    gone_r, gone_a = returned.select("user_id").distinct(), aged.select("user_id").distinct()
-    elsewhere = cf.confirmed_elsewhere(confirmed, reference, day)
-    put("streak", cf.streak_after_eviction(streak, gone_r, gone_a))
-    put("pool", cf.pool_after_eviction(pool, elsewhere, gone_r, gone_a))
-    for df in (ref_feed, mover_feed, streak, pool):
-        df.unpersist()
+    try:
+        history = put("history", rf.history_update(old.history, ref_feed, day))
+        registry = put("registry", rf.registry_update(old.registry, ref_feed, day).select(*SCHEMAS["registry"].fieldNames()))
+        reference = put("reference", old.reference.select("user_id", "reference_zip").unionByName(
+            rf.reference_candidates(history, registry, th)
+        ).distinct())
+        passed = put("day_pass", sk.day_pass(mover_feed, old.streak, day, old.pool))
+        streak, pool = sk.streak_rows(passed), sk.pool_rows(passed)
+        confirmed = cf.week_confirmed(streak, day, th)
+        returned = put("returned", cf.audit_returned_home(cf.confirmed_home(confirmed, reference), pool, day, th))
+        aged = put("aged", cf.audit_aged_out(pool, day, th))
+        elsewhere = cf.confirmed_elsewhere(confirmed, reference, day)
+        put("streak", cf.streak_after_eviction(streak, returned, aged))
+        put("pool", cf.pool_after_eviction(pool, elsewhere, returned, aged))
+        put(DONE, spark.createDataFrame([(day,)], "day date"))
+    finally:
+        ref_feed.unpersist()
+        mover_feed.unpersist()
     return path

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import argparse
 import datetime as _dt
-import os
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -26,13 +25,13 @@ from homeshift.operators import home_zip as hz
 from homeshift.plans.movers import MoverRun
 from homeshift.sources.tables import visits_from_events
 
-OUTPUTS = ("reference", "history", "registry", "pool", "streak", "evictions", "potential_movers", "moves")
+OUTPUTS = ("reference", "history", "registry", "pool", "streak", "evictions", "returned", "aged", "home_seen_in_pool", "potential_movers", "moves")
 
 
 def write_all(run: MoverRun, out_dir: str) -> dict[str, str]:
     paths = {}
     for name in OUTPUTS:
-        path = os.path.join(out_dir, name)
+        path = f"{out_dir}/{name}"
         getattr(run, name).write.mode("error").parquet(path)
         paths[name] = path
     return paths

@@ -1,8 +1,8 @@
 """Batch plan of the whole detection over every day of the input.
 
 visits -> daily home zip (partial aggregates) -> per-user windows (one hash
-exchange on user_id) -> per-user fold (applyInPandas, same partitioning) ->
-final tables.  The fold output is materialised once as a parquet table in the shared
+exchange on user_id) -> per-user fold (mapInArrow, same partitioning) ->
+final tables.  The fold output is materialised once as a parquet table, one folder a kind, in the shared
 ``spark.checkpoint.dir`` folder, since every final table is read from it; this
 also cuts the lineage so a lost executor does not replay the whole chain.
 """
@@ -12,13 +12,14 @@ from __future__ import annotations
 import datetime as _dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from homeshift.config import Thresholds
 from homeshift.session import materialize
 from homeshift.operators import fold as fd
 from homeshift.operators import reference as rf
+from homeshift.operators.partitioning import by_user_partitions
 from homeshift.operators.streak import POOL_COLS
 
 
@@ -31,13 +32,18 @@ class MoverRun:
     """
 
     def __init__(self, dhz: DataFrame, th: Thresholds, horizon=None, materialize: bool = True):
-        self.dhz, self.th, self.materialize = dhz, th, materialize
+        self._dhz, self.th, self.materialize = dhz, th, materialize
         self._horizon = horizon
 
+    @cached_property
+    def dhz(self) -> DataFrame:
+        """Home zips up to the horizon: a run never sees a later day."""
+        return self._dhz if self._horizon is None else self._dhz.where(F.col("day") <= self.horizon)
+
     @cached_property
     def horizon(self):
         if self._horizon is None:
-            return self.dhz.select(F.max("day")).scalar()
+            return self._dhz.select(F.max("day")).scalar()
         if isinstance(self._horizon, _dt.date):
             return F.lit(self._horizon)
         return self._horizon
@@ -49,7 +55,7 @@ class MoverRun:
     @cached_property
     def fold(self) -> DataFrame:
         out = fd.fold_sightings(self.annotated.withColumn("horizon", self.horizon), self.th)
-        return materialize(out, "fold") if self.materialize else out
+        return materialize(out, "fold", ["kind"]) if self.materialize else out
 
     def _kind(self, kind: str) -> DataFrame:
         return self.fold.where(F.col("kind") == kind)
@@ -87,27 +93,45 @@ class MoverRun:
         return ev.groupBy("user_id", "day", F.col("kind").alias("reason")).agg(
             F.max("presence_days").alias("presence_days")
         )
+
+    @cached_property
+    def returned(self) -> DataFrame:
+        """Audit of users evicted after a confirmed return home."""
+        return self._kind("returned").select("user_id", "week", "date_min", "date_max", "day", "presence_days")
+
+    @cached_property
+    def aged(self) -> DataFrame:
+        """Audit of the pool rows of users evicted for their age."""
+        return self._kind("aged").select("user_id", "zipcode", F.col("week").alias("confirmed_week"), "since", "date_min", "date_max", "day", "presence_days")
+
+    @cached_property
+    def pool_with_reference(self) -> DataFrame:
+        """Pool rows with the user's reference zip and whether any of the user's rows is at it: one exchange."""
+        w = Window.partitionBy("user_id")
+        rows = by_user_partitions(self.fold.where(F.col("kind").isin("pool", "reference")))
+        rows = rows.withColumn("reference_zip", F.max(F.when(F.col("kind") == "reference", F.col("zipcode"))).over(w))
+        at_home = (F.col("kind") == "pool") & (F.col("zipcode") == F.col("reference_zip"))
+        rows = rows.withColumn("home_seen", F.coalesce(F.max(at_home).over(w), F.lit(False)))
+        return rows.where("kind = 'pool'").select(
+            "user_id", "zipcode", F.col("week").alias("confirmed_week"), "since", "reference_zip", "home_seen"
+        )
+
     @cached_property
     def home_seen_in_pool(self) -> DataFrame:
-        r = self.reference.select("user_id", F.col("reference_zip").alias("zipcode"))
-        return self.pool.join(r, ["user_id", "zipcode"], "left_semi").select("user_id").distinct()
+        return self.pool_with_reference.where("home_seen").select("user_id").distinct()
 
     @cached_property
     def potential_movers(self) -> DataFrame:
-        return self.pool.join(self.home_seen_in_pool, "user_id", "left_anti").select(*POOL_COLS)
+        return self.pool_with_reference.where("not home_seen").select(*POOL_COLS)
 
     @cached_property
     def moves(self) -> DataFrame:
         """Old zip (reference), new zip (latest confirmed week, then later date, then larger zip), date."""
-        pm = self.potential_movers
-        best = pm.where(F.col("confirmed_week") >= 1).groupBy("user_id").agg(
-            F.max(F.struct("confirmed_week", "since", "zipcode")).alias("b")
-        ).select("user_id", F.col("b.zipcode").alias("zipcode"))
-        first = pm.groupBy("user_id", "zipcode").agg(F.min("since").alias("moved_on"))
-        x = best.join(first, ["user_id", "zipcode"], "inner").join(self.reference, "user_id", "inner")
-        return x.select(
-            "user_id", F.col("reference_zip").alias("old_zip"), F.col("zipcode").alias("new_zip"), "moved_on"
-        )
+        first = F.min("since").over(Window.partitionBy("user_id", "zipcode"))
+        rows = self.pool_with_reference.where("not home_seen and reference_zip is not null").withColumn("moved_on", first)
+        best = F.max(F.when(F.col("confirmed_week") >= 1, F.struct("confirmed_week", "since", "zipcode", "moved_on")))
+        x = rows.groupBy("user_id").agg(F.max("reference_zip").alias("old_zip"), best.alias("b")).where("b is not null")
+        return x.select("user_id", "old_zip", F.col("b.zipcode").alias("new_zip"), F.col("b.moved_on").alias("moved_on"))
 
     @cached_property
     def pool_profile(self) -> DataFrame:
@@ -119,21 +143,27 @@ class MoverRun:
         )
 
     def metrics(self, visits: DataFrame) -> DataFrame:
-        """Row counts of every table of the run, as (metric, value) rows."""
-        parts = [
-            ("visits_rows", visits),
-            ("daily_home_zip_rows", self.dhz),
-            ("users_with_reference", self.reference),
-            ("reference_history_rows", self.history),
-            ("mover_streak_rows", self.streak),
-            ("mover_pool_rows", self.pool),
-            ("returned_home_evictions", self.evictions.where(F.col("reason") == "returned")),
-            ("potential_mover_users", self.potential_movers.select("user_id").distinct()),
-            ("potential_mover_rows", self.potential_movers),
-            ("moves_rows", self.moves),
-        ]
+        """Row counts of every table of the run, as (metric, value) rows.
+
+        One count by kind over the fold's output, one pass over the users' pool rows, and a
+        count of the two inputs.
+        """
+        kinds = {"reference": "users_with_reference", "history": "reference_history_rows", "streak": "mover_streak_rows", "pool": "mover_pool_rows"}
+        one = F.lit(1)
+        by_kind = self.fold.agg(
+            *[F.count(F.when(F.col("kind") == k, one)).alias(m) for k, m in kinds.items()],
+            F.countDistinct(F.when(F.col("kind") == "returned", F.struct("user_id", "day"))).alias("returned_home_evictions"),
+        )
+        best = F.max(F.col("confirmed_week") >= 1) & F.max(F.col("reference_zip").isNotNull())
+        users = self.pool_with_reference.where("not home_seen").groupBy("user_id").agg(F.count(one).alias("n"), best.alias("moved"))
+        movers = users.agg(
+            F.count(one).alias("potential_mover_users"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("potential_mover_rows"),
+            F.count(F.when(F.col("moved"), one)).alias("moves_rows"),
+        )
+        inputs = [visits.agg(F.count(one).alias("visits_rows")), self.dhz.agg(F.count(one).alias("daily_home_zip_rows"))]
         out = None
-        for name, df in parts:
-            one = df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(name).alias("metric"), "value")
-            out = one if out is None else out.unionByName(one)
+        for part in (*inputs, by_kind, movers):
+            rows = part.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value")) for c in part.columns])).alias("r")).select("r.*")
+            out = rows if out is None else out.unionByName(rows)
         return out

@@ -42,7 +42,7 @@ class DayStep:
 
     @cached_property
     def dhz(self) -> DataFrame:
-        return self._big(self._dhz)
+        return self._big(self._dhz.where(F.col("day") <= F.lit(self.day)))  # later days are never read
 
     # ------------------------------------------------------------ state before
     @cached_property
@@ -139,13 +139,19 @@ class DayStep:
     def registry_after(self) -> DataFrame:
         return self._m(rf.registry_update(self.registry, self.reference_feed, self.day))
 
+    @cached_property
+    def passed(self) -> DataFrame:
+        """Streak and pool rows at the end of the day, tagged; written once, read by kind."""
+        out = sk.day_pass(self.mover_feed, self.streak, self.day, self.pool)
+        return materialize(out, "daystep", ["kind"]) if self.materialize else out
+
     @cached_property
     def streak_after(self) -> DataFrame:
-        return self._big(sk.streak_merge(self.mover_feed, self.streak, self.day))
+        return sk.streak_rows(self.passed)
 
     @cached_property
     def pool_after(self) -> DataFrame:
-        return self._big(sk.pool_merge(self.mover_feed, self.streak, self.pool, self.day))
+        return sk.pool_rows(self.passed)
 
     @cached_property
     def confirmed(self) -> DataFrame:

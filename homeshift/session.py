@@ -60,7 +60,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, partition_by: list[str] | None = None):
     """Write ``df`` once as a parquet table in the shared checkpoint folder and read it back.
 
     One job (a reliable ``checkpoint()`` of an unpersisted plan computes it
@@ -68,10 +68,23 @@ def materialize(df, name: str):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("error").parquet(path)
+    w = df.write.mode("error")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` is a single file, asked of the path's own file system."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(target) and fs.getFileStatus(target).isFile()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete a scratch table of this job that nothing reads any more (Hadoop file system call)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -40,10 +40,11 @@ def _lookback(v: DataFrame, n_days: int, gap: int, col: str) -> DataFrame:
     return off.select("offset", F.date_sub("as_of", F.col("offset")).alias("day"))
 
 
-def available_days(v: DataFrame, n_days: int = 50, gap: int = 2, cap: int = 20, col: str = "date") -> DataFrame:
-    """Present days of the look-back window: at most cap + 1 newest, numbered oldest first."""
-    cal = _lookback(v, n_days, gap, col).join(present_days(v, col), "day", "left_semi")
-    newest = cal.withColumn("rk", F.row_number().over(Window.orderBy("offset"))).where(F.col("rk") <= cap + 1)
+def available_days(v: DataFrame, n_days: int = 50, gap: int = 2, cap: int | None = None, col: str = "date") -> DataFrame:
+    """Present days of the look-back window, numbered oldest first; with ``cap`` only the cap + 1 newest."""
+    newest = _lookback(v, n_days, gap, col).join(present_days(v, col), "day", "left_semi")
+    if cap is not None:
+        newest = newest.withColumn("rk", F.row_number().over(Window.orderBy("offset"))).where(F.col("rk") <= cap + 1)
     return newest.select(
         F.row_number().over(Window.orderBy("day")).alias("pos"), compact_day("day").alias("day_compact")
     )

@@ -89,6 +89,15 @@ def scan_visits_distinct(v: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def scan_days(v: DataFrame, first: _dt.date | None = None, last: _dt.date | None = None) -> DataFrame:
+    """Rows of a multi-day table from ``first`` to ``last`` (open ends by default); the bounds are pushed to the scan."""
+    if first is not None:
+        v = v.where(F.col("date") >= F.lit(first))
+    if last is not None:
+        v = v.where(F.col("date") <= F.lit(last))
+    return v.select("cookie", "zipcode", "tranche", "nb_hits", "date")
+
+
 def load_days_tagged(v: DataFrame) -> DataFrame:
     """All daily rows in one read, each tagged with its day as 'yyyyMMdd'."""
     return v.withColumn("day1", compact_day("date"))

@@ -3,23 +3,32 @@
 ``daily_home_zip_stream`` (tumbling day buckets of raw events): a watermarked
 event-time aggregation rolls events up to visits per 1-day window; a day is
 emitted once the watermark closes it, and ``foreachBatch`` turns each closed
-day into home zips with the same batch operator.  The day still open at the
-end of the input is not emitted (it is not complete yet).
+day into home zips with the same batch operator.
 
 ``mover_stream`` (per-user state carried from day to day): daily home zips
-arrive as files; ``applyInPandasWithState`` keyed by user_id runs the same
-``UserState`` step as the batch fold, learning the reference on the fly.  The
-state per user is a few scalars plus its pool rows (bounded by the run).  An
-event-time timeout at ``first pool day + age_limit`` evicts users that age out
-of the pool without being seen again.  Each micro-batch appends, for every
-updated user, the current pool / streak / reference rows tagged with the
-user's last processed day (``as_of``), plus the eviction audits.
+arrive as files, in any order within ``lateness``.  Sightings wait in the
+user's state until the watermark has closed their day and are then applied in
+order of days by the same ``UserState`` step as the batch fold, learning the
+reference on the fly.  An event-time timer wakes a user whose next waiting day closes, or
+whose pool rows reach the age limit without being seen again.  A sighting that comes later than the watermark
+is dropped by Spark and counted in ``numRowsDroppedByWatermark``.  Each micro-batch writes, for every woken
+user, the current pool / streak / reference rows and the eviction audits, in a folder of
+that batch; ``latest_state`` reads each user's last batch.
+
+The state of a user is its reference, history counters, streak, pool rows and the waiting
+days (at most ``lateness`` of them).  It is kept for good: the reference and the history
+decide how the next sighting is routed.
+
+Bounded input (``run_*``): a stream can't know that its input has ended, so the last day stays open.
+``close_input`` adds one marker row behind the last day to a second source folder; the restarted
+query then closes every day up to the last one.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
+import json
+import posixpath
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +38,9 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from homeshift.config import Thresholds
 from homeshift.operators import home_zip as hz
-from homeshift.operators.fold import EPOCH, FOLD_COLUMNS, UserState, _epoch_days, is_weekend_epoch
+from homeshift.operators.fold import EPOCH, FOLD_COLUMNS, UserState, _epoch_days
 from homeshift.schemas import FOLD_OUTPUT
-from homeshift.session import scratch_path
+from homeshift.session import is_file, scratch_path, ship_package
 from homeshift.sources.tables import visit_rows
 
 DAY_MS = 86_400_000
@@ -44,8 +53,11 @@ STATE_SCHEMA = T.StructType([
     T.StructField("first", T.LongType()),
     T.StructField("fed", T.StringType()),
     T.StructField("fed_days", T.StringType()),
+    T.StructField("waiting", T.StringType()),
 ])
 STREAM_OUTPUT = T.StructType(FOLD_OUTPUT.fields + [T.StructField("as_of", T.DateType())])
+STORED_OUTPUT = T.StructType(STREAM_OUTPUT.fields + [T.StructField("batch", T.LongType())])
+MARKER_USER = -1  # user id of the row that closes a bounded input
 
 
 # ----------------------------------------------------------- home zip stream
@@ -75,29 +87,48 @@ def visits_by_window(ev: DataFrame) -> DataFrame:
     return g.agg(F.sum("n").cast("bigint").alias("nb_hits")).select("cookie", "zipcode", "tranche", "date", "nb_hits")
 
 
+def read_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Streaming read of a folder, or of a single file on any file system."""
+    src = spark.readStream.schema(schema)
+    if is_file(spark, path):  # the file source wants a folder
+        return src.option("pathGlobFilter", posixpath.basename(path)).parquet(posixpath.dirname(path))
+    return src.parquet(path)
+
+
 def daily_home_zip_stream(spark: SparkSession, events_path: str, out_path: str, checkpoint: str,
-                          lateness: str = "1 hour"):
-    """Start the event-time rollup; each micro-batch appends the home zips of the days it closes."""
+                          lateness: str = "1 hour", closing_path: str | None = None, max_files: int | None = None):
+    """Start the event-time rollup; each micro-batch writes the home zips of the days it closes.
+
+    ``closing_path``: folder of closing markers with the events' schema (see ``close_input``).
+    """
     schema = spark.read.parquet(events_path).schema
-    if os.path.isfile(events_path):  # a single file: the file source wants a folder or a glob
-        events_path = os.path.join(os.path.dirname(events_path), "{" + os.path.basename(events_path) + "}")
-    ev = spark.readStream.schema(schema).parquet(events_path)
+    ev = read_files(spark, events_path, schema)
+    if closing_path:
+        ev = ev.unionByName(spark.readStream.schema(schema).parquet(closing_path))
     # watermarks need a TIMESTAMP event time; ts stays the wall clock for day and hour
     ev = ev.withColumn("event_time", wall_clock_as_utc(F.col("ts"))).withWatermark("event_time", lateness)
 
     def emit(batch: DataFrame, epoch: int) -> None:
         # one folder per micro-batch, overwritten if the batch is replayed after a failure: exactly once
-        hz.daily_home_zip(batch).write.mode("overwrite").parquet(os.path.join(out_path, f"batch={epoch}"))
+        hz.daily_home_zip(batch).write.mode("overwrite").parquet(f"{out_path}/batch={epoch}")
 
     return (visits_by_window(ev).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
             .foreachBatch(emit).trigger(availableNow=True).start())
 
 
 def run_daily_home_zip_stream(spark: SparkSession, events_path: str) -> DataFrame:
-    out, ck = scratch_path(spark, "dhz-stream-out"), scratch_path(spark, "dhz-stream-ck")
+    """All days of a bounded input, the last one too."""
+    out, ck, closing = (scratch_path(spark, n) for n in ("dhz-stream-out", "dhz-stream-ck", "dhz-stream-closing"))
     # an empty first part, so the output reads back even when no day has closed yet
-    spark.createDataFrame([], "user_id long, zipcode string, day date").write.parquet(os.path.join(out, "batch=-1"))
-    daily_home_zip_stream(spark, events_path, out, ck).awaitTermination()
+    spark.createDataFrame([], "user_id long, zipcode string, day date").write.parquet(f"{out}/batch=-1")
+    events = spark.read.parquet(events_path)
+    events.limit(0).write.parquet(closing)
+    daily_home_zip_stream(spark, events_path, out, ck, closing_path=closing).awaitTermination()
+    last = events.agg(F.max("ts").alias("ts")).select(F.date_trunc("day", "ts").alias("d"))
+    marker = last.select((F.col("d") + F.expr("INTERVAL 2 DAYS")).cast(events.schema["ts"].dataType).alias("ts"))
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema if f.name != "ts"]
+    marker.select("ts", *blank).select(*events.columns).write.mode("append").parquet(closing)
+    daily_home_zip_stream(spark, events_path, out, ck, closing_path=closing).awaitTermination()
     return spark.read.parquet(out).select("user_id", "zipcode", "day")
 
 
@@ -106,56 +137,100 @@ def run_daily_home_zip_stream(spark: SparkSession, events_path: str) -> DataFram
 def _state_fn(th: Thresholds):
     def fn(key, pdfs, state):
         user_id = int(key[0])
-        u = UserState.load(user_id, th, state.get) if state.exists else UserState(user_id, None, None, th, learn=True)
-        if state.hasTimedOut:
-            u.expire(state.getCurrentWatermarkMs() // DAY_MS)
-            last = state.getCurrentWatermarkMs() // DAY_MS
+        if state.exists:
+            *known, waiting = state.get
+            u, waiting = UserState.load(user_id, th, tuple(known)), {int(d): z for d, z in json.loads(waiting)}
         else:
-            pdf = pd.concat(list(pdfs)).sort_values("day", kind="stable")
-            days = _epoch_days(pdf["day"])
-            for d, z, we in zip(days.tolist(), pdf["zipcode"].tolist(), is_weekend_epoch(days).tolist()):
-                u.observe(d, z, we)
-            last = int(days.max())
+            u, waiting = UserState(user_id, None, None, th, learn=True), {}
+        if not state.hasTimedOut:
+            for pdf in pdfs:
+                for d, z in zip(_epoch_days(pdf["day"]).tolist(), pdf["zipcode"].tolist()):
+                    waiting[d] = z
+        open_day = state.getCurrentWatermarkMs() // DAY_MS  # days before it are closed
+        closed = sorted(d for d in waiting if d < open_day)
+        for d in closed:
+            u.observe(d, waiting.pop(d), (d + 3) % 7 >= 5)
+        u.expire(open_day - 1)
         rows = u.snapshot()
-        state.update(u.dump())
-        if u.first is not None:
-            state.setTimeoutTimestamp((u.first + th.age_limit + 1) * DAY_MS)
-        as_of = EPOCH + _dt.timedelta(days=int(last))
-        out = pd.DataFrame.from_records(rows, columns=FOLD_COLUMNS)
-        out["as_of"] = as_of
-        yield out
+        state.update((*u.dump(), json.dumps(sorted(waiting.items()))))
+        wake = [d + 1 for d in waiting] + ([u.first + th.age_limit + 1] if u.first is not None else [])
+        if wake and user_id != MARKER_USER:
+            state.setTimeoutTimestamp(min(wake) * DAY_MS - 1)  # a timer fires when the watermark is past it
+        if user_id != MARKER_USER and (closed or rows):
+            out = pd.DataFrame.from_records(rows or [(user_id, "none") + (None,) * (len(FOLD_COLUMNS) - 2)], columns=FOLD_COLUMNS)
+            out["as_of"] = EPOCH + _dt.timedelta(days=int(open_day - 1))
+            yield out
 
     return fn
 
 
 def mover_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, th: Thresholds,
-                 available_now: bool = True, max_files: int | None = None):
-    """Start the per-user stateful stream over daily home zip files in ``source_dir``."""
-    src = spark.readStream.schema("user_id long, zipcode string, day date")
-    if max_files:
-        src = src.option("maxFilesPerTrigger", max_files)
-    s = src.parquet(source_dir).withColumn("event_time", wall_clock_as_utc(F.col("day"), with_time=False)).withWatermark(
-        "event_time", "0 seconds"
+                 available_now: bool = True, max_files: int | None = None, lateness_days: int = 0,
+                 closing_path: str | None = None):
+    """Start the per-user stateful stream over daily home zip files in ``source_dir``.
+
+    Files may come in any order within ``lateness_days``; a day is applied once a
+    row ``lateness_days`` + 1 days later was seen, or the input was closed.
+    """
+    ship_package(spark)
+
+    def source(path: str) -> DataFrame:
+        src = spark.readStream.schema("user_id long, zipcode string, day date")
+        return (src.option("maxFilesPerTrigger", max_files) if max_files else src).parquet(path)
+
+    rows = source(source_dir)
+    if closing_path:
+        rows = rows.unionByName(source(closing_path))
+    s = rows.withColumn("event_time", wall_clock_as_utc(F.col("day"), with_time=False)).withWatermark(
+        "event_time", f"{lateness_days} days"
     )
     out = s.groupBy("user_id").applyInPandasWithState(
         _state_fn(th), STREAM_OUTPUT, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
     )
-    w = out.writeStream.outputMode("append").format("parquet").option("path", out_path).option(
-        "checkpointLocation", checkpoint
-    )
+
+    def store(batch: DataFrame, epoch: int) -> None:
+        # one folder per micro-batch, overwritten if the batch is replayed after a failure: exactly once
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch={epoch}")
+
+    w = out.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(store)
     return w.trigger(availableNow=True).start() if available_now else w.start()
 
 
+def read_output(spark: SparkSession, out_path: str) -> DataFrame:
+    return spark.read.schema(STORED_OUTPUT).parquet(out_path)
+
+
 def latest_state(out: DataFrame) -> DataFrame:
-    """Rows of each user's last snapshot (the state at the end of the stream)."""
-    last = out.groupBy("user_id").agg(F.max("as_of").alias("as_of"))
-    return out.join(last, ["user_id", "as_of"], "left_semi")
-
-
-def run_mover_stream(spark: SparkSession, dhz: DataFrame, th: Thresholds) -> DataFrame:
-    """Feed the daily home zips through the stream (one folder per day) and return its output."""
-    src = scratch_path(spark, "stream-src")
-    dhz.write.partitionBy("day").parquet(src)
-    out, ck = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ck")
-    mover_stream(spark, src, out, ck, th).awaitTermination()
-    return spark.read.schema(STREAM_OUTPUT).parquet(out)
+    """Rows of each user's last micro-batch (the state at the end of the stream), without audits."""
+    state = out.where(~F.col("kind").isin("returned", "aged"))
+    last = out.groupBy("user_id").agg(F.max("batch").alias("batch"))
+    return state.join(last, ["user_id", "batch"], "left_semi").where("kind <> 'none'")
+
+
+def close_input(spark: SparkSession, closing_path: str, last: _dt.date, lateness_days: int) -> None:
+    """Write the marker that moves the watermark to the end of the day ``last``."""
+    day = last + _dt.timedelta(days=1 + lateness_days)
+    marker = spark.createDataFrame([(MARKER_USER, None, day)], "user_id long, zipcode string, day date")
+    marker.write.mode("append").parquet(closing_path)
+
+
+def run_mover_stream(spark: SparkSession, dhz: DataFrame, th: Thresholds, max_files: int = 40, lateness_days: int = 60) -> DataFrame:
+    """Feed the daily home zips of a bounded input through the stream and return its output.
+
+    The source files hold parts of many days in no order and arrive over several
+    micro-batches; ``lateness_days`` covers the whole input.
+    """
+    src, out, ck, closing = (scratch_path(spark, n) for n in ("stream-src", "stream-out", "stream-ck", "stream-closing"))
+    dhz.repartition(4, F.xxhash64("user_id", "day")).write.partitionBy("day").parquet(src)
+    dhz.select("user_id", "zipcode", "day").limit(0).write.parquet(closing)
+    spark.createDataFrame([], STREAM_OUTPUT).write.parquet(f"{out}/batch=-1")
+
+    def go() -> None:
+        mover_stream(spark, src, out, ck, th, max_files=max_files, lateness_days=lateness_days, closing_path=closing).awaitTermination()
+
+    go()
+    last = spark.read.parquet(src).agg(F.max("day")).first()[0]
+    if last is not None:
+        close_input(spark, closing, last, lateness_days)
+        go()
+    return read_output(spark, out)

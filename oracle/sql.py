@@ -9,7 +9,7 @@ the dict used by ``__spark_entry__.oracle_sql``.
 
 from __future__ import annotations
 
-from homeshift.config import FIXTURE_THRESHOLDS as TH, SNAPSHOT_DAY, SNAPSHOT_AGE_LIMIT
+from homeshift.config import FIXTURE_THRESHOLDS as TH, RUN_AGE_LIMIT, SNAPSHOT_DAY, SNAPSHOT_AGE_LIMIT
 
 D = f"DATE '{SNAPSHOT_DAY.isoformat()}'"
 
@@ -168,8 +168,7 @@ SNAP = BASE + [f"bf AS (SELECT * FROM dhz WHERE day < {D})"] + closed_form("bf",
     """tots AS (SELECT user_id, week_no, CAST(sum(weekend_days) AS BIGINT) AS total_weekend,
   CAST(sum(weekday_days) AS BIGINT) AS total_weekday FROM st2 GROUP BY user_id, week_no)""",
     f"""conf AS (SELECT a.user_id, max(a.zipcode) AS zipcode, a.week_no FROM ann a
-  JOIN (SELECT user_id, week_no, CAST(sum(weekend_days) AS BIGINT) AS tw, CAST(sum(weekday_days) AS BIGINT) AS ts
-        FROM ann GROUP BY ALL) t ON a.user_id = t.user_id AND a.week_no = t.week_no
+  JOIN (SELECT user_id, week_no, total_weekend AS tw, total_weekday AS ts FROM tots) t ON a.user_id = t.user_id AND a.week_no = t.week_no
   WHERE {week_ok('a.weekend_days', 'a.weekday_days', 't.tw', 't.ts')} GROUP BY a.user_id, a.week_no)""",
     """chome AS (SELECT DISTINCT c.user_id, c.week_no FROM conf c JOIN ref r ON c.user_id = r.user_id
   AND c.zipcode = r.reference_zip)""",
@@ -197,7 +196,8 @@ def build() -> dict[str, str]:
     q["scan_visits_distinct"] = w([VISITS, VD], "SELECT * FROM vd")
     q["hits_per_user_zip"] = w(BASE, "SELECT * FROM hits")
     q["max_hits_per_user"] = w(BASE, "SELECT * FROM mh")
-    q["argmax_zip"] = w(BASE, "SELECT user_id, zipcode, day FROM dhz")
+    q["argmax_zip"] = w(BASE, """SELECT user_id, day, max(zipcode) AS zipcode, max(nb_page) AS nb_page
+  FROM hits WHERE (user_id, day, nb_page) IN (SELECT user_id, day, max_page FROM mh) GROUP BY user_id, day""")
     q["filter_valid_zip"] = w([VISITS, VD, VV], "SELECT * FROM vv")
     lab = "CASE WHEN tranche IN (2, 3) THEN 'home' ELSE 'middayOrWork' END"
     q["label_home_hours"] = w([VISITS, VD, VV], f"SELECT *, {lab} AS hours FROM vv")
@@ -249,7 +249,7 @@ def build() -> dict[str, str]:
   GROUP BY user_id, zipcode, confirmed_week""")
     q["streak_after_eviction"] = w(SNAP, "SELECT * FROM st2 WHERE user_id NOT IN (SELECT user_id FROM gone)")
     V = [VISITS]
-    q["scan_visits_all"] = w(V, "SELECT * FROM visits")
+    q["scan_visits_all"] = w(V, 'SELECT cookie, zipcode, tranche, nb_hits, "date" FROM visits')
     q["project_cast"] = w(V, """SELECT TRY_CAST(cookie AS BIGINT) AS user_id, zipcode, nb_hits,
   TRY_CAST(tranche AS INTEGER) AS tranche, "date" FROM visits""")
     q["load_days_tagged"] = w(V, """SELECT *, strftime("date", '%Y%m%d') AS day1 FROM visits""")
@@ -268,7 +268,7 @@ def build() -> dict[str, str]:
   FROM range(3, 50) t(o))"""
     q["available_days"] = w(V + [lb], """SELECT CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS pos,
   strftime(day, '%Y%m%d') AS day_compact FROM (
-  SELECT * FROM lb WHERE day IN (SELECT "date" FROM visits) ORDER BY off LIMIT 21)""")
+  SELECT * FROM lb WHERE day IN (SELECT "date" FROM visits))""")
     q["missing_days"] = w(V + [lb], """SELECT CAST(row_number() OVER (ORDER BY off) AS INTEGER) AS pos,
   strftime(day, '%Y%m%d') AS day_compact FROM lb WHERE day NOT IN (SELECT "date" FROM visits)""")
     dd = 'dd AS (SELECT DISTINCT "date" AS day FROM visits)'
@@ -291,7 +291,7 @@ def build() -> dict[str, str]:
     q["sink_roundtrip"] = q["daily_home_zip"]
     q["sink_append"] = q["daily_home_zip"]
     q["split_by_day"] = w(V, "SELECT * FROM visits")
-    q["stream_daily_home_zip"] = w(BASE, "SELECT user_id, zipcode, day FROM dhz WHERE day < (SELECT max(day) FROM dhz)")
+    q["stream_daily_home_zip"] = w(BASE, "SELECT user_id, zipcode, day FROM dhz")
     q.update(fold_oracles())
     return q
 
@@ -346,7 +346,7 @@ def fold_ctes(l1: int = TH.return_limit, l2: int = TH.age_limit) -> list[str]:
       CASE WHEN new_streak OR (conf AND zipcode <> rz) THEN day END,
       p_epoch,
       CASE WHEN returned OR aged THEN day WHEN evict0 THEN ev0_day END,
-      CASE WHEN returned THEN 'returned' WHEN aged THEN 'aged' WHEN evict0 THEN 'aged' END,
+      CASE WHEN returned AND aged THEN 'both' WHEN returned THEN 'returned' WHEN aged THEN 'aged' WHEN evict0 THEN 'aged' END,
       CAST(CASE WHEN returned OR aged THEN presence WHEN evict0 THEN {l2 + 1} END AS INTEGER)
     FROM ({p8})"""
     return BASE + closed_form("dhz", "f_") + [
@@ -375,7 +375,8 @@ def fold_ctes(l1: int = TH.return_limit, l2: int = TH.age_limit) -> list[str]:
   CAST(s_sem AS BIGINT) AS weekday_days, CAST(s_wk AS INTEGER) AS week_no
   FROM fe WHERE s_zip IS NOT NULL AND NOT hgone)""",
         f"""fevict AS (SELECT user_id, ev_day AS day, ev_reason AS reason, ev_presence AS presence_days
-  FROM fo WHERE ev_day IS NOT NULL
+  FROM fo WHERE ev_day IS NOT NULL AND ev_reason <> 'both'
+  UNION ALL SELECT user_id, ev_day, unnest(['returned', 'aged']), ev_presence FROM fo WHERE ev_reason = 'both'
   UNION ALL SELECT user_id, CAST(pfirst + {l2} AS DATE), 'aged', {l2 + 1} FROM fe WHERE hgone)""",
         """ffeed AS (SELECT user_id, zipcode, day FROM f_ro WHERE route = 'reference'
   UNION ALL SELECT s.user_id, s.zipcode, s.day FROM fo f JOIN sg s ON f.user_id = s.user_id AND f.n = s.n WHERE f.home)""",
@@ -398,7 +399,12 @@ def fold_ctes(l1: int = TH.return_limit, l2: int = TH.age_limit) -> list[str]:
 
 def fold_oracles() -> dict[str, str]:
     F = fold_ctes()
+    L = fold_ctes(l2=RUN_AGE_LIMIT)
     return {
+        "evictions_aged": w(L, "SELECT * FROM fevict"),
+        "mover_pool_aged": w(L, "SELECT * FROM fpool"),
+        "mover_streak_aged": w(L, "SELECT * FROM fstreak"),
+        "stream_movers_aged": w(L, "SELECT * FROM fpool"),
         "mover_pool_final": w(F, "SELECT * FROM fpool"),
         "mover_streak_final": w(F, "SELECT * FROM fstreak"),
         "reference_history": w(F, "SELECT * FROM fhist"),

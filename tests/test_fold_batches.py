@@ -1,15 +1,48 @@
 """The batched fold (mapInArrow, state carried across Arrow batch borders) equals the per-user pandas fold."""
 
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homeshift.config import FIXTURE_THRESHOLDS as TH
+from homeshift.config import FIXTURE_THRESHOLDS as TH, Thresholds
 from homeshift.operators import fold as fd
+from homeshift.operators.fold import FOLD_COLUMNS, UserState, _epoch_days, is_weekend_epoch
 from homeshift.operators import home_zip as hz
 from homeshift.operators import reference as rf
 from homeshift.sources import tables as tb
+from homeshift.schemas import FOLD_OUTPUT
 from conftest import SF_MID
 
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers do not have the tests
+
+
+def fold_group(pdf: pd.DataFrame, th: Thresholds) -> pd.DataFrame:
+    """All sightings of one user -> fold output rows."""
+    pdf = pdf.sort_values("day", kind="stable")
+    days = _epoch_days(pdf["day"])
+    horizon = int(_epoch_days(pdf["horizon"])[0])
+    ref_day = pdf["ref_day"].iloc[0]
+    u = UserState(
+        int(pdf["user_id"].iloc[0]),
+        pdf["reference_zip"].iloc[0] if pd.notna(ref_day) else None,
+        int(_epoch_days(pd.Series([ref_day]))[0]) if pd.notna(ref_day) else None,
+        th,
+    )
+    for d, z, we in zip(days.tolist(), pdf["zipcode"].tolist(), is_weekend_epoch(days).tolist()):
+        u.observe(d, z, we)
+    return pd.DataFrame.from_records(u.close(horizon), columns=FOLD_COLUMNS)
+
+
+def fold_sightings_grouped(annotated: DataFrame, th: Thresholds) -> DataFrame:
+    """Same result with one pandas call per user (simpler, slower per user); kept for tests."""
+    cols = annotated.select("user_id", "zipcode", "day", "reference_zip", "ref_day", "horizon")
+    return cols.groupBy("user_id").applyInPandas(lambda pdf: fold_group(pdf, th), schema=FOLD_OUTPUT)
+
+
 def test_batch_borders_inside_users(spark):
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # users span many batches
@@ -17,7 +50,7 @@ def test_batch_borders_inside_users(spark):
         ann = rf.annotate(hz.daily_home_zip(tb.visits(spark, SF_MID)), TH.with_(age_limit=12))
         ann = ann.withColumn("horizon", tb.last_day(spark, SF_MID))
         a = fd.fold_sightings(ann, TH.with_(age_limit=12))
-        b = fd.fold_sightings_grouped(ann, TH.with_(age_limit=12))
+        b = fold_sightings_grouped(ann, TH.with_(age_limit=12))
         key = lambda r: tuple("" if v is None else str(v) for v in r)
         ra, rb = sorted(a.collect(), key=key), sorted(b.collect(), key=key)
         assert len(ra) > 0 and ra == rb

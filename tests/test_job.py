@@ -24,3 +24,29 @@ def test_job_cli_from_visits_table(spark):
     out = scratch_path(spark, "job-cli")
     main(["--visits", visits, "--out", out, "--thresholds", "fixture"])
     assert spark.read.parquet(f"{out}/moves").count() == 2
+
+
+def test_horizon_bounds_the_run(spark):
+    """A run with a horizon equals a run on data up to that day."""
+    import datetime as dt
+
+    from homeshift.operators import home_zip as hz
+    from homeshift.plans.movers import MoverRun
+    from homeshift.sources import tables as tb
+
+    dhz, h = hz.daily_home_zip(tb.visits(spark, SF_SMALL)), dt.date(2024, 1, 15)
+    cut = MoverRun(dhz.where("day <= DATE'2024-01-15'"), TH, horizon=h)
+    run = MoverRun(dhz, TH, horizon=h)
+    for name in ("pool", "streak", "registry", "history"):
+        assert sorted(map(str, getattr(run, name).collect())) == sorted(map(str, getattr(cut, name).collect())), name
+    assert run.registry.where("gap_days < 0").count() == 0
+
+
+def test_audits_have_their_columns(spark):
+    from homeshift.operators import home_zip as hz
+    from homeshift.plans.movers import MoverRun
+    from homeshift.sources import tables as tb
+
+    run = MoverRun(hz.daily_home_zip(tb.visits(spark, SF_SMALL)), TH.with_(age_limit=12))
+    assert run.aged.columns == ["user_id", "zipcode", "confirmed_week", "since", "date_min", "date_max", "day", "presence_days"]
+    assert run.aged.count() > 0 and run.aged.where("presence_days <= 12 or since < date_min").count() == 0

@@ -32,3 +32,33 @@ def test_scan_reads_only_needed_columns_and_pushes_filters(spark):
     schema = re.search(r"ReadSchema: struct<([^>]*)>", p).group(1)
     assert sorted(c.split(":")[0] for c in schema.split(",")) == ["props", "ts", "user_id"]
     assert "PushedFilters: [IsNotNull(user_id)]" in p
+
+
+def test_day_step_meets_once_per_user(spark):
+    from homeshift.config import SNAPSHOT_DAY
+    from homeshift.plans.snapshot import DayStep
+
+    d = DayStep(hz.daily_home_zip(tb.visits(spark, SF_SMALL)), SNAPSHOT_DAY, TH)
+    p = _plan(d.streak_after)
+    assert "Join" not in p
+    assert _plan(d.pool_evicted).count("Exchange hashpartitioning") <= 8
+
+
+def test_moves_need_one_exchange(spark):
+    run = MoverRun(hz.daily_home_zip(tb.visits(spark, SF_SMALL)), TH, horizon=tb.last_day(spark, SF_SMALL))
+    p = _plan(run.moves)
+    assert p.count("Exchange hashpartitioning") == 1 and "Join" not in p
+    assert _plan(run.metrics(tb.visits(spark, SF_SMALL))).count("Exchange hashpartitioning") <= 8
+
+
+def test_workers_find_the_package_from_another_folder(tmp_path):
+    """A fold query run from another folder, with the package on the driver's path only."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"import sys; sys.path.insert(0, {root!r}); from homeshift.session import local_session; s = local_session('2'); import __spark_entry__ as E; print('ROWS', E.queries()['mover_pool_final'](s, {SF_SMALL!r}).count())"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS 30" in out.stdout, out.stderr[-1500:]

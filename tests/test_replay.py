@@ -10,7 +10,6 @@ limits.
 """
 
 import datetime as dt
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,10 +46,7 @@ def one_partition(spark):
     spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-SLOW = pytest.mark.skipif(not os.environ.get("HOMESHIFT_SLOW_TESTS"), reason="set HOMESHIFT_SLOW_TESTS=1")
-
-
-@pytest.mark.parametrize("limits", [(28, 12), pytest.param((28, 148), marks=SLOW), pytest.param((10, 9), marks=SLOW)])
+@pytest.mark.parametrize("limits", [(28, 12), (28, 148)])
 def test_replay_equals_fold(one_partition, limits):
     spark = one_partition
     th = TH.with_(return_limit=limits[0], age_limit=limits[1])

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from homeshift.config import FIXTURE_THRESHOLDS as TH
@@ -10,32 +11,70 @@ from homeshift.plans.movers import MoverRun
 from homeshift.session import scratch_path
 from homeshift.sources import tables as tb
 from homeshift.streaming import movers_stream as ms
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
+
+
+def _pool(out):
+    return out.where("kind = 'pool'").select("user_id", "zipcode", F.col("week").alias("confirmed_week"), "since")
 
 
 def test_mover_stream_over_restarts_equals_batch(spark):
     dhz = hz.daily_home_zip(tb.visits(spark, SF_SMALL))
-    src, out, ck = (scratch_path(spark, n) for n in ("src", "out", "ck"))
+    src, out, ck, closing = (scratch_path(spark, n) for n in ("src", "out", "ck", "closing"))
+    dhz.limit(0).write.parquet(closing)
     cuts = [dt.date(2024, 1, 11), dt.date(2024, 1, 21), dt.date(2024, 2, 1)]
     lo = dt.date(2024, 1, 1)
     for hi in cuts:  # each chunk is a new micro-batch of a restarted query (state from the checkpoint)
         part = dhz.where((F.col("day") >= F.lit(lo)) & (F.col("day") < F.lit(hi)))
         part.write.mode("append").partitionBy("day").parquet(src)
-        ms.mover_stream(spark, src, out, ck, TH).awaitTermination()
+        if hi == cuts[-1]:
+            ms.close_input(spark, closing, dt.date(2024, 1, 30), 0)
+        ms.mover_stream(spark, src, out, ck, TH, closing_path=closing).awaitTermination()
         lo = hi
-    res = ms.latest_state(spark.read.schema(ms.STREAM_OUTPUT).parquet(out))
-    pool = res.where("kind = 'pool'").select("user_id", "zipcode", F.col("week").alias("confirmed_week"), "since")
+    res = ms.latest_state(ms.read_output(spark, out))
     batch = MoverRun(dhz, TH, horizon=dt.date(2024, 1, 30))
-    assert sorted(pool.collect()) == sorted(batch.pool.collect())
+    assert sorted(_pool(res).collect()) == sorted(batch.pool.collect())
     streak = res.where("kind = 'streak'").select("user_id", "zipcode", "streak_start")
     assert sorted(streak.collect()) == sorted(batch.streak.select("user_id", "zipcode", "streak_start").collect())
     ref = res.where("kind = 'reference'").select("user_id", F.col("zipcode").alias("reference_zip"))
     assert sorted(ref.collect()) == sorted(batch.reference.select("user_id", "reference_zip").collect())
 
 
-def test_daily_home_zip_stream_emits_closed_days(spark):
+@pytest.mark.parametrize("age", [5, 9, 148])
+def test_out_of_order_files_and_age_limits_equal_batch(spark, age):
+    """Files of all days in no order over several micro-batches: pool, streak and audits equal the batch run."""
+    th = TH.with_(age_limit=age)
+    dhz = hz.daily_home_zip(tb.visits(spark, SF_MID)).persist()
+    batch = MoverRun(dhz, th, horizon=dt.date(2024, 1, 30))
+    out = ms.run_mover_stream(spark, dhz, th, max_files=40)
+    assert out.select("batch").distinct().where("batch >= 0").count() >= 1
+    res = ms.latest_state(out)
+    assert sorted(_pool(res).collect()) == sorted(batch.pool.collect())
+    streak = res.where("kind = 'streak'").select("user_id", "zipcode", "streak_start")
+    assert sorted(streak.collect()) == sorted(batch.streak.select("user_id", "zipcode", "streak_start").collect())
+    audits = out.where("kind in ('returned', 'aged')").groupBy("user_id", "day", F.col("kind").alias("reason")).agg(F.max("presence_days"))
+    assert sorted(audits.collect()) == sorted(batch.evictions.collect())
+    dhz.unpersist()
+
+
+def test_small_lateness_applies_days_in_order(spark):
+    """Rows of neighbouring days swapped between micro-batches, within the lateness."""
+    rows = [(1, z, dt.date(2024, 1, d)) for d, z in [(2, "b"), (1, "a"), (4, "d"), (3, "c"), (6, "f"), (5, "e")]]
+    src, out, ck, closing = (scratch_path(spark, n) for n in ("src", "out", "ck", "closing"))
+    spark.createDataFrame([], "user_id long, zipcode string, day date").write.parquet(closing)
+    for row in rows:
+        spark.createDataFrame([row], "user_id long, zipcode string, day date").write.mode("append").parquet(src)
+        ms.mover_stream(spark, src, out, ck, TH.with_(min_days=1, min_share=0.0), lateness_days=2, closing_path=closing).awaitTermination()
+    ms.close_input(spark, closing, dt.date(2024, 1, 6), 2)
+    ms.mover_stream(spark, src, out, ck, TH.with_(min_days=1, min_share=0.0), lateness_days=2, closing_path=closing).awaitTermination()
+    res = ms.latest_state(ms.read_output(spark, out))
+    assert [tuple(r) for r in res.where("kind = 'reference'").select("zipcode", "day").collect()] == [("a", dt.date(2024, 1, 1))]
+    assert sorted(r[0] for r in res.where("kind = 'pool'").select("zipcode").collect()) == ["b", "c", "d", "e", "f"]
+
+
+def test_daily_home_zip_stream_emits_every_day(spark):
     got = ms.run_daily_home_zip_stream(spark, f"{SF_SMALL}/events.parquet")
-    want = hz.daily_home_zip(tb.visits(spark, SF_SMALL)).where("day < DATE'2024-01-30'")
+    want = hz.daily_home_zip(tb.visits(spark, SF_SMALL))
     assert sorted(got.collect()) == sorted(want.collect())
 
 
