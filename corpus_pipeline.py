@@ -23,7 +23,8 @@ from homeshift.session import materialize, ship_package
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality_rules.score_documents(docs.select(F.struct("*").alias("_doc"), F.col("doc_id"), F.col("text")), model)
+    whole = docs.select(F.struct("*").alias("_doc"), "doc_id", "text")  # keeps columns that are named like the operator's
+    scored = quality_rules.score_documents(whole, model)
     return scored.where("predicted = 1").select(*[F.col("_doc")[c].alias(c) for c in docs.columns])
 
 

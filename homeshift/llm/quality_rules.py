@@ -34,54 +34,55 @@ def _count(t: Column, pattern: str) -> Column:
     return F.regexp_count(t, F.lit(pattern)).cast("double")
 
 
-def with_statistics(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, list[str]]:
-    """Adds the statistics as columns ``st_*``; returns the table and their names."""
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    words = F.array_remove(F.split(t, r"\s+"), "")
-    lines = F.array_remove(F.split(t, "\n"), "")
-    raw = docs.select(
-        "*",
-        F.length(t).cast("double").alias("_n"),
-        F.octet_length(t).cast("double").alias("_bytes"),
-        words.alias("_words"),
-        lines.alias("_lines"),
-        _count(t, "[A-Z]").alias("_upper"),
-        _count(t, "[0-9]").alias("_digit"),
-        _count(t, r"[!-/:-@\[-`{-~&&[^.,]]").alias("_symbol"),
-        _count(t, "[!?]").alias("_bang"),
-        _count(t, "[.,]").alias("_stop"),
-        _count(t, r"\|").alias("_bar"),
-    )
-    raw = raw.select(
-        "*",
-        F.size("_words").cast("double").alias("_w"),
-        F.size("_lines").cast("double").alias("_l"),
-        F.size(F.array_distinct("_words")).cast("double").alias("_dw"),
-        F.size(F.array_distinct("_lines")).cast("double").alias("_dl"),
-    )
-
-    def share(a: str, b: str) -> Column:
-        return F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(F.lit(0.0))
-
-    stats = {
-        "st_log_length": F.log1p("_n"),
-        "st_words": F.log1p("_w"),
-        "st_lines": F.log1p("_l"),
-        "st_bytes_a_char": share("_bytes", "_n"),
-        "st_upper": share("_upper", "_n"),
-        "st_digit": share("_digit", "_n"),
-        "st_symbol": share("_symbol", "_n"),
-        "st_symbol_word": share("_symbol", "_w"),
-        "st_bang": share("_bang", "_w"),
-        "st_stop": share("_stop", "_w"),
-        "st_bar": share("_bar", "_w"),
-        "st_word_length": share("_n", "_w"),
-        "st_distinct_words": share("_dw", "_w"),
-        "st_distinct_root": F.when(F.col("_w") > 0, F.col("_dw") / F.sqrt("_w")).otherwise(F.lit(0.0)),
-        "st_distinct_lines": share("_dl", "_l"),
-        "st_words_a_line": share("_w", "_l"),
-    }
-    return raw.select(*[F.col(c) for c in docs.columns], *[e.alias(k) for k, e in stats.items()]), list(stats)
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, wherever the optimizer moves the expression.
+
+    A plain alias is copied into each use when a filter on the result is pushed below the projection; a lambda
+    variable is not.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+NAMES = [
+    "log_length", "words", "lines", "bytes_a_char", "upper", "digit", "symbol", "symbol_word", "bang", "stop", "bar",
+    "word_length", "distinct_words", "distinct_root", "distinct_lines", "words_a_line",
+]
+
+
+def statistics(text: Column) -> Column:
+    """Struct of the statistics ``NAMES`` of a whole text; null counts as empty."""
+
+    def counts(t: Column) -> Column:
+        return F.struct(
+            F.length(t).cast("double").alias("n"),
+            F.octet_length(t).cast("double").alias("bytes"),
+            F.array_remove(F.split(t, r"\s+"), "").alias("words"),
+            F.array_remove(F.split(t, "\n"), "").alias("lines"),
+            _count(t, "[A-Z]").alias("upper"),
+            _count(t, "[0-9]").alias("digit"),
+            _count(t, r"[!-/:-@\[-`{-~&&[^.,]]").alias("symbol"),
+            _count(t, "[!?]").alias("bang"),
+            _count(t, "[.,]").alias("stop"),
+            _count(t, r"\|").alias("bar"),
+        )
+
+    def sizes(c: Column) -> Column:
+        names = ["n", "bytes", "upper", "digit", "symbol", "bang", "stop", "bar"]
+        lists = {"w": F.size(c["words"]), "l": F.size(c["lines"]), "dw": F.size(F.array_distinct(c["words"])), "dl": F.size(F.array_distinct(c["lines"]))}
+        return F.struct(*[c[x].alias(x) for x in names], *[e.cast("double").alias(k) for k, e in lists.items()])
+
+    def shares(c: Column) -> Column:
+        def share(a: str, b: str) -> Column:
+            return F.when(c[b] > 0, c[a] / c[b]).otherwise(F.lit(0.0))
+
+        values = [
+            F.log1p(c["n"]), F.log1p(c["w"]), F.log1p(c["l"]), share("bytes", "n"), share("upper", "n"), share("digit", "n"), share("symbol", "n"), share("symbol", "w"),
+            share("bang", "w"), share("stop", "w"), share("bar", "w"), share("n", "w"), share("dw", "w"),
+            F.when(c["w"] > 0, c["dw"] / F.sqrt(c["w"])).otherwise(F.lit(0.0)), share("dl", "l"), share("w", "l"),
+        ]
+        return F.struct(*[v.alias(k) for k, v in zip(NAMES, values)])
+
+    return let(F.coalesce(text, F.lit("")), lambda t: let(counts(t), lambda c: let(sizes(c), shares)))
 
 
 def held_out(id_col: str) -> Column:
@@ -166,13 +167,13 @@ class RuleModel:
     def __init__(self, names: list[str], rules: list[tuple[Rule, float]], intercept: float):
         self.names, self.rules, self.intercept = names, rules, intercept
 
-    def score(self) -> Column:
-        """The rules as one column expression over the statistics."""
+    def score(self, stats) -> Column:
+        """The rules as one column expression; ``stats`` gives the column of a statistic by its name."""
         terms = [F.lit(float(self.intercept))]
         for rule, weight in self.rules:
             held = F.lit(True)
             for f, under, at in rule:
-                c = F.col(self.names[f])
+                c = stats(self.names[f])
                 held = held & ((c <= at) if under else (c > at))
             terms.append(F.when(held, F.lit(float(weight))).otherwise(F.lit(0.0)))
         while len(terms) > 1:  # a balanced sum keeps the expression shallow
@@ -185,22 +186,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(id_col))
     sample = known.select(F.col(id_col).alias("_label_id"), F.col(label_col).alias("_label")).orderBy(F.xxhash64("_label_id"), "_label_id", "_label").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    chosen = texts.join(F.broadcast(sample), F.col("_id") == F.col("_label_id")).select("_id", "_text", "_label")
-    stats, names = with_statistics(chosen, "_text")
-    rows = stats.select("_label", *names).toPandas()
-    x, y = rows[names].to_numpy(float), rows["_label"].to_numpy(float)
+    chosen = texts.join(F.broadcast(sample), F.col("_id") == F.col("_label_id"))
+    rows = chosen.select("_label", statistics(F.col("_text")).alias("_stats")).select("_label", "_stats.*").toPandas()
+    x, y = rows[NAMES].to_numpy(float), rows["_label"].to_numpy(float)
     order = np.lexsort((*x.T, y))  # the fit does not depend on the order of the rows
     x, y = x[order], y[order]
     if not len(y) or y.min() == y.max():
-        return RuleModel(names, [], math.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+        return RuleModel(NAMES, [], math.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     rules = grow_rules(x, y)
     weights, b = lasso_logistic(rule_matrix(x, rules), y, penalty)
-    return RuleModel(names, [(r, w) for r, w in zip(rules, weights) if abs(w) > 1e-6], b)
+    return RuleModel(NAMES, [(r, w) for r, w in zip(rules, weights) if abs(w) > 1e-6], b)
 
 
 def score_documents(docs: DataFrame, model: RuleModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """All columns of ``docs`` plus held_out, score and predicted."""
-    own = docs.columns
-    stats, _ = with_statistics(docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), "_text")
-    scored = stats.select("_row", held_out("_id").alias("held_out"), model.score().alias("score"))
-    return scored.select(*[F.col(f"_row.`{c}`").alias(c) for c in own if c not in ("held_out", "score", "predicted")], "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    score = let(statistics(F.col(text_col)), lambda s: model.score(lambda name: s[name]))
+    out = docs.withColumns({"held_out": held_out(id_col), "score": score})
+    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

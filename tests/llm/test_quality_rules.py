@@ -64,5 +64,13 @@ def test_compiled_rules_equal_the_matrix(spark):
     assert ((p > 0.5) == y).mean() > 0.97
     model = q.RuleModel(["a", "b", "c"], list(zip(rules, w)), b)
     df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "i long, a double, b double, c double")
-    got = [r[0] for r in df.orderBy("i").select(model.score()).collect()]
+    got = [r[0] for r in df.orderBy("i").select(model.score(q.F.col)).collect()]
     assert np.allclose(got, p)
+
+
+def test_a_filter_on_the_result_computes_the_statistics_once(spark, docs_of):
+    rows, labels = table_of(spark, 200)
+    docs = docs_of(rows)
+    out = q.score_documents(docs, q.fit(docs, labels)).where("predicted = 1").select("doc_id")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_count") + plan.count("[A-Z]") < 12
