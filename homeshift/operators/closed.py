@@ -1,0 +1,64 @@
+"""Final rows of users that are never evicted, by windows; the fold is left with the evicted ones.
+
+Until a user's first eviction, the closed form without eviction (``streak.route_without_eviction``
+and its islands) is what the day-by-day rules give.  So one pass over the sightings,
+partitioned by ``user_id`` as everything before it, tells which users are ever evicted: a confirmed
+return home within the return limit, or a pool age over the limit on the horizon.  Their
+sightings go to the per-user fold (Python); all other users' final rows come from
+aggregates over the same table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from homeshift.config import Thresholds
+from homeshift.functions.dates import inclusive_day_diff, weekday_flag, weekend_flag
+from homeshift.operators import reference as rf
+from homeshift.operators import streak as sk
+from homeshift.schemas import FOLD_OUTPUT
+
+
+def with_eviction_flag(annotated: DataFrame, horizon, th: Thresholds) -> DataFrame:
+    """Sightings with their route, their run (islands) and whether their user is ever evicted: no further exchange."""
+    x = sk.islands(sk.route_without_eviction(annotated), by=("user_id", "route")).withColumn("horizon", horizon)
+    mover = F.col("route") == rf.ROUTE_MOVER
+    x = x.withColumn("pool_first", F.min(F.when(mover, F.col("day"))).over(rf.by_user()))
+    presence = inclusive_day_diff("day", "pool_first")
+    came_home = mover & sk.is_confirmed(th) & (F.col("zipcode") == F.col("reference_zip")) & (presence <= th.return_limit)
+    too_old = inclusive_day_diff("horizon", "pool_first") > th.age_limit
+    gone = F.max(F.coalesce(came_home | too_old, F.lit(False))).over(rf.by_user())
+    return x.withColumn("evicted", gone)
+
+
+def _out(df: DataFrame, kind: str, **cols) -> DataFrame:
+    have = {"kind": F.lit(kind), "user_id": F.col("user_id"), **cols}
+    return df.select(*[have.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in FOLD_OUTPUT.fields])
+
+
+def final_rows(x: DataFrame, th: Thresholds) -> DataFrame:
+    """FOLD_OUTPUT rows (reference, history, registry, pool, streak) of never evicted users."""
+    c = F.col
+    fed = x.where(c("route") != rf.ROUTE_MOVER)
+    movers = x.where(c("route") == rf.ROUTE_MOVER)
+    history = fed.groupBy("user_id", "zipcode").agg(F.sum(weekend_flag("day")).alias("we"), F.sum(weekday_flag("day")).alias("sem"))
+    seen = fed.groupBy("user_id").agg(
+        F.max("horizon").alias("horizon"), F.min("day").alias("first"), F.max("day").alias("last"),
+        F.max(F.when(c("day") < c("horizon"), c("day"))).alias("before"),
+    )
+    pool = sk.pool_from_islands(movers, th)
+    streak = sk.streak_from_islands(movers)
+    return (
+        _out(rf.reference_zip(x), "reference", zipcode=c("reference_zip"), day=c("ref_day"))
+        .unionByName(_out(history, "history", zipcode=c("zipcode"), weekend_days=c("we"), weekday_days=c("sem")))
+        .unionByName(_out(
+            seen, "registry", first_seen=c("first"), last_seen=c("last"),
+            gap_days=F.coalesce(inclusive_day_diff("horizon", "before"), F.lit(1)), tenure_days=inclusive_day_diff("horizon", "first"),
+        ))
+        .unionByName(_out(pool, "pool", zipcode=c("zipcode"), week=c("confirmed_week"), since=c("since")))
+        .unionByName(_out(
+            streak, "streak", zipcode=c("zipcode"), week=c("week_no"), streak_start=c("streak_start"),
+            weekend_days=c("weekend_days"), weekday_days=c("weekday_days"),
+        ))
+    )

@@ -56,8 +56,9 @@ def week_confirmed(streak: DataFrame, day, th: Thresholds) -> DataFrame:
 
 def confirmed_home(confirmed: DataFrame, ref: DataFrame) -> DataFrame:
     """Users whose confirmed zip is their reference: they came back."""
-    r = ref.select("user_id", F.col("reference_zip").alias("zipcode")).distinct()
-    return confirmed.join(r, ["user_id", "zipcode"], "left_semi").select("user_id", "week_no").distinct()
+    r = ref.select(F.col("user_id").alias("u"), "reference_zip")
+    at_home = (F.col("user_id") == F.col("u")) & (F.col("zipcode") == F.col("reference_zip"))
+    return confirmed.join(r, at_home, "left_semi").select("user_id", "week_no")  # one zip a user and week
 
 
 def confirmed_elsewhere(confirmed: DataFrame, ref: DataFrame, day) -> DataFrame:

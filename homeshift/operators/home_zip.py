@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 from homeshift.functions.dates import is_weekend
 from homeshift.operators.partitioning import by_user_partitions
 from homeshift.functions.zips import home_hours_label, is_home_hours, is_valid_zip, HOME_LABEL
-from homeshift.sources.tables import scan_visits_distinct
+from homeshift.sources.tables import cast_visits, scan_visits_distinct
 
 
-def valid_visits(v: DataFrame) -> DataFrame:
+def valid_visits(v: DataFrame, unique: bool = False) -> DataFrame:
     """Distinct rows with a usable user id and a valid zipcode."""
-    return scan_visits_distinct(v).where(F.col("user_id").isNotNull() & is_valid_zip("zipcode"))
+    rows = cast_visits(v) if unique else scan_visits_distinct(v)
+    return rows.where(F.col("user_id").isNotNull() & is_valid_zip("zipcode"))
 
 
 def label_home_hours(v: DataFrame) -> DataFrame:
@@ -36,9 +37,9 @@ def filter_home_hours(v: DataFrame) -> DataFrame:
     return label_home_hours(v).where(F.col("hours") == HOME_LABEL).drop("hours")
 
 
-def home_rows(v: DataFrame, weekend: bool | None = None) -> DataFrame:
+def home_rows(v: DataFrame, weekend: bool | None = None, unique: bool = False) -> DataFrame:
     """Rows that count for the home zip; ``weekend`` limits to one kind of day."""
-    rows = valid_visits(v)
+    rows = valid_visits(v, unique)
     we = is_weekend("day")
     if weekend is True:
         return rows.where(we)
@@ -65,6 +66,14 @@ def argmax_zip(hits: DataFrame) -> DataFrame:
     return best.select("user_id", F.col("best.zipcode").alias("zipcode"), "day", F.col("best.nb_page").alias("nb_page"))
 
 
-def daily_home_zip(v: DataFrame, weekend: bool | None = None) -> DataFrame:
-    """visits -> (user_id, zipcode, day), hash-partitioned on user_id."""
+def daily_home_zip(v: DataFrame, weekend: bool | None = None, unique: bool = False) -> DataFrame:
+    """visits -> (user_id, zipcode, day), hash-partitioned on user_id.
+
+    ``unique``: the rows are a rollup of their own (no copies, at most zips x 4 rows a user and
+    day), so they go straight to the user exchange, which distinct, sum and arg-max share.  Other
+    input may hold many copies; it is made distinct first, with a map-side step.
+    """
+    if unique:
+        rows = by_user_partitions(home_rows(v, weekend, unique=True))
+        return argmax_zip(hits_per_user_zip(rows)).select("user_id", "zipcode", "day")
     return argmax_zip(by_user_partitions(hits_per_user_zip(home_rows(v, weekend)))).select("user_id", "zipcode", "day")

@@ -139,6 +139,13 @@ def pool_rows(passed: DataFrame) -> DataFrame:
     return passed.where("kind = 'pool'").groupBy("user_id", "zipcode", "confirmed_week").agg(F.min("since").alias("since"))
 
 
+def day_state(feed: DataFrame, streak: DataFrame, pool: DataFrame, day) -> DataFrame:
+    """Merged streak and pool rows at the end of the day, tagged ``kind``: to be written once by kind."""
+    passed = day_pass(feed, streak, day, pool)
+    both = streak_rows(passed).withColumn("kind", F.lit("streak"))
+    return both.unionByName(pool_rows(passed).withColumn("kind", F.lit("pool")), allowMissingColumns=True)
+
+
 def streak_merge(feed: DataFrame, streak: DataFrame, day) -> DataFrame:
     """Streaks at the end of the day: started, changed, continued and unseen ones."""
     return streak_rows(day_pass(feed, streak, day))
@@ -164,12 +171,12 @@ def route_without_eviction(annotated: DataFrame) -> DataFrame:
     return x.withColumn("route", route)
 
 
-def islands(movers: DataFrame) -> DataFrame:
-    """Number the runs of equal zipcodes per user and add the running counters."""
-    w = Window.partitionBy("user_id").orderBy("day")
+def islands(movers: DataFrame, by: tuple[str, ...] = ("user_id",)) -> DataFrame:
+    """Number the runs of equal zipcodes per user (or per ``by``) and add the running counters."""
+    w = Window.partitionBy(*by).orderBy("day")
     changed = F.coalesce(F.lag("zipcode").over(w) != F.col("zipcode"), F.lit(True))
     x = movers.withColumn("island", F.sum(changed.cast("int")).over(w))
-    wi = Window.partitionBy("user_id", "island")
+    wi = Window.partitionBy(*by, "island")
     wr = wi.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = x.withColumn("streak_start", F.min("day").over(wi))
     x = x.withColumn("weekend_days", F.sum(weekend_flag("day")).over(wr).cast("bigint"))
@@ -177,11 +184,16 @@ def islands(movers: DataFrame) -> DataFrame:
     return x.withColumn("age", inclusive_day_diff("day", "streak_start"))
 
 
-def confirmed_anniversaries(isl: DataFrame, th: Thresholds) -> DataFrame:
-    """Sightings on an exact 7-day anniversary of their streak that pass the weekly test."""
+def is_confirmed(th: Thresholds) -> Column:
+    """An exact 7-day anniversary of the streak that passes the weekly test."""
     anniversary = (F.col("age") >= 7) & (F.col("age") % 7 == 0)
     we, sem = F.col("weekend_days"), F.col("weekday_days")
-    return isl.where(anniversary & week_passes(we, sem, we, sem, th)).withColumn(
+    return anniversary & week_passes(we, sem, we, sem, th)
+
+
+def confirmed_anniversaries(isl: DataFrame, th: Thresholds) -> DataFrame:
+    """Sightings on an exact 7-day anniversary of their streak that pass the weekly test."""
+    return isl.where(is_confirmed(th)).withColumn(
         "confirmed_week", (F.col("age") / 7).cast("int")
     )
 

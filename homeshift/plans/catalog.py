@@ -36,7 +36,7 @@ def _visits(spark, sf):
 
 
 def _dhz(spark, sf):
-    return hz.daily_home_zip(_visits(spark, sf))
+    return hz.daily_home_zip(_visits(spark, sf), unique=True)  # the rollup of events has no copies
 
 
 def _annotated(spark, sf):
@@ -63,6 +63,15 @@ def _on_step(fn) -> Query:
 LIKE_FRAGMENT = "7500"
 
 
+# Name under which the visits are known to the session catalog.
+VISITS_NAME = "homeshift_visits"
+
+
+def _named(spark, sf) -> SparkSession:
+    _visits(spark, sf).createOrReplaceTempView(VISITS_NAME)
+    return spark
+
+
 def _days(spark, sf):
     return cal.present_days(_visits(spark, sf))
 
@@ -104,6 +113,10 @@ def build() -> dict[str, Query]:
     q["filter_home_hours"] = lambda s, sf: hz.filter_home_hours(_visits(s, sf))
 
     q["scan_visits_all"] = lambda s, sf: tb.scan_days(_visits(s, sf))
+    q["scan_catalog_table"] = lambda s, sf: _named(s, sf).table(VISITS_NAME)
+    q["named_relation_sql"] = lambda s, sf: _named(s, sf).sql(
+        f"SELECT zipcode, count(DISTINCT cookie) AS users, sum(nb_hits) AS hits FROM {VISITS_NAME} GROUP BY zipcode"
+    )
     q["project_cast"] = lambda s, sf: _visits(s, sf).select(
         F.expr("try_cast(cookie AS BIGINT)").alias("user_id"), "zipcode", "nb_hits",
         F.expr("try_cast(tranche AS INT)").alias("tranche"), "date",

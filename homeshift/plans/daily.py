@@ -82,8 +82,9 @@ def advance_day(spark: SparkSession, state_path: str | None, dhz: DataFrame, day
         reference = put("reference", old.reference.select("user_id", "reference_zip").unionByName(
             rf.reference_candidates(history, registry, th)
         ).distinct())
-        passed = put("day_pass", sk.day_pass(mover_feed, old.streak, day, old.pool))
-        streak, pool = sk.streak_rows(passed), sk.pool_rows(passed)
+        merged = put("merged", sk.day_state(mover_feed, old.streak, old.pool, day))
+        streak = merged.where("kind = 'streak'").select(*sk.STREAK_COLS)
+        pool = merged.where("kind = 'pool'").select(*sk.POOL_COLS)
         confirmed = cf.week_confirmed(streak, day, th)
         returned = put("returned", cf.audit_returned_home(cf.confirmed_home(confirmed, reference), pool, day, th))
         aged = put("aged", cf.audit_aged_out(pool, day, th))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from homeshift.config import FIXTURE_THRESHOLDS, REFERENCE_THRESHOLDS, Thresholds
 from homeshift.operators import home_zip as hz
 from homeshift.plans.movers import MoverRun
+from homeshift.session import clean_scratch, scratch_mark
 from homeshift.sources.tables import visits_from_events
 
 OUTPUTS = ("reference", "history", "registry", "pool", "streak", "evictions", "returned", "aged", "home_seen_in_pool", "potential_movers", "moves")
@@ -38,15 +39,16 @@ def write_all(run: MoverRun, out_dir: str) -> dict[str, str]:
 
 
 def run_job(spark: SparkSession, out_dir: str, th: Thresholds, visits_path: str | None = None,
-            events_path: str | None = None, horizon: _dt.date | None = None) -> dict[str, str]:
-    if visits_path:
-        visits = spark.read.parquet(visits_path)
+            events_path: str | None = None, horizon: _dt.date | None = None,
+            visits_table: str | None = None) -> dict[str, str]:
+    if visits_path or visits_table:
+        visits = spark.read.parquet(visits_path) if visits_path else spark.table(visits_table)
         last = visits.select(F.max("date")).scalar()
     else:
         events = spark.read.parquet(events_path)
         visits = visits_from_events(events)
         last = events.select(F.max(F.to_date("ts"))).scalar()
-    run = MoverRun(hz.daily_home_zip(visits), th, horizon=horizon or last)
+    run = MoverRun(hz.daily_home_zip(visits, unique=bool(events_path)), th, horizon=horizon or last)
     return write_all(run, out_dir)
 
 
@@ -54,6 +56,7 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     src = ap.add_mutually_exclusive_group(required=True)
     src.add_argument("--visits")
+    src.add_argument("--visits-table", help="name of a table in the session catalog")
     src.add_argument("--events")
     ap.add_argument("--out", required=True)
     ap.add_argument("--horizon", type=_dt.date.fromisoformat)
@@ -61,8 +64,10 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("homeshift-movers").getOrCreate()
     th = REFERENCE_THRESHOLDS if a.thresholds == "reference" else FIXTURE_THRESHOLDS
-    for name, path in run_job(spark, a.out, th, a.visits, a.events, a.horizon).items():
+    mark = scratch_mark()
+    for name, path in run_job(spark, a.out, th, a.visits, a.events, a.horizon, a.visits_table).items():
         print(name, path)
+    clean_scratch(spark, mark)
 
 
 if __name__ == "__main__":

@@ -1,7 +1,7 @@
 """Batch plan of the whole detection over every day of the input.
 
 visits -> daily home zip (partial aggregates) -> per-user windows (one hash
-exchange on user_id) -> per-user fold (mapInArrow, same partitioning) ->
+exchange on user_id) -> users that are never evicted: aggregates; evicted users: per-user fold (mapInArrow) ->
 final tables.  The fold output is materialised once as a parquet table, one folder a kind, in the shared
 ``spark.checkpoint.dir`` folder, since every final table is read from it; this
 also cuts the lineage so a lost executor does not replay the whole chain.
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from homeshift.config import Thresholds
 from homeshift.session import materialize
+from homeshift.operators import closed as cl
 from homeshift.operators import fold as fd
 from homeshift.operators import reference as rf
 from homeshift.operators.partitioning import by_user_partitions
@@ -52,9 +53,16 @@ class MoverRun:
     def annotated(self) -> DataFrame:
         return rf.annotate(self.dhz, self.th)
 
+    @cached_property
+    def sightings(self) -> DataFrame:
+        """Every sighting with its route, run and its user's eviction flag; written once, one folder a flag."""
+        out = cl.with_eviction_flag(self.annotated, self.horizon, self.th)
+        return materialize(out, "sightings", ["evicted"]) if self.materialize else out
+
     @cached_property
     def fold(self) -> DataFrame:
-        out = fd.fold_sightings(self.annotated.withColumn("horizon", self.horizon), self.th)
+        x = self.sightings
+        out = fd.fold_sightings(x.where("evicted"), self.th).unionByName(cl.final_rows(x.where("not evicted"), self.th))
         return materialize(out, "fold", ["kind"]) if self.materialize else out
 
     def _kind(self, kind: str) -> DataFrame:

@@ -142,16 +142,16 @@ class DayStep:
     @cached_property
     def passed(self) -> DataFrame:
         """Streak and pool rows at the end of the day, tagged; written once, read by kind."""
-        out = sk.day_pass(self.mover_feed, self.streak, self.day, self.pool)
+        out = sk.day_state(self.mover_feed, self.streak, self.pool, self.day)
         return materialize(out, "daystep", ["kind"]) if self.materialize else out
 
     @cached_property
     def streak_after(self) -> DataFrame:
-        return sk.streak_rows(self.passed)
+        return self.passed.where("kind = 'streak'").select(*sk.STREAK_COLS)
 
     @cached_property
     def pool_after(self) -> DataFrame:
-        return sk.pool_rows(self.passed)
+        return self.passed.where("kind = 'pool'").select(*sk.POOL_COLS)
 
     @cached_property
     def confirmed(self) -> DataFrame:

@@ -27,6 +27,10 @@ LOCAL_CONF = {
 }
 
 
+#: Scratch tables of this process, for ``clean_scratch``.
+_SCRATCH: list[str] = []
+
+
 def local_session(cores: str = "*", app: str = "homeshift", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for k, v in {**LOCAL_CONF, **(extra or {})}.items():
@@ -57,7 +61,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables (scheme kept)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """Where the scratch tables of this process stand, for ``clean_scratch``."""
+    return len(_SCRATCH)
+
+
+def clean_scratch(spark: SparkSession, mark: int) -> None:
+    """Delete the scratch tables made since ``mark``: at the end of a job, when all results are written elsewhere."""
+    while len(_SCRATCH) > mark:
+        drop_scratch(spark, _SCRATCH[-1])
+        _SCRATCH.pop()
 
 
 def materialize(df, name: str, partition_by: list[str] | None = None):

@@ -74,8 +74,8 @@ def last_day(spark: SparkSession, sf_dir: str) -> F.Column:
     return table(spark, sf_dir, "events").select(F.max(F.to_date("ts"))).scalar()
 
 
-def scan_visits_distinct(v: DataFrame) -> DataFrame:
-    """DISTINCT (user_id, zipcode, nb_hits, tranche, day) with tolerant casts.
+def cast_visits(v: DataFrame) -> DataFrame:
+    """(user_id, zipcode, nb_hits, tranche, day) with tolerant casts.
 
     A cookie that is not a number gives a null user_id (``try_cast``) instead
     of failing the job under ANSI mode.
@@ -86,7 +86,12 @@ def scan_visits_distinct(v: DataFrame) -> DataFrame:
         "nb_hits",
         F.expr("try_cast(tranche AS INT)").alias("tranche"),
         F.col("date").alias("day"),
-    ).distinct()
+    )
+
+
+def scan_visits_distinct(v: DataFrame) -> DataFrame:
+    """DISTINCT (user_id, zipcode, nb_hits, tranche, day)."""
+    return cast_visits(v).distinct()
 
 
 def scan_days(v: DataFrame, first: _dt.date | None = None, last: _dt.date | None = None) -> DataFrame:

@@ -250,6 +250,9 @@ def build() -> dict[str, str]:
     q["streak_after_eviction"] = w(SNAP, "SELECT * FROM st2 WHERE user_id NOT IN (SELECT user_id FROM gone)")
     V = [VISITS]
     q["scan_visits_all"] = w(V, 'SELECT cookie, zipcode, tranche, nb_hits, "date" FROM visits')
+    q["scan_catalog_table"] = w(V, "SELECT * FROM visits")
+    q["named_relation_sql"] = w(V, """SELECT zipcode, count(DISTINCT cookie) AS users, CAST(sum(nb_hits) AS BIGINT) AS hits
+  FROM visits GROUP BY zipcode""")
     q["project_cast"] = w(V, """SELECT TRY_CAST(cookie AS BIGINT) AS user_id, zipcode, nb_hits,
   TRY_CAST(tranche AS INTEGER) AS tranche, "date" FROM visits""")
     q["load_days_tagged"] = w(V, """SELECT *, strftime("date", '%Y%m%d') AS day1 FROM visits""")

@@ -50,3 +50,18 @@ def test_audits_have_their_columns(spark):
     run = MoverRun(hz.daily_home_zip(tb.visits(spark, SF_SMALL)), TH.with_(age_limit=12))
     assert run.aged.columns == ["user_id", "zipcode", "confirmed_week", "since", "date_min", "date_max", "day", "presence_days"]
     assert run.aged.count() > 0 and run.aged.where("presence_days <= 12 or since < date_min").count() == 0
+
+
+def test_job_from_a_catalog_table_removes_only_its_own_scratch(spark):
+    from homeshift.plans.job import main
+    from homeshift.session import materialize, path_exists, scratch_mark
+    from homeshift import session
+    from homeshift.sources import tables as tb
+
+    other = materialize(spark.range(3), "other")
+    tb.visits(spark, SF_SMALL).createOrReplaceTempView("job_visits")
+    out = scratch_path(spark, "job-table")
+    mark = scratch_mark()
+    main(["--visits-table", "job_visits", "--out", out, "--thresholds", "fixture"])
+    assert scratch_mark() == mark and path_exists(spark, session._SCRATCH[-1])
+    assert spark.read.parquet(f"{out}/moves").count() == 2 and other.count() == 3

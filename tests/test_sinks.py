@@ -54,3 +54,16 @@ def test_week_totals_cover_the_whole_week(spark):
     streak = spark.createDataFrame(rows, "user_id long, zipcode string, streak_start date, weekend_days long, weekday_days long, week_no int")
     assert cf.week_confirmed(streak, d, TH).count() == 0  # 3 of 7 weekdays: below the share of 0.6
     assert cf.week_confirmed(streak.where("zipcode = 'a'"), d, TH).count() == 1
+
+
+def test_overwrite_replaces_and_error_keeps(spark):
+    import pytest
+
+    path = scratch_path(spark, "table")
+    v = tb.visits(spark, SF_SMALL)
+    sinks.write_table(v, path)
+    with pytest.raises(Exception, match="(?i)exists"):
+        sinks.write_table(v, path)
+    assert spark.read.parquet(path).count() == 809
+    sinks.write_table(v.where("date = DATE'2024-01-02'"), path, mode="overwrite")
+    assert spark.read.parquet(path).select("date").distinct().count() == 1
