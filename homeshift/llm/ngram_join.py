@@ -93,6 +93,16 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return keys, np.frombuffer(blob, "<u2", n, 24 + n * width)
 
 
+def _pack_counts(c: np.ndarray) -> bytes:
+    """Bytes a count, then the counts: the width follows the largest one, so that none wraps."""
+    width = next(w for w in (1, 2, 4, 8) if int(c.max()) < 1 << 8 * w)
+    return bytes([width]) + c.astype(f"<u{width}").tobytes()
+
+
+def _unpack_counts(blob: bytes) -> np.ndarray:
+    return np.frombuffer(blob, f"<u{blob[0]}", offset=1)
+
+
 def _map_keys(k: int, key_bits: int, ranges: int):
     """Documents -> rows (range, chunk, payload): range -1 holds the chunk's ids, sizes and nodes."""
 
@@ -165,7 +175,7 @@ def _count_range(batches):
             if len(own):
                 out[0].append(1)
                 out[1].append(r[1])
-                out[2].append(np.bincount(own).astype("<u2").tobytes())
+                out[2].append(_pack_counts(np.bincount(own)))
         for x in np.flatnonzero(count >= COMMON_DF):
             out[0].append(2)
             out[1].append(int(key[begin[x]]))
@@ -180,8 +190,8 @@ def _sum_chunks(batches):
         shared = np.zeros(len(ids), np.int64)
         for r in rows:
             if r[1] == 1:
-                c = np.frombuffer(r[2], "<u2")
-                shared[: len(c)] += c
+                c = _unpack_counts(r[2])
+                shared[: len(c)] += c.astype(np.int64)
         yield _rows([ids, size, node, shared], ["id", "n", "node", "shared"], [pa.int64()] * 4)
 
 

@@ -86,6 +86,13 @@ def test_empty_table(docs_of):
     assert nj.ngram_components(docs_of([(1, "x")]).where("false")).count() == 0
 
 
+def test_near_copies_of_a_text_with_many_shingles(docs_of):
+    """A count of more than 65,535 shared shingles in one key range."""
+    words = [f"w{i}" for i in range(100_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-50] + ["other"])), (3, "a short text of some other words")]
+    check(docs_of(rows), rows)
+
+
 def test_packed_keys_round_trip():
     r = np.random.default_rng(0)
     for n, top in ((1, 5), (1000, 2**40), (50, 2**56)):
@@ -95,6 +102,11 @@ def test_packed_keys_round_trip():
         assert (k == keys).all() and (i == idx).all()
 
 
+@pytest.mark.parametrize("most", [1, 255, 256, 65_535, 65_536, 2**33])
+def test_packed_counts_round_trip(most):
+    assert nj._unpack_counts(nj._pack_counts(np.array([0, most]))).tolist() == [0, most]
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_derived_answers_equal_all_comparisons(seed):
     r = np.random.default_rng(seed)
