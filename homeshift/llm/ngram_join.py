@@ -18,17 +18,22 @@ Stages (each written table lies in the shared checkpoint folder)
    once; there, links are found among highly similar sets, deriving a set's answers from
    those of the pivots it was compared with: Jaccard distance is a metric, so distances to a
    common pivot prove or exclude most links, and sets that are already connected are not compared.
-5. The rest.  Lists are walked for pairs of different homes that are not connected yet;
-   entries are in order of size, blocks outside the size window are skipped, and the positions
-   bound the possible overlap.  The remaining pairs are verified on the whole sets.
+   A home above ``BLOCK_SETS`` sets is cut into blocks; up to ``PIVOTS`` of its sets are compared in every
+   block, so the groups of near copies that hold one of them are connected across the blocks.
+5. The rest.  Lists with more than one component and home are walked for pairs of different homes that
+   are not connected yet; entries are in order of size, those outside the size window are skipped, and the
+   positions bound the possible overlap.  The remaining pairs are verified on the whole sets.
+   A list above ``LIST_BLOCK`` entries is cut into blocks by a hash, apart for its largest component, and
+   every pair of blocks is a task of its own, but for pairs of blocks inside the largest component.
 6. Components of the links; the smallest id of a component goes to all its documents.
 
 No pair is lost: stages 1, 3 and 5 only skip pairs that can't reach the threshold, stage 4 only pairs
 that are connected anyway.  Sets are compared by 64-bit shingle hashes.
 
 Skew: equal texts are one node after a map-side aggregate; homes with more than
-``BLOCK_SETS`` sets are cut into blocks whose cross pairs fall to stage 5; key ranges
-are ranges of hashes.  Memory: a mapper holds ``CHUNK_TEXT`` bytes of text at a time, a counting
+``BLOCK_SETS`` sets are cut into blocks whose cross pairs, if pivots left them unconnected, fall to
+stage 5; long lists are cut into pairs of blocks; key ranges are ranges of hashes.  Unconnected sets that
+share a prefix shingle are still compared pair by pair: that part grows with the square of their number.  Memory: a mapper holds ``CHUNK_TEXT`` bytes of text at a time, a counting
 task one key range (about ``RANGE_TEXT`` bytes of text).
 
 Defined results: null or empty texts have size 0 and link with nothing; shorter texts
@@ -56,6 +61,8 @@ CHUNK_TEXT = 3_000_000
 RANGE_TEXT = 16_000_000
 COMMON, COMMON_DF = 65_536, 64
 BLOCK_SETS, BLOCK_TOKENS = 4096, 3_000_000
+PIVOTS = 16  # sets of a cut home that all its blocks see
+LIST_BLOCK, PAIR_ROWS = 4096, 500_000
 NODE_SEED = U(0x9E3779B97F4A7C15)
 
 
@@ -321,33 +328,58 @@ def _home_edges(num: int, den: int):
 
 
 def _list_pairs(num: int, den: int):
-    """Index entries sorted by token -> pairs of unconnected nodes of different homes that may still link."""
+    """Entries sorted by (token, i, j) -> pairs of unconnected nodes of different homes that may still link; of two blocks, pairs across them."""
 
     def run(batches):
-        for _, rows in _groups(batches, 0):
+        for _, rows in _groups(batches, slice(0, 3)):
             if len(rows) < 2:
                 continue
-            pos, n, node, home, comp = (np.array(c, dtype=np.int64) for c in list(zip(*rows))[1:])
+            side, pos, n, node, home, comp = (np.array(c, dtype=np.int64) for c in list(zip(*rows))[3:])
             if comp.min() == comp.max() or home.min() == home.max():
                 continue
             order = np.lexsort((pos, n))
-            pos, n, node, home, comp = (c[order] for c in (pos, n, node, home, comp))
+            side, pos, n, node, home, comp = (c[order] for c in (side, pos, n, node, home, comp))
             end = np.searchsorted(n, n * den / num + 1e-9, side="right")  # size blocks beyond are skipped
-            a, b = [], []
+            across = side.min() != side.max()
+            a, b, held = [], [], 0
             for x in range(len(n) - 1):
                 y = slice(x + 1, end[x])
                 most = np.minimum(n[x] - pos[x], n[y] - pos[y])  # overlap, if this is the first common token
                 ok = (comp[y] != comp[x]) & (home[y] != home[x]) & (most * (num + den) >= num * (n[y] + n[x]))
+                if across:
+                    ok &= side[y] != side[x]
                 got = node[y][ok]
                 a.append(np.minimum(got, node[x]))
                 b.append(np.maximum(got, node[x]))
-            a, b = np.concatenate(a), np.concatenate(b)
-            if len(a):
-                yield _rows([a, b], ["a", "b"], [pa.int64()] * 2)
+                held += len(got)
+                if held >= PAIR_ROWS:
+                    yield _rows([np.concatenate(a), np.concatenate(b)], ["a", "b"], [pa.int64()] * 2)
+                    a, b, held = [], [], 0
+            if held:
+                yield _rows([np.concatenate(a), np.concatenate(b)], ["a", "b"], [pa.int64()] * 2)
 
     return run
 
 
+def _list_blocks(walked: DataFrame) -> DataFrame:
+    """Index entries -> (token, i, j, side, pos, n, node, home, comp): entries of lists with unconnected homes, once for each pair of blocks."""
+    ends = [F.min("home").alias("first"), F.max("home").alias("last")]
+    per = walked.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c"), *ends)
+    ends = [F.min("first").alias("first"), F.max("last").alias("last")]
+    per = per.groupBy("token").agg(F.sum("c").alias("m"), F.max(F.struct("c", "comp")).alias("top"), F.count(F.lit(1)).alias("comps"), *ends)
+    long = F.col("m") > LIST_BLOCK
+    rest = F.when(long, F.ceil((F.col("m") - F.col("top.c")) / LIST_BLOCK)).otherwise(1).cast("int")
+    mass = F.when(long, F.ceil(F.col("top.c") / LIST_BLOCK)).otherwise(0).cast("int")
+    per = per.where("comps > 1 and first < last").select("token", rest.alias("rest"), mass.alias("mass"), F.col("top.comp").alias("most"))
+    inside = (F.col("mass") > 0) & (F.col("comp") == F.col("most"))  # the largest component meets the others only
+    spread = F.xxhash64("node", F.lit(3))
+    own = F.when(inside, F.col("rest") + F.pmod(spread, F.col("mass"))).otherwise(F.pmod(spread, F.col("rest"))).cast("int")
+    others = F.sequence(F.lit(0), F.when(inside, F.col("rest") - 1).otherwise(F.col("rest") + F.col("mass") - 1))
+    cut = walked.join(per, "token").withColumn("own", own).withColumn("other", F.explode(others))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    return cut.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.alias("side"), "pos", "n", "node", "home", "comp")
+
+
 def _verify(num: int, den: int):
     def run(batches):
         for b in batches:
@@ -397,23 +429,31 @@ def ngram_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     common = sc.broadcast((np.array([x for x, _ in common], np.uint64), np.array([c for _, c in common], np.int64)))
     entries = sets.select("n", "node", "tokens").mapInArrow(_prefixes(common, key_bits, num, den), "token long, pos long, n long, node long")
     rank = F.struct(F.xxhash64("node"), F.col("node"))
-    lists = Window.partitionBy("token")
-    listed = entries.withColumn("size", F.count(F.lit(1)).over(lists)).withColumn("pivot", F.min(rank).over(lists)).where("size > 1")
-    listed = materialize(listed.drop("size"), "ngram-lists")
+    entries = materialize(entries, "ngram-entries")
+    lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min(rank).alias("pivot")).where("size > 1")
+    listed = materialize(entries.join(lists.drop("size"), "token"), "ngram-lists")
     homes = listed.groupBy("node").agg(F.min("pivot")["node"].alias("home"))
     sized = homes.join(sets.select("node", "n"), "node")
     cuts = sized.groupBy("home").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("t"))
     blocks = F.greatest(F.ceil(F.col("m") / BLOCK_SETS), F.ceil(F.col("t") / BLOCK_TOKENS))
-    homes = sized.join(cuts.where("m > 1").select("home", blocks.alias("blocks")), "home")
-    homes = materialize(homes.select("node", "home", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).alias("block")), "ngram-homes")
-    at_home = homes.join(sets, "node").select("home", "block", "node", "tokens").repartition(parts, "home", "block").sortWithinPartitions("home", "block")
+    seen = F.greatest(F.lit(1), F.least(F.lit(PIVOTS), F.floor(F.col("m") / F.col("blocks") / 8)))  # pivots are at most an eighth of a block, or one
+    homes = sized.join(cuts.where("m > 1").withColumn("blocks", blocks).select("home", "blocks", seen.alias("seen")), "home")
+    homes = homes.select("node", "home", "blocks", "seen", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).alias("block"))
+    homes = materialize(homes, "ngram-homes")
+    turn = F.row_number().over(Window.partitionBy("home").orderBy(F.xxhash64("node", F.lit(2)), "node"))  # limited before the exchange
+    pivots = homes.where("blocks > 1").withColumn("turn", turn).where(F.col("turn") <= PIVOTS).where("turn <= seen")
+    pivots = pivots.withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).where("to != block")
+    members = homes.select("home", "block", "node").unionAll(pivots.select("home", F.col("to").alias("block"), "node"))
+    at_home = members.join(sets, "node").select("home", "block", "node", "tokens").repartition(parts, "home", "block").sortWithinPartitions("home", "block")
     inner = materialize(at_home.mapInArrow(_home_edges(num, den), "a long, b long"), "ngram-inner")
     comp = components(inner)
 
     place = homes.join(comp, "node", "left").select("node", F.xxhash64("home", "block").alias("home"), F.coalesce("component", "node").alias("comp"))
     walked = listed.select("token", "pos", "n", "node").join(place, "node", "left")
     walked = walked.select("token", "pos", "n", "node", F.coalesce("home", F.xxhash64("node")).alias("home"), F.coalesce("comp", "node").alias("comp"))
-    pairs = walked.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(_list_pairs(num, den), "a long, b long").distinct()
+    walked = materialize(walked, "ngram-walked")
+    dealt = _list_blocks(walked).repartition(parts, "token", "i", "j").sortWithinPartitions("token", "i", "j")
+    pairs = dealt.mapInArrow(_list_pairs(num, den), "a long, b long").distinct()
     pairs = materialize(pairs, "ngram-pairs")
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("s"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("t"))

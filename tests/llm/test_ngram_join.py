@@ -78,6 +78,38 @@ def test_many_homes_and_small_blocks(docs_of, monkeypatch):
     check(docs_of(rows, 5), rows)
 
 
+def test_blocks_of_near_copies_meet_through_pivots(docs_of, monkeypatch):
+    """A group of near copies in many blocks: its cross pairs are not listed once pivots have connected it."""
+    listed = {}
+
+    def record(df, name, *more):
+        out = write(df, name, *more)
+        if name == "ngram-pairs":
+            listed["pairs"] = out.count()
+        return out
+
+    write = nj.materialize
+    monkeypatch.setattr(nj, "materialize", record)
+    monkeypatch.setattr(nj, "BLOCK_SETS", 16)
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(160):
+        t = list(base)
+        for _ in range(r.choice([1, 1, 2])):
+            t[r.randrange(200)] = f"x{r.randrange(40)}"
+        rows.append((i, " ".join(t)))
+    check(docs_of(rows), rows)
+    assert listed["pairs"] < len(rows)
+
+
+def test_long_lists_are_cut_into_block_pairs(docs_of, monkeypatch):
+    monkeypatch.setattr(nj, "BLOCK_SETS", 4)
+    monkeypatch.setattr(nj, "LIST_BLOCK", 5)
+    rows = near_copies(9, groups=3, size=30)
+    check(docs_of(rows, 5), rows)
+
+
 def test_edge_rows(docs_of):
     check(docs_of(EDGE), EDGE)
 
