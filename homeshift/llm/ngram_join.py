@@ -6,8 +6,9 @@ The result has one row per document: set size and smallest id reachable by links
 Stages (each written table lies in the shared checkpoint folder)
 1. Reduction.  A shingle that occurs in one document only can't be shared, so a
    document with a link has at least 80 % shingles of frequency two or more.  Mappers send
-   sorted, delta-coded shingle keys by key range (about 5 bytes a shingle); each range counts
-   its keys and returns, for each document, how many of its shingles are shared.  Most documents end
+   sorted, delta-coded shingle keys by key range (about 5 bytes a shingle); a key that several documents
+   of a mapper's chunk hold is shared for certain and goes on once, with its count.  Each range counts
+   its keys and returns, for each document, how many of the other shingles are shared.  Most documents end
    here, exactly: key truncation can only raise a count.
 2. Sets.  Equal sets collapse to one node.  Texts of the remaining nodes are read again
    (a Bloom filter of their ids, at most 2 MB, thins the scan) and stored as sorted 64-bit shingles.
@@ -30,7 +31,7 @@ Stages (each written table lies in the shared checkpoint folder)
 No pair is lost: stages 1, 3 and 5 only skip pairs that can't reach the threshold, stage 4 only pairs
 that are connected anyway.  Sets are compared by 64-bit shingle hashes.
 
-Skew: equal texts are one node after a map-side aggregate; homes with more than
+Skew: a key reaches its range at most once a chunk, however many documents of the chunk hold it; equal texts are one node after a map-side aggregate; homes with more than
 ``BLOCK_SETS`` sets are cut into blocks whose cross pairs, if pivots left them unconnected, fall to
 stage 5; long lists are cut into pairs of blocks; key ranges are ranges of hashes.  Unconnected sets that
 share a prefix shingle are still compared pair by pair: that part grows with the square of their number.  Memory: a mapper holds ``CHUNK_TEXT`` bytes of text at a time, a counting
@@ -86,9 +87,9 @@ def text_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray
 def _pack(keys: np.ndarray, idx: np.ndarray) -> bytes:
     """Sorted keys and their document numbers: count, first key, bytes a delta, byte planes of deltas, numbers."""
     d = np.diff(keys, prepend=keys[:1])
-    width = max(1, (int(d.max()).bit_length() + 7) // 8)
+    width = max(1, (int(d.max(initial=0)).bit_length() + 7) // 8)
     planes = np.ascontiguousarray(d.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
-    head = np.array([len(keys), int(keys[0]), width], dtype="<u8")
+    head = np.array([len(keys), int(keys[0]) if len(keys) else 0, width], dtype="<u8")
     return head.tobytes() + planes.tobytes() + idx.astype("<u2").tobytes()
 
 
@@ -110,8 +111,25 @@ def _unpack_counts(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, f"<u{blob[0]}", offset=1)
 
 
+def _pack_keys(keys: np.ndarray, idx: np.ndarray, many: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted keys of one document in the chunk with its number, and keys of several with their count."""
+    one = _pack(keys, idx)
+    return len(one).to_bytes(8, "little") + one + (_pack(many, np.zeros(len(many))) + _pack_counts(counts) if len(many) else b"")
+
+
+def _unpack_keys(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    at = 8 + int.from_bytes(blob[:8], "little")
+    keys, idx = _unpack(blob[8:at])
+    if at == len(blob):
+        return keys, idx, keys[:0], np.zeros(0, np.int64)
+    many, none = _unpack(blob[at:])
+    n, _, width = np.frombuffer(blob, "<u8", 3, at)
+    end = at + 24 + int(n) * (int(width) + 2)
+    return keys, idx, many, _unpack_counts(blob[end:]).astype(np.int64)
+
+
 def _map_keys(k: int, key_bits: int, ranges: int):
-    """Documents -> rows (range, chunk, payload): range -1 holds the chunk's ids, sizes and nodes."""
+    """Documents -> rows (range, chunk, payload): range -1 holds the chunk's ids, sizes, nodes and shingles known as shared."""
 
     def run(batches):
         base, number = TaskContext.get().partitionId() << 32, 0
@@ -124,15 +142,24 @@ def _map_keys(k: int, key_bits: int, ranges: int):
                     h, size, node = text_sets(data[lo:hi], off[at - i : to - i + 1] - lo, k)
                     chunk = base + number
                     number += 1
-                    out = [(-1, np.concatenate([ids[at:to], size, node]).astype("<i8").tobytes())]
+                    sure = np.zeros(to - at, np.int64)  # shingles that the chunk itself shows to be shared
+                    out = []
                     if len(h):
                         key = h >> U(64 - key_bits)
                         order = np.argsort(key, kind="stable")
                         key, idx = key[order], np.repeat(np.arange(to - at), size)[order]
-                        edge = [(r << key_bits) // ranges for r in range(ranges + 1)]
-                        cut = np.searchsorted(key, np.array(edge[:-1], dtype=np.uint64))
-                        cut = np.append(cut, len(key))
-                        out += [(r, _pack(key[x:y], idx[x:y])) for r, (x, y) in enumerate(zip(cut[:-1], cut[1:])) if y > x]
+                        begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+                        count = np.diff(np.append(begin, len(key)))
+                        sure += np.bincount(idx[np.repeat(count > 1, count)], minlength=to - at)
+                        many, counts = key[begin[count > 1]], count[count > 1]
+                        key, idx = key[begin[count == 1]], idx[begin[count == 1]]
+                        edge = np.array([(r << key_bits) // ranges for r in range(ranges)], dtype=np.uint64)
+                        cut = np.append(np.searchsorted(key, edge), len(key))
+                        cut2 = np.append(np.searchsorted(many, edge), len(many))
+                        for r in np.flatnonzero(np.diff(cut) + np.diff(cut2)):
+                            x, y, u, v = *cut[r : r + 2], *cut2[r : r + 2]
+                            out.append((int(r), _pack_keys(key[x:y], idx[x:y], many[u:v], counts[u:v])))
+                    out.append((-1, np.concatenate([ids[at:to], size, node, sure]).astype("<i8").tobytes()))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([r for r, _ in out], pa.int32()), pa.array([chunk] * len(out), pa.int64()), pa.array([p for _, p in out], pa.binary())],
                         ["rng", "chunk", "payload"],
@@ -166,17 +193,18 @@ def _count_range(batches):
         if rng == -1:
             yield _rows([[0] * len(rows), [r[1] for r in rows], [r[2] for r in rows]], names, types)
             continue
-        parts = [_unpack(r[2]) for r in rows]
-        key = np.concatenate([p[0] for p in parts])
+        parts = [_unpack_keys(r[2]) for r in rows]
+        key = np.concatenate([p[0] for p in parts] + [p[2] for p in parts])
+        times = np.concatenate([np.ones(sum(len(p[0]) for p in parts), np.int64)] + [p[3] for p in parts])
         order = np.argsort(key, kind="stable")
         key = key[order]
         begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        count = np.diff(np.append(begin, len(key)))
+        count = np.add.reduceat(times[order], begin)
         shared = np.zeros(len(key), bool)
-        shared[order] = np.repeat(count > 1, count)
+        shared[order] = np.repeat(count > 1, np.diff(np.append(begin, len(key))))
         out = [[], [], []]
         at = 0
-        for r, (_, idx) in zip(rows, parts):
+        for r, (_, idx, _, _) in zip(rows, parts):
             own = idx[shared[at : at + len(idx)]]
             at += len(idx)
             if len(own):
@@ -193,8 +221,8 @@ def _count_range(batches):
 def _sum_chunks(batches):
     """(chunk, kind, payload) rows of a chunk -> (id, n_shingles, node, shared)."""
     for _, rows in _groups(batches, 0):
-        ids, size, node = np.frombuffer(next(r[2] for r in rows if r[1] == 0), "<i8").reshape(3, -1)
-        shared = np.zeros(len(ids), np.int64)
+        ids, size, node, sure = np.frombuffer(next(r[2] for r in rows if r[1] == 0), "<i8").reshape(4, -1)
+        shared = sure.copy()
         for r in rows:
             if r[1] == 1:
                 c = _unpack_counts(r[2])

@@ -1,7 +1,9 @@
 import random
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from homeshift.llm import ngram_join as nj
@@ -134,6 +136,24 @@ def test_packed_keys_round_trip():
         assert (k == keys).all() and (i == idx).all()
 
 
+def test_hot_keys_reach_a_range_once_a_chunk(monkeypatch):
+    """Copies of one text, and a passage of all texts, are one entry a key; the counts stay those of all documents."""
+    monkeypatch.setattr(nj.TaskContext, "get", staticmethod(lambda: SimpleNamespace(partitionId=lambda: 0)))
+    hot, passage = " ".join(f"h{i}" for i in range(50)), " ".join(f"p{i}" for i in range(20))
+    texts = [hot] * 300 + [f"{passage} " + " ".join(f"u{d}x{i}" for i in range(10)) for d in range(300)] + [""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["id", "text"])
+    sent = [r for b in nj._map_keys(5, 56, 3)([batch]) for r in zip(*(c.to_pylist() for c in b.columns))]
+    got = [nj._unpack_keys(p) for r, _, p in sent if r >= 0]
+    distinct = set().union(*(shingles(t) for t in texts))
+    assert sum(len(keys) + len(many) for keys, _, many, _ in got) == len(distinct)
+    assert sum(len(keys) + int(counts.sum()) for keys, _, _, counts in got) == sum(len(shingles(t)) for t in texts)
+    rows = sorted(sent)
+    counted = nj._count_range([pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))], ["rng", "chunk", "payload"])])
+    flat = sorted((c, k, p) for b in counted for k, c, p in zip(*(x.to_pylist() for x in b.columns)) if k < 2)
+    (out,) = nj._sum_chunks([pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*flat), (pa.int64(), pa.int32(), pa.binary()))], ["chunk", "kind", "payload"])])
+    assert out.column("shared").to_pylist() == [46] * 300 + [16] * 300 + [0]
+
+
 @pytest.mark.parametrize("most", [1, 255, 256, 65_535, 65_536, 2**33])
 def test_packed_counts_round_trip(most):
     assert nj._unpack_counts(nj._pack_counts(np.array([0, most]))).tolist() == [0, most]
