@@ -8,9 +8,10 @@ of words is looked at only while the best partner still reaches the height.  A v
 passes fewer than ``least`` filters takes its best ones.  Vectors that share a filter are compared exactly
 (cosine in double precision), so no pair below the threshold is linked.
 
-Size: the height puts about ``bucket`` vectors into a filter and the number of words
-about ``filters`` filters on a vector, whatever the number n of vectors, so
-entries grow as n and comparisons as n * filters * bucket / 2.
+Size: the height, from the exact distribution of inner products with a direction, puts about ``bucket``
+vectors into a filter.  A vector has about ``filters`` filters and at least ``least``; both are raised
+on the driver until random pairs at the threshold itself meet with probability ``recall``, so they
+grow slowly with the number n of vectors; comparisons are about n * filters * bucket / 2.
 
 Counting without pairs: a pair is counted in the first filter that both vectors share (each entry carries
 its vector's filters), so links are summed per vector and never listed.  Components use one edge per vector
@@ -20,7 +21,7 @@ Skew: equal directions collapse first (their copies count as links).  A filter w
 than ``BLOCK`` vectors is cut into blocks by a hash, and every pair of blocks is a task of
 its own; all pairs are still compared.
 
-Recall is measured against brute force in the tests (at least 0.99 there).
+Recall is measured against brute force in the tests (at least 0.99 there), and at the threshold for up to 100 million vectors.
 
 Defined results: a vector that is null, empty, zero, or holds a null or non-finite component
 has no links and is its own component; vectors of different lengths do not link; a repeated
@@ -30,7 +31,7 @@ id counts as a further vector of that id; a null id gets a null component; an em
 from __future__ import annotations
 
 import math
-from statistics import NormalDist
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,41 @@ from homeshift.llm.components import components
 from homeshift.session import materialize
 
 BLOCK = 1024
+PROBES, MOST_FILTERS = 4000, 512
 SEED = 20240229
 
 
+def cap_height(dim: int, share: float, grid: int = 400) -> float:
+    """Height that the inner product of a random unit vector and a product code's direction reaches with probability ``share``.
+
+    The vector's parts in the two blocks have lengths cos(phi) and sin(phi); a part's
+    cosine with a unit code word has the angle's density sin ** (block - 2).
+    """
+    if dim < 2:
+        return 2.0  # never reached: a vector takes its best filters
+    h, k = (dim + 1) // 2, dim - (dim + 1) // 2
+    mid = (np.arange(grid) + 0.5) / grid
+    phi = mid * math.pi / 2
+    w = np.cos(phi) ** (h - 1) * np.sin(phi) ** (k - 1)
+    w /= w.sum()
+    v, wv = (np.cos(mid * math.pi), np.sin(mid * math.pi) ** (k - 2)) if k > 1 else (np.array([1.0, -1.0]), np.ones(2))
+    wv = wv / wv.sum()
+    angle = np.linspace(0, math.pi, 10 * grid + 1)
+    below = np.r_[0, np.cumsum(np.sin((angle[1:] + angle[:-1]) / 2) ** max(0, h - 2))]
+
+    def tail(t: float) -> float:
+        z = (t - np.sin(phi)[:, None] * v) / np.cos(phi)[:, None]
+        if h == 1:
+            return float(w @ np.where(z <= -1, 1, np.where(z <= 1, 0.5, 0)) @ wv)
+        return float(w @ np.interp(np.arccos(np.clip(z, -1, 1)), angle, below / below[-1]) @ wv)
+
+    lo, hi = 0.0, math.sqrt(2)
+    for _ in range(40):
+        t = (lo + hi) / 2
+        lo, hi = (t, hi) if tail(t) > share else (lo, t)
+    return lo
+
+
 class ProductCode:
     """Two blocks of random code words after a random rotation, for vectors of one length."""
 
@@ -59,8 +92,7 @@ class ProductCode:
         b = rng.normal(size=(self.words, max(1, dim - self.half)))
         self.a = a / np.linalg.norm(a, axis=1, keepdims=True)
         self.b = b / np.linalg.norm(b, axis=1, keepdims=True)
-        # a direction has length sqrt(2); inner products with random unit vectors have variance 1 / dim
-        self.height = math.sqrt(2) * NormalDist().inv_cdf(1 - share) / math.sqrt(dim)
+        self.height = cap_height(dim, share)
 
     def decode(self, x: np.ndarray) -> list[np.ndarray]:
         """Sorted filter numbers of each unit vector of ``x``."""
@@ -86,6 +118,40 @@ class ProductCode:
         return out
 
 
+def pairs_at(dim: int, cosine: float, m: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """``m`` random pairs of unit vectors with the given cosine."""
+    rng = np.random.default_rng(seed)
+    x, z = rng.normal(size=(2, m, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    return x, cosine * x + math.sqrt(max(0.0, 1 - cosine * cosine)) * z
+
+
+def recall_at(code: ProductCode, x: np.ndarray, y: np.ndarray) -> float:
+    """Share of the pairs that meet in a filter."""
+    met = 0
+    for at in range(0, len(x), 500):
+        both = zip(code.decode(x[at : at + 500]), code.decode(y[at : at + 500]))
+        met += sum(bool(len(np.intersect1d(a, b, assume_unique=True))) for a, b in both)
+    return met / len(x)
+
+
+def fitted_code(dim: int, n: int, cosine: float, recall: float, filters: float, bucket: int, least: int) -> ProductCode:
+    """The code with the fewest filters a vector that reaches ``recall`` on random pairs at the threshold itself, from the given numbers on."""
+    code = ProductCode(dim, n, filters, bucket, least)
+    if dim < 2 or n < 2 or not 0 <= cosine <= 1:
+        return code
+    probes = [pairs_at(dim, cosine, PROBES, SEED + i) for i in range(2)]
+    while any(recall_at(code, x, y) < recall for x, y in probes):
+        if least >= MOST_FILTERS:
+            warnings.warn(f"recall {recall} at cosine {cosine} not reached with {least} filters a vector (dimension {dim}, {n} vectors)")
+            break
+        least += 8
+        code = ProductCode(dim, n, max(filters, least / 2), bucket, least)
+    return code
+
+
 def usable(vec: str):
     """Whether a vector column has a direction: not null or empty, all components finite, not all zero."""
     v = F.col(vec)
@@ -203,7 +269,7 @@ def _compare(cosine: float):
 
 
 def embedding_components(
-    vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding", filters: float = 16, bucket: int = 64, least: int = 8
+    vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding", filters: float = 16, bucket: int = 64, least: int = 8, recall: float = 0.9995
 ) -> DataFrame:
     """(id, n_links, component_id, kept) of every row; two vectors link at a cosine of ``cosine`` or more."""
     spark = vectors.sparkSession
@@ -215,7 +281,7 @@ def embedding_components(
     nodes = rows.where("node is not null").groupBy("node").agg(F.first("vec").alias("vec"), F.count(F.lit(1)).alias("copies"), F.min("id").alias("least"))
     nodes = materialize(nodes, "sphere-nodes")
     sizes = nodes.groupBy(F.size("vec").alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row for each length of a vector
-    codes = {r["d"]: ProductCode(r["d"], r["n"], filters, bucket, least) for r in sizes}
+    codes = {r["d"]: fitted_code(r["d"], r["n"], cosine, recall, filters, bucket, least) for r in sizes}
     source = nodes.select("node", "copies", "vec")
     entries = source.mapInArrow(_entries(codes), f"dim int, filter long, node long, copies long, vec array<{element}>, filters array<long>")
     counts = source.mapInArrow(_filter_numbers(codes), "dim int, filter long").groupBy("dim", "filter").agg(F.count(F.lit(1)).alias("m"))

@@ -64,3 +64,22 @@ def test_edge_vectors(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert sf.embedding_components(df).count() == 0
+
+
+@pytest.mark.parametrize("n", [2_000, 20_000, 1_000_000, 100_000_000])
+def test_recall_at_the_threshold_does_not_fall_with_the_number_of_vectors(n):
+    code = sf.fitted_code(64, n, 0.95, 0.9995, 16, 64, 8)
+    m = 2000 if n < 10**7 else 500
+    recall = sf.recall_at(code, *sf.pairs_at(64, 0.95, m, 7))
+    print(n, code.least, code.words, recall)
+    assert recall >= 0.998
+
+
+@pytest.mark.parametrize("dim", [2, 3, 16, 64])
+def test_cap_height_has_its_share(dim):
+    r = np.random.default_rng(dim)
+    x = r.normal(size=(400_000, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    product = x[:, 0] + x[:, (dim + 1) // 2]  # the direction of two unit code words
+    for share in (0.1, 0.003):
+        assert abs((product >= sf.cap_height(dim, share)).mean() / share - 1) < 0.12
