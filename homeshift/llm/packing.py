@@ -22,6 +22,7 @@ packed as rows of their own; an empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -38,6 +39,10 @@ from homeshift.session import materialize
 #: Word pattern of byte-level BPE files (fixed public value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: White-space runs of so many characters are split off before the pattern, which keeps a state for each character of a run, a million at most.
+LONG_RUN = 100_000
+SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")  # \s of the pattern
+
 _LOADED: dict[str, tiktoken.Encoding] = {}
 
 
@@ -52,6 +57,21 @@ def byte_encoding(path: str) -> tiktoken.Encoding:
     return _LOADED[path]
 
 
+def encode(enc: tiktoken.Encoding, text: str) -> list[int]:
+    """Ids of a text; a long white-space run is one piece, but for its last character if a word follows, as in the pattern."""
+    if len(text) < LONG_RUN:
+        return enc.encode(text, allowed_special="all")
+    special = tuple(enc.special_tokens_set)
+    ids, at = [], 0
+    for run in SPACES.finditer(text):
+        lo, hi = run.span()
+        if hi - lo >= LONG_RUN:
+            ids += enc.encode(text[at:lo], allowed_special="all")
+            at = hi if hi == len(text) or text.startswith(special, hi) else hi - 1
+            ids += enc._encode_single_piece(text[lo:at])
+    return ids + enc.encode(text[at:], allowed_special="all")
+
+
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of ``n`` tokens: full ones, the first may be shorter."""
     first = n % capacity or min(n, capacity)
@@ -69,7 +89,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_col:
                 part = b.slice(at, 1000)
                 row, cols = [], ([], [], [], [])
                 for i, v in enumerate(part.column(1)):
-                    ids = np.array([*enc.encode(v.as_py() or "", allowed_special="all"), end_id], dtype="<u4")
+                    ids = np.array([*encode(enc, v.as_py() or ""), end_id], dtype="<u4")
                     for k, (start, length) in enumerate(cut(len(ids), capacity)):
                         row.append(i)
                         for c, x in zip(cols, (k, start, length, zlib.crc32(ids[start : start + length].tobytes()))):

@@ -110,3 +110,19 @@ def test_equal_short_texts(docs_of):
 
 def test_empty_table(docs_of):
     assert packing.pack_documents(docs_of([(1, "x")]).where("false"), PATH).count() == 0
+
+
+def test_long_white_space_runs():
+    tok, enc = Tokenizer.from_file(PATH), packing.byte_encoding(PATH)
+    for text in ("a" + " " * 2_000_000 + "b", "a" + "\n" * 1_500_000 + "b c", "\t" * 1_200_000):
+        assert packing.encode(enc, text) == tok.encode(text, add_special_tokens=False).ids
+
+
+def test_split_runs_equal_the_library(monkeypatch):
+    monkeypatch.setattr(packing, "LONG_RUN", 3)
+    tok, enc = Tokenizer.from_file(PATH), packing.byte_encoding(PATH)
+    r = random.Random(4)
+    parts = ["a", "B", "7", "'s", ".", "\n", " ", "   ", "\t", "\u00a0", "\u3000", "\x1c", "\x85", "\u2003", "    \n", *sorted(enc.special_tokens_set)[:3]]
+    for _ in range(3000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(1, 14)))
+        assert packing.encode(enc, text) == tok.encode(text, add_special_tokens=False).ids, repr(text)
