@@ -147,7 +147,7 @@ def fitted_code(dim: int, n: int, cosine: float, recall: float, filters: float,
         if least >= MOST_FILTERS:
             warnings.warn(f"recall {recall} at cosine {cosine} not reached with {least} filters a vector (dimension {dim}, {n} vectors)")
             break
-        least += 8
+        least *= 2
         code = ProductCode(dim, n, max(filters, least / 2), bucket, least)
     return code
 
