@@ -8,7 +8,7 @@ from homeshift.operators import fold as fd
 from homeshift.operators import home_zip as hz
 from homeshift.plans.movers import MoverRun
 from homeshift.sources import tables as tb
-from conftest import SF_MID
+from places import SF_MID
 
 
 @pytest.mark.parametrize("limits", [(28, 148), (28, 12), (10, 9)])

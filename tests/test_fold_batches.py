@@ -14,7 +14,7 @@ from homeshift.operators import home_zip as hz
 from homeshift.operators import reference as rf
 from homeshift.sources import tables as tb
 from homeshift.schemas import FOLD_OUTPUT
-from conftest import SF_MID
+from places import SF_MID
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers do not have the tests

@@ -7,7 +7,7 @@ from homeshift.config import FIXTURE_THRESHOLDS as TH
 from homeshift.operators import home_zip as hz
 from homeshift.plans.movers import MoverRun
 from homeshift.sources import tables as tb
-from conftest import SF_MID, SF_SMALL
+from places import SF_MID, SF_SMALL
 
 
 @pytest.fixture(scope="module")

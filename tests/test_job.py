@@ -3,7 +3,7 @@
 from homeshift.config import FIXTURE_THRESHOLDS as TH
 from homeshift.plans.job import OUTPUTS, run_job
 from homeshift.session import scratch_path
-from conftest import SF_SMALL
+from places import SF_SMALL
 
 
 def test_job_from_events_writes_all_tables(spark):

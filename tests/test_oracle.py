@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from oracle_compare import compare
-from conftest import SF_SMALL, SF_MID
+from places import SF_SMALL, SF_MID
 
 KEYS = sorted(k for k in E.queries() if not k.startswith("op") and k != "pipeline")
 WITH_ORACLE = set(E.oracle_sql())

@@ -20,7 +20,7 @@ from homeshift.operators import streak as sk
 from homeshift.plans import daily
 from homeshift.plans.movers import MoverRun
 from homeshift.sources import tables as tb
-from conftest import SF_SMALL
+from places import SF_SMALL
 
 
 def _rows(df, cols):

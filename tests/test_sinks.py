@@ -11,7 +11,7 @@ from homeshift.session import scratch_path
 from homeshift.sources import calendar as cal
 from homeshift.sources import sinks
 from homeshift.sources import tables as tb
-from conftest import SF_SMALL
+from places import SF_SMALL
 
 
 def test_rerun_adds_the_new_days_and_leaves_the_old_ones(spark):

@@ -11,7 +11,7 @@ from homeshift.plans.movers import MoverRun
 from homeshift.session import scratch_path
 from homeshift.sources import tables as tb
 from homeshift.streaming import movers_stream as ms
-from conftest import SF_MID, SF_SMALL
+from places import SF_MID, SF_SMALL
 
 
 def _pool(out):
