@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from homeshift.llm import bpe, exact_dedup, html_blocks, license_digest, ngram_join, packing, quality_rules, sharding, sphere_filters, url_filter
+from homeshift.llm import bpe, exact_dedup, fill_middle, html_blocks, license_digest, ngram_join, packing, quality_rules, sharding, sphere_filters, url_filter, warc, whitening
 from homeshift.llm.common import table
 
 
@@ -58,6 +58,18 @@ def op10_html_blocks(spark, sf_dir):
     return html_blocks.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op11_fill_middle(spark, sf_dir):
+    return fill_middle.fill_middle_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_warc(spark, sf_dir):
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"), count=8)
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -70,4 +82,4 @@ def build():
 
 
 def oracle():
-    return {"op1_url_filter": url_filter.ORACLE_SQL, "op6_exact_dedup": exact_dedup.ORACLE_SQL, "op9_license_scan": license_digest.oracle_sql()}
+    return {"op1_url_filter": url_filter.ORACLE_SQL, "op6_exact_dedup": exact_dedup.ORACLE_SQL, "op9_license_scan": license_digest.oracle_sql(), "op11_fill_middle": fill_middle.ORACLE_SQL, "op12_warc": warc.ORACLE_SQL}
