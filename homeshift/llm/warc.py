@@ -34,6 +34,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -59,17 +60,29 @@ def base32_sha1(data: bytes) -> str:
 # ------------------------------------------------------------------ decisions
 
 def numbered_pages(pages: DataFrame, salts: int, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """(id, url, payload, digest, n_bytes, row, salt) of every row, written once so that row numbers stay."""
+    """(id, url, packed payload, digest, n_bytes, row, salt) of every row, written once so that row numbers stay.
+
+    Payloads are packed (zstandard), so the table and the exchange behind it move a fraction of their bytes.
+    """
     payload = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"), F.monotonically_increasing_id().alias("row"))
-    return materialize(rows.select(
-        "id", "url", "payload", "row", F.unhex(F.sha2("payload", 256)).alias("digest"), F.octet_length("payload").cast("long").alias("n_bytes"),
+    rows = rows.select(
+        "payload", "id", "url", "row", F.unhex(F.sha2("payload", 256)).alias("digest"), F.octet_length("payload").cast("long").alias("n_bytes"),
         F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int").alias("salt"),
-    ), "warc-pages")
+    )
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            packed = pa.array([pack.compress(v.as_py()) for v in b.column(0)], pa.binary())
+            yield pa.RecordBatch.from_arrays([packed, *b.columns[1:]], ["packed", *b.schema.names[1:]])
+
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    return materialize(rows.mapInArrow(run, f"packed binary, {kept}"), "warc-pages")
 
 
 def with_response(rows: DataFrame, min_bytes: int) -> DataFrame:
-    """Each row with ``refers``: null for a response, else (id) of the response that it revisits."""
+    """Each row with ``revisit``, and ``response``: the id of the response to its payload."""
     key = ["digest", "n_bytes"]
     large = rows.where(F.col("n_bytes") >= min_bytes)
     parts = large.groupBy(*key, "salt").agg(F.max(F.struct("id", "row")).alias("best"))
@@ -77,7 +90,7 @@ def with_response(rows: DataFrame, min_bytes: int) -> DataFrame:
     back = parts.select(*key, "salt").join(won, key).select(*key, "salt", "best")
     joined = rows.join(back, [*key, "salt"], "left")
     revisit = F.col("best").isNotNull() & (F.col("best.row") != F.col("row"))
-    return joined.select("id", "url", "payload", "n_bytes", revisit.alias("revisit"), F.col("best.id").alias("response"))
+    return joined.select("id", "url", "packed", revisit.alias("revisit"), F.col("best.id").alias("response"))
 
 
 # -------------------------------------------------------------------- writing
@@ -124,13 +137,14 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, salts: int | None = Non
 
     def run(batches):
         part, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+        unpack_payload = zstandard.ZstdDecompressor().decompress
 
         def blob() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([f"part-{part:06d}-{number:06d}.warc.gz"]), pa.array([b"".join(held)], pa.binary())], ["path", "content"])
 
         for b in batches:
-            for i, url, payload, revisit, response in zip(*(b.column(c) for c in range(5))):
-                held.append(member(record(i.as_py(), url.as_py(), payload.as_py(), (response.as_py(),) if revisit.as_py() else None)))
+            for i, url, packed, revisit, response in zip(*(b.column(c) for c in range(5))):
+                held.append(member(record(i.as_py(), url.as_py(), unpack_payload(packed.as_py()), (response.as_py(),) if revisit.as_py() else None)))
                 size += len(held[-1])
                 if size >= ARCHIVE_BYTES:
                     yield blob()
@@ -138,7 +152,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, salts: int | None = Non
         if held:
             yield blob()
 
-    made = rows.select("id", "url", "payload", "revisit", "response").mapInArrow(run, "path string, content binary")
+    made = rows.select("id", "url", "packed", "revisit", "response").mapInArrow(run, "path string, content binary")
     return materialize(made, "warc-archives")
 
 
