@@ -1,20 +1,8 @@
-"""Per-user fold over all days: reference history, routing, streaks, pool,
-weekly confirmation and eviction, emitted as one small record stream.
+"""The rules of one user's days in plain Python: the step that the stream's state processor runs.
 
-Why a fold.  An evicted user is routed again from scratch (home sightings
-feed the history, another zip opens a new streak), so eviction feeds back into
-everything before it and the chain has no window form.  Users never interact,
-so the day-by-day loop of the reference is a fold per user.
-
-How it runs.  The reference zip and its day come from Spark windows
-(``reference.annotate``).  ``fold_sightings`` hash-partitions on ``user_id``
-(the same partitioning as the windows, so Spark plans no extra exchange),
-sorts each partition by (user_id, day) and runs ``mapInArrow``: one pass over
-Arrow batches, many users per batch, the state of the user at a batch border
-carried to the next batch.  A user has at most one row per day (the daily
-home zip), so the state held at any time is bounded by the length of the run,
-never by the data volume; nothing is collected per group or on the driver.
-The same ``UserState.observe`` step drives the streaming variant.
+A batch run and the daily job take the same step as Spark expressions (``user_state``); a stream keeps a user's
+state in Python objects between two store accesses, so it needs the step here.  The tests hold the two versions
+against each other.
 
 Rules of one sighting (day d, zip z), in the reference's order within a day:
 1. pool age: if the user was in the pool and ``d - first > age_limit``, it was
@@ -33,17 +21,9 @@ At the end of the run the pool age is checked once more on the horizon day.
 from __future__ import annotations
 
 import datetime as _dt
-import json
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame
 
 from homeshift.config import Thresholds
-from homeshift.operators.partitioning import by_user_partitions
 from homeshift.schemas import FOLD_OUTPUT
-from homeshift.session import ship_package
 
 EPOCH = _dt.date(1970, 1, 1)
 FOLD_COLUMNS = [f.name for f in FOLD_OUTPUT.fields]
@@ -193,81 +173,3 @@ class UserState:
             z, start, we, sem, wk = self.streak
             self._row("streak", zipcode=z, week=wk, streak_start=_date(start), weekend_days=we, weekday_days=sem)
         return self.out
-
-    # ------------------------------------------------- state for streaming
-    def dump(self) -> tuple:
-        return (
-            self.ref_zip, -1 if self.ref_day is None else self.ref_day, json.dumps(self.streak),
-            json.dumps(sorted([z, w, s] for (z, w), s in self.pool.items())),
-            -1 if self.first is None else self.first, json.dumps(self.fed), json.dumps(self.fed_days),
-        )
-
-    @classmethod
-    def load(cls, user_id: int, th: Thresholds, state: tuple, learn: bool = True) -> "UserState":
-        ref_zip, ref_day, streak, pool, first, fed, fed_days = state
-        u = cls(user_id, ref_zip, None if ref_day < 0 else int(ref_day), th, learn=learn)
-        u.streak = json.loads(streak)
-        u.pool = {(z, int(w)): int(s) for z, w, s in json.loads(pool)}
-        u.first = None if first < 0 else int(first)
-        u.fed = json.loads(fed)
-        u.fed_days = json.loads(fed_days)
-        return u
-
-
-def _epoch_days(s: pd.Series) -> np.ndarray:
-    return (pd.to_datetime(s).values.astype("datetime64[D]").astype(np.int64))
-
-
-def is_weekend_epoch(days: np.ndarray) -> np.ndarray:
-    # Monday = 0: days 5 and 6 of the week are the weekend (1970-01-01 was a Thursday)
-    return ((days + 3) % 7) >= 5
-
-
-ARROW_SCHEMA = pa.schema([
-    (f.name, {"LongType": pa.int64(), "StringType": pa.string(), "DateType": pa.date32(),
-              "IntegerType": pa.int32()}[type(f.dataType).__name__])
-    for f in FOLD_OUTPUT.fields
-])
-
-
-def _to_batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [[] for _ in FOLD_COLUMNS]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(c), type=f.type) for c, f in zip(cols, ARROW_SCHEMA)], schema=ARROW_SCHEMA
-    )
-
-
-def _days(col: pa.Array) -> list:
-    return col.cast(pa.int32()).to_pylist()
-
-
-def fold_batches(batches, th: Thresholds):
-    """Rows sorted by (user_id, day) within the partition -> fold output batches."""
-    cur, horizon = None, None
-    for b in batches:
-        uid = b.column("user_id").to_pylist()
-        zips = b.column("zipcode").to_pylist()
-        days = _days(b.column("day"))
-        refz = b.column("reference_zip").to_pylist()
-        refd = _days(b.column("ref_day"))
-        hz = _days(b.column("horizon"))
-        out: list[tuple] = []
-        for i, u in enumerate(uid):
-            if cur is None or u != cur.user_id:
-                if cur is not None:
-                    out.extend(cur.close(horizon))
-                cur, horizon = UserState(u, refz[i] if refd[i] is not None else None, refd[i], th), hz[i]
-            d = days[i]
-            cur.observe(d, zips[i], (d + 3) % 7 >= 5)
-        if out:
-            yield _to_batch(out)
-    if cur is not None:
-        yield _to_batch(cur.close(horizon))
-
-
-def fold_sightings(annotated: DataFrame, th: Thresholds) -> DataFrame:
-    """(user_id, zipcode, day, reference_zip, ref_day, horizon) -> FOLD_OUTPUT rows."""
-    cols = annotated.select("user_id", "zipcode", "day", "reference_zip", "ref_day", "horizon")
-    ship_package(annotated.sparkSession)
-    ordered = by_user_partitions(cols).sortWithinPartitions("user_id", "day")
-    return ordered.mapInArrow(lambda it: fold_batches(it, th), schema=FOLD_OUTPUT)

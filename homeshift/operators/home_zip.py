@@ -4,12 +4,10 @@ Rule: distinct visit rows, 5-character zipcodes only, all hours on weekend
 days and only the home hours (tranche 2 or 3) on working days; sum hits per
 zipcode, keep the largest sum, break ties by the largest zipcode.
 
-Plan: the distinct and the per-zip sums are hash aggregates with a map-side
-partial step, so copies and hot users are combined before each exchange.  The
-sums are then hash-partitioned on ``user_id`` (the partitioning every later
-per-user step reuses), and the arg-max runs there without another exchange: it
-is ``max`` of a (hits, zipcode) struct, which orders exactly like the rule,
-instead of the reference's aggregate + self-join + second aggregate.
+Plan: two levels, each with a map-side partial step.  Hits are added up per (user, day, zip), so a cookie with a third of
+all rows and many zips is spread over its zips; the arg-max per (user, day) is ``max`` of a (hits, zipcode)
+struct, which orders exactly like the rule, instead of the reference's aggregate + self-join + second aggregate, and a
+task sends one candidate a user and day.  No row of a user travels by ``user_id`` before it is one a day.
 """
 
 from __future__ import annotations
@@ -18,9 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homeshift.functions.dates import is_weekend
-from homeshift.operators.partitioning import by_user_partitions
 from homeshift.functions.zips import home_hours_label, is_home_hours, is_valid_zip, HOME_LABEL
-from homeshift.sources.tables import cast_visits, scan_visits_distinct
+from homeshift.sources.tables import cast_visits, scan_visits_distinct, visit_rows
 
 
 def valid_visits(v: DataFrame, unique: bool = False) -> DataFrame:
@@ -67,13 +64,20 @@ def argmax_zip(hits: DataFrame) -> DataFrame:
 
 
 def daily_home_zip(v: DataFrame, weekend: bool | None = None, unique: bool = False) -> DataFrame:
-    """visits -> (user_id, zipcode, day), hash-partitioned on user_id.
+    """visits -> (user_id, zipcode, day).
 
-    ``unique``: the rows are a rollup of their own (no copies, at most zips x 4 rows a user and
-    day), so they go straight to the user exchange, which distinct, sum and arg-max share.  Other
-    input may hold many copies; it is made distinct first, with a map-side step.
+    ``unique``: the rows are a rollup of their own (no copies), so the distinct is left out.
     """
-    if unique:
-        rows = by_user_partitions(home_rows(v, weekend, unique=True))
-        return argmax_zip(hits_per_user_zip(rows)).select("user_id", "zipcode", "day")
-    return argmax_zip(by_user_partitions(hits_per_user_zip(home_rows(v, weekend)))).select("user_id", "zipcode", "day")
+    return argmax_zip(hits_per_user_zip(home_rows(v, weekend, unique))).select("user_id", "zipcode", "day")
+
+
+def daily_home_zip_of_events(events: DataFrame) -> DataFrame:
+    """events -> (user_id, zipcode, day), the same rows as through the visits, without building them.
+
+    A rollup has one row a (cookie, zip, time of day, day), so adding up its distinct rows is adding up the events.
+    """
+    rows = visit_rows(events).select(
+        F.expr("try_cast(cookie AS BIGINT)").alias("user_id"), "zipcode", F.col("n").cast("bigint").alias("nb_hits"), "tranche", F.col("date").alias("day")
+    )
+    counted = rows.where(F.col("user_id").isNotNull() & is_valid_zip("zipcode") & (is_weekend("day") | is_home_hours("tranche")))
+    return argmax_zip(hits_per_user_zip(counted)).select("user_id", "zipcode", "day")

@@ -7,23 +7,29 @@ the state of the day before (see ``plans.snapshot``).
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from homeshift.config import FIXTURE_THRESHOLDS as TH, RUN_AGE_LIMIT, SNAPSHOT_AGE_LIMIT, SNAPSHOT_DAY
+from homeshift import schemas
 from homeshift.operators import confirm as cf
 from homeshift.operators import home_zip as hz
 from homeshift.operators import reference as rf
 from homeshift.operators import streak as sk
-from homeshift.plans.movers import MoverRun
+from homeshift.plans.daily import StateStore, run_days
+from homeshift.plans.movers import MoverRun, run_metrics
 from homeshift.plans.snapshot import DayStep
 from homeshift.functions import dates as dt
 from homeshift.functions import zips as zp
+from homeshift.session import materialize, scratch_path
 from homeshift.sources import calendar as cal
+from homeshift.sources import catalog_tables as ct
 from homeshift.sources import sinks
 from homeshift.sources import tables as tb
+from homeshift.sources.day_tables import DayTables
 from homeshift.streaming import movers_stream as ms
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,7 +42,7 @@ def _visits(spark, sf):
 
 
 def _dhz(spark, sf):
-    return hz.daily_home_zip(_visits(spark, sf), unique=True)  # the rollup of events has no copies
+    return hz.daily_home_zip_of_events(tb.table(spark, sf, "events"))
 
 
 def _annotated(spark, sf):
@@ -59,6 +65,12 @@ def _on_step(fn) -> Query:
     return lambda spark, sf: fn(_step(spark, sf))
 
 
+# Newest days kept by the capped look-back, less one.
+DAYS_CAP = 9
+
+# Days by which a sighting comes late in the query on late rows: ten for about one in fifty.
+LATE_BY = "CASE WHEN pmod(xxhash64(day, user_id), 50) = 0 THEN 10 ELSE 0 END"
+
 # Fixed value: zipcode fragment of the LIKE filter ('_' would match any character).
 LIKE_FRAGMENT = "7500"
 
@@ -67,6 +79,61 @@ LIKE_FRAGMENT = "7500"
 VISITS_NAME = "homeshift_visits"
 
 
+def _saved_visits(spark, sf) -> DataFrame:
+    """The visits as a catalog table of their own, bucketed by cookie."""
+    return ct.save_table(_visits(spark, sf), ct.fresh_name("visits"), key="cookie")
+
+
+def _day_tables(spark, sf) -> DayTables:
+    """The visits split into one table a day."""
+    days = DayTables(spark, scratch_path(spark, "visits-by-day"))
+    days.add_days(_visits(spark, sf))
+    return days
+
+
+def _home_zip_days(spark, sf) -> DayTables:
+    """The daily home zips, one table a day."""
+    days = DayTables(spark, scratch_path(spark, "home-zip-by-day"), "day")
+    days.add_days(_dhz(spark, sf))
+    return days
+
+
+def _on_days(fn) -> Query:
+    return lambda spark, sf: fn(_day_tables(spark, sf).days())
+
+
+def _weekend_days(spark, sf):
+    """Rows of the weekend's day tables; the folders are found while the query runs."""
+    days = _home_zip_days(spark, sf)
+    return days.read_where(schemas.DAILY_HOME_ZIP, days.days().where(dt.is_weekend("day")))
+
+
+def _references_by_position(spark, sf):
+    """References fixed before the snapshot day as a table; the later ones appended by position, under other names."""
+    x = _annotated(spark, sf).where(F.col("day") == F.col("ref_day"))
+    early = x.where(F.col("ref_day") < F.lit(SNAPSHOT_DAY))
+    table = ct.fresh_name("reference_zip")
+    ct.save_table(early.select("user_id", "reference_zip", "ref_day"), table)
+    late = x.where(F.col("ref_day") >= F.lit(SNAPSHOT_DAY))
+    return ct.insert_by_position(late.select("user_id", F.col("zipcode").alias("ref_day"), F.col("day").alias("reference_zip")), table)
+
+
+#: Days that the daily job runs one by one, on top of a state loaded from the whole run before them.
+LAST_DAYS = 3
+
+
+def _daily_store(spark, sf, th) -> StateStore:
+    """State of the whole run up to LAST_DAYS days before its end, then the daily job for each of those days."""
+    dhz = materialize(_dhz(spark, sf), "daily-home-zips")
+    last = dhz.agg(F.max("day")).first()[0]  # one date
+    store = StateStore(spark, scratch_path(spark, "state"))
+    if last is not None:
+        start = last - _dt.timedelta(days=LAST_DAYS)
+        store.load(MoverRun(dhz, th, horizon=start).states, start)
+        run_days(store, dhz, [start + _dt.timedelta(days=i + 1) for i in range(LAST_DAYS)], th)
+    return store
+
+
 def _named(spark, sf) -> SparkSession:
     _visits(spark, sf).createOrReplaceTempView(VISITS_NAME)
     return spark
@@ -113,7 +180,7 @@ def build() -> dict[str, Query]:
     q["filter_home_hours"] = lambda s, sf: hz.filter_home_hours(_visits(s, sf))
 
     q["scan_visits_all"] = lambda s, sf: tb.scan_days(_visits(s, sf))
-    q["scan_catalog_table"] = lambda s, sf: _named(s, sf).table(VISITS_NAME)
+    q["scan_catalog_table"] = _saved_visits
     q["named_relation_sql"] = lambda s, sf: _named(s, sf).sql(
         f"SELECT zipcode, count(DISTINCT cookie) AS users, sum(nb_hits) AS hits FROM {VISITS_NAME} GROUP BY zipcode"
     )
@@ -121,7 +188,7 @@ def build() -> dict[str, Query]:
         F.expr("try_cast(cookie AS BIGINT)").alias("user_id"), "zipcode", "nb_hits",
         F.expr("try_cast(tranche AS INT)").alias("tranche"), "date",
     )
-    q["load_days_tagged"] = lambda s, sf: tb.load_days_tagged(_visits(s, sf))
+    q["load_days_tagged"] = lambda s, sf: _day_tables(s, sf).read_days(schemas.VISITS)
     q["date_bounds"] = lambda s, sf: tb.date_bounds(_visits(s, sf))
     q["distinct_projection"] = lambda s, sf: _dhz(s, sf).select("user_id", "zipcode").distinct()
     q["filter_like"] = lambda s, sf: _visits(s, sf).select("zipcode").distinct().where(
@@ -129,9 +196,11 @@ def build() -> dict[str, Query]:
     )
     q["safe_share"] = _safe_share
     q["calendar_range"] = lambda s, sf: cal.calendar_range(_visits(s, sf))
-    q["day_exists"] = lambda s, sf: cal.day_exists(_visits(s, sf))
-    q["available_days"] = lambda s, sf: cal.available_days(_visits(s, sf))
-    q["missing_days"] = lambda s, sf: cal.missing_days(_visits(s, sf))
+    q["day_exists"] = _on_days(cal.day_exists)
+    q["available_days"] = _on_days(cal.available_days)
+    q["available_days_capped"] = _on_days(lambda d: cal.available_days(d, cap=DAYS_CAP))
+    q["missing_days"] = _on_days(cal.missing_days)
+    q["scan_weekend_days"] = _weekend_days
     q["date_parts"] = _date_parts
     q["weekend_label"] = lambda s, sf: _days(s, sf).select("day", dt.weekend_label("day").alias("label"))
     q["weekday_name"] = lambda s, sf: _days(s, sf).select("day", dt.weekday_name("day").alias("day_name"))
@@ -155,6 +224,7 @@ def build() -> dict[str, Query]:
         s, [hz.daily_home_zip(_visits(s, sf), weekend=True), hz.daily_home_zip(_visits(s, sf), weekend=False)],
         "daily_home_zip_append",
     )
+    q["sink_insert_by_position"] = _references_by_position
     q["split_by_day"] = lambda s, sf: sinks.split_by_day(s, _visits(s, sf), "date", "visits_by_day")
 
     # ---- reference, closed form over all days
@@ -163,7 +233,7 @@ def build() -> dict[str, Query]:
     q["mover_pool"] = lambda s, sf: sk.mover_pool(_annotated(s, sf), TH)
 
     # ---- one day on the snapshot state
-    q["scan_day_partition"] = lambda s, sf: _dhz(s, sf).where(F.col("day") == F.lit(SNAPSHOT_DAY))
+    q["scan_day_partition"] = lambda s, sf: _home_zip_days(s, sf).read(schemas.DAILY_HOME_ZIP, [SNAPSHOT_DAY])
     q["compare_with_reference"] = _on_step(lambda d: d.compared)
     q["no_reference_yet"] = _on_step(lambda d: rf.no_reference_yet(d.today, d.ref))
     q["already_in_pool"] = _on_step(lambda d: rf.already_in_pool(d.compared, d.pool))
@@ -209,20 +279,17 @@ def build() -> dict[str, Query]:
     q["moves"] = _on_run(lambda r: r.moves)
     q["user_registry"] = _on_run(lambda r: r.registry)
     q["scan_state_distinct"] = _on_run(lambda r: r.history.select("user_id", "zipcode").distinct())
-    q["run_metrics"] = lambda s, sf: _run(s, sf).metrics(_visits(s, sf))
+    q["run_metrics"] = lambda s, sf: run_metrics(_visits(s, sf), TH, tb.last_day(s, sf), unique=True)
     q["pool_profile"] = _on_run(lambda r: r.pool_profile)
 
-    # ---- streaming: event-time day buckets, per-user state across micro-batches
+    # ---- daily job: versions of changed users, merged on reading
+    q["daily_state_pool"] = lambda s, sf: _daily_store(s, sf, TH).pool()
+    q["daily_state_streak"] = lambda s, sf: _daily_store(s, sf, TH_AGED).streak()
+    q["daily_state_registry"] = lambda s, sf: _daily_store(s, sf, TH).registry()
+
+    # ---- streaming: event-time day buckets, per-user state across micro-batches, late sightings
     q["stream_daily_home_zip"] = lambda s, sf: ms.run_daily_home_zip_stream(s, f"{sf}/events.parquet")
-    q["stream_movers"] = _stream_pool(TH)
-    q["stream_movers_aged"] = _stream_pool(TH_AGED)
+    q["stream_movers"] = lambda s, sf: ms.stream_pool(ms.run_mover_stream(_dhz(s, sf), TH))
+    q["stream_movers_aged"] = lambda s, sf: ms.stream_pool(ms.run_mover_stream(_dhz(s, sf), TH_AGED))
+    q["stream_late_corrected"] = lambda s, sf: ms.run_late_stream(_dhz(s, sf), TH, F.expr(LATE_BY), tb.last_day(s, sf))
     return q
-
-
-def _stream_pool(th) -> Query:
-    """Pool at the end of the stream; the files come out of order over several micro-batches."""
-    def run(spark, sf):
-        out = ms.latest_state(ms.run_mover_stream(spark, _dhz(spark, sf), th))
-        return out.where("kind = 'pool'").select("user_id", "zipcode", F.col("week").alias("confirmed_week"), "since")
-
-    return run

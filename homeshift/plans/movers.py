@@ -1,10 +1,10 @@
 """Batch plan of the whole detection over every day of the input.
 
-visits -> daily home zip (partial aggregates) -> per-user windows (one hash
-exchange on user_id) -> users that are never evicted: aggregates; evicted users: per-user fold (mapInArrow) ->
-final tables.  The fold output is materialised once as a parquet table, one folder a kind, in the shared
-``spark.checkpoint.dir`` folder, since every final table is read from it; this
-also cuts the lineage so a lost executor does not replay the whole chain.
+visits -> daily home zip (partial aggregates) -> one hash exchange on user_id -> every user's days through the
+state machine (``operators.user_state``) -> one row a user, written once as a parquet table in the shared
+``spark.checkpoint.dir`` folder.  Every final table (reference, history, registry, pool, streak, audits, potential
+movers, moves) is a projection of that table: no further exchange, no join, no Python.  Writing
+it also cuts the lineage, so a lost executor does not replay the whole chain.
 """
 
 from __future__ import annotations
@@ -12,16 +12,13 @@ from __future__ import annotations
 import datetime as _dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from homeshift.config import Thresholds
 from homeshift.session import materialize
-from homeshift.operators import closed as cl
-from homeshift.operators import fold as fd
-from homeshift.operators import reference as rf
-from homeshift.operators.partitioning import by_user_partitions
-from homeshift.operators.streak import POOL_COLS
+from homeshift.operators import home_zip as hz
+from homeshift.operators import user_state as us
 
 
 class MoverRun:
@@ -50,128 +47,104 @@ class MoverRun:
         return self._horizon
 
     @cached_property
-    def annotated(self) -> DataFrame:
-        return rf.annotate(self.dhz, self.th)
-
-    @cached_property
-    def sightings(self) -> DataFrame:
-        """Every sighting with its route, run and its user's eviction flag; written once, one folder a flag."""
-        out = cl.with_eviction_flag(self.annotated, self.horizon, self.th)
-        return materialize(out, "sightings", ["evicted"]) if self.materialize else out
-
-    @cached_property
-    def fold(self) -> DataFrame:
-        x = self.sightings
-        out = fd.fold_sightings(x.where("evicted"), self.th).unionByName(cl.final_rows(x.where("not evicted"), self.th))
-        return materialize(out, "fold", ["kind"]) if self.materialize else out
-
-    def _kind(self, kind: str) -> DataFrame:
-        return self.fold.where(F.col("kind") == kind)
+    def states(self) -> DataFrame:
+        """State of every user at the end of the run, written once."""
+        out = us.replay(self.dhz, self.horizon, self.th)
+        return materialize(out, "states") if self.materialize else out
 
     @cached_property
     def reference(self) -> DataFrame:
-        return self._kind("reference").select(
-            "user_id", F.col("zipcode").alias("reference_zip"), F.col("day").alias("ref_day")
-        )
+        return us.reference(self.states)
 
     @cached_property
     def pool(self) -> DataFrame:
-        return self._kind("pool").select("user_id", "zipcode", F.col("week").alias("confirmed_week"), "since")
+        return us.pool(self.states)
 
     @cached_property
     def streak(self) -> DataFrame:
-        return self._kind("streak").select(
-            "user_id", "zipcode", "streak_start", "weekend_days", "weekday_days", F.col("week").alias("week_no")
-        )
+        return us.streak(self.states)
 
     @cached_property
     def history(self) -> DataFrame:
         """Reference history at the end of the run."""
-        return self._kind("history").select("user_id", "zipcode", "weekend_days", "weekday_days")
+        return us.history(self.states)
 
     @cached_property
     def registry(self) -> DataFrame:
         """User registry at the end of the run (first / last feed day, gap and tenure on the horizon)."""
-        return self._kind("registry").select("user_id", "last_seen", "first_seen", "gap_days", "tenure_days")
+        return us.registry(self.states, F.col("horizon"))
 
     @cached_property
     def evictions(self) -> DataFrame:
         """One row per eviction: (user_id, day, reason, presence_days)."""
-        ev = self.fold.where(F.col("kind").isin("returned", "aged"))
-        return ev.groupBy("user_id", "day", F.col("kind").alias("reason")).agg(
-            F.max("presence_days").alias("presence_days")
-        )
+        once = F.array_distinct(F.transform("audits", lambda a: F.struct(a["day"].alias("day"), a["kind"].alias("reason"), a["presence_days"].alias("presence_days"))))
+        return self.states.select("user_id", F.inline(once))
 
     @cached_property
     def returned(self) -> DataFrame:
         """Audit of users evicted after a confirmed return home."""
-        return self._kind("returned").select("user_id", "week", "date_min", "date_max", "day", "presence_days")
+        return us.audits(self.states).where("kind = 'returned'").select("user_id", "week", "date_min", "date_max", "day", "presence_days")
 
     @cached_property
     def aged(self) -> DataFrame:
         """Audit of the pool rows of users evicted for their age."""
-        return self._kind("aged").select("user_id", "zipcode", F.col("week").alias("confirmed_week"), "since", "date_min", "date_max", "day", "presence_days")
-
-    @cached_property
-    def pool_with_reference(self) -> DataFrame:
-        """Pool rows with the user's reference zip and whether any of the user's rows is at it: one exchange."""
-        w = Window.partitionBy("user_id")
-        rows = by_user_partitions(self.fold.where(F.col("kind").isin("pool", "reference")))
-        rows = rows.withColumn("reference_zip", F.max(F.when(F.col("kind") == "reference", F.col("zipcode"))).over(w))
-        at_home = (F.col("kind") == "pool") & (F.col("zipcode") == F.col("reference_zip"))
-        rows = rows.withColumn("home_seen", F.coalesce(F.max(at_home).over(w), F.lit(False)))
-        return rows.where("kind = 'pool'").select(
-            "user_id", "zipcode", F.col("week").alias("confirmed_week"), "since", "reference_zip", "home_seen"
-        )
+        return us.audits(self.states).where("kind = 'aged'").select("user_id", "zipcode", F.col("week").alias("confirmed_week"), "since", "date_min", "date_max", "day", "presence_days")
+
+    @cached_property
+    def pool_users(self) -> DataFrame:
+        """States of the users in the pool, with whether any of their pool rows is at their reference zip."""
+        seen = F.exists("pool", lambda p: p["zipcode"] == F.col("reference_zip"))
+        return self.states.where("size(pool) > 0").withColumn("home_seen", F.coalesce(seen, F.lit(False)))
 
     @cached_property
     def home_seen_in_pool(self) -> DataFrame:
-        return self.pool_with_reference.where("home_seen").select("user_id").distinct()
+        return self.pool_users.where("home_seen").select("user_id")
 
     @cached_property
     def potential_movers(self) -> DataFrame:
-        return self.pool_with_reference.where("not home_seen").select(*POOL_COLS)
+        return us.pool(self.pool_users.where("not home_seen"))
 
     @cached_property
     def moves(self) -> DataFrame:
         """Old zip (reference), new zip (latest confirmed week, then later date, then larger zip), date."""
-        first = F.min("since").over(Window.partitionBy("user_id", "zipcode"))
-        rows = self.pool_with_reference.where("not home_seen and reference_zip is not null").withColumn("moved_on", first)
-        best = F.max(F.when(F.col("confirmed_week") >= 1, F.struct("confirmed_week", "since", "zipcode", "moved_on")))
-        x = rows.groupBy("user_id").agg(F.max("reference_zip").alias("old_zip"), best.alias("b")).where("b is not null")
-        return x.select("user_id", "old_zip", F.col("b.zipcode").alias("new_zip"), F.col("b.moved_on").alias("moved_on"))
+        confirmed = F.filter("pool", lambda p: p["week"] >= 1)
+        best = F.array_max(F.transform(confirmed, lambda p: F.struct(p["week"].alias("week"), p["since"].alias("since"), p["zipcode"].alias("zipcode"))))
+        x = self.pool_users.where("not home_seen and reference_zip is not null").withColumn("best", best).where("best is not null")
+        first = F.array_min(F.transform(F.filter("pool", lambda p: p["zipcode"] == F.col("best.zipcode")), lambda p: p["since"]))
+        return x.select("user_id", F.col("reference_zip").alias("old_zip"), F.col("best.zipcode").alias("new_zip"), first.alias("moved_on"))
 
     @cached_property
     def pool_profile(self) -> DataFrame:
         """Per pool user: distinct states, distinct dates, confirmed zips."""
-        return self.pool.groupBy("user_id").agg(
-            F.countDistinct("confirmed_week").alias("n_states"),
-            F.countDistinct("since").alias("n_dates"),
-            F.count(F.when(F.col("confirmed_week") >= 1, F.col("zipcode"))).alias("n_confirmed_zips"),
+        distinct = lambda f: F.size(F.array_distinct(F.transform("pool", f))).cast("bigint")
+        return self.states.where("size(pool) > 0").select(
+            "user_id", distinct(lambda p: p["week"]).alias("n_states"), distinct(lambda p: p["since"]).alias("n_dates"),
+            F.size(F.filter("pool", lambda p: (p["week"] >= 1) & p["zipcode"].isNotNull())).cast("bigint").alias("n_confirmed_zips"),
         )
 
-    def metrics(self, visits: DataFrame) -> DataFrame:
-        """Row counts of every table of the run, as (metric, value) rows.
-
-        One count by kind over the fold's output, one pass over the users' pool rows, and a
-        count of the two inputs.
-        """
-        kinds = {"reference": "users_with_reference", "history": "reference_history_rows", "streak": "mover_streak_rows", "pool": "mover_pool_rows"}
-        one = F.lit(1)
-        by_kind = self.fold.agg(
-            *[F.count(F.when(F.col("kind") == k, one)).alias(m) for k, m in kinds.items()],
-            F.countDistinct(F.when(F.col("kind") == "returned", F.struct("user_id", "day"))).alias("returned_home_evictions"),
-        )
-        best = F.max(F.col("confirmed_week") >= 1) & F.max(F.col("reference_zip").isNotNull())
-        users = self.pool_with_reference.where("not home_seen").groupBy("user_id").agg(F.count(one).alias("n"), best.alias("moved"))
-        movers = users.agg(
-            F.count(one).alias("potential_mover_users"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("potential_mover_rows"),
-            F.count(F.when(F.col("moved"), one)).alias("moves_rows"),
+    def counts(self) -> DataFrame:
+        """One row: the row counts of every table of the run, by one aggregate over the states."""
+        total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+        home = F.coalesce(F.exists("pool", lambda p: p["zipcode"] == F.col("reference_zip")), F.lit(False))
+        mover = (F.size("pool") > 0) & ~home
+        moved = mover & F.col("reference_zip").isNotNull() & F.exists("pool", lambda p: p["week"] >= 1)
+        return self.states.agg(
+            total("n_days").alias("daily_home_zip_rows"),
+            F.count("ref_day").alias("users_with_reference"), total(F.size("fed")).alias("reference_history_rows"), F.count("streak").alias("mover_streak_rows"),
+            total(F.size("pool")).alias("mover_pool_rows"), total(F.size(F.filter("audits", lambda a: a["kind"] == "returned"))).alias("returned_home_evictions"),
+            F.count(F.when(mover, 1)).alias("potential_mover_users"), total(F.when(mover, F.size("pool"))).alias("potential_mover_rows"),
+            F.count(F.when(moved, 1)).alias("moves_rows"),
         )
-        inputs = [visits.agg(F.count(one).alias("visits_rows")), self.dhz.agg(F.count(one).alias("daily_home_zip_rows"))]
-        out = None
-        for part in (*inputs, by_kind, movers):
-            rows = part.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value")) for c in part.columns])).alias("r")).select("r.*")
-            out = rows if out is None else out.unionByName(rows)
-        return out
+
+
+def run_metrics(visits: DataFrame, th: Thresholds, horizon, unique: bool = False) -> DataFrame:
+    """Row counts of the input and of every table of a run, as (metric, value) rows.
+
+    The input is counted by ``observe`` while the states are written, so it is read once.  An observed count includes
+    the rows of a map stage that had to run again after a lost executor; the other counts come from the written table.
+    """
+    seen = Observation("homeshift-input")
+    counted = visits.observe(seen, F.count(F.lit(1)).alias("visits_rows"))
+    counts = MoverRun(hz.daily_home_zip(counted, unique=unique), th, horizon).counts()
+    counts = counts.select(F.lit(seen.get["visits_rows"]).cast("bigint").alias("visits_rows"), "*")
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in counts.columns])))

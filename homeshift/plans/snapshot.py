@@ -1,15 +1,12 @@
 """State tables at the end of the day before ``day``, and that day's steps.
 
-The state is the closed form without eviction over the days before ``day``;
-the one-day operators then run on it exactly as the reference runs one day of
-its loop.  Used to check every branch of the daily step on real data.
-
-The daily home zips, the routed sightings before the day (with the runs of
-the mover sightings), today's routes and the merged streak / pool (the tables
-read several times by the later steps) are materialised as parquet tables
-written in the shared checkpoint folder the first time they are used; later plans read them instead
-of re-planning the whole lineage, and a lost executor only replays from them.  Set ``materialize_state`` to also
-write every state table, as the reference does each day.
+The state is that of the days before ``day`` when nobody is ever evicted; the one-day operators then run on it exactly as
+the reference runs one day of its loop.  Used to check every branch of the daily step on real data.
+
+One pass over the home zips gives every user's state (``operators.user_state``) and today's zip.  It is written once, as a
+table bucketed by user: the state tables are projections of it, and joins between them need no exchange.  Today's
+routes and the merged streak / pool, which several later steps read, are written as parquet tables in the shared
+checkpoint folder the first time they are used, so a lost executor only replays from them.
 """
 
 from __future__ import annotations
@@ -22,87 +19,62 @@ from pyspark.sql import functions as F
 
 from homeshift.config import Thresholds
 from homeshift.session import materialize
-from homeshift.functions.dates import inclusive_day_diff, weekday_flag, weekend_flag
 from homeshift.operators import confirm as cf
 from homeshift.operators import reference as rf
 from homeshift.operators import streak as sk
+from homeshift.operators import user_state as us
+from homeshift.operators.partitioning import by_user_partitions
+from homeshift.sources import catalog_tables as ct
+
+#: Limits under which nobody is evicted.
+NEVER = {"return_limit": -1, "age_limit": 1_000_000}
 
 
 class DayStep:
-    def __init__(self, dhz: DataFrame, day: _dt.date, th: Thresholds, materialize: bool = True,
-                 materialize_state: bool = False):
-        self._dhz, self.day, self.th = dhz, day, th
-        self.materialize, self.materialize_state = materialize, materialize_state
+    def __init__(self, dhz: DataFrame, day: _dt.date, th: Thresholds, materialize: bool = True):
+        self._dhz, self.day, self.th, self.materialize = dhz, day, th, materialize
 
     def _big(self, df: DataFrame) -> DataFrame:
         return materialize(df, "daystep") if self.materialize else df
 
-    def _m(self, df: DataFrame) -> DataFrame:
-        return materialize(df, "daystate") if self.materialize_state else df
-
-    @cached_property
-    def dhz(self) -> DataFrame:
-        return self._big(self._dhz.where(F.col("day") <= F.lit(self.day)))  # later days are never read
-
     # ------------------------------------------------------------ state before
     @cached_property
-    def annotated_before(self) -> DataFrame:
-        return rf.annotate(self.dhz.where(F.col("day") < F.lit(self.day)), self.th)
-
-    @cached_property
-    def routed_before(self) -> DataFrame:
-        """Every sighting before the day with its route; mover sightings also carry their run (island)."""
-        cols = ["user_id", "zipcode", "day", "reference_zip", "ref_day", "route"]
-        routed = sk.route_without_eviction(self.annotated_before).select(*cols)
-        movers = sk.islands(routed.where(F.col("route") == rf.ROUTE_MOVER))
-        others = routed.where(F.col("route") != rf.ROUTE_MOVER)
-        return self._big(others.unionByName(movers, allowMissingColumns=True))
+    def base(self) -> DataFrame:
+        """Every user's state before the day, and its home zip of the day; written once, bucketed by user."""
+        d = F.lit(self.day)
+        th = self.th.with_(**NEVER)
+        before = F.sort_array(F.collect_list(F.when(F.col("day") < d, F.struct("day", "zipcode"))))
+        users = by_user_partitions(self._dhz.where(F.col("day") <= d)).groupBy("user_id").agg(  # later days are never read
+            before.alias("days"), F.max(F.when(F.col("day") == d, F.col("zipcode"))).alias("today")
+        )
+        end = F.aggregate("days", us.empty_state(), lambda s, x: us.step(s, x["day"], x["zipcode"], th))
+        out = users.select("user_id", "today", end.alias("s")).select("user_id", "today", "s.*")
+        return ct.save_table(out, ct.fresh_name("daystep")) if self.materialize else out
 
     @cached_property
     def ref(self) -> DataFrame:
-        return self._m(rf.reference_zip(self.routed_before).select("user_id", "reference_zip"))
-
-    @cached_property
-    def feed_days_before(self) -> DataFrame:
-        return self.routed_before.where(F.col("route").isin(rf.ROUTE_REFERENCE, rf.ROUTE_HOME))
+        return us.reference(self.base).select("user_id", "reference_zip")
 
     @cached_property
     def history(self) -> DataFrame:
-        return self._m(self.feed_days_before.groupBy("user_id", "zipcode").agg(
-            F.sum(weekend_flag("day")).cast("bigint").alias("weekend_days"),
-            F.sum(weekday_flag("day")).cast("bigint").alias("weekday_days"),
-        ))
+        return us.history(self.base)
 
     @cached_property
     def registry(self) -> DataFrame:
-        last = F.lit(self.day - _dt.timedelta(days=1))
-        g = self.feed_days_before.groupBy("user_id").agg(
-            F.max("day").alias("last_seen"),
-            F.min("day").alias("first_seen"),
-            F.max(F.when(F.col("day") < last, F.col("day"))).alias("prev_seen"),
-        )
-        return self._m(g.select(
-            "user_id", "last_seen", "first_seen",
-            F.coalesce(inclusive_day_diff(last, "prev_seen"), F.lit(1)).alias("gap_days"),
-            inclusive_day_diff(last, "first_seen").alias("tenure_days"),
-        ))
-
-    @cached_property
-    def islands_before(self) -> DataFrame:
-        return self.routed_before.where(F.col("route") == rf.ROUTE_MOVER)
+        return us.registry(self.base, F.lit(self.day - _dt.timedelta(days=1)))
 
     @cached_property
     def streak(self) -> DataFrame:
-        return self._m(sk.streak_from_islands(self.islands_before))
+        return us.streak(self.base)
 
     @cached_property
     def pool(self) -> DataFrame:
-        return self._m(sk.pool_from_islands(self.islands_before, self.th))
+        return us.pool(self.base)
 
     # --------------------------------------------------------------- the day
     @cached_property
     def today(self) -> DataFrame:
-        return self.dhz.where(F.col("day") == F.lit(self.day)).select("user_id", "zipcode")
+        return self.base.where("today is not null").select("user_id", F.col("today").alias("zipcode"))
 
     @cached_property
     def compared(self) -> DataFrame:
@@ -133,11 +105,11 @@ class DayStep:
 
     @cached_property
     def history_after(self) -> DataFrame:
-        return self._m(rf.history_update(self.history, self.reference_feed, self.day))
+        return rf.history_update(self.history, self.reference_feed, self.day)
 
     @cached_property
     def registry_after(self) -> DataFrame:
-        return self._m(rf.registry_update(self.registry, self.reference_feed, self.day))
+        return rf.registry_update(self.registry, self.reference_feed, self.day)
 
     @cached_property
     def passed(self) -> DataFrame:

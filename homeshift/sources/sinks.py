@@ -8,9 +8,9 @@ Every table is written to a fresh folder under the shared checkpoint folder
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from homeshift.session import path_exists, scratch_path
+from homeshift.session import scratch_path
+from homeshift.sources.day_tables import DayTables
 
 
 def write_table(df: DataFrame, path: str, mode: str = "error", partition_by: list[str] | None = None) -> str:
@@ -39,14 +39,9 @@ def append_parts(spark: SparkSession, parts: list[DataFrame], name: str) -> Data
 def split_by_day(spark: SparkSession, df: DataFrame, day_col: str, name: str, path: str | None = None, spread: int = 4) -> DataFrame:
     """One folder per day in a single job (instead of one scan per day), at ``path`` or a fresh scratch folder.
 
-    Days that the folder already has are left as they are and all others are
-    added, like the reference's CREATE TABLE IF NOT EXISTS for each day.  Rows
-    are dealt by day and ``spread`` parts, so a day has that many files, not one a task.
+    Days that are committed there are left as they are and all others are added, like the reference's CREATE TABLE
+    IF NOT EXISTS for each day; see ``day_tables``.
     """
-    path = path or scratch_path(spark, name)
-    if path_exists(spark, path):
-        have = spark.read.schema(df.schema).parquet(path).select(day_col).distinct()
-        df = df.join(have, day_col, "left_anti").select(*df.columns)
-    part = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
-    write_table(df.repartition(day_col, part), path, mode="append", partition_by=[day_col])
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    days = DayTables(spark, path or scratch_path(spark, name), day_col)
+    days.add_days(df, spread)
+    return days.read(df.schema)

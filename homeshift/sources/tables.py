@@ -15,8 +15,6 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homeshift.functions.dates import compact_day
-
 # Fixed values of the visits fixture (see FIXTURES.md): hour bounds of the
 # four time-of-day codes, the day the simulated movers move, and the zipcode
 # rules of bad, trip, moved and home visits.
@@ -103,10 +101,5 @@ def scan_days(v: DataFrame, first: _dt.date | None = None, last: _dt.date | None
     return v.select("cookie", "zipcode", "tranche", "nb_hits", "date")
 
 
-def load_days_tagged(v: DataFrame) -> DataFrame:
-    """All daily rows in one read, each tagged with its day as 'yyyyMMdd'."""
-    return v.withColumn("day1", compact_day("date"))
-
-
 def date_bounds(v: DataFrame) -> DataFrame:
     return v.agg(F.min("date").alias("date_min"), F.max("date").alias("date_max"))

@@ -6,14 +6,15 @@ emitted once the watermark closes it, and ``foreachBatch`` turns each closed
 day into home zips with the same batch operator.
 
 ``mover_stream`` (per-user state carried from day to day): daily home zips
-arrive as files, in any order within ``lateness``.  Sightings wait in the
-user's state until the watermark has closed their day and are then applied in
-order of days by the same ``UserState`` step as the batch fold, learning the
-reference on the fly.  An event-time timer wakes a user whose next waiting day closes, or
-whose pool rows reach the age limit without being seen again.  A sighting that comes later than the watermark
-is dropped by Spark and counted in ``numRowsDroppedByWatermark``.  Each micro-batch writes, for every woken
-user, the current pool / streak / reference rows and the eviction audits, in a folder of
-that batch; ``latest_state`` reads each user's last batch.
+arrive as files, in any order within ``lateness``.  ``transformWithState`` keeps a user's state in typed value and map
+variables of a RocksDB store.  Sightings wait in a map until an event-time timer says that the watermark has closed
+their day; then they are applied in order of days by ``UserState``, learning the reference on the fly.  A second timer
+fires when the pool rows reach the age limit without the user being seen.  Each micro-batch writes, for every woken user, the
+current pool / streak / reference rows and the eviction audits, in a folder of that batch; ``latest_state`` reads each
+user's last batch.
+
+A sighting that comes behind the watermark is written as a ``late`` row and changes nothing; ``correct_late`` replays the
+users that have one from the stored days, and ``corrected_pool`` puts their rows in place of the stream's.
 
 The state of a user is its reference, history counters, streak, pool rows and the waiting
 days (at most ``lateness`` of them).  It is kept for good: the reference and the history
@@ -27,37 +28,29 @@ query then closes every day up to the last one.
 from __future__ import annotations
 
 import datetime as _dt
-import json
 import posixpath
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from homeshift.config import Thresholds
 from homeshift.operators import home_zip as hz
-from homeshift.operators.fold import EPOCH, FOLD_COLUMNS, UserState, _epoch_days
+from homeshift.operators import user_state as us
+from homeshift.operators.fold import EPOCH, FOLD_COLUMNS, UserState
 from homeshift.schemas import FOLD_OUTPUT
-from homeshift.session import is_file, scratch_path, ship_package
+from homeshift.session import is_file, materialize, scratch_path, ship_package
 from homeshift.sources.tables import visit_rows
 
 DAY_MS = 86_400_000
 
-STATE_SCHEMA = T.StructType([
-    T.StructField("ref_zip", T.StringType()),
-    T.StructField("ref_day", T.LongType()),
-    T.StructField("streak", T.StringType()),
-    T.StructField("pool", T.StringType()),
-    T.StructField("first", T.LongType()),
-    T.StructField("fed", T.StringType()),
-    T.StructField("fed_days", T.StringType()),
-    T.StructField("waiting", T.StringType()),
-])
 STREAM_OUTPUT = T.StructType(FOLD_OUTPUT.fields + [T.StructField("as_of", T.DateType())])
 STORED_OUTPUT = T.StructType(STREAM_OUTPUT.fields + [T.StructField("batch", T.LongType())])
 MARKER_USER = -1  # user id of the row that closes a bounded input
+HOME_ZIPS = "user_id long, zipcode string, day date"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 # ----------------------------------------------------------- home zip stream
@@ -134,34 +127,88 @@ def run_daily_home_zip_stream(spark: SparkSession, events_path: str) -> DataFram
 
 # -------------------------------------------------------------- mover stream
 
-def _state_fn(th: Thresholds):
-    def fn(key, pdfs, state):
-        user_id = int(key[0])
-        if state.exists:
-            *known, waiting = state.get
-            u, waiting = UserState.load(user_id, th, tuple(known)), {int(d): z for d, z in json.loads(waiting)}
-        else:
-            u, waiting = UserState(user_id, None, None, th, learn=True), {}
-        if not state.hasTimedOut:
-            for pdf in pdfs:
-                for d, z in zip(_epoch_days(pdf["day"]).tolist(), pdf["zipcode"].tolist()):
-                    waiting[d] = z
-        open_day = state.getCurrentWatermarkMs() // DAY_MS  # days before it are closed
-        closed = sorted(d for d in waiting if d < open_day)
+def _days_since_epoch(day: _dt.date) -> int:
+    return (day - EPOCH).days
+
+
+class MoverProcessor(StatefulProcessor):
+    """State of a user in typed variables; a timer for every waiting day's close and for the end of the pool age.
+
+    ``user`` (value): reference, streak, first pool day, first / last / previous fed day.  ``pool`` (map): (zip, week) ->
+    since.  ``fed`` (map): zip -> weekend and weekday counts.  ``waiting`` (map): day -> zip of days that are still open.
+    A row behind the watermark is handed out as ``late`` and leaves the state as it is.
+    """
+
+    USER = ("reference_zip string, ref_day long, streak_zip string, streak_start long, streak_weekend long, streak_weekday long, streak_week long, "
+            "first long, fed_first long, fed_last long, fed_before long, age_timer long")
+
+    def __init__(self, th: Thresholds):
+        self.th = th
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.user = handle.getValueState("user", self.USER)
+        self.pool = handle.getMapState("pool", "zipcode string, week long", "since long")
+        self.fed = handle.getMapState("fed", "zipcode string", "weekend_days long, weekday_days long")
+        self.waiting = handle.getMapState("waiting", "day long", "zipcode string")
+
+    def _load(self, user_id: int) -> tuple[UserState, int | None]:
+        known = self.user.get() if self.user.exists() else (None,) * 12
+        u = UserState(user_id, known[0], known[1], self.th, learn=True)
+        u.streak = None if known[2] is None else list(known[2:7])
+        u.first, u.fed_days = known[7], list(known[8:11])
+        u.pool = {(z, w): s for (z, w), (s,) in self.pool.iterator()}
+        u.fed = {z: [we, sem] for (z,), (we, sem) in self.fed.iterator()}
+        return u, known[11]
+
+    def _save(self, u: UserState, old_pool: dict, old_fed: dict, age_timer: int | None) -> None:
+        for k in old_pool.keys() - u.pool.keys():
+            self.pool.removeKey(k)
+        for k, since in u.pool.items():
+            if old_pool.get(k) != since:
+                self.pool.updateValue(k, (since,))
+        for z, counts in u.fed.items():
+            if old_fed.get(z) != counts:
+                self.fed.updateValue((z,), tuple(counts))
+        self.user.update((u.ref_zip, u.ref_day, *(u.streak or (None,) * 5), u.first, *u.fed_days, age_timer))
+
+    def handleInputRows(self, key, rows, timerValues):
+        open_day = timerValues.getCurrentWatermarkInMs() // DAY_MS  # days before it are closed
+        for r in rows:
+            if key[0] == MARKER_USER:
+                continue
+            d = _days_since_epoch(r["day"])
+            if d < open_day:
+                yield _out_row((key[0], "late") + tuple({"day": r["day"], "zipcode": r["zipcode"]}.get(c) for c in FOLD_COLUMNS[2:]), open_day)
+            else:
+                self.waiting.updateValue((d,), (r["zipcode"],))
+                self.handle.registerTimer((d + 1) * DAY_MS - 1)  # fires when the watermark is past it
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        user_id, open_day = key[0], timerValues.getCurrentWatermarkInMs() // DAY_MS
+        closed = sorted(d for (d,) in self.waiting.keys() if d < open_day)
+        u, age_timer = self._load(user_id)
+        old_pool, old_fed = dict(u.pool), {z: list(c) for z, c in u.fed.items()}
         for d in closed:
-            u.observe(d, waiting.pop(d), (d + 3) % 7 >= 5)
+            u.observe(d, self.waiting.getValue((d,))[0], (d + 3) % 7 >= 5)
+            self.waiting.removeKey((d,))
         u.expire(open_day - 1)
+        if not closed and not u.out:  # an earlier timer of this batch has done the work
+            return
+        due = None if u.first is None else (u.first + self.th.age_limit + 1) * DAY_MS - 1
+        if due != age_timer:
+            if age_timer is not None and age_timer > expiredTimerInfo.getExpiryTimeInMs():
+                self.handle.deleteTimer(age_timer)
+            if due is not None:
+                self.handle.registerTimer(due)
         rows = u.snapshot()
-        state.update((*u.dump(), json.dumps(sorted(waiting.items()))))
-        wake = [d + 1 for d in waiting] + ([u.first + th.age_limit + 1] if u.first is not None else [])
-        if wake and user_id != MARKER_USER:
-            state.setTimeoutTimestamp(min(wake) * DAY_MS - 1)  # a timer fires when the watermark is past it
-        if user_id != MARKER_USER and (closed or rows):
-            out = pd.DataFrame.from_records(rows or [(user_id, "none") + (None,) * (len(FOLD_COLUMNS) - 2)], columns=FOLD_COLUMNS)
-            out["as_of"] = EPOCH + _dt.timedelta(days=int(open_day - 1))
-            yield out
+        self._save(u, old_pool, old_fed, due)
+        for row in rows or [(user_id, "none") + (None,) * (len(FOLD_COLUMNS) - 2)]:
+            yield _out_row(row, open_day)
+
 
-    return fn
+def _out_row(row: tuple, open_day: int) -> Row:
+    return Row(**dict(zip(FOLD_COLUMNS, row)), as_of=EPOCH + _dt.timedelta(days=int(open_day - 1)) if open_day else None)
 
 
 def mover_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, th: Thresholds,
@@ -175,17 +222,16 @@ def mover_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint
     ship_package(spark)
 
     def source(path: str) -> DataFrame:
-        src = spark.readStream.schema("user_id long, zipcode string, day date")
+        src = spark.readStream.schema(HOME_ZIPS)
         return (src.option("maxFilesPerTrigger", max_files) if max_files else src).parquet(path)
 
     rows = source(source_dir)
     if closing_path:
         rows = rows.unionByName(source(closing_path))
-    s = rows.withColumn("event_time", wall_clock_as_utc(F.col("day"), with_time=False)).withWatermark(
-        "event_time", f"{lateness_days} days"
-    )
-    out = s.groupBy("user_id").applyInPandasWithState(
-        _state_fn(th), STREAM_OUTPUT, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout
+    timed = rows.withColumn("event_time", wall_clock_as_utc(F.col("day"), with_time=False)).withWatermark("event_time", f"{lateness_days} days")
+    # without the event time column Spark drops no late row: the processor sees them all and hands them out
+    out = timed.select("user_id", "zipcode", "day").groupBy("user_id").transformWithState(
+        MoverProcessor(th), STREAM_OUTPUT, outputMode="Append", timeMode="EventTime"
     )
 
     def store(batch: DataFrame, epoch: int) -> None:
@@ -193,44 +239,100 @@ def mover_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint
         batch.write.mode("overwrite").parquet(f"{out_path}/batch={epoch}")
 
     w = out.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(store)
-    return w.trigger(availableNow=True).start() if available_now else w.start()
+    old = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ROCKSDB)  # the query takes the setting when it starts
+    try:
+        return w.trigger(availableNow=True).start() if available_now else w.start()
+    finally:
+        spark.conf.unset(STATE_STORE) if old is None else spark.conf.set(STATE_STORE, old)
 
 
 def read_output(spark: SparkSession, out_path: str) -> DataFrame:
     return spark.read.schema(STORED_OUTPUT).parquet(out_path)
 
 
+def late_rows(out: DataFrame) -> DataFrame:
+    """Sightings that came behind the watermark: (user_id, zipcode, day, batch)."""
+    return out.where("kind = 'late'").select("user_id", "zipcode", "day", "batch")
+
+
 def latest_state(out: DataFrame) -> DataFrame:
     """Rows of each user's last micro-batch (the state at the end of the stream), without audits."""
-    state = out.where(~F.col("kind").isin("returned", "aged"))
-    last = out.groupBy("user_id").agg(F.max("batch").alias("batch"))
+    own = out.where("kind <> 'late'")
+    state = own.where(~F.col("kind").isin("returned", "aged"))
+    last = own.groupBy("user_id").agg(F.max("batch").alias("batch"))
     return state.join(last, ["user_id", "batch"], "left_semi").where("kind <> 'none'")
 
 
+def stream_pool(out: DataFrame) -> DataFrame:
+    """Pool rows at the end of the stream."""
+    return latest_state(out).where("kind = 'pool'").select("user_id", "zipcode", F.col("week").alias("confirmed_week"), "since")
+
+
+def correct_late(out: DataFrame, day_history: DataFrame, th: Thresholds, horizon) -> DataFrame:
+    """States, at the end of the day ``horizon``, of the users with a late sighting: replayed from the stored days.
+
+    ``day_history``: every sighting that arrived, the late ones too (the stream's source folder).  Only those users'
+    days are shuffled; their rows replace what the stream holds for them.
+    """
+    users = late_rows(out).select("user_id").distinct()
+    days = day_history.select("user_id", "zipcode", "day").join(users, "user_id", "left_semi")
+    return us.replay(days, horizon, th)
+
+
+def corrected_pool(out: DataFrame, corrected: DataFrame) -> DataFrame:
+    """Pool rows of the stream, with those of corrected users from their replay."""
+    rest = stream_pool(out).join(corrected.select("user_id"), "user_id", "left_anti")
+    return rest.unionByName(us.pool(corrected))
+
+
 def close_input(spark: SparkSession, closing_path: str, last: _dt.date, lateness_days: int) -> None:
     """Write the marker that moves the watermark to the end of the day ``last``."""
     day = last + _dt.timedelta(days=1 + lateness_days)
-    marker = spark.createDataFrame([(MARKER_USER, None, day)], "user_id long, zipcode string, day date")
-    marker.write.mode("append").parquet(closing_path)
+    spark.createDataFrame([(MARKER_USER, None, day)], HOME_ZIPS).write.mode("append").parquet(closing_path)
 
 
-def run_mover_stream(spark: SparkSession, dhz: DataFrame, th: Thresholds, max_files: int = 40, lateness_days: int = 60) -> DataFrame:
-    """Feed the daily home zips of a bounded input through the stream and return its output.
+class BoundedRun:
+    """A bounded input fed to the stream in arrival order: a restart of the query for every ``chunk_days`` days of arrivals.
 
-    The source files hold parts of many days in no order and arrive over several
-    micro-batches; ``lateness_days`` covers the whole input.
+    A sighting arrives up to ``lateness_days`` days after its day, by a hash of user and day, and ``delay`` (a column of days)
+    later still; so rows of neighbouring days are mixed, state crosses every micro-batch, and delayed rows are late.
     """
-    src, out, ck, closing = (scratch_path(spark, n) for n in ("stream-src", "stream-out", "stream-ck", "stream-closing"))
-    dhz.repartition(4, F.xxhash64("user_id", "day")).write.partitionBy("day").parquet(src)
-    dhz.select("user_id", "zipcode", "day").limit(0).write.parquet(closing)
-    spark.createDataFrame([], STREAM_OUTPUT).write.parquet(f"{out}/batch=-1")
-
-    def go() -> None:
-        mover_stream(spark, src, out, ck, th, max_files=max_files, lateness_days=lateness_days, closing_path=closing).awaitTermination()
-
-    go()
-    last = spark.read.parquet(src).agg(F.max("day")).first()[0]
-    if last is not None:
-        close_input(spark, closing, last, lateness_days)
-        go()
-    return read_output(spark, out)
+
+    def __init__(self, dhz: DataFrame, th: Thresholds, lateness_days: int = 2, chunk_days: int = 5, delay=None):
+        self.spark, self.th, self.lateness = dhz.sparkSession, th, lateness_days
+        self.source, self.out, self.checkpoint, self.closing = (scratch_path(self.spark, n) for n in ("stream-src", "stream-out", "stream-ck", "stream-closing"))
+        wait = F.pmod(F.xxhash64("user_id", "day"), F.lit(lateness_days + 1)) + (F.lit(0) if delay is None else delay)
+        chunk = F.floor((F.unix_date("day") + wait) / F.lit(chunk_days)).cast("int")
+        self.staged = materialize(dhz.select("user_id", "zipcode", "day", chunk.alias("chunk")), "stream-staged", ["chunk"])
+
+    def go(self) -> None:
+        mover_stream(self.spark, self.source, self.out, self.checkpoint, self.th, lateness_days=self.lateness, closing_path=self.closing).awaitTermination()
+
+    def run(self) -> DataFrame:
+        self.spark.createDataFrame([], HOME_ZIPS).write.parquet(self.closing)
+        self.spark.createDataFrame([], STREAM_OUTPUT).write.parquet(f"{self.out}/batch=-1")
+        ends = self.staged.agg(F.min("chunk"), F.max("chunk"), F.max("day")).first()
+        for k in range(ends[0], ends[1] + 1) if ends[0] is not None else ():  # chunks are spans of days: bounded by the run
+            self.staged.where(F.col("chunk") == k).select("user_id", "zipcode", "day").write.mode("append").parquet(self.source)
+            self.go()
+        if ends[2] is not None:
+            close_input(self.spark, self.closing, ends[2], self.lateness)
+            self.go()
+        return read_output(self.spark, self.out)
+
+    def day_history(self) -> DataFrame:
+        return self.spark.read.schema(HOME_ZIPS).parquet(self.source)
+
+
+def run_mover_stream(dhz: DataFrame, th: Thresholds, lateness_days: int = 2, chunk_days: int = 5) -> DataFrame:
+    """Output of the stream over a bounded input whose rows arrive within the lateness."""
+    return BoundedRun(dhz, th, lateness_days, chunk_days).run()
+
+
+def run_late_stream(dhz: DataFrame, th: Thresholds, delay, horizon, lateness_days: int = 2) -> DataFrame:
+    """Pool at the end of a stream some of whose rows come ``delay`` days late, after the correction job."""
+    run = BoundedRun(dhz, th, lateness_days, delay=delay)
+    out = run.run()
+    corrected = materialize(correct_late(out, run.day_history(), th, horizon), "stream-corrected")
+    return corrected_pool(out, corrected)

@@ -272,6 +272,10 @@ def build() -> dict[str, str]:
     q["available_days"] = w(V + [lb], """SELECT CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS pos,
   strftime(day, '%Y%m%d') AS day_compact FROM (
   SELECT * FROM lb WHERE day IN (SELECT "date" FROM visits))""")
+    q["available_days_capped"] = w(V + [lb], """SELECT CAST(row_number() OVER (ORDER BY day) AS INTEGER) AS pos,
+  strftime(day, '%Y%m%d') AS day_compact FROM (
+  SELECT * FROM lb WHERE day IN (SELECT "date" FROM visits) ORDER BY off LIMIT 10)""")
+    q["scan_weekend_days"] = w(BASE, f"SELECT user_id, zipcode, day FROM dhz WHERE {WE.format(d='day')}")
     q["missing_days"] = w(V + [lb], """SELECT CAST(row_number() OVER (ORDER BY off) AS INTEGER) AS pos,
   strftime(day, '%Y%m%d') AS day_compact FROM lb WHERE day NOT IN (SELECT "date" FROM visits)""")
     dd = 'dd AS (SELECT DISTINCT "date" AS day FROM visits)'
@@ -293,6 +297,7 @@ def build() -> dict[str, str]:
   FROM dhz d JOIN f_rz r ON d.user_id = r.user_id""")
     q["sink_roundtrip"] = q["daily_home_zip"]
     q["sink_append"] = q["daily_home_zip"]
+    q["sink_insert_by_position"] = q["reference_zip"]
     q["split_by_day"] = w(V, "SELECT * FROM visits")
     q["stream_daily_home_zip"] = w(BASE, "SELECT user_id, zipcode, day FROM dhz")
     q.update(fold_oracles())
@@ -408,6 +413,10 @@ def fold_oracles() -> dict[str, str]:
         "mover_pool_aged": w(L, "SELECT * FROM fpool"),
         "mover_streak_aged": w(L, "SELECT * FROM fstreak"),
         "stream_movers_aged": w(L, "SELECT * FROM fpool"),
+        "stream_late_corrected": w(F, "SELECT * FROM fpool"),
+        "daily_state_pool": w(F, "SELECT * FROM fpool"),
+        "daily_state_streak": w(L, "SELECT * FROM fstreak"),
+        "daily_state_registry": w(F, "SELECT * FROM freg"),
         "mover_pool_final": w(F, "SELECT * FROM fpool"),
         "mover_streak_final": w(F, "SELECT * FROM fstreak"),
         "reference_history": w(F, "SELECT * FROM fhist"),
