@@ -3,6 +3,9 @@
 All weeks are tested in one pass: a streak row is tested when its age is an
 exact multiple of 7 and its week number equals age / 7, i.e. the user was seen
 at that zip on the anniversary day (the week number only moves on sightings).
+
+``end_of_day`` does the whole evening in one exchange: streak, pool and reference rows of a user meet, and windows over the
+user decide confirmation, return home and age.  The single operators before it are the same steps one by one.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from pyspark.sql import functions as F
 from homeshift.config import Thresholds
 from homeshift.functions.dates import inclusive_day_diff
 from homeshift.functions.zips import safe_share
+from homeshift.operators.partitioning import by_user_partitions
 from homeshift.operators.streak import POOL_COLS, STREAK_COLS, week_passes
 
 
@@ -109,3 +113,44 @@ def pool_after_eviction(pool: DataFrame, elsewhere: DataFrame, returned: DataFra
 def streak_after_eviction(streak: DataFrame, returned: DataFrame, aged: DataFrame) -> DataFrame:
     gone = returned.select("user_id").unionByName(aged.select("user_id"))
     return streak.select(*STREAK_COLS).join(gone, "user_id", "left_anti")
+
+
+def end_of_day(passed: DataFrame, ref: DataFrame, day, th: Thresholds) -> DataFrame:
+    """Streak and pool rows after confirmation and eviction, tagged ``kind``.
+
+    ``passed``: the day's merged streak and pool rows (``streak.day_state``); ``ref``: (user_id, reference_zip).
+    """
+    d, kind = F.lit(day), F.col("kind")
+    refs = ref.select("user_id", F.col("reference_zip").alias("zipcode")).distinct().withColumn("kind", F.lit("reference"))
+    rows = by_user_partitions(passed.select("kind", *STREAK_COLS, "confirmed_week", "since").unionByName(refs, allowMissingColumns=True))
+    user, week = Window.partitionBy("user_id"), Window.partitionBy("user_id", "kind", "week_no")
+    total_we, total_sem = F.sum("weekend_days").over(week), F.sum("weekday_days").over(week)
+    age = inclusive_day_diff(d, "streak_start")
+    test = (kind == "streak") & (age >= 7) & (age % 7 == 0) & (F.col("week_no") == (age / 7).cast("int"))
+    passes = test & week_passes(F.col("weekend_days"), F.col("weekday_days"), total_we, total_sem, th)
+    rows = rows.withColumn("passes", F.coalesce(passes, F.lit(False)))
+    confirmed = F.max(F.when(F.col("passes"), F.col("zipcode"))).over(week) == F.col("zipcode")
+    rows = rows.withColumn("confirmed", F.col("passes") & confirmed)
+    home = F.max(F.when(kind == "reference", F.col("zipcode"))).over(user)
+    presence = inclusive_day_diff(d, F.min(F.when(kind == "pool", F.col("since"))).over(user))
+    rows = rows.withColumn("home", home).withColumn("presence", presence)
+    at_home = F.max(F.col("confirmed") & (F.col("zipcode") == F.col("home"))).over(user)
+    gone = (at_home & (F.col("presence") <= th.return_limit)) | (F.col("presence") > th.age_limit)
+    stay = rows.withColumn("gone", F.coalesce(gone, F.lit(False))).where("not gone and kind <> 'reference'")
+    # a zip confirmed elsewhere is a pool row of its week beside the streak row
+    elsewhere = F.col("confirmed") & (F.col("zipcode") != F.col("home"))
+    tags = F.when(F.coalesce(elsewhere, F.lit(False)), F.array(F.lit("streak"), F.lit("new"))).otherwise(F.array("kind"))
+    out = stay.withColumn("tag", F.explode(tags))
+    new = F.col("tag") == "new"
+    return out.select(
+        F.when(new, F.lit("pool")).otherwise(F.col("tag")).alias("kind"), *STREAK_COLS,
+        F.when(new, F.col("week_no")).otherwise(F.col("confirmed_week")).alias("confirmed_week"), F.when(new, d).otherwise(F.col("since")).alias("since"),
+    )
+
+
+def streak_at_end(ended: DataFrame) -> DataFrame:
+    return ended.where("kind = 'streak'").select(*STREAK_COLS)
+
+
+def pool_at_end(ended: DataFrame) -> DataFrame:
+    return ended.where("kind = 'pool'").groupBy("user_id", "zipcode", "confirmed_week").agg(F.min("since").alias("since"))

@@ -138,15 +138,14 @@ class DayStep:
         return cf.confirmed_elsewhere(self.confirmed, self.ref, self.day)
 
     @cached_property
-    def evicted(self) -> tuple[DataFrame, DataFrame]:
-        return cf.evicted_users(self.home, self.pool_after, self.day, self.th)
+    def ended(self) -> DataFrame:
+        """Streak and pool rows after the day's confirmation and eviction, tagged."""
+        return cf.end_of_day(self.passed, self.ref, self.day, self.th)
 
     @cached_property
     def pool_evicted(self) -> DataFrame:
-        returned, aged = self.evicted
-        return cf.pool_after_eviction(self.pool_after, self.elsewhere, returned, aged)
+        return cf.pool_at_end(self.ended)
 
     @cached_property
     def streak_evicted(self) -> DataFrame:
-        returned, aged = self.evicted
-        return cf.streak_after_eviction(self.streak_after, returned, aged)
+        return cf.streak_at_end(self.ended)

@@ -28,7 +28,9 @@ query then closes every day up to the last one.
 from __future__ import annotations
 
 import datetime as _dt
+import os
 import posixpath
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -211,6 +213,19 @@ def _out_row(row: tuple, open_day: int) -> Row:
     return Row(**dict(zip(FOLD_COLUMNS, row)), as_of=EPOCH + _dt.timedelta(days=int(open_day - 1)) if open_day else None)
 
 
+@contextmanager
+def _package_on_the_driver(spark: SparkSession):
+    """The driver asks the processor for its state variables in a worker of its own, which does not get shipped files."""
+    env = spark.sparkContext.environment
+    old = env.get("PYTHONPATH")
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env["PYTHONPATH"] = root if not old else os.pathsep.join([root, old])
+    try:
+        yield
+    finally:
+        env.pop("PYTHONPATH") if old is None else env.update(PYTHONPATH=old)
+
+
 def mover_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, th: Thresholds,
                  available_now: bool = True, max_files: int | None = None, lateness_days: int = 0,
                  closing_path: str | None = None):
@@ -230,9 +245,10 @@ def mover_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint
         rows = rows.unionByName(source(closing_path))
     timed = rows.withColumn("event_time", wall_clock_as_utc(F.col("day"), with_time=False)).withWatermark("event_time", f"{lateness_days} days")
     # without the event time column Spark drops no late row: the processor sees them all and hands them out
-    out = timed.select("user_id", "zipcode", "day").groupBy("user_id").transformWithState(
-        MoverProcessor(th), STREAM_OUTPUT, outputMode="Append", timeMode="EventTime"
-    )
+    with _package_on_the_driver(spark):
+        out = timed.select("user_id", "zipcode", "day").groupBy("user_id").transformWithState(
+            MoverProcessor(th), STREAM_OUTPUT, outputMode="Append", timeMode="EventTime"
+        )
 
     def store(batch: DataFrame, epoch: int) -> None:
         # one folder per micro-batch, overwritten if the batch is replayed after a failure: exactly once

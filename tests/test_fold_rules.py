@@ -108,15 +108,3 @@ def test_before_reference_everything_feeds_history():
     reg = kinds(rows, "registry")[0]
     assert reg["tenure_days"] == 6 and reg["gap_days"] == 4  # tenure 6 days, gap from the last feed day (day 3) to day 6
     assert kinds(rows, "reference") == []
-
-
-def test_state_roundtrip_for_streaming():
-    th = TH
-    u = UserState(1, REF, n(D0), th)
-    seq = days(D0 + dt.timedelta(days=1), 9, AWAY)
-    for d, z in seq[:4]:
-        u.observe(n(d), z, d.weekday() >= 5)
-    v = UserState.load(1, th, u.dump())
-    for d, z in seq[4:]:
-        v.observe(n(d), z, d.weekday() >= 5)
-    assert v.close(n(seq[-1][0])) == run(seq, ref_day=D0)

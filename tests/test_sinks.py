@@ -25,8 +25,11 @@ def test_rerun_adds_the_new_days_and_leaves_the_old_ones(spark):
 
 
 def test_available_days_without_and_with_cap(spark):
-    v = tb.visits(spark, SF_SMALL)
-    assert (cal.available_days(v).count(), cal.available_days(v, cap=20).count()) == (28, 21)
+    days = cal.present_days(tb.visits(spark, SF_SMALL)).persist()
+    assert (cal.available_days(days).count(), cal.available_days(days, cap=20).count()) == (28, 21)
+    newest = [r["day_compact"] for r in cal.available_days(days, cap=1).orderBy("pos").collect()]
+    assert newest == ["20240127", "20240128"]  # the two newest of the window, oldest first
+    days.unpersist()
 
 
 def test_scan_days_bounds(spark):

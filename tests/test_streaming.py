@@ -40,23 +40,49 @@ def test_mover_stream_over_restarts_equals_batch(spark):
     assert sorted(ref.collect()) == sorted(batch.reference.select("user_id", "reference_zip").collect())
 
 
-@pytest.mark.parametrize("age", [5, 9, 148])
-def test_out_of_order_files_and_age_limits_equal_batch(spark, age):
-    """Files of all days in no order over several micro-batches: pool, streak and audits equal the batch run."""
+@pytest.mark.parametrize("age", [5, 12, 148])
+def test_state_crosses_micro_batches_and_equals_batch(spark, age):
+    """Rows of neighbouring days mixed over restarts, lateness of 2 days: pool, streak, history and audits equal the batch run."""
     th = TH.with_(age_limit=age)
-    dhz = hz.daily_home_zip(tb.visits(spark, SF_MID)).persist()
+    dhz = hz.daily_home_zip_of_events(tb.table(spark, SF_MID, "events")).persist()
     batch = MoverRun(dhz, th, horizon=dt.date(2024, 1, 30))
-    out = ms.run_mover_stream(spark, dhz, th, max_files=40)
-    assert out.select("batch").distinct().where("batch >= 0").count() >= 1
+    out = ms.run_mover_stream(dhz, th).persist()
+    assert ms.late_rows(out).count() == 0
+    per_user = out.groupBy("user_id").agg(F.countDistinct("batch").alias("n")).agg(F.min("n"), F.max("n")).first()
+    assert per_user[1] >= 5  # users whose state was stored and read again over at least five micro-batches
     res = ms.latest_state(out)
     assert sorted(_pool(res).collect()) == sorted(batch.pool.collect())
-    streak = res.where("kind = 'streak'").select("user_id", "zipcode", "streak_start")
-    assert sorted(streak.collect()) == sorted(batch.streak.select("user_id", "zipcode", "streak_start").collect())
+    streak = res.where("kind = 'streak'").select("user_id", "zipcode", "streak_start", "weekend_days", "weekday_days", F.col("week").alias("week_no"))
+    assert sorted(streak.collect()) == sorted(batch.streak.collect())
+    ref = res.where("kind = 'reference'").select("user_id", "zipcode", "day")
+    assert sorted(ref.collect()) == sorted(batch.reference.collect())
     audits = out.where("kind in ('returned', 'aged')").groupBy("user_id", "day", F.col("kind").alias("reason")).agg(F.max("presence_days"))
     assert sorted(audits.collect()) == sorted(batch.evictions.collect())
+    aged = out.where("kind = 'aged'").select("user_id", "zipcode", "week", "since", "date_min", "date_max", "day", "presence_days")
+    assert sorted(aged.collect()) == sorted(batch.aged.collect())
+    out.unpersist()
     dhz.unpersist()
 
 
+def test_late_rows_are_kept_apart_and_corrected(spark):
+    """One sighting in twenty comes ten days late: the stream alone is wrong, the correction job makes it equal to the batch run."""
+    dhz = hz.daily_home_zip_of_events(tb.table(spark, SF_MID, "events")).persist()
+    run = ms.BoundedRun(dhz, TH, delay=F.expr("CASE WHEN pmod(xxhash64(day, user_id), 20) = 0 THEN 10 ELSE 0 END"))
+    out = run.run().persist()
+    late = ms.late_rows(out).select("user_id", "zipcode", "day")
+    want = dhz.where("pmod(xxhash64(day, user_id), 20) = 0").select("user_id", "zipcode", "day")
+    got = set(map(tuple, late.collect()))
+    assert got and got <= set(map(tuple, want.collect()))  # only delayed rows are late
+    horizon = dt.date(2024, 1, 30)
+    batch = MoverRun(dhz, TH, horizon=horizon)
+    assert sorted(ms.stream_pool(out).collect()) != sorted(batch.pool.collect())
+    corrected = ms.correct_late(out, run.day_history(), TH, F.lit(horizon)).persist()
+    assert {r[0] for r in corrected.select("user_id").collect()} == {u for u, *_ in got}
+    assert sorted(ms.corrected_pool(out, corrected).collect()) == sorted(batch.pool.collect())
+    for df in (out, corrected, dhz):
+        df.unpersist()
+
+
 def test_small_lateness_applies_days_in_order(spark):
     """Rows of neighbouring days swapped between micro-batches, within the lateness."""
     rows = [(1, z, dt.date(2024, 1, d)) for d, z in [(2, "b"), (1, "a"), (4, "d"), (3, "c"), (6, "f"), (5, "e")]]
