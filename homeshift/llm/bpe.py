@@ -4,23 +4,28 @@ The symbols of many words lie in one flat array.  A round looks up every adjacen
 pair of every unfinished word by binary search over the sorted pair keys of the merge
 table, takes each word's lowest-rank pair and merges its occurrences from left to right; words
 without a known pair are finished.  Words are the pieces of the pre-tokenizer, so a word
-that was seen is not encoded again: a bounded cache per task holds its ids.
+that was seen is not encoded again: a bounded cache per task holds its ids.  The pattern never spans white space, so a
+run of other characters that was seen is not even cut into words again: a second cache holds the ids of such runs.
+A round costs a word's whole length, so words of more than ``LONG`` symbols take their merges one by one from a heap of
+ranks over linked positions, which touches only the pairs beside a merge; the ids are the same.
 
 The tokenizer file is a parameter (``path``); its normalizer (NFC, white space, lower
 case), pattern, suffix and added tokens are read from it.
 
 Memory: rows are taken in chunks of at most ``CHUNK_BYTES`` of text (or one longer
-text), and the cache is emptied at ``CACHE_WORDS`` words, so a task's memory
+text), and a cache is emptied at ``CACHE_WORDS`` entries (none longer than ``CACHE_LENGTH`` characters), so a task's memory
 does not grow with the table.  There is no shuffle: rows are independent, and a
 lost executor recomputes its own part of the scan.
 
 Defined results: a null or empty text has no ids, and the digest of the empty
-string; repeated rows stay; ids are kept as they are; an empty table gives an empty result.
+string; repeated rows stay; very long texts and words are encoded whole; equal ranks go from the left; ids are kept as
+they are; other columns of the input, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 import sys
@@ -32,7 +37,8 @@ import pyarrow as pa
 from tokenizers import Regex, normalizers, pre_tokenizers
 
 CHUNK_BYTES = 2_000_000
-CACHE_WORDS = 200_000
+CACHE_WORDS, CACHE_LENGTH = 200_000, 64
+LONG = 400
 
 
 def byte_alphabet() -> list[str]:
@@ -52,6 +58,8 @@ def ranges_of(category: str) -> str:
     return "".join(f"\\U{ord(s[0]):08x}-\\U{ord(s[-1]):08x}" for s, _ in runs)
 
 
+#: Separators that str.split() takes for white space; they have no White_Space property (fixed values).
+SEPARATORS = re.compile("[\x1c-\x1f]")
 #: Characters with the property White_Space (fixed values).
 WHITE_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -73,6 +81,7 @@ class WordBPE:
             name = r"\p{%s}" % category
             pattern = pattern.replace(f"[{name}]", name).replace(f"|{name}", f"|[{ranges_of(category)}]").replace(name, ranges_of(category))
         self.word = re.compile(pattern)
+        self.gap = re.compile(f"[{WHITE_SPACE}]+")
         self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.added.items()}
         alphabet = byte_alphabet()
         self.inner = np.array([vocab[c] for c in alphabet], dtype=np.int64)
@@ -88,8 +97,47 @@ class WordBPE:
         """NFC and lower case by character; white space needs no step of its own, as the pattern leaves it out."""
         return text.lower() if text.isascii() else self.lower.normalize_str(text)
 
+    def encode_long(self, word: str) -> list[int]:
+        """Ids of one long word: the lowest-rank pair, leftmost first, from a heap; a merge looks at its two neighbours only."""
+        raw = np.frombuffer(word.encode("utf-8", "surrogatepass"), dtype=np.uint8)
+        first = self.inner[raw]
+        first[-1] = self.final[raw[-1]]
+        pair = first[:-1] * self.width + first[1:]
+        at = np.searchsorted(self.keys, pair)
+        at[at == len(self.keys)] = 0
+        known = np.flatnonzero(self.keys[at] == pair)
+        sym, n = first.tolist(), len(first)
+        right, left = list(range(1, n + 1)), list(range(-1, n - 1))
+        if not hasattr(self, "table"):
+            self.table = dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.made.tolist())))
+        heap = list(zip(self.ranks[at[known]].tolist(), known.tolist(), pair[known].tolist()))
+        heapq.heapify(heap)
+        get, width = self.table.get, self.width
+        while heap:
+            _, i, key = heapq.heappop(heap)
+            j = right[i]
+            if sym[i] < 0 or j >= n or sym[i] * width + sym[j] != key:
+                continue  # one of the two has been merged since
+            sym[i], sym[j] = get(key)[1], -1
+            k = right[i] = right[j]
+            if k < n:
+                left[k] = i
+                new = sym[i] * width + sym[k]
+                if (hit := get(new)) is not None:
+                    heapq.heappush(heap, (hit[0], i, new))
+            h = left[i]
+            if h >= 0:
+                new = sym[h] * width + sym[i]
+                if (hit := get(new)) is not None:
+                    heapq.heappush(heap, (hit[0], h, new))
+        return [x for x in sym if x >= 0]
+
     def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each (non-empty, normalized) word: merge rounds over all words at once."""
+        """Ids of each (non-empty, normalized) word: merge rounds over all words of normal length at once."""
+        short = [w for w in words if len(w) <= LONG]
+        if len(short) < len(words):
+            ids = iter(self.encode_words(short) if short else [])
+            return [next(ids) if len(w) <= LONG else np.array(self.encode_long(w), dtype=np.int64) for w in words]
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
         lens = np.array([len(b) for b in raw], dtype=np.int64)
         data = np.frombuffer(b"".join(raw), dtype=np.uint8)
@@ -134,41 +182,62 @@ class WordBPE:
             word, sym = word[order], sym[order]
         return np.split(sym, np.searchsorted(word, np.arange(1, len(words))))
 
+    def runs(self, text: str) -> list[str]:
+        """Runs between white space of a text without added tokens, normalized."""
+        if text.isascii() and not SEPARATORS.search(text):
+            return text.lower().split()
+        return [r for r in self.gap.split(self.normalize(text)) if r]
+
     def pieces(self, text: str) -> list[str | int]:
-        """Words of a text in order; an added token is its id."""
+        """Runs of a text in order; an added token is its id."""
         if not self.special.search(text):
-            return self.word.findall(self.normalize(text))
+            return self.runs(text)
         out, at = [], 0
         for m in self.special.finditer(text):
-            out += self.word.findall(self.normalize(text[at : m.start()]))
+            out += self.runs(text[at : m.start()])
             out.append(self.added[m.group()])
             at = m.end()
-        return out + self.word.findall(self.normalize(text[at:]))
+        return out + self.runs(text[at:])
 
 
 class Encoder:
-    """Bounded cache of words: (number of ids, ids as decimal text, tokens as text)."""
+    """Bounded caches of words and of runs between white space: (number of ids, ids as decimal text, tokens as text)."""
 
     def __init__(self, bpe: WordBPE, limit: int = CACHE_WORDS):
-        self.bpe, self.limit, self.cache = bpe, limit, {}
+        self.bpe, self.limit, self.words, self.cache = bpe, limit, {}, {}
+
+    def _words(self, needed: set[str]) -> dict:
+        """Entries of words; those that the cache does not hold are encoded together."""
+        new = [w for w in needed if w not in self.words]
+        if len(self.words) + len(new) > self.limit:
+            self.words, new = {}, list(needed)
+        name, long = self.bpe.tokens, {}
+        for w, ids in zip(new, self.bpe.encode_words(new) if new else []):
+            own = ids.tolist()
+            (self.words if len(w) <= CACHE_LENGTH else long)[w] = (len(own), " ".join(map(str, own)), " ".join([name[i] for i in own]))
+        return {w: long[w] if w in long else self.words[w] for w in needed}
 
     def rows(self, texts: list[str]) -> Iterator[list[tuple[int, str, str]]]:
-        """Of each text, the cache entries of its pieces."""
+        """Of each text, the entries of its runs (a run without words has none)."""
         docs = [self.bpe.pieces(t) if t else [] for t in texts]
-        new = list({w for d in docs for w in d if w not in self.cache})
+        new = {r for d in docs for r in d if r not in self.cache}
         if len(self.cache) + len(new) > self.limit:
             self.cache = {}
-            new = list({w for d in docs for w in d})
-        words = [w for w in new if isinstance(w, str)]
-        name = self.bpe.tokens
-        for w, ids in zip(words, self.bpe.encode_words(words) if words else []):
-            own = ids.tolist()
-            self.cache[w] = (len(own), " ".join(map(str, own)), " ".join([name[i] for i in own]))
-        for i in (w for w in new if isinstance(w, int)):
-            self.cache[i] = (1, str(i), name[i])
-        get = self.cache.__getitem__
+            new = {r for d in docs for r in d}
+        cut = {r: self.bpe.word.findall(r) for r in new if isinstance(r, str)}
+        words = self._words({w for ws in cut.values() for w in ws})
+        known = self.cache
+        if any(isinstance(r, str) and len(r) > CACHE_LENGTH for r in new):
+            known = dict(self.cache)  # long runs are not kept
+        for r in new:
+            parts = [words[w] for w in cut[r]] if isinstance(r, str) else [(1, str(r), self.bpe.tokens[r])]
+            entry = parts[0] if len(parts) == 1 else (sum(p[0] for p in parts), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts]))
+            known[r] = entry
+            if known is not self.cache and (isinstance(r, int) or len(r) <= CACHE_LENGTH):
+                self.cache[r] = entry
+        get = known.__getitem__
         for d in docs:
-            yield list(map(get, d))
+            yield [e for e in map(get, d) if e[0]]
 
 
 def text_chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[str]]]:
