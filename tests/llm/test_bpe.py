@@ -46,3 +46,41 @@ def test_edge_rows(docs_of):
 
 def test_empty_table(docs_of):
     assert bpe.encode_digests(docs_of([(1, "x")]).where("false"), PATH).count() == 0
+
+
+def own(text):
+    (row,) = OWN.rows([text])
+    return sum(e[0] for e in row), " ".join(e[1] for e in row), " ".join(e[2] for e in row)
+
+
+def test_every_code_point_beside_white_space_and_letters():
+    """Every code point alone, after a space (combining marks too), before one, and between letters."""
+    import sys
+
+    points = [chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000]
+    for at in range(0, len(points), 4096):
+        for form in ("%s\n", "a %s b\n", "x%sy\t"):
+            text = "".join(form % c for c in points[at : at + 4096])
+            assert own(text) == want(text), hex(at)
+
+
+def test_words_of_any_length():
+    import random
+
+    rng = random.Random(4)
+    for n in (1, 399, 400, 401, 1000, 5000):
+        for letters in ("ab", "etaoinshrdlu", "abcdefghijklmnopqrstuvwxyz", "aé日"):
+            text = "".join(rng.choice(letters) for _ in range(n)) + " tail " + letters * (n // 3)
+            assert own(text) == want(text)
+
+
+def test_a_word_of_a_million_letters():
+    import random
+    import time
+
+    rng = random.Random(1)
+    text = "".join(rng.choice("acgtetaoinshrdlu") for _ in range(1_000_000))
+    start = time.time()
+    assert own(text) == want(text)
+    assert time.time() - start < 60
+    assert all(len(r) <= bpe.CACHE_LENGTH for r in OWN.cache if isinstance(r, str)) and all(len(w) <= bpe.CACHE_LENGTH for w in OWN.words)
