@@ -14,8 +14,10 @@ Only the fit is bounded; scoring reads every whole text.  The sample's ids (at m
 
 Defined results: null and empty texts get the statistics of an empty text and thus a
 score; a null id counts as the empty string for the hold-out; without labels, or with a
-single class, the score is the smoothed share of label 1; repeated label rows count once each;
-an empty table gives an empty result.
+single class, the score is the smoothed share of label 1; repeated label rows count once (an id labelled both ways
+counts with each label), of documents that repeat a labelled id the one with the smallest text hash; very long texts are
+scored whole; equal scores stay equal; other columns are carried along, except that input columns named ``score``, ``held_out`` or
+``predicted`` are replaced by the results; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -96,9 +98,24 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def grow_rules(x: np.ndarray, y: np.ndarray, trees: int = 16, depth: int = 3, rate: float = 0.4, bins: int = 48, least: int = 8) -> list[Rule]:
-    """Paths of boosted regression trees as rules (without copies, in the order found)."""
-    edges = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
+def thresholds(c: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """Thresholds halfway between values that follow each other, behind the quantiles of ``c``, and the width of each gap (in deviations of ``c``)."""
+    values = np.unique(c)
+    if len(values) < 2:
+        return np.zeros(0), np.zeros(0)
+    at = np.unique(np.searchsorted(values, np.quantile(c, np.linspace(0, 1, bins + 1)[:-1], method="lower")))
+    at = at[at < len(values) - 1]
+    return (values[at] + values[at + 1]) / 2, (values[at + 1] - values[at]) / (c.std() or 1.0)
+
+
+def grow_rules(x: np.ndarray, y: np.ndarray, trees: int = 16, depth: int = 3, rate: float = 0.4, bins: int = 48, least: int = 8, near: float = 0.01) -> list[Rule]:
+    """Paths of boosted regression trees as rules (without copies, in the order found).
+
+    Among splits whose gain is within a share of ``near`` of the best one, the one with the widest gap around its
+    threshold is taken: a statistic that just happens to separate the sample does so by a hair.
+    """
+    found = [thresholds(c, bins) for c in x.T]
+    edges, gaps = [e for e, _ in found], [w for _, w in found]
     cut = np.stack([np.searchsorted(e, c, side="left") for e, c in zip(edges, x.T)], axis=1)
     rules: dict[Rule, None] = {}
     z = np.full(len(y), math.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
@@ -108,7 +125,7 @@ def grow_rules(x: np.ndarray, y: np.ndarray, trees: int = 16, depth: int = 3, ra
         todo = [(np.arange(len(y)), ())]
         while todo:
             rows, path = todo.pop()
-            best = (1e-6, None, None)
+            splits = []
             g, h = grad[rows].sum(), hess[rows].sum()
             if len(path) < depth and len(rows) >= 2 * least:
                 for f, e in enumerate(edges):
@@ -120,15 +137,15 @@ def grow_rules(x: np.ndarray, y: np.ndarray, trees: int = 16, depth: int = 3, ra
                     hl = np.cumsum(np.bincount(c, hess[rows], len(e) + 1))[:-1]
                     gain = gl**2 / (hl + 1) + (g - gl) ** 2 / (h - hl + 1) - g**2 / (h + 1)
                     gain[(n < least) | (len(rows) - n < least)] = 0
-                    k = int(gain.argmax())
-                    if gain[k] > best[0]:
-                        best = (float(gain[k]), f, k)
+                    splits += [(float(gain[k]), float(gaps[f][k]), f, int(k)) for k in np.flatnonzero(gain >= (1 - near) * gain.max()) if gain[k] > 1e-6]
             if path:
                 rules[tuple(sorted(path))] = None
-            if best[1] is None:
+            if not splits:
                 z[rows] += rate * g / (h + 1)
                 continue
-            f, k = best[1], best[2]
+            most = max(v for v, *_ in splits)
+            _, f, k = max((w, -f, -k) for v, w, f, k in splits if v >= (1 - near) * most)
+            f, k = -f, -k
             under = cut[rows, f] <= k
             at = float(edges[f][k])
             todo += [(rows[~under], (*path, (f, False, at))), (rows[under], (*path, (f, True, at)))]
@@ -184,10 +201,13 @@ class RuleModel:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = MAX_ROWS, penalty: float = 0.002) -> RuleModel:
     """Fit on at most ``max_rows`` labelled rows that are not held out."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(id_col))
-    sample = known.select(F.col(id_col).alias("_label_id"), F.col(label_col).alias("_label")).orderBy(F.xxhash64("_label_id"), "_label_id", "_label").limit(max_rows)
+    known = known.select(F.col(id_col).alias("_label_id"), F.col(label_col).cast("int").alias("_label")).distinct()
+    sample = known.orderBy(F.xxhash64("_label_id"), "_label_id", "_label").limit(max_rows)
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     chosen = texts.join(F.broadcast(sample), F.col("_id") == F.col("_label_id"))
-    rows = chosen.select("_label", statistics(F.col("_text")).alias("_stats")).select("_label", "_stats.*").toPandas()
+    # of documents that repeat an id one counts, so no more than max_rows rows reach the driver
+    one = chosen.select("_label_id", "_label", F.struct(F.xxhash64("_text"), statistics(F.col("_text")).alias("_stats")).alias("_row"))
+    rows = one.groupBy("_label_id", "_label").agg(F.min("_row").alias("_row")).select("_label", "_row._stats.*").toPandas()
     x, y = rows[NAMES].to_numpy(float), rows["_label"].to_numpy(float)
     order = np.lexsort((*x.T, y))  # the fit does not depend on the order of the rows
     x, y = x[order], y[order]
