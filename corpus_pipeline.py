@@ -11,7 +11,7 @@ together in the near-duplicate stage; extra columns are carried along; an empty
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homeshift.llm import exact_dedup, ngram_join, packing, quality_rules
@@ -20,32 +20,44 @@ from homeshift.llm.queries import tokenizer_file
 from homeshift.session import materialize, ship_package
 
 
+def _carried(docs: DataFrame) -> DataFrame:
+    """Id, text and the whole row as one column, so a column of any name passes a stage."""
+    return docs.select(F.struct("*").alias("_doc"), "doc_id", "text")
+
+
+def _rows(carried: DataFrame, docs: DataFrame) -> DataFrame:
+    return carried.select(*[F.col("_doc")[c].alias(c) for c in docs.columns])
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = quality_rules.fit(docs, table(spark, sf_dir, "labels"))
-    whole = docs.select(F.struct("*").alias("_doc"), "doc_id", "text")  # keeps columns that are named like the operator's
-    scored = quality_rules.score_documents(whole, model)
-    return scored.where("predicted = 1").select(*[F.col("_doc")[c].alias(c) for c in docs.columns])
+    return _rows(quality_rules.score_documents(_carried(docs), model).where("predicted = 1"), docs)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts: the one with the largest id."""
+    """One document of each group of equal texts: the one with the largest id.
+
+    Rows that repeat id and text are one group of an aggregate with a map-side step, so a third of all rows being one
+    such group is one row a task.
+    """
     ship_package(spark)
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_key")  # never null, so both sides meet by plain equality
     found = exact_dedup.exact_dedup(docs.select("doc_id", "text"))
-    keep = found.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    own = docs.withColumn("_own", F.sha2(text, 256))
-    kept = own.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_semi")
-    again = F.row_number().over(Window.partitionBy("doc_id", "_own").orderBy("_own"))
-    return kept.withColumn("_again", again).where("_again = 1").select(*[F.col(c) for c in docs.columns])
+    keep = found.where("kept").select(key, F.col("text_sha256").alias("_sha"))
+    sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("_sha")
+    once = _carried(docs).select(key, sha, "_doc").groupBy("_key", "_sha").agg(F.first("_doc").alias("_doc"))
+    return _rows(once.join(keep, ["_key", "_sha"], "left_semi"), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (5-word shingles, Jaccard 0.8): the one with the smallest id."""
     ship_package(spark)
     found = ngram_join.ngram_components(docs.select("doc_id", "text"), k=5, percent=80)
-    keep = found.where("doc_id is null or doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    carried = _carried(docs)
+    named = carried.join(keep, F.col("doc_id") == F.col("_kept"), "left_semi")
+    return _rows(named.unionByName(carried.where("doc_id is null")), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
