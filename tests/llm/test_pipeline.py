@@ -96,13 +96,28 @@ def test_stages_on_edge_rows_and_no_rows(spark, docs_of, tmp_path):
     assert len({r["text"] or "" for r in texts}) == len(texts) == len({t or "" for _, t in EDGE})
 
 
+def test_columns_of_any_name_are_carried(spark, tmp_path):
+    """Columns named like the stages' own keep their values; a third of all rows are one row, repeated, a third have no id."""
+    names = ["_id", "_sha", "_own", "_again", "_doc", "_key", "_kept", "kept", "keep_id", "component_id", "node", "score"]
+    rows = [(7, "the same text of a row that is repeated again and again", *names)] * 60
+    rows += [(None, f"no id but a text of its own {i} " * 4, *[f"n{i}"] * 12) for i in range(60)]
+    rows += [(100 + i, " ".join(f"w{i}x{j}" for j in range(30)), *[str(i)] * 12) for i in range(60)]
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)).repartition(7)
+    want = sorted(map(str, set(rows)))
+    for stage in (cp.keep_quality, cp.drop_copies, cp.drop_near_copies):
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", *names]
+    assert sorted(str(tuple(r)) for r in docs.collect()) == want
+
+
 def test_one_query_for_each_operator():
     names = list(queries.build())
-    assert [int(n[2:].split("_")[0]) for n in names if n.startswith("op")] == list(range(1, 11)) and "pipeline" in names
+    assert [int(n[2:].split("_")[0]) for n in names if n.startswith("op")] == list(range(1, 14)) and "pipeline" in names
     assert set(queries.oracle()) <= set(names) and 4 <= len(cp.STAGES) <= 5
 
 
-@pytest.mark.parametrize("name", ["op1_url_filter", "op6_exact_dedup", "op9_license_scan"])
+@pytest.mark.parametrize("name", ["op1_url_filter", "op6_exact_dedup", "op9_license_scan", "op11_fill_middle", "op12_warc"])
 def test_sql(spark, name):
     import os
     import sys

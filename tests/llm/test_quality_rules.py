@@ -74,3 +74,24 @@ def test_a_filter_on_the_result_computes_the_statistics_once(spark, docs_of):
     out = q.score_documents(docs, q.fit(docs, labels)).where("predicted = 1").select("doc_id")
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_count") + plan.count("[A-Z]") < 12
+
+
+def test_a_chance_threshold_does_not_win():
+    """Two statistics separate the sample, one by a hair: the one with the wide gap is taken, on every sample."""
+    import numpy as np
+
+    for seed in range(20):
+        rng = np.random.default_rng(seed)
+        y = (np.arange(90) % 3 > 0).astype(float)
+        wide = np.where(y > 0, 0.0, 2.0)
+        hair = np.where(y > 0, rng.uniform(0, 0.5, 90), rng.uniform(0.5001, 1, 90))
+        x = np.stack([hair, rng.normal(size=90), wide], axis=1)
+        rules = q.grow_rules(x, y)
+        assert {f for rule in rules for f, _, _ in rule} == {2} and {t for rule in rules for _, _, t in rule} == {1.0}
+
+
+def test_repeated_documents_of_a_label_count_once(spark, docs_of):
+    rows, labels = table_of(spark, 300)
+    one = q.fit(docs_of(rows), labels)
+    many = q.fit(docs_of(rows + rows[1:2] * 500), labels.unionAll(labels.where("doc_id = 3")))
+    assert one.rules == many.rules and one.intercept == many.intercept
