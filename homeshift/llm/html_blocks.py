@@ -1,7 +1,8 @@
 """Operator 10: main-text extraction with a recurrent block labeller.
 
 1. A page is cut into leaf blocks: maximal runs of text between block-level tags. Comments, scripts,
-   styles and other elements without visible text are skipped; character references are
+   styles, form fields, templates, drawings and the head's title are skipped; everything else, formulas and the content of
+   ``noscript``, ``object`` or ``iframe`` too, is left to the labeller; character references are
    decoded; white space inside a block becomes one space.
 2. Each block becomes a vector: summed embeddings of its tag path (tags, class and id
    words of all open elements, hashed), mean embedding of its hashed words, and a few numbers (length,
@@ -13,11 +14,13 @@
 The weights in ``block_labeller.npz`` were trained by ``train_block_labeller.py`` on generated
 pages with known labels; the path is a parameter.  Pages are independent: no shuffle, no state between
 batches; pages of similar length run through the network together, at most ``BATCH_STEPS`` blocks
-at a time (or one longer page).
+at a time (or one longer page).  A path shares what its parent has: names are summed once an element, however deep it
+lies; prediction keeps hidden states only.
 
 Defined results: null or empty html gives an empty text; a page without article
 blocks too; unclosed and wrongly nested tags are repaired as browsers do in the common cases; a tag that is cut off
-at the end is dropped; repeated rows stay; an empty table gives an empty result.
+at the end is dropped; very long pages and very deep ones are read whole; repeated rows stay, as do null ids and urls; other columns
+of the input, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +28,9 @@ from __future__ import annotations
 import html
 import os
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +43,12 @@ NUMBERS = 6
 BATCH_STEPS = 20_000
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var br img wbr nobr".split())
-HIDDEN = frozenset("script style noscript template title textarea select iframe object canvas svg math audio video map datalist noframes".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q s samp small span strike strong sub sup time tt u var br img wbr nobr "
+    "object iframe canvas audio video map math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup "
+    "msubsup munder mover munderover mmultiscripts mtable mtr mtd semantics".split()
+)
+HIDDEN = frozenset("script style template title textarea select datalist svg annotation annotation-xml".split())
 #: An opening tag of the key closes an open element of the value.
 CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
 #: Elements beyond which an implied end does not reach.
@@ -59,11 +68,94 @@ def _names(tag: str, attrs: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def blocks(page: str) -> list[tuple[str, tuple, float]]:
-    """(text, path, share of link text) of each leaf block; a path is a tuple of name tuples, outermost first."""
-    out: list[tuple[str, tuple, float]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+class Path:
+    """The open elements of a block, outermost first: names of the innermost one, and its parent.
+
+    ``fresh``: the names that no outer element has.  Children are shared, so a path that was seen is the same object.
+    """
+
+    __slots__ = ("parent", "names", "depth", "fresh", "children", "base", "vector")
+
+    def __init__(self, parent: "Path | None" = None, names: tuple[str, ...] = (), fresh: tuple[str, ...] = ()):
+        self.parent, self.names, self.fresh = parent, names, fresh
+        self.depth = 0 if parent is None else parent.depth + 1
+        self.children: dict[tuple, Path] = {}
+        self.base = self.vector = None
+
+    def levels(self) -> list[tuple[str, ...]]:
+        out, p = [], self
+        while p.parent is not None:
+            out.append(p.names)
+            p = p.parent
+        return out[::-1]
+
+    def __iter__(self):
+        return iter(self.levels())
+
+    def __len__(self) -> int:
+        return self.depth
+
+    def own_names(self) -> set[str]:
+        """Names that only the innermost elements add: the leaf's, and those of the two around it."""
+        out = {"leaf:" + x for x in (self.names if self.depth else ("none",))}
+        p = self.parent
+        for _ in range(2):
+            if p is not None and p.parent is not None:
+                out |= {"near:" + x for x in p.names}
+                p = p.parent
+        return out
+
+
+class Stack:
+    """Open elements while a page is read; counts keep every step independent of the depth."""
+
+    def __init__(self, root: Path):
+        self.path, self.tags = root, []
+        self.open, self.names = Counter(), Counter()  # open tags; names on the path
+        self.scopes = [Counter()]  # open tags since each fence
+
+    def push(self, tag: str, names: tuple[str, ...]) -> None:
+        child = self.path.children.get(names)
+        if child is None:
+            child = self.path.children[names] = Path(self.path, names, tuple(dict.fromkeys(x for x in names if not self.names[x])))
+        self.path = child
+        self.tags.append(tag)
+        self.open[tag] += 1
+        self.names.update(names)
+        if tag in FENCE:
+            self.scopes.append(Counter())
+        else:
+            self.scopes[-1][tag] += 1
+
+    def pop(self) -> str:
+        tag = self.tags.pop()
+        self.open[tag] -= 1
+        for x in self.path.names:
+            self.names[x] -= 1
+        if tag in FENCE:
+            self.scopes.pop()
+        else:
+            self.scopes[-1][tag] -= 1
+        self.path = self.path.parent
+        return tag
+
+    def close(self, tag: str) -> None:
+        if self.open[tag]:
+            while self.pop() != tag:
+                pass
+
+    def end(self, tags) -> None:
+        """Implied ends: every open element of ``tags`` since the last fence is closed, with all inside it."""
+        while any(self.scopes[-1][t] for t in tags):
+            self.pop()
+
+
+def blocks(page: str, root: Path | None = None) -> list[tuple[str, Path, float]]:
+    """(text, path, share of link text) of each leaf block; paths grow from ``root``."""
+    out: list[tuple[str, Path, float]] = []
+    stack = Stack(Path() if root is None else root)
     parts: list[str] = []
+    unclosed: set[str] = set()
     links = linked = 0
 
     def flush() -> None:
@@ -71,7 +163,7 @@ def blocks(page: str) -> list[tuple[str, tuple, float]]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append((text, tuple(n for _, n in stack), min(1.0, linked / len(text))))
+                out.append((text, stack.path, min(1.0, linked / len(text))))
             parts.clear()
         linked = 0
 
@@ -96,9 +188,11 @@ def blocks(page: str) -> list[tuple[str, tuple, float]]:
         closing = bool(m.group(1) or m.group(4))
         if tag in HIDDEN:
             if not closing and not (m.group(3) or "").endswith("/"):
-                end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
+                end = None if tag in unclosed else _end_of(tag).search(page, at)
+                if end is None:
+                    unclosed.add(tag)  # no later end either
                 at = end.end() if end else (n if tag in ("script", "style") else at)
-            if tag not in ("svg", "math"):
+            if tag not in ("svg", "annotation", "annotation-xml"):
                 text(" ")
             continue
         if tag in INLINE:
@@ -109,45 +203,53 @@ def blocks(page: str) -> list[tuple[str, tuple, float]]:
             continue
         flush()
         if closing:
-            if any(t == tag for t, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            stack.close(tag)
             links = 0
             continue
         ends = CLOSES.get(tag, {"p"} if tag in ENDS_P else ())
         if ends:
-            k = len(stack)
-            while k and stack[k - 1][0] not in FENCE:
-                k -= 1
-                if stack[k][0] in ends:
-                    del stack[k:]
+            stack.end(ends)
         if tag not in VOID and not (m.group(3) or "").endswith("/"):
-            stack.append((tag, _names(tag, m.group(3) or "")))
+            stack.push(tag, _names(tag, m.group(3) or ""))
     flush()
     return out
 
 
+@lru_cache
+def _end_of(tag: str) -> re.Pattern:
+    return re.compile(f"</{tag}\\b[^>]*>", re.I)
+
+
+@lru_cache(1 << 17)
 def _row(name: str) -> int:
     raw = np.frombuffer(name.encode(), np.uint8)
     return int(spans_hash(_BYTE[raw], np.array([0]), np.array([len(raw)]))[0] % np.uint64(PATH_ROWS))
 
 
 class Features:
-    """Rows of the embedding tables and numbers of blocks; paths are looked up once."""
-
-    def __init__(self) -> None:
-        self.paths: dict[tuple, np.ndarray] = {}
-
-    def path_rows(self, path: tuple) -> np.ndarray:
-        got = self.paths.get(path)
-        if got is None:
-            names = {x for level in path for x in level} | {"leaf:" + x for x in (path[-1] if path else ("none",))}
-            names |= {"near:" + x for level in path[-3:-1] for x in level}
-            got = np.array(sorted(_row(x) for x in names if x), dtype=np.int64)
-            if len(self.paths) > 50_000:
-                self.paths.clear()
-            self.paths[path] = got
-        return got
+    """Rows of the embedding tables and numbers of blocks."""
+
+    @staticmethod
+    def path_rows(path: Path) -> np.ndarray:
+        """Rows of all names of a path (training; ``path_vector`` is their sum)."""
+        names = {x for level in path.levels() for x in level} | path.own_names()
+        return np.array(sorted(_row(x) for x in names), dtype=np.int64)
+
+    @staticmethod
+    def path_vector(path: Path, table: np.ndarray) -> np.ndarray:
+        """Sum of the table's rows of a path's names; outer elements are summed once and shared."""
+        if path.vector is None:
+            todo, p = [], path
+            while p.base is None:
+                todo.append(p)
+                if p.parent is None:
+                    break
+                p = p.parent
+            for p in reversed(todo):
+                own = table[[_row(x) for x in p.fresh]].sum(axis=0)
+                p.base = own if p.parent is None else p.parent.base + own
+            path.vector = path.base + table[[_row(x) for x in path.own_names()]].sum(axis=0)
+        return path.vector
 
     @staticmethod
     def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -159,7 +261,7 @@ class Features:
         return (spans_hash(_BYTE[data], starts, ends) % np.uint64(WORD_ROWS)).astype(np.int64), per
 
     @staticmethod
-    def numbers(items: list[tuple[str, tuple, float]]) -> np.ndarray:
+    def numbers(items: list[tuple[str, Path, float]]) -> np.ndarray:
         n = len(items)
         out = np.zeros((n, NUMBERS), np.float32)
         for i, (t, p, link) in enumerate(items):
@@ -202,25 +304,57 @@ def lstm(x: np.ndarray, live: np.ndarray, w: np.ndarray, u: np.ndarray, b: np.nd
     return out, kept
 
 
+def lstm_states(x: np.ndarray, live: np.ndarray, w: np.ndarray, u: np.ndarray, b: np.ndarray, back: bool, part: int = 2048) -> np.ndarray:
+    """The hidden states of ``lstm`` alone; inputs meet their weights ``part`` steps at a time, nothing else is kept."""
+    steps, n, _ = x.shape
+    size = u.shape[0]
+    # all gates by one tanh: sigmoid(v) = tanh(v / 2) / 2 + 1 / 2
+    half = np.where(np.arange(4 * size) < 3 * size, 0.5, 1.0).astype(np.float32)
+    plus = (1 - half) * (half < 1)
+    w, u, b = w * half, np.ascontiguousarray(u * half), (b + np.where((np.arange(4 * size) // size) == 1, 1.0, 0.0)).astype(np.float32) * half
+    h, c = np.zeros((n, size), np.float32), np.zeros((n, size), np.float32)
+    out = np.zeros((steps, n, size), np.float32)
+    masked = not live.all()
+    for at in range(0, steps, part):
+        span = range(at, min(at + part, steps))
+        if back:
+            span = range(steps - 1 - span.start, steps - 1 - span.stop, -1)
+        first = min(span[0], span[-1])
+        pre = x[first : first + len(span)] @ w + b
+        for t in span:
+            z = np.tanh(pre[t - first] + h @ u)
+            z *= half
+            z += plus
+            new_c = z[:, size : 2 * size] * c + z[:, :size] * z[:, 3 * size :]
+            new_h = z[:, 2 * size : 3 * size] * np.tanh(new_c)
+            if masked:
+                m = live[t][:, None]
+                new_c, new_h = m * new_c + (1 - m) * c, m * new_h + (1 - m) * h
+            c = new_c
+            out[t] = h = new_h
+    return out
+
+
 class Labeller:
     def __init__(self, weights: dict[str, np.ndarray]):
         self.w = weights
-        self.features = Features()
+        self.root, self.seen = Path(), 0
 
     @classmethod
     def load(cls, path: str = WEIGHTS) -> "Labeller":
         with np.load(path) as f:
             return cls({k: f[k].astype(np.float32) for k in f.files})
 
-    def vectors(self, pages: list[list[tuple[str, tuple, float]]]) -> np.ndarray:
+    def vectors(self, pages: list[list[tuple[str, Path, float]]]) -> np.ndarray:
         """Input vectors of all blocks of all pages, one after the other."""
         items = [x for p in pages for x in p]
-        rows = [self.features.path_rows(p) for _, p, _ in items]
         words, per = Features.words([t for t, _, _ in items])
-        path = bag(self.w["path"], np.concatenate(rows), np.array([len(r) for r in rows]), False)
+        path = np.zeros((len(items), self.w["path"].shape[1]), np.float32)
+        for i, (_, p, _) in enumerate(items):
+            path[i] = Features.path_vector(p, self.w["path"])
         return np.concatenate([path, bag(self.w["word"], words, per, True), np.concatenate([Features.numbers(p) for p in pages if p])], axis=1)
 
-    def probabilities(self, pages: list[list[tuple[str, tuple, float]]]) -> list[np.ndarray]:
+    def probabilities(self, pages: list[list[tuple[str, Path, float]]]) -> list[np.ndarray]:
         out: list[np.ndarray] = [np.zeros(0, np.float32)] * len(pages)
         order = sorted((i for i, p in enumerate(pages) if p), key=lambda i: len(pages[i]))
         at = 0
@@ -233,20 +367,29 @@ class Labeller:
             sizes = np.array([len(pages[i]) for i in group])
             x = self.vectors([pages[i] for i in group])
             steps, n = int(sizes.max()), len(group)
-            pad = np.zeros((steps, n, x.shape[1]), np.float32)
             live = (np.arange(steps)[:, None] < sizes).astype(np.float32)
             col = np.repeat(np.arange(n), sizes)
             row = np.arange(len(x)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            pad[row, col] = x
-            fwd, _ = lstm(pad, live, self.w["fw"], self.w["fu"], self.w["fb"], False)
-            bwd, _ = lstm(pad, live, self.w["bw"], self.w["bu"], self.w["bb"], True)
-            z = np.concatenate([fwd, bwd, pad], axis=2)[row, col] @ self.w["ow"] + self.w["ob"]
+            if n == 1:
+                pad = x[:, None]
+            else:
+                pad = np.zeros((steps, n, x.shape[1]), np.float32)
+                pad[row, col] = x
+            size = self.w["fu"].shape[0]
+            z = x @ self.w["ow"][2 * size :] + self.w["ob"]
+            for k, d in enumerate("fb"):  # one direction's states at a time
+                z += lstm_states(pad, live, self.w[d + "w"], self.w[d + "u"], self.w[d + "b"], d == "b")[row, col] @ self.w["ow"][k * size : (k + 1) * size]
             for i, p in zip(group, np.split(sigmoid(z[:, 0]), np.cumsum(sizes)[:-1])):
                 out[i] = p
         return out
 
     def texts(self, pages: list[str]) -> list[str]:
-        cut = [blocks(p) for p in pages]
+        cut = []
+        for p in pages:
+            if self.seen > 50_000:  # known paths are dropped, those of this call live on in its blocks
+                self.root, self.seen = Path(), 0
+            cut.append(blocks(p, self.root))
+            self.seen += len(cut[-1])
         return ["\n".join([t for (t, _, _), p in zip(c, probs) if p >= 0.5]) for c, probs in zip(cut, self.probabilities(cut))]
 
 
