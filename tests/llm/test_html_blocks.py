@@ -72,3 +72,70 @@ def test_rows_and_edge_cases(spark):
     assert sorted(map(str, got)) == sorted(map(str, want))
     assert [g[3] for g in got if g[0] in (2, 3)] == [0, 0]
     assert hb.extract_text(df.where("false")).count() == 0
+
+
+def test_visible_elements_are_not_dropped():
+    assert only("<article><h1>A title of some words</h1><p>The formula <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds for every case.</p></article>") == "A title of some words\nThe formula x=2 holds for every case."
+    kept = [t for t, _, _ in hb.blocks("<p>a<object>b</object><canvas>c</canvas><iframe>d</iframe><audio>e</audio></p><noscript>f</noscript><noframes>g</noframes>")]
+    assert kept == ["abcde", "f", "g"]
+    assert hb.blocks("<select><option>a</option></select><textarea>b</textarea><template><p>c</p></template><svg><text>d</text></svg><title>e</title>") == []
+
+
+def plain_probabilities(w, items):
+    """The network of one page by loops over blocks, gates and names."""
+    x = []
+    for k, (text, path, link) in enumerate(items):
+        names = {n for level in path.levels() for n in level} | {"leaf:" + n for n in (path.levels()[-1] if len(path) else ("none",))}
+        names |= {"near:" + n for level in path.levels()[-3:-1] for n in level}
+        v = sum((w["path"][hb._row(n)].astype(float) for n in names), np.zeros(w["path"].shape[1]))
+        words, _ = hb.Features.words([text])
+        mean = w["word"][words].astype(float).mean(0) if len(words) else np.zeros(w["word"].shape[1])
+        x.append(np.concatenate([v, mean, hb.Features.numbers(items)[k]]))
+    size, states = w["fu"].shape[0], {}
+    s = lambda v: 1 / (1 + np.exp(-v))
+    for d, order in (("f", range(len(x))), ("b", range(len(x) - 1, -1, -1))):
+        h = c = np.zeros(size)
+        for t in order:
+            z = x[t] @ w[d + "w"].astype(float) + h @ w[d + "u"].astype(float) + w[d + "b"]
+            i, f, o, g = s(z[:size]), s(z[size : 2 * size] + 1), s(z[2 * size : 3 * size]), np.tanh(z[3 * size :])
+            c = f * c + i * g
+            h = o * np.tanh(c)
+            states[d, t] = h
+    return [s(float((np.concatenate([states["f", t], states["b", t], x[t]]) @ w["ow"].astype(float) + w["ob"])[0])) for t in range(len(x))]
+
+
+def test_network_equals_plain_loops():
+    pages = [hb.blocks(p, MODEL.root) for p in [PAGE] + [tb.Page(i).html() for i in range(12)]]
+    got = MODEL.probabilities(pages)
+    for items, p in zip(pages, got):
+        assert np.allclose(p, plain_probabilities(MODEL.w, items), atol=2e-4)
+
+
+def test_states_equal_the_training_pass():
+    rng = np.random.default_rng(2)
+    x, live = rng.normal(size=(70, 3, 5)).astype(np.float32), (rng.random((70, 3)) < 0.8).astype(np.float32)
+    w, u, b = (rng.normal(size=s).astype(np.float32) for s in ((5, 16), (4, 16), (16,)))
+    for back in (False, True):
+        assert np.allclose(hb.lstm_states(x, live, w, u, b, back, part=16), hb.lstm(x, live, w, u, b, back)[0], atol=1e-5)
+
+
+@pytest.mark.parametrize("page", [
+    "".join(f"<div class=c{i}>w" for i in range(20_000)) + "</section>" * 20_000 + "</div>" * 20_000,
+    "".join(f"<x{i % 7}>" for i in range(20_000)) + "<p>word" * 50_000,
+    "<select><p>word" * 50_000,
+])
+def test_hard_pages_take_seconds(page):
+    start = time.time()
+    MODEL.texts([page])
+    assert time.time() - start < 60
+
+
+def test_many_blocks_in_little_memory():
+    import tracemalloc
+
+    tracemalloc.start()
+    start = time.time()
+    text = MODEL.texts(["<article>" + "<p>word and word.</p>" * 200_000 + "</article>"])[0]
+    assert text.count("\n") > 150_000 and time.time() - start < 120
+    assert tracemalloc.get_traced_memory()[1] < 250 << 20
+    tracemalloc.stop()
