@@ -11,7 +11,9 @@ passes fewer than ``least`` filters takes its best ones.  Vectors that share a f
 Size: the height, from the exact distribution of inner products with a direction, puts about ``bucket``
 vectors into a filter.  A vector has about ``filters`` filters and at least ``least``; both are raised
 on the driver until random pairs at the threshold itself meet with probability ``recall``, so they
-grow slowly with the number n of vectors; comparisons are about n * filters * bucket / 2.
+grow slowly with the number n of vectors; comparisons are about n * filters * bucket / 2.  Where ``MOST_FILTERS`` filters a
+vector do not reach it (very short vectors, thresholds far from 1, negative ones), one filter holds all vectors of that length:
+every pair is compared, block by block.
 
 Counting without pairs: a pair is counted in the first filter that both vectors share (each entry carries
 its vector's filters), so links are summed per vector and never listed.  Components use one edge per vector
@@ -25,13 +27,13 @@ Recall is measured against brute force in the tests (at least 0.99 there), and a
 
 Defined results: a vector that is null, empty, zero, or holds a null or non-finite component
 has no links and is its own component; vectors of different lengths do not link; a repeated
-id counts as a further vector of that id; a null id gets a null component; an empty table gives an empty result.
+id counts as a further vector of that id; a null id gets a null component; a cosine equal to the threshold links; other columns of the
+input, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
-import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,7 @@ from homeshift.session import materialize
 
 BLOCK = 1024
 PROBES, MOST_FILTERS = 4000, 512
+COLUMNS = 2048
 SEED = 20240229
 
 
@@ -83,7 +86,7 @@ class ProductCode:
 
     def __init__(self, dim: int, n: int, filters: float, bucket: int, least: int):
         rng = np.random.default_rng(SEED + dim)
-        self.least = least
+        self.least, self.whole = least, False
         self.rotation = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
         share = min(0.1, bucket / max(n, 1))  # share of vectors in a filter
         self.words = max(8, math.ceil(math.sqrt(filters / share)))
@@ -96,6 +99,8 @@ class ProductCode:
 
     def decode(self, x: np.ndarray) -> list[np.ndarray]:
         """Sorted filter numbers of each unit vector of ``x``."""
+        if self.whole:
+            return [np.zeros(1, np.int64)] * len(x)
         y = x @ self.rotation
         s = y[:, : self.half] @ self.a.T
         t = y[:, self.half :] @ self.b.T if y.shape[1] > self.half else np.zeros((len(x), self.words))
@@ -138,14 +143,18 @@ def recall_at(code: ProductCode, x: np.ndarray, y: np.ndarray) -> float:
 
 
 def fitted_code(dim: int, n: int, cosine: float, recall: float, filters: float, bucket: int, least: int) -> ProductCode:
-    """The code with the fewest filters a vector that reaches ``recall`` on random pairs at the threshold itself, from the given numbers on."""
+    """The code with the fewest filters a vector that reaches ``recall`` on random pairs at the threshold itself, from the given numbers on.
+
+    If none of at most ``MOST_FILTERS`` does, its only filter holds every vector, so no pair is missed.
+    """
     code = ProductCode(dim, n, filters, bucket, least)
     if dim < 2 or n < 2 or not 0 <= cosine <= 1:
+        code.whole = True
         return code
     probes = [pairs_at(dim, cosine, PROBES, SEED + i) for i in range(2)]
     while any(recall_at(code, x, y) < recall for x, y in probes):
         if least >= MOST_FILTERS:
-            warnings.warn(f"recall {recall} at cosine {cosine} not reached with {least} filters a vector (dimension {dim}, {n} vectors)")
+            code.whole = True
             break
         least *= 2
         code = ProductCode(dim, n, max(filters, least / 2), bucket, least)
@@ -220,10 +229,16 @@ def _links_in_filter(mine: int, side: np.ndarray, node: np.ndarray, copies: np.n
     row = np.repeat(np.arange(len(keep)), lists.value_lengths().to_numpy())
     flat = lists.flatten().to_numpy()
     row, flat = row[flat < mine], flat[flat < mine]
-    _, col = np.unique(flat, return_inverse=True)
-    has = np.zeros((len(keep), int(col.max()) + 1 if len(col) else 1), np.float32)
-    has[row, col] = 1
-    first_here = link & ~((has @ has.T) > 0)
+    _, col, held = np.unique(flat, return_inverse=True, return_counts=True)
+    number = np.cumsum(held > 1) - 1  # filters that several rows hold, COLUMNS at a time
+    row, col = row[held[col] > 1], number[col[held[col] > 1]]
+    met = np.zeros(link.shape, bool)
+    for at in range(0, int(col.max()) + 1 if len(col) else 0, COLUMNS):
+        here = (col >= at) & (col < at + COLUMNS)
+        has = np.zeros((len(keep), COLUMNS), np.float32)
+        has[row[here], col[here] - at] = 1
+        met |= (has @ has.T) > 0
+    first_here = link & ~met
     return node, first_here @ copies, _smallest_reached(link, node)
 
 
