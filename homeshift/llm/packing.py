@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homeshift.llm.bpe import byte_alphabet
-from homeshift.llm.common import gapless_rank, shuffle_partitions
+from homeshift.llm.common import gapless_rank, place_by_rank, shuffle_partitions
 from homeshift.session import materialize
 
 #: Word pattern of byte-level BPE files (fixed public value).
@@ -229,10 +229,10 @@ def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     """Adds sequence_id and offset to a table of pieces with a column ``length``."""
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
-    places = spark.createDataFrame(plan(counts, capacity), "length long, lo long, hi long, base long, offset long")
+    spans = [(w, lo, hi, base, lo, offset) for w, lo, hi, base, offset in plan(counts, capacity)]
     ranked = gapless_rank(pieces, ["length"], ["id", "piece"], "rank", shuffle_partitions(spark))
-    placed = ranked.join(places, "length").where("rank >= lo and rank < hi")
-    return placed.withColumn("sequence_id", F.col("base") + F.col("rank") - F.col("lo")).drop("rank", "lo", "hi", "base")
+    placed = place_by_rank(ranked, "length", "rank", spans, ["base", "lo", "offset"])
+    return placed.withColumn("sequence_id", F.col("base") + F.col("rank") - F.col("lo")).drop("rank", "lo", "base")
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -24,7 +24,7 @@ import heapq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homeshift.llm.common import gapless_rank, shuffle_partitions
+from homeshift.llm.common import gapless_rank, place_by_rank, shuffle_partitions
 from homeshift.session import materialize
 
 SINGLE = 4096
@@ -92,10 +92,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     profile = [tuple(r) for r in small.groupBy("cls").agg(F.count(F.lit(1)), F.sum("bytes")).collect()]  # size classes
     own, spans, _ = schedule(singles, profile, shards)
 
-    spans_df = spark.createDataFrame(spans, "cls long, lo long, hi long, shard int")
     own_df = spark.createDataFrame([(bytearray(k), v) for k, v in own.items()], "grp binary, own int")
     ranked = gapless_rank(small.select("grp", "cls"), ["cls"], ["grp"], "rank", parts)
-    placed = ranked.join(spans_df, "cls").where("rank >= lo and rank < hi").select("grp", "shard")
+    placed = place_by_rank(ranked, "cls", "rank", spans, ["shard"]).select("grp", F.col("shard").cast("int").alias("shard"))
     hot = rows.join(F.broadcast(own_df), "grp", "left")
     one = hot.where("own is not null").select("id", "size", "text_crc32", F.col("own").alias("shard"))
     rest = hot.where("own is null").join(placed, "grp").select("id", "size", "text_crc32", "shard")
