@@ -126,3 +126,18 @@ def test_split_runs_equal_the_library(monkeypatch):
     for _ in range(3000):
         text = "".join(r.choice(parts) for _ in range(r.randint(1, 14)))
         assert packing.encode(enc, text) == tok.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_place_by_rank_with_a_hot_key(spark):
+    from pyspark.sql import functions as F
+
+    from homeshift.llm.common import place_by_rank
+
+    spans = [(5, 0, 3, 10, 7), (9, 0, 100_000, 20, 8), (5, 3, 4, 11, 6), (2, 0, 1, 30, 5), (9, 100_000, 100_500, 21, 4)]
+    rows = [(k, r, f"x{k}") for k, n in ((5, 4), (9, 100_500), (2, 1)) for r in range(n)]
+    df = spark.createDataFrame(rows, "length long, rank long, lo string").repartition(5)
+    got = place_by_rank(df, "length", "rank", spans, ["base", "at"])
+    want = sorted((k, r, f"x{k}", *next(s[3:] for s in spans if s[0] == k and s[1] <= r < s[2])) for k, r, _ in rows)
+    assert sorted(map(tuple, got.collect())) == want
+    assert "Exchange" not in got.select(F.col("base"))._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+    assert place_by_rank(df.where("false"), "length", "rank", [], ["base"]).count() == 0

@@ -83,3 +83,32 @@ def test_cap_height_has_its_share(dim):
     product = x[:, 0] + x[:, (dim + 1) // 2]  # the direction of two unit code words
     for share in (0.1, 0.003):
         assert abs((product >= sf.cap_height(dim, share)).mean() / share - 1) < 0.12
+
+
+@pytest.mark.parametrize("cosine, dim", [(-0.2, 5), (0.3, 3), (0.95, 1)])
+def test_where_no_number_of_filters_is_enough_every_pair_is_compared(spark, monkeypatch, cosine, dim):
+    monkeypatch.setattr(sf, "MOST_FILTERS", 16)
+    monkeypatch.setattr(sf, "BLOCK", 50)
+    x = np.random.default_rng(dim).normal(size=(300, dim)).astype(np.float32)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    deg, link = degrees(x, cosine)
+    out = {r["vec_id"]: r for r in sf.embedding_components(df, cosine).collect()}
+    assert [out[i]["n_links"] for i in range(300)] == deg.tolist()
+    assert [out[i]["component_id"] for i in range(300)] == component(link).tolist()
+
+
+def test_shared_filters_are_counted_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    r = np.random.default_rng(1)
+    x = np.repeat(r.normal(size=(6, 8)), 5, axis=0)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    lists = [np.unique(np.append(r.integers(0, 60, 12), 30)) for _ in range(30)]
+    want = None
+    for columns in (2048, 3, 1):
+        monkeypatch.setattr(sf, "COLUMNS", columns)
+        got = sf._links_in_filter(30, np.zeros(30, int), np.arange(30), np.ones(30, int), x, pa.array(lists, pa.list_(pa.int64())), 0.95)
+        first = [sum(x[i] @ x[j] >= 0.95 and min(set(lists[i]) & set(lists[j])) == 30 for j in range(30) if j != i) for i in range(30)]
+        assert got[1].tolist() == first
+        want = want or [g.tolist() for g in got]
+        assert want == [g.tolist() for g in got]
