@@ -13,7 +13,7 @@ The tokenizer file is a parameter (``path``); its normalizer (NFC, white space,
 case), pattern, suffix and added tokens are read from it.
 
 Memory: rows are taken in chunks of at most ``CHUNK_BYTES`` of text (or one longer
-text), and a cache is emptied at ``CACHE_WORDS`` entries (none longer than ``CACHE_LENGTH`` characters), so a task's memory
+text), and a cache holds at most twice ``CACHE_WORDS`` entries (none longer than ``CACHE_LENGTH`` characters), so a task's memory
 does not grow with the table.  There is no shuffle: rows are independent, and a
 lost executor recomputes its own part of the scan.
 
@@ -37,7 +37,7 @@ import pyarrow as pa
 from tokenizers import Regex, normalizers, pre_tokenizers
 
 CHUNK_BYTES = 2_000_000
-CACHE_WORDS, CACHE_LENGTH = 200_000, 64
+CACHE_WORDS, CACHE_LENGTH = 400_000, 64
 LONG = 400
 
 
@@ -200,42 +200,61 @@ class WordBPE:
         return out + self.runs(text[at:])
 
 
+class Cache:
+    """At most about twice ``limit`` entries: when the young half is full it becomes the old one, and what is used again comes back."""
+
+    def __init__(self, limit: int):
+        self.limit, self.young, self.old = limit, {}, {}
+
+    def missing(self, keys: set) -> list:
+        """Keys that have no entry; known ones are made young."""
+        young = self.young
+        if len(young) + len(keys) > self.limit:
+            self.old, self.young = young, {}
+            young = self.young
+        out = []
+        for k in keys:
+            if k not in young:
+                hit = self.old.get(k)
+                if hit is None:
+                    out.append(k)
+                else:
+                    young[k] = hit
+        return out
+
+
 class Encoder:
     """Bounded caches of words and of runs between white space: (number of ids, ids as decimal text, tokens as text)."""
 
     def __init__(self, bpe: WordBPE, limit: int = CACHE_WORDS):
-        self.bpe, self.limit, self.words, self.cache = bpe, limit, {}, {}
+        self.bpe, self.words, self.runs = bpe, Cache(limit), Cache(limit)
 
     def _words(self, needed: set[str]) -> dict:
         """Entries of words; those that the cache does not hold are encoded together."""
-        new = [w for w in needed if w not in self.words]
-        if len(self.words) + len(new) > self.limit:
-            self.words, new = {}, list(needed)
-        name, long = self.bpe.tokens, {}
+        new = self.words.missing(needed)
+        name, known = self.bpe.tokens, self.words.young
+        out = {w: known[w] for w in needed if w in known}
         for w, ids in zip(new, self.bpe.encode_words(new) if new else []):
             own = ids.tolist()
-            (self.words if len(w) <= CACHE_LENGTH else long)[w] = (len(own), " ".join(map(str, own)), " ".join([name[i] for i in own]))
-        return {w: long[w] if w in long else self.words[w] for w in needed}
+            out[w] = (len(own), " ".join(map(str, own)), " ".join([name[i] for i in own]))
+            if len(w) <= CACHE_LENGTH:
+                known[w] = out[w]
+        return out
 
     def rows(self, texts: list[str]) -> Iterator[list[tuple[int, str, str]]]:
         """Of each text, the entries of its runs (a run without words has none)."""
         docs = [self.bpe.pieces(t) if t else [] for t in texts]
-        new = {r for d in docs for r in d if r not in self.cache}
-        if len(self.cache) + len(new) > self.limit:
-            self.cache = {}
-            new = {r for d in docs for r in d}
+        used = set().union(*docs)
+        new = self.runs.missing(used)
+        known = self.runs.young
         cut = {r: self.bpe.word.findall(r) for r in new if isinstance(r, str)}
         words = self._words({w for ws in cut.values() for w in ws})
-        known = self.cache
-        if any(isinstance(r, str) and len(r) > CACHE_LENGTH for r in new):
-            known = dict(self.cache)  # long runs are not kept
+        long = {}
         for r in new:
             parts = [words[w] for w in cut[r]] if isinstance(r, str) else [(1, str(r), self.bpe.tokens[r])]
-            entry = parts[0] if len(parts) == 1 else (sum(p[0] for p in parts), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts]))
-            known[r] = entry
-            if known is not self.cache and (isinstance(r, int) or len(r) <= CACHE_LENGTH):
-                self.cache[r] = entry
-        get = known.__getitem__
+            entry = parts[0] if len(parts) == 1 else (sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts]))
+            (known if isinstance(r, int) or len(r) <= CACHE_LENGTH else long)[r] = entry
+        get = ({**{r: known[r] for r in used if r in known}, **long} if long else known).__getitem__
         for d in docs:
             yield [e for e in map(get, d) if e[0]]
 
