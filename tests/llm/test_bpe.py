@@ -35,6 +35,7 @@ def test_small_cache_gives_the_same(spark):
     for lo in range(0, 200, 10):
         for t, row in zip(texts[lo:], small.rows(texts[lo : lo + 10])):
             assert " ".join(e[1] for e in row) == want(t)[1]
+        assert len(small.runs.young) <= 60 and len(small.words.young) <= 60  # one chunk's words at most beyond the limit
 
 
 def test_edge_rows(docs_of):
@@ -83,4 +84,5 @@ def test_a_word_of_a_million_letters():
     start = time.time()
     assert own(text) == want(text)
     assert time.time() - start < 60
-    assert all(len(r) <= bpe.CACHE_LENGTH for r in OWN.cache if isinstance(r, str)) and all(len(w) <= bpe.CACHE_LENGTH for w in OWN.words)
+    for cache in (OWN.runs, OWN.words):
+        assert all(len(r) <= bpe.CACHE_LENGTH for half in (cache.young, cache.old) for r in half if isinstance(r, str))
