@@ -1,26 +1,26 @@
 """Operator 6: exact deduplication by a tree merge of sorted digest runs.
 
-Every row gets a leaf by a hash of its id.  A leaf's run holds its distinct
-texts as (sha-256 digest, byte length, second hash, smallest rank id, copies), sorted by
+Every row gets a number and a leaf by a hash of it.  A leaf's run holds its distinct
+texts as (sha-256 digest, byte length, second hash, the row that stays, copies), sorted by
 digest.  In each binomial round the runs of ``2 ** fan_bits`` neighbouring nodes meet and are
-merged; equal entries collapse to the identifier that stays.  A run is cut by the
+merged; equal entries collapse to the row (id, number) that stays.  A run is cut by the
 first bits of the digest, so a round, the last one too, is spread over all tasks.  The winners
 then travel back down the same tree, one join a level on (node, digest).
 
-Skew: a text that fills a third of all rows is one entry per leaf after the
-first, local step and at most ``2 ** fan_bits`` entries per merge, upwards and downwards; no
-join key is ever hot.  Only digests travel, never texts.
+Skew: a text that fills a third of all rows, under many ids or under one, is one entry per leaf after the
+first, local step and at most ``2 ** fan_bits`` entries per merge, upwards and downwards; its rows are spread evenly over the
+leaves, so no join key is ever hot.  Only digests travel, never texts.
 
 Verified: two rows are copies when sha-256, byte length and a 64-bit hash all agree.
 
 Defined results: null text counts as empty; a null id is smaller than any other;
-of rows that repeat both id and text exactly one is kept; an empty table gives
+of rows that repeat both id and text exactly one is kept; very long texts are digested whole; an empty table gives
 an empty result.  Extra columns of the input are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from homeshift.llm.common import shuffle_partitions
@@ -30,11 +30,11 @@ KEY = ["digest", "n_bytes", "check"]
 
 
 def digest_rows(docs: DataFrame, leaves: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, leaf, digest, n_bytes, check) of every row, written once so that texts are read once."""
+    """(id, row, leaf, digest, n_bytes, check) of every row, written once so that texts are read once and row numbers stay."""
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("b")).select(
-        "id",
-        F.pmod(F.xxhash64("id"), F.lit(leaves)).cast("int").alias("leaf"),
+    rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), text.alias("b")).select(
+        "id", "row",
+        F.pmod(F.xxhash64("row"), F.lit(leaves)).cast("int").alias("leaf"),
         F.unhex(F.sha2("b", 256)).alias("digest"),
         F.octet_length("b").cast("long").alias("n_bytes"),
         F.xxhash64("b").alias("check"),
@@ -55,7 +55,7 @@ def _merge(runs: DataFrame, node, parts: int, bits: int) -> DataFrame:
         .repartition(parts, "node", "cut")
         .sortWithinPartitions("node", "cut", *KEY)
         .groupBy("node", "cut", *KEY)
-        .agg(F.max("keep_id").alias("keep_id"), F.sum("copies").alias("copies"))
+        .agg(F.max("keep").alias("keep"), F.sum("copies").alias("copies"))
         .drop("cut")
     )
 
@@ -71,7 +71,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     leaves = leaves or parts
     bits = max(1, min(16, (parts - 1).bit_length() + 2))
     rows = digest_rows(docs, leaves, id_col, text_col)
-    first = rows.groupBy(F.col("leaf").alias("node"), *KEY).agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("copies"))
+    first = rows.groupBy(F.col("leaf").alias("node"), *KEY).agg(F.max(F.struct("id", "row")).alias("keep"), F.count(F.lit(1)).alias("copies"))
     levels = [first if leaves == 1 else materialize(first, "dedup-runs")]
     nodes = leaves
     while nodes > 1:
@@ -81,16 +81,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     while levels:  # winners back down the tree
         own = levels.pop().select("node", *KEY).withColumn("up", F.shiftright("node", fan_bits))
         won = best.withColumnRenamed("node", "up")
-        best = own.join(won, ["up", *KEY]).select("node", *KEY, "keep_id", "copies")
-    again = F.row_number().over(Window.partitionBy("leaf", *KEY, "id").orderBy("id"))
+        best = own.join(won, ["up", *KEY]).select("node", *KEY, "keep", "copies")
     return (
-        rows.withColumn("again", again)
-        .join(best.withColumnRenamed("node", "leaf"), ["leaf", *KEY])
+        rows.join(best.withColumnRenamed("node", "leaf"), ["leaf", *KEY])
         .select(
             F.col("id").alias(id_col),
-            "keep_id",
+            F.col("keep.id").alias("keep_id"),
             F.col("copies").alias("group_size"),
-            (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("again") == 1)).alias("kept"),
+            (F.col("row") == F.col("keep.row")).alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"),
         )
     )
