@@ -51,7 +51,7 @@ def op8_bpe(spark, sf_dir):
 
 
 def op9_license_scan(spark, sf_dir):
-    return license_digest.scan_licenses(table(spark, sf_dir, "documents"), license_digest.license_table(spark))
+    return license_digest.scan_licenses(table(spark, sf_dir, "documents"), license_digest.license_table(spark, digests=license_digest.known_digests()))
 
 
 def op10_html_blocks(spark, sf_dir):
