@@ -32,5 +32,11 @@ def test_hot_group_over_many_leaves_and_rounds(docs_of):
     check(docs_of(rows, 7), rows, leaves=1)
 
 
+def test_one_row_that_is_repeated(docs_of):
+    """A third of all rows are one row: spread over the leaves, one of them stays."""
+    rows = [(7, "again and again")] * 400 + [(None, "no id")] * 300 + [(1000 + i, f"own {i}") for i in range(300)]
+    check(docs_of(rows, 9), rows, leaves=16)
+
+
 def test_empty_table(docs_of):
     assert exact_dedup(docs_of([(1, "x")]).where("false")).count() == 0
