@@ -41,6 +41,10 @@ FIXTURE_THRESHOLDS = Thresholds(min_days=5, min_share=0.4)
 # every routing branch populated in the test data).
 SNAPSHOT_DAY = _dt.date(2024, 1, 19)
 
+# Further days for branches that are thin on that day: many users without a reference (a Monday), many new and
+# changed streaks (a Saturday), many confirmed returns (a Friday).
+FIRST_DAY, WEEKEND_DAY, LATE_DAY = _dt.date(2024, 1, 8), _dt.date(2024, 1, 13), _dt.date(2024, 1, 26)
+
 # Low age limit used to make the aged-out audit fire within 30 days of data.
 SNAPSHOT_AGE_LIMIT = 5
 

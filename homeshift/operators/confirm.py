@@ -115,6 +115,17 @@ def streak_after_eviction(streak: DataFrame, returned: DataFrame, aged: DataFram
     return streak.select(*STREAK_COLS).join(gone, "user_id", "left_anti")
 
 
+def pool_without(pool: DataFrame, elsewhere: DataFrame, users: DataFrame) -> DataFrame:
+    """Pool and confirmed rows without some users' rows (one anti join), earliest date kept: the rule without an age limit."""
+    rows = pool.select(*POOL_COLS).unionByName(elsewhere.select(*POOL_COLS)).join(users.select("user_id"), "user_id", "left_anti")
+    return rows.groupBy("user_id", "zipcode", "confirmed_week").agg(F.min("since").alias("since"))
+
+
+def streak_without(streak: DataFrame, users: DataFrame) -> DataFrame:
+    """Streak rows without some users' rows (one anti join)."""
+    return streak.select(*STREAK_COLS).join(users.select("user_id"), "user_id", "left_anti").distinct()
+
+
 def end_of_day(passed: DataFrame, ref: DataFrame, day, th: Thresholds) -> DataFrame:
     """Streak and pool rows after confirmation and eviction, tagged ``kind``.
 

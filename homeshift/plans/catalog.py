@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from homeshift.config import FIXTURE_THRESHOLDS as TH, RUN_AGE_LIMIT, SNAPSHOT_AGE_LIMIT, SNAPSHOT_DAY
+from homeshift.config import FIRST_DAY, FIXTURE_THRESHOLDS as TH, LATE_DAY, RUN_AGE_LIMIT, SNAPSHOT_AGE_LIMIT, SNAPSHOT_DAY, WEEKEND_DAY
 from homeshift import schemas
 from homeshift.operators import confirm as cf
 from homeshift.operators import home_zip as hz
@@ -49,8 +49,8 @@ def _annotated(spark, sf):
     return rf.annotate(_dhz(spark, sf), TH)
 
 
-def _step(spark, sf) -> DayStep:
-    return DayStep(_dhz(spark, sf), SNAPSHOT_DAY, TH_SNAPSHOT)
+def _step(spark, sf, day=SNAPSHOT_DAY) -> DayStep:
+    return DayStep(_dhz(spark, sf), day, TH_SNAPSHOT)
 
 
 def _run(spark, sf, th=TH) -> MoverRun:
@@ -61,8 +61,18 @@ def _on_run(fn, th=TH) -> Query:
     return lambda spark, sf: fn(_run(spark, sf, th))
 
 
-def _on_step(fn) -> Query:
-    return lambda spark, sf: fn(_step(spark, sf))
+def _on_step(fn, day=SNAPSHOT_DAY) -> Query:
+    return lambda spark, sf: fn(_step(spark, sf, day))
+
+
+def _table_twice(sink) -> Query:
+    """The weekend's home zips written by ``sink``, then all home zips by the same sink at the same place."""
+    def run(spark, sf):
+        path = scratch_path(spark, "table-twice")
+        sink(spark, hz.daily_home_zip(_visits(spark, sf), weekend=True), path)
+        return sink(spark, _dhz(spark, sf), path)
+
+    return run
 
 
 # Newest days kept by the capped look-back, less one.
@@ -179,7 +189,7 @@ def build() -> dict[str, Query]:
     q["label_home_hours"] = lambda s, sf: hz.label_home_hours(_visits(s, sf))
     q["filter_home_hours"] = lambda s, sf: hz.filter_home_hours(_visits(s, sf))
 
-    q["scan_visits_all"] = lambda s, sf: tb.scan_days(_visits(s, sf))
+    q["scan_visits_all"] = lambda s, sf: _day_tables(s, sf).read(schemas.VISITS)
     q["scan_catalog_table"] = _saved_visits
     q["named_relation_sql"] = lambda s, sf: _named(s, sf).sql(
         f"SELECT zipcode, count(DISTINCT cookie) AS users, sum(nb_hits) AS hits FROM {VISITS_NAME} GROUP BY zipcode"
@@ -224,6 +234,8 @@ def build() -> dict[str, Query]:
         s, [hz.daily_home_zip(_visits(s, sf), weekend=True), hz.daily_home_zip(_visits(s, sf), weekend=False)],
         "daily_home_zip_append",
     )
+    q["sink_create_if_absent"] = _table_twice(sinks.create_if_absent)
+    q["sink_overwrite"] = _table_twice(sinks.replace_table)
     q["sink_insert_by_position"] = _references_by_position
     q["split_by_day"] = lambda s, sf: sinks.split_by_day(s, _visits(s, sf), "date", "visits_by_day")
 
@@ -266,6 +278,19 @@ def build() -> dict[str, Query]:
     q["pool_after_eviction"] = _on_step(lambda d: d.pool_evicted)
     q["streak_after_eviction"] = _on_step(lambda d: d.streak_evicted)
 
+    q["pool_without_confirmed_home"] = _on_step(lambda d: cf.pool_without(d.pool_after, d.elsewhere, d.home))
+    q["streak_without_confirmed_home"] = _on_step(lambda d: cf.streak_without(d.streak_after, d.home))
+
+    # ---- the same operators on days on which their branches hold many rows
+    q["no_reference_yet_first"] = _on_step(lambda d: rf.no_reference_yet(d.today, d.ref), FIRST_DAY)
+    q["streak_new_weekend"] = _on_step(lambda d: sk.streak_new(d.mover_feed, d.streak, d.day), WEEKEND_DAY)
+    q["streak_merge_weekend"] = _on_step(lambda d: d.streak_after, WEEKEND_DAY)
+    q["history_update_weekend"] = _on_step(lambda d: d.history_after, WEEKEND_DAY)
+    q["confirmed_home_late"] = _on_step(lambda d: d.home, LATE_DAY)
+    q["audit_returned_home_late"] = _on_step(lambda d: cf.audit_returned_home(d.home, d.pool_after, d.day, d.th), LATE_DAY)
+    q["pool_after_eviction_late"] = _on_step(lambda d: d.pool_evicted, LATE_DAY)
+    q["streak_after_eviction_late"] = _on_step(lambda d: d.streak_evicted, LATE_DAY)
+
     # ---- whole run: per-user fold with confirmation and eviction
     q["mover_pool_final"] = _on_run(lambda r: r.pool)
     q["mover_streak_final"] = _on_run(lambda r: r.streak)

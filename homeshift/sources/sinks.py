@@ -27,6 +27,18 @@ def roundtrip(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def create_if_absent(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write the table unless it is there (create-table-if-not-exists-as-select): an existing one stays as it is."""
+    write_table(df, path, mode="ignore")
+    return spark.read.parquet(path)
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write the table in place of an existing one, whatever its columns were."""
+    write_table(df, path, mode="overwrite")
+    return spark.read.parquet(path)
+
+
 def append_parts(spark: SparkSession, parts: list[DataFrame], name: str) -> DataFrame:
     """First part creates the table, the others are appended by column name."""
     path = scratch_path(spark, name)

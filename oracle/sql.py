@@ -9,7 +9,7 @@ the dict used by ``__spark_entry__.oracle_sql``.
 
 from __future__ import annotations
 
-from homeshift.config import FIXTURE_THRESHOLDS as TH, RUN_AGE_LIMIT, SNAPSHOT_DAY, SNAPSHOT_AGE_LIMIT
+from homeshift.config import FIRST_DAY, FIXTURE_THRESHOLDS as TH, LATE_DAY, RUN_AGE_LIMIT, SNAPSHOT_DAY, SNAPSHOT_AGE_LIMIT, WEEKEND_DAY
 
 D = f"DATE '{SNAPSHOT_DAY.isoformat()}'"
 
@@ -184,6 +184,17 @@ SNAP = BASE + [f"bf AS (SELECT * FROM dhz WHERE day < {D})"] + closed_form("bf",
 ]
 
 
+def snap_of(day) -> list[str]:
+    """The snapshot's relations for another day."""
+    return [c.replace(D, f"DATE '{day.isoformat()}'") for c in SNAP]
+
+
+def pool_of(source: str, without: str) -> str:
+    return f"""SELECT user_id, zipcode, confirmed_week, min(since) AS since FROM (
+  SELECT * FROM {source} UNION ALL SELECT * FROM celse) WHERE user_id NOT IN (SELECT user_id FROM {without})
+  GROUP BY user_id, zipcode, confirmed_week"""
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["visits_from_events"] = w([VISITS], "SELECT * FROM visits")
@@ -244,9 +255,18 @@ def build() -> dict[str, str]:
     q["pool_age"] = w(SNAP, "SELECT * FROM page")
     q["audit_returned_home"] = w(SNAP, "SELECT * FROM aret")
     q["audit_aged_out"] = w(SNAP, "SELECT * FROM aold")
-    q["pool_after_eviction"] = w(SNAP, """SELECT user_id, zipcode, confirmed_week, min(since) AS since FROM (
-  SELECT * FROM po2 UNION ALL SELECT * FROM celse) WHERE user_id NOT IN (SELECT user_id FROM gone)
-  GROUP BY user_id, zipcode, confirmed_week""")
+    q["pool_after_eviction"] = w(SNAP, pool_of("po2", "gone"))
+    q["pool_without_confirmed_home"] = w(SNAP, pool_of("po2", "chome"))
+    q["streak_without_confirmed_home"] = w(SNAP, "SELECT * FROM st2 WHERE user_id NOT IN (SELECT user_id FROM chome)")
+    first, weekend, late = (snap_of(d) for d in (FIRST_DAY, WEEKEND_DAY, LATE_DAY))
+    q["no_reference_yet_first"] = w(first, "SELECT * FROM nor")
+    q["streak_new_weekend"] = w(weekend, "SELECT * FROM sA")
+    q["streak_merge_weekend"] = w(weekend, "SELECT * FROM st2")
+    q["history_update_weekend"] = w(weekend, "SELECT * FROM hist2")
+    q["confirmed_home_late"] = w(late, "SELECT * FROM chome")
+    q["audit_returned_home_late"] = w(late, "SELECT * FROM aret")
+    q["pool_after_eviction_late"] = w(late, pool_of("po2", "gone"))
+    q["streak_after_eviction_late"] = w(late, "SELECT * FROM st2 WHERE user_id NOT IN (SELECT user_id FROM gone)")
     q["streak_after_eviction"] = w(SNAP, "SELECT * FROM st2 WHERE user_id NOT IN (SELECT user_id FROM gone)")
     V = [VISITS]
     q["scan_visits_all"] = w(V, 'SELECT cookie, zipcode, tranche, nb_hits, "date" FROM visits')
@@ -297,6 +317,8 @@ def build() -> dict[str, str]:
   FROM dhz d JOIN f_rz r ON d.user_id = r.user_id""")
     q["sink_roundtrip"] = q["daily_home_zip"]
     q["sink_append"] = q["daily_home_zip"]
+    q["sink_create_if_absent"] = q["daily_home_zip_weekend"]
+    q["sink_overwrite"] = q["daily_home_zip"]
     q["sink_insert_by_position"] = q["reference_zip"]
     q["split_by_day"] = w(V, "SELECT * FROM visits")
     q["stream_daily_home_zip"] = w(BASE, "SELECT user_id, zipcode, day FROM dhz")
