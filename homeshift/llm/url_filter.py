@@ -1,28 +1,27 @@
 """Operator 1: allow / block verdicts of url rules, by a sort-merge range join (DataFrame functions only).
 
 A host becomes a canonical key: its labels reversed, each ended by a dot
-(``www.example.com`` -> ``com.example.www.``).  A rule on a host and its
-subdomains is then the interval of keys that start with the rule's key;
-such intervals are nested or disjoint.
+(``www.example.com`` -> ``com.example.www.``); behind a zero character follows the path.  A rule (host, path) is then the interval
+of keys that start with its key.  Intervals are nested or disjoint.  A url is in the interval of a rule on its host or on a
+domain above it under the key of that domain, so it is looked up once for each of its domains that is no deeper than any rule.
 
 Plan
-1. urls are range-partitioned by (key, salt) into equal parts; the salt splits a
-   host that holds a third of all rows.  The parts are written once.
-2. rules are grouped by host key and sent to the parts whose key range their
-   interval meets (the parts' ranges are a table of at most ``parts`` rows).
-3. each part is sorted by key, rule intervals before urls of the same key, and swept
-   once.  The stack of active nested rules has one slot for each label depth:
-   ``last`` rule of that depth seen so far, popped when its interval has ended, that is when
-   the url's key does not start with the slot's key.
-4. of the path rules on the stack that the url's path starts with, the longest
-   wins (ties: the longer host, then block).
-
-The rules of one host travel as one array, so its length is a property of the rule list,
-not of the corpus.
+1. rules get their nesting level: the number of rules on the same host whose path starts theirs, themselves included.
+2. urls' keys and rules are range-partitioned together by (key, rule before url, salt) into equal parts, which are written once; the salt
+   splits a url or host that holds a third of all rows.
+3. each part is sorted and swept once.  The stack of active nested rules has one slot a level: the ``last`` rule of that level
+   seen so far, popped when its interval has ended, that is when the url's key does not start with the slot's key.
+   What the parts before it leave on the stack is a table of at most ``parts`` rows, handed on from part to part.
+4. of the rules on the stacks of a url's domains the longest wins (ties: the longer host, then block).
+
+Rules and urls meet by sorting alone: there is no list of a host's rules and no pass of all rules over all parts, so a host may
+have millions of path rules.  Slots are as many as the longest chain of rules that start each other.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
 and gets the default verdict; an empty rule table gives the default for all;
-repeated rows stay; null rule fields count as empty paths, rules without a host are ignored.
+repeated rows stay; null rule paths count as empty, rules without a host are ignored, as are those whose path is not empty and does
+not start with a slash (no url has such a path); of rules that share host and path block wins; very long urls are compared whole;
+other columns of both tables, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +32,7 @@ from pyspark.sql import functions as F
 from homeshift.llm.common import shuffle_partitions
 from homeshift.session import materialize
 
+PATH_MARK = "\0"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: The rules of the registered query: (host, path, verdict).
@@ -63,48 +63,57 @@ def host_key(host: Column) -> Column:
     return F.when(host == "", F.lit("")).otherwise(F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit(".")))
 
 
+def leveled_rules(rules: DataFrame) -> DataFrame:
+    """(key, level, depth, entry) of every rule that a url can meet; ``entry`` orders rules by their rank."""
+    path = F.coalesce(F.col("path"), F.lit(""))
+    own = rules.select(F.translate("host", UPPER, LOWER).alias("host"), path.alias("path"), "verdict").where("host != '' and (path = '' or startswith(path, '/'))")
+    entry = F.struct(
+        F.length(F.concat("host", "path")).alias("size"), F.length("host").alias("host_size"), (F.col("verdict") == "block").alias("block"),
+        F.concat("host", "path").alias("rule"), F.col("verdict").alias("verdict"),
+    )
+    own = own.withColumn("domain", host_key(F.col("host"))).groupBy("domain", "path").agg(F.max(entry).alias("entry"))
+    starts = F.transform(F.sequence(F.lit(0), F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
+    inside = own.select("domain", F.col("path").alias("whole"), F.explode(starts).alias("path")).join(own.select("domain", "path"), ["domain", "path"])
+    level = inside.groupBy("domain", F.col("whole").alias("path")).agg(F.count(F.lit(1)).cast("int").alias("level"))
+    key = F.concat("domain", F.lit(PATH_MARK), "path")
+    return own.join(level, ["domain", "path"]).select(key.alias("key"), "level", (F.size(F.split("domain", r"\.")) - 1).alias("depth"), "entry")
+
+
 def url_verdicts(
     urls: DataFrame, rules: DataFrame, url_col: str = "url", id_col: str = "page_id", default: str = "allow"
 ) -> DataFrame:
     """(id, host, path, rule, verdict) of every row of ``urls``."""
     spark = urls.sparkSession
     parts = shuffle_partitions(spark)
+    marks = materialize(leveled_rules(rules), "url-rules")
+    top = marks.agg(F.coalesce(F.max("level"), F.lit(0)).alias("levels"), F.coalesce(F.max("depth"), F.lit(0)).alias("depth")).first()
+
     host, path = host_path(url_col)
-    rows = urls.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path")).withColumn("key", host_key(F.col("host")))
-    dealt = rows.withColumn("salt", F.xxhash64("id", "path")).repartitionByRange(parts, "key", "salt").drop("salt")
+    rows = urls.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row"))
+    rows = materialize(rows, "url-rows")
+    labels = F.reverse(F.split("host", r"\."))
+    deep = F.least(F.size(labels), F.lit(top["depth"]))
+    domains = F.when((F.col("host") != "") & (deep > 0), F.transform(F.sequence(F.lit(1), deep), lambda d: F.concat(F.array_join(F.slice(labels, F.lit(1), d), "."), F.lit("."))))
+    keys = rows.select("row", F.explode(domains).alias("domain"), "path").select(F.concat("domain", F.lit(PATH_MARK), "path").alias("key"), F.lit(1).alias("kind"), "row")
+    both = keys.unionByName(marks.select("key", F.lit(0).alias("kind"), "level", "entry"), allowMissingColumns=True)
+    dealt = both.withColumn("salt", F.xxhash64("row")).repartitionByRange(parts, "key", "kind", "salt").drop("salt")
     dealt = materialize(dealt.withColumn("part", F.spark_partition_id()), "url-parts")
-    ranges = dealt.groupBy("part").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
 
-    rule_path = F.coalesce(F.col("path"), F.lit(""))
-    entry = F.struct(
-        F.length(F.concat("host", rule_path)).alias("size"),
-        F.length("host").alias("host_size"),
-        (F.col("verdict") == "block").alias("block"),
-        F.concat(F.col("host"), rule_path).alias("rule"),
-        rule_path.alias("path"),
-        F.col("verdict").alias("verdict"),
-    )
-    clean = rules.withColumn("host", F.translate("host", UPPER, LOWER)).where("host is not null and host != ''")
-    nodes = clean.groupBy(host_key(F.col("host")).alias("key")).agg(F.collect_set(entry).alias("entries"))
-    nodes = nodes.withColumn("depth", F.size(F.split("key", r"\.")) - 1)
-    depth = nodes.agg(F.max("depth")).first()[0] or 0
-    # a rule's interval [key, key + everything below] meets a part when lo <= its end and key <= hi;
-    # a part has at most `parts` rows, whatever the corpus
-    meets = nodes.join(F.broadcast(ranges), (F.col("key") <= F.col("hi")) & (F.concat("key", F.lit("\U0010ffff")) >= F.col("lo")))
-
-    swept = dealt.select("part", "key", F.lit(1).alias("kind"), "id", "host", "path", F.lit(None).cast("int").alias("depth"), F.lit(None).cast(nodes.schema["entries"].dataType).alias("entries"))
-    marks = meets.select("part", "key", F.lit(0).alias("kind"), F.lit(None).cast(swept.schema["id"].dataType).alias("id"), F.lit(None).cast("string").alias("host"), F.lit(None).cast("string").alias("path"), "depth", "entries")
+    slots = [f"slot{n}" for n in range(1, top["levels"] + 1)]
+    rule = F.struct("key", "entry")
+    mine = {s: F.when((F.col("kind") == 0) & (F.col("level") == n + 1), rule) for n, s in enumerate(slots)}
+    # the stack that each part leaves, and the one it finds: one row a part
+    left = dealt.groupBy("part").agg(F.count(F.lit(1)).alias("n"), *[F.max(c).alias(s) for s, c in mine.items()])
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    found = left.select("part", *[F.last(s, ignorenulls=True).over(before).alias(f"{s}_before") for s in slots])
     sweep = Window.partitionBy("part").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = swept.unionAll(marks)
-    for d in range(1, depth + 1):  # one stack slot a depth
-        mine = F.when((F.col("kind") == 0) & (F.col("depth") == d), F.struct("key", "entries"))
-        both = both.withColumn(f"slot{d}", F.last(mine, ignorenulls=True).over(sweep))
-    active = [F.when(F.startswith("key", F.col(f"slot{d}.key")), F.col(f"slot{d}.entries")) for d in range(1, depth + 1)]
-    none = F.lit(None).cast(nodes.schema["entries"].dataType)
-    stack = F.flatten(F.filter(F.array(none, *active), lambda e: e.isNotNull()))
-    fits = F.filter(stack, lambda e: F.startswith(F.col("path"), e["path"]))
-    best = F.array_max(fits)
-    return both.where("kind = 1").withColumn("best", best).select(
+    swept = dealt.select("*", *[F.last(c, ignorenulls=True).over(sweep).alias(s) for s, c in mine.items()]).where("kind = 1")
+    swept = swept.join(F.broadcast(found), "part")  # at most `parts` rows
+    stack = [F.coalesce(F.col(s), F.col(f"{s}_before")) for s in slots]
+    active = [F.when(F.startswith(F.col("key"), c["key"]), c["entry"]) for c in stack]
+    none = F.lit(None).cast(marks.schema["entry"].dataType)
+    best = swept.select("row", F.array_max(F.array(none, *active)).alias("best")).groupBy("row").agg(F.max("best").alias("best"))
+    return rows.join(best, "row", "left").select(
         F.col("id").alias(id_col),
         "host",
         "path",
