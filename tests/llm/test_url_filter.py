@@ -34,6 +34,36 @@ def test_random_rules_equal_brute_force(spark, seed):
     assert sorted([tuple(x) for x in got.collect()], key=str) == brute(urls, rules)
 
 
+def test_many_path_rules_on_one_host(spark):
+    """Chains of nested paths and thousands of rules on one host that most urls have; parts hand their stacks on."""
+    r = random.Random(3)
+    paths = {"/" + "/".join(r.choice("abc") for _ in range(r.randint(1, 7))) + r.choice(["", "/"]) for _ in range(3000)}
+    rules = [("hot.com", p, r.choice(["allow", "block"])) for p in sorted(paths)] + [("com", "/a", "block"), ("hot.com", "", "block"), ("HOT.com", "/a/b", "block"), (None, "/x", "block"), ("hot.com", "a", "block"), ("hot.com", None, "allow")]
+    urls = [(i, "http://" + r.choice(["", "www.", "x.y."]) + "hot.com/" + "/".join(r.choice("abcd") for _ in range(r.randint(0, 9)))) for i in range(3000)]
+    urls += [(5000 + i, "http://hot.com/a/b/c") for i in range(1500)]
+    df = spark.createDataFrame(urls, "page_id long, url string").repartition(5)
+    known = {}
+    for h, p, v in rules:
+        if h and (not p or p.startswith("/")):
+            known[h.lower(), p or ""] = max(v, known.get((h.lower(), p or ""), ""))  # block wins
+    got = sorted([tuple(x) for x in uf.url_verdicts(df, uf.rule_table(spark, rules)).collect()], key=str)
+    by_path = {}
+    for (h, p), v in known.items():
+        by_path.setdefault(h, {})[p] = v
+    want = []
+    for i, u in urls:
+        host, path = u[7:].split("/", 1)
+        path, fits = "/" + path, []
+        for h, own in by_path.items():
+            if host == h or host.endswith("." + h):
+                fits += [(len(h + path[:n]), len(h), h + path[:n], own[path[:n]]) for n in range(len(path) + 1) if path[:n] in own]
+        best = max(fits) if fits else (0, 0, None, "allow")
+        want.append((i, host, path, best[2], best[3]))
+    assert got == sorted(want, key=str)
+    plan = uf.url_verdicts(df, uf.rule_table(spark, rules))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_no_rules_and_no_urls(spark):
     df = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
     none = spark.createDataFrame([], "host string, path string, verdict string")
