@@ -59,7 +59,7 @@ from homeshift.llm.flat_text import U, mix64, shingle_hashes, spans_hash, string
 from homeshift.session import materialize
 
 CHUNK_TEXT = 3_000_000
-RANGE_TEXT = 16_000_000
+RANGE_TEXT = 8_000_000
 COMMON, COMMON_DF = 65_536, 64
 BLOCK_SETS, BLOCK_TOKENS = 4096, 3_000_000
 PIVOTS = 16  # sets of a cut home that all its blocks see
