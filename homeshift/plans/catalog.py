@@ -144,6 +144,11 @@ def _daily_store(spark, sf, th) -> StateStore:
     return store
 
 
+def _last_evictions(store: StateStore) -> DataFrame:
+    """Evictions of the days that the daily job ran."""
+    return store.evictions((store.last_day or SNAPSHOT_DAY) - _dt.timedelta(days=LAST_DAYS))
+
+
 def _named(spark, sf) -> SparkSession:
     _visits(spark, sf).createOrReplaceTempView(VISITS_NAME)
     return spark
@@ -310,11 +315,13 @@ def build() -> dict[str, Query]:
     # ---- daily job: versions of changed users, merged on reading
     q["daily_state_pool"] = lambda s, sf: _daily_store(s, sf, TH).pool()
     q["daily_state_streak"] = lambda s, sf: _daily_store(s, sf, TH_AGED).streak()
+    q["daily_state_evictions"] = lambda s, sf: _last_evictions(_daily_store(s, sf, TH_AGED))
     q["daily_state_registry"] = lambda s, sf: _daily_store(s, sf, TH).registry()
 
     # ---- streaming: event-time day buckets, per-user state across micro-batches, late sightings
     q["stream_daily_home_zip"] = lambda s, sf: ms.run_daily_home_zip_stream(s, f"{sf}/events.parquet")
     q["stream_movers"] = lambda s, sf: ms.stream_pool(ms.run_mover_stream(_dhz(s, sf), TH))
     q["stream_movers_aged"] = lambda s, sf: ms.stream_pool(ms.run_mover_stream(_dhz(s, sf), TH_AGED))
+    q["stream_evictions"] = lambda s, sf: ms.stream_evictions(ms.run_mover_stream(_dhz(s, sf), TH_AGED))
     q["stream_late_corrected"] = lambda s, sf: ms.run_late_stream(_dhz(s, sf), TH, F.expr(LATE_BY), tb.last_day(s, sf))
     return q

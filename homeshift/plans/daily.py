@@ -73,12 +73,12 @@ class StateStore:
     # --------------------------------------------------------------------- state
     def versions(self) -> DataFrame:
         """Rows of every version that counts; the others are pruned."""
+        if not self.manifest["versions"]:
+            return self.spark.createDataFrame([], f"{COLUMNS}, version string")
         return self.spark.table(self.table).where(F.col("version").isin(self.manifest["versions"]))
 
     def state(self) -> DataFrame:
         """(user_id, state fields without audits): the last row of each user."""
-        if not self.manifest["versions"]:
-            return self.spark.createDataFrame([], f"{COLUMNS}").drop("audits")
         last = F.max_by(F.struct(*NO_AUDITS), F.col("version"))
         return self.versions().groupBy("user_id").agg(last.alias("s")).select("user_id", "s.*")
 
@@ -86,6 +86,11 @@ class StateStore:
         """Audit rows of a version (default: the last one)."""
         return us.audits(self.versions().where(F.col("version") == (version or self.manifest["versions"][-1])))
 
+    def evictions(self, after: _dt.date) -> DataFrame:
+        """Evictions of the days behind ``after`` from the versions that count: (user_id, day, reason, presence_days)."""
+        rows = us.audits(self.versions()).where(F.col("day") > F.lit(after))
+        return rows.select("user_id", "day", F.col("kind").alias("reason"), "presence_days").distinct()
+
     def reference(self) -> DataFrame:
         return us.reference(self.state())
 

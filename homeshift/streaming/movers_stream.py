@@ -52,6 +52,7 @@ STORED_OUTPUT = T.StructType(STREAM_OUTPUT.fields + [T.StructField("batch", T.Lo
 MARKER_USER = -1  # user id of the row that closes a bounded input
 HOME_ZIPS = "user_id long, zipcode string, day date"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -213,6 +214,18 @@ def _out_row(row: tuple, open_day: int) -> Row:
     return Row(**dict(zip(FOLD_COLUMNS, row)), as_of=EPOCH + _dt.timedelta(days=int(open_day - 1)) if open_day else None)
 
 
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]):
+    old = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @contextmanager
 def _package_on_the_driver(spark: SparkSession):
     """The driver asks the processor for its state variables in a worker of its own, which does not get shipped files."""
@@ -228,11 +241,12 @@ def _package_on_the_driver(spark: SparkSession):
 
 def mover_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, th: Thresholds,
                  available_now: bool = True, max_files: int | None = None, lateness_days: int = 0,
-                 closing_path: str | None = None):
+                 closing_path: str | None = None, settle: bool = True):
     """Start the per-user stateful stream over daily home zip files in ``source_dir``.
 
     Files may come in any order within ``lateness_days``; a day is applied once a
-    row ``lateness_days`` + 1 days later was seen, or the input was closed.
+    row ``lateness_days`` + 1 days later was seen, or the input was closed.  Without ``settle`` days that the last
+    files close are applied when the next files come, not by a micro-batch of their own.
     """
     ship_package(spark)
 
@@ -255,12 +269,8 @@ def mover_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint
         batch.write.mode("overwrite").parquet(f"{out_path}/batch={epoch}")
 
     w = out.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(store)
-    old = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, ROCKSDB)  # the query takes the setting when it starts
-    try:
+    with _settings(spark, {STATE_STORE: ROCKSDB, NO_DATA_BATCHES: str(settle).lower()}):  # the query takes them when it starts
         return w.trigger(availableNow=True).start() if available_now else w.start()
-    finally:
-        spark.conf.unset(STATE_STORE) if old is None else spark.conf.set(STATE_STORE, old)
 
 
 def read_output(spark: SparkSession, out_path: str) -> DataFrame:
@@ -285,6 +295,12 @@ def stream_pool(out: DataFrame) -> DataFrame:
     return latest_state(out).where("kind = 'pool'").select("user_id", "zipcode", F.col("week").alias("confirmed_week"), "since")
 
 
+def stream_evictions(out: DataFrame) -> DataFrame:
+    """Evictions of the whole stream, one row each: (user_id, day, reason, presence_days)."""
+    audits = out.where(F.col("kind").isin("returned", "aged"))
+    return audits.select("user_id", "day", F.col("kind").alias("reason"), "presence_days").distinct()
+
+
 def correct_late(out: DataFrame, day_history: DataFrame, th: Thresholds, horizon) -> DataFrame:
     """States, at the end of the day ``horizon``, of the users with a late sighting: replayed from the stored days.
 
@@ -322,8 +338,8 @@ class BoundedRun:
         chunk = F.floor((F.unix_date("day") + wait) / F.lit(chunk_days)).cast("int")
         self.staged = materialize(dhz.select("user_id", "zipcode", "day", chunk.alias("chunk")), "stream-staged", ["chunk"])
 
-    def go(self) -> None:
-        mover_stream(self.spark, self.source, self.out, self.checkpoint, self.th, lateness_days=self.lateness, closing_path=self.closing).awaitTermination()
+    def go(self, settle: bool = False) -> None:
+        mover_stream(self.spark, self.source, self.out, self.checkpoint, self.th, lateness_days=self.lateness, closing_path=self.closing, settle=settle).awaitTermination()
 
     def run(self) -> DataFrame:
         self.spark.createDataFrame([], HOME_ZIPS).write.parquet(self.closing)
@@ -334,7 +350,7 @@ class BoundedRun:
             self.go()
         if ends[2] is not None:
             close_input(self.spark, self.closing, ends[2], self.lateness)
-            self.go()
+            self.go(settle=True)
         return read_output(self.spark, self.out)
 
     def day_history(self) -> DataFrame:

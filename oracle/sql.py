@@ -435,6 +435,8 @@ def fold_oracles() -> dict[str, str]:
         "mover_pool_aged": w(L, "SELECT * FROM fpool"),
         "mover_streak_aged": w(L, "SELECT * FROM fstreak"),
         "stream_movers_aged": w(L, "SELECT * FROM fpool"),
+        "stream_evictions": w(L, "SELECT * FROM fevict"),
+        "daily_state_evictions": w(L, "SELECT * FROM fevict WHERE day > (SELECT h - 3 FROM hz)"),
         "stream_late_corrected": w(F, "SELECT * FROM fpool"),
         "daily_state_pool": w(F, "SELECT * FROM fpool"),
         "daily_state_streak": w(L, "SELECT * FROM fstreak"),

@@ -155,6 +155,15 @@ def test_one_day_operators_on_the_stored_state_equal_the_step(two_buckets, dhz):
             df.unpersist()
 
 
+def test_empty_store_and_days_without_sightings(two_buckets, dhz):
+    spark = two_buckets
+    store = StateStore(spark, scratch_path(spark, "daily"))
+    assert store.last_day is None and store.pool().count() == store.evictions(FIRST).count() == store.history().count() == 0
+    store.advance(dhz.where("false"), FIRST, TH)  # a day on which nobody was seen
+    store.advance(dhz, dt.date(2024, 1, 2), TH)  # and one after it
+    assert rows(store.history()) == rows(MoverRun(dhz.where("day = DATE'2024-01-02'"), TH, horizon=dt.date(2024, 1, 2)).history)
+
+
 def test_command_line(two_buckets, dhz):
     spark = two_buckets
     zips, state = scratch_path(spark, "zips"), scratch_path(spark, "state")
