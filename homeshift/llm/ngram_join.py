@@ -39,7 +39,8 @@ task one key range (about ``RANGE_TEXT`` bytes of text).
 
 Defined results: null or empty texts have size 0 and link with nothing; shorter texts
 than k words have one shingle; a null id gets a null component; rows
-that repeat an id share the smallest component of their own texts' nodes; empty table, empty result.
+that repeat an id share the smallest component of their own texts' nodes; very long texts are sets like any other; a similarity
+equal to the threshold links; other columns of the input, whatever their names, are ignored; empty table, empty result.
 ``docs`` should be a table scan: rows must come in the same order when a task runs again.
 """
 

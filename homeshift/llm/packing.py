@@ -16,7 +16,8 @@ Skew: a length that most pieces share (full pieces) is numbered in hashed parts.
 The table of the plan has one row per group of equal sequences and place in it.
 
 Defined results: a null or empty text is one piece that holds the end id; repeated rows and equal ids are
-packed as rows of their own; an empty table gives an empty result.
+packed as rows of their own; very long texts are many pieces; pieces of equal length are placed in hashed order; other columns of the
+input, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

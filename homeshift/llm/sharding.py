@@ -14,7 +14,9 @@ the heap's intervals.
 Skew: groups that are hot in bytes or rows are joined by broadcast (a bounded list);
 all others are small by definition.
 
-Defined results: null text has no bytes and size 1 and is grouped with empty texts; null ids and repeated rows are rows like others; an empty table gives an empty result.
+Defined results: null text has no bytes and size 1 and is grouped with empty texts; null ids and repeated rows are rows like others;
+very long texts are one row each; groups of equal size are dealt in order of their digests; other columns of the input, whatever their
+names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
