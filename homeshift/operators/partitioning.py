@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 def by_user_partitions(df: DataFrame) -> DataFrame:
     """Hash-partition on user_id into ``spark.sql.shuffle.partitions`` parts.
 
-    An explicit count keeps AQE from coalescing the (small, but Python-heavy)
-    per-user stage into a handful of tasks.  The arg-max of the daily home zip,
-    the reference windows and the fold all run on this partitioning; Spark
-    drops a repeated identical repartition, so they share one exchange.
+    An explicit count keeps AQE from coalescing the (small in bytes, but heavy in work)
+    per-user stage into a handful of tasks.  The replay of the states, the reference windows and the
+    one-day passes run on this partitioning, and stored states are bucketed by it.
     """
     return df.repartition(user_partitions(df.sparkSession), "user_id")
 

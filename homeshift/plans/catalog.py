@@ -296,7 +296,7 @@ def build() -> dict[str, Query]:
     q["pool_after_eviction_late"] = _on_step(lambda d: d.pool_evicted, LATE_DAY)
     q["streak_after_eviction_late"] = _on_step(lambda d: d.streak_evicted, LATE_DAY)
 
-    # ---- whole run: per-user fold with confirmation and eviction
+    # ---- whole run: projections of every user's state at the end
     q["mover_pool_final"] = _on_run(lambda r: r.pool)
     q["mover_streak_final"] = _on_run(lambda r: r.streak)
     q["reference_history"] = _on_run(lambda r: r.history)

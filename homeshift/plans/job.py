@@ -7,7 +7,7 @@ On a cluster: zip the ``homeshift`` package and run
 ``spark-submit --py-files homeshift.zip homeshift/plans/job.py ...``.
 
 ``--visits`` takes a table already counted per cookie, zipcode, time of day
-and day (the reference's input); ``--events`` rolls raw events up first.  Each
+and day (the reference's input); ``--events`` takes raw events.  Each
 table goes to ``<out>/<name>``; the run fails rather than overwrite an
 existing output folder.
 """
@@ -24,7 +24,6 @@ from homeshift.config import FIXTURE_THRESHOLDS, REFERENCE_THRESHOLDS, Threshold
 from homeshift.operators import home_zip as hz
 from homeshift.plans.movers import MoverRun
 from homeshift.session import clean_scratch, scratch_mark
-from homeshift.sources.tables import visits_from_events
 
 OUTPUTS = ("reference", "history", "registry", "pool", "streak", "evictions", "returned", "aged", "home_seen_in_pool", "potential_movers", "moves")
 
@@ -43,13 +42,11 @@ def run_job(spark: SparkSession, out_dir: str, th: Thresholds, visits_path: str
             visits_table: str | None = None) -> dict[str, str]:
     if visits_path or visits_table:
         visits = spark.read.parquet(visits_path) if visits_path else spark.table(visits_table)
-        last = visits.select(F.max("date")).scalar()
+        last, dhz = visits.select(F.max("date")).scalar(), hz.daily_home_zip(visits)
     else:
         events = spark.read.parquet(events_path)
-        visits = visits_from_events(events)
-        last = events.select(F.max(F.to_date("ts"))).scalar()
-    run = MoverRun(hz.daily_home_zip(visits, unique=bool(events_path)), th, horizon=horizon or last)
-    return write_all(run, out_dir)
+        last, dhz = events.select(F.max(F.to_date("ts"))).scalar(), hz.daily_home_zip_of_events(events)
+    return write_all(MoverRun(dhz, th, horizon=horizon or last), out_dir)
 
 
 def main(argv=None) -> None:

@@ -29,7 +29,7 @@ MOVER_STREAK = _st(
 MOVER_POOL = _st(("user_id", L), ("zipcode", S), ("confirmed_week", I), ("since", D))
 MOVES = _st(("user_id", L), ("old_zip", S), ("new_zip", S), ("moved_on", D))
 
-# Output of the per-user fold: one small record stream, told apart by ``kind``.
+# Output of the per-user step in Python (the stream): one small record stream, told apart by ``kind``.
 #   reference  the user's reference zip and the day it was fixed
 #   history    reference history row (days fed per zip, weekend / weekday)
 #   registry   first / last day fed, gap and tenure on the horizon day

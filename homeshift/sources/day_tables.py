@@ -45,15 +45,19 @@ class DayTables:
         return f"{self.path}/{self.day_col}={day.isoformat()}"
 
     # --------------------------------------------------------------------- write
-    def stage(self, df: DataFrame, spread: int = 4) -> str:
-        """Write the rows of days that are not committed to a staging folder; rows are dealt by day and ``spread`` parts."""
+    def stage(self, df: DataFrame, spread: int | None = None) -> str:
+        """Write the rows of days that are not committed to a staging folder.
+
+        Rows are dealt by day and rebalanced to the advisory partition size, so a day of any size is files of that size (a hot
+        day is split, small ones share a task); with ``spread`` every day is dealt into that many parts instead.
+        """
         have = self.day_list()
         rows = df.where(F.col(self.day_col).isNotNull())
         if have:
             rows = rows.where(~F.col(self.day_col).isin(have))
         staging = f"{self.path}/_staging-{uuid.uuid4().hex[:12]}"
-        part = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
-        rows.repartition(self.day_col, part).write.partitionBy(self.day_col).parquet(staging)
+        dealt = rows.hint("rebalance", self.day_col) if spread is None else rows.repartition(self.day_col, F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
+        dealt.write.partitionBy(self.day_col).parquet(staging)
         return staging
 
     def commit(self, staging: str) -> list[_dt.date]:
@@ -72,7 +76,7 @@ class DayTables:
         sf.delete(self.spark, staging)
         return done
 
-    def add_days(self, df: DataFrame, spread: int = 4) -> list[_dt.date]:
+    def add_days(self, df: DataFrame, spread: int | None = None) -> list[_dt.date]:
         """Add the days of ``df`` that are not committed yet; returns them."""
         return self.commit(self.stage(df, spread))
 

@@ -48,7 +48,7 @@ def append_parts(spark: SparkSession, parts: list[DataFrame], name: str) -> Data
     return spark.read.parquet(path)
 
 
-def split_by_day(spark: SparkSession, df: DataFrame, day_col: str, name: str, path: str | None = None, spread: int = 4) -> DataFrame:
+def split_by_day(spark: SparkSession, df: DataFrame, day_col: str, name: str, path: str | None = None, spread: int | None = None) -> DataFrame:
     """One folder per day in a single job (instead of one scan per day), at ``path`` or a fresh scratch folder.
 
     Days that are committed there are left as they are and all others are added, like the reference's CREATE TABLE

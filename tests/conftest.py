@@ -10,6 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from homeshift.session import local_session
 
-    s = local_session(extra={"spark.sql.shuffle.partitions": "8"})
+    s = local_session(extra={"spark.sql.shuffle.partitions": "4"})
     yield s
     s.stop()

@@ -68,6 +68,23 @@ def test_finished_days_are_filtered_before_they_are_read(spark):
     assert len(store.add_days(whole)) == 11 and store.read(v.schema).count() == v.count()
 
 
+def test_a_large_day_is_split_and_small_days_share_tasks(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        big, small = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+        rows_ = spark.range(0, 100_000, 1, 4).select(F.col("id").cast("string").alias("cookie"), F.when(F.col("id") < 99_000, F.lit(big)).otherwise(F.date_add(F.lit(small), (F.col("id") % 20).cast("int"))).alias("date"))
+        store = DayTables(spark, scratch_path(spark, "days"))
+        store.add_days(rows_)
+        files = {d: len([n for n in sf.list_names(spark, store.folder(d)) if n.endswith(".parquet")]) for d in store.day_list()}
+        assert len(files) == 21 and files[big] > 3 and max(n for d, n in files.items() if d != big) <= 2
+        assert store.read(rows_.schema).count() == 100_000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_days_come_from_names(spark):
     """The data files are gone; the days are still known."""
     v = tb.visits(spark, SF_SMALL)

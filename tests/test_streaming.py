@@ -14,6 +14,14 @@ from homeshift.streaming import movers_stream as ms
 from places import SF_MID, SF_SMALL
 
 
+@pytest.fixture(autouse=True)
+def two_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def _pool(out):
     return out.where("kind = 'pool'").select("user_id", "zipcode", F.col("week").alias("confirmed_week"), "since")
 
