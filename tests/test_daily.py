@@ -128,7 +128,8 @@ def test_one_day_operators_on_the_stored_state_equal_the_step(two_buckets, dhz):
     store = StateStore(spark, scratch_path(spark, "daily"))
     start = dt.date(2024, 1, 17)
     store.load(MoverRun(dhz, th, horizon=start).states, start)
-    for day in days(start + dt.timedelta(days=1), start + dt.timedelta(days=3)):
+    store.advance(dhz, start + dt.timedelta(days=1), th)
+    for day in days(start + dt.timedelta(days=2), start + dt.timedelta(days=3)):
         old = {t: getattr(store, t)().persist() for t in TABLES}
         today = dhz.where(F.col("day") == F.lit(day)).select("user_id", "zipcode")
         ref_feed, mover_feed = rf.feeds(today, old["reference"].select("user_id", "reference_zip"), old["pool"])

@@ -82,7 +82,18 @@ def test_workers_find_the_package_from_another_folder(tmp_path):
     import sys
 
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    code = f"import sys; sys.path.insert(0, {root!r}); from homeshift.session import local_session; s = local_session('2', extra={{'spark.sql.shuffle.partitions': '1'}}); import __spark_entry__ as E; print('ROWS', E.queries()['stream_movers'](s, {SF_SMALL!r}).count())"
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from homeshift.config import FIXTURE_THRESHOLDS as TH
+from homeshift.operators import home_zip as hz
+from homeshift.session import local_session
+from homeshift.sources import tables as tb
+from homeshift.streaming import movers_stream as ms
+s = local_session('2', extra={{'spark.sql.shuffle.partitions': '1'}})
+dhz = hz.daily_home_zip_of_events(tb.table(s, {SF_SMALL!r}, 'events'))
+print('ROWS', ms.stream_pool(ms.run_mover_stream(dhz, TH, chunk_days=400)).count())
+"""
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "ROWS 30" in out.stdout, out.stderr[-1500:]
