@@ -4,9 +4,9 @@ The state is that of the days before ``day`` when nobody is ever evicted; the on
 the reference runs one day of its loop.  Used to check every branch of the daily step on real data.
 
 One pass over the home zips gives every user's state (``operators.user_state``) and today's zip.  It is written once, as a
-table bucketed by user: the state tables are projections of it, and joins between them need no exchange.  Today's
-routes and the merged streak / pool, which several later steps read, are written as parquet tables in the shared
-checkpoint folder the first time they are used, so a lost executor only replays from them.
+table bucketed by user: the state tables are projections of it, and joins between them need no exchange.  The merged
+streak / pool rows, which several later steps read, are written as a parquet table in the shared
+checkpoint folder the first time they are used, so a lost executor only replays from there.
 """
 
 from __future__ import annotations
@@ -34,9 +34,6 @@ class DayStep:
     def __init__(self, dhz: DataFrame, day: _dt.date, th: Thresholds, materialize: bool = True):
         self._dhz, self.day, self.th, self.materialize = dhz, day, th, materialize
 
-    def _big(self, df: DataFrame) -> DataFrame:
-        return materialize(df, "daystep") if self.materialize else df
-
     # ------------------------------------------------------------ state before
     @cached_property
     def base(self) -> DataFrame:
@@ -86,7 +83,7 @@ class DayStep:
         no_ref = rf.no_reference_yet(self.today, self.ref).select(
             "user_id", "zipcode", F.lit(rf.ROUTE_REFERENCE).alias("route"))
         routed = rf.route_day(self.compared, self.pool).select("user_id", "zipcode", "route")
-        return self._big(no_ref.unionByName(routed))
+        return no_ref.unionByName(routed)
 
     @cached_property
     def feeds(self) -> tuple[DataFrame, DataFrame]:
