@@ -41,6 +41,7 @@ from homeshift.config import Thresholds
 from homeshift.operators import home_zip as hz
 from homeshift.operators import user_state as us
 from homeshift.operators.fold import EPOCH, FOLD_COLUMNS, UserState
+from homeshift.operators.partitioning import user_partitions
 from homeshift.schemas import FOLD_OUTPUT
 from homeshift.session import is_file, materialize, scratch_path, ship_package
 from homeshift.sources.tables import visit_rows
@@ -49,6 +50,7 @@ DAY_MS = 86_400_000
 
 STREAM_OUTPUT = T.StructType(FOLD_OUTPUT.fields + [T.StructField("as_of", T.DateType())])
 STORED_OUTPUT = T.StructType(STREAM_OUTPUT.fields + [T.StructField("batch", T.LongType())])
+USERS_A_PARTITION = 20_000  # of a bounded input, so that few users do not spread over many state stores
 MARKER_USER = -1  # user id of the row that closes a bounded input
 HOME_ZIPS = "user_id long, zipcode string, day date"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -241,12 +243,13 @@ def _package_on_the_driver(spark: SparkSession):
 
 def mover_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, th: Thresholds,
                  available_now: bool = True, max_files: int | None = None, lateness_days: int = 0,
-                 closing_path: str | None = None, settle: bool = True):
+                 closing_path: str | None = None, settle: bool = True, partitions: int | None = None):
     """Start the per-user stateful stream over daily home zip files in ``source_dir``.
 
     Files may come in any order within ``lateness_days``; a day is applied once a
     row ``lateness_days`` + 1 days later was seen, or the input was closed.  Without ``settle`` days that the last
-    files close are applied when the next files come, not by a micro-batch of their own.
+    files close are applied when the next files come, not by a micro-batch of their own.  ``partitions`` of the state are fixed by the
+    first start of a checkpoint (default: the session's shuffle partitions).
     """
     ship_package(spark)
 
@@ -269,7 +272,10 @@ def mover_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint
         batch.write.mode("overwrite").parquet(f"{out_path}/batch={epoch}")
 
     w = out.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(store)
-    with _settings(spark, {STATE_STORE: ROCKSDB, NO_DATA_BATCHES: str(settle).lower()}):  # the query takes them when it starts
+    settings = {STATE_STORE: ROCKSDB, NO_DATA_BATCHES: str(settle).lower()}
+    if partitions:
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
+    with _settings(spark, settings):  # the query takes them when it starts
         return w.trigger(availableNow=True).start() if available_now else w.start()
 
 
@@ -337,9 +343,11 @@ class BoundedRun:
         wait = F.pmod(F.xxhash64("user_id", "day"), F.lit(lateness_days + 1)) + (F.lit(0) if delay is None else delay)
         chunk = F.floor((F.unix_date("day") + wait) / F.lit(chunk_days)).cast("int")
         self.staged = materialize(dhz.select("user_id", "zipcode", "day", chunk.alias("chunk")), "stream-staged", ["chunk"])
+        users = self.staged.agg(F.approx_count_distinct("user_id")).first()[0]
+        self.partitions = min(user_partitions(self.spark), 1 + users // USERS_A_PARTITION)
 
     def go(self, settle: bool = False) -> None:
-        mover_stream(self.spark, self.source, self.out, self.checkpoint, self.th, lateness_days=self.lateness, closing_path=self.closing, settle=settle).awaitTermination()
+        mover_stream(self.spark, self.source, self.out, self.checkpoint, self.th, lateness_days=self.lateness, closing_path=self.closing, settle=settle, partitions=self.partitions).awaitTermination()
 
     def run(self) -> DataFrame:
         self.spark.createDataFrame([], HOME_ZIPS).write.parquet(self.closing)
