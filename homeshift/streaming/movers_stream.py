@@ -50,7 +50,7 @@ DAY_MS = 86_400_000
 
 STREAM_OUTPUT = T.StructType(FOLD_OUTPUT.fields + [T.StructField("as_of", T.DateType())])
 STORED_OUTPUT = T.StructType(STREAM_OUTPUT.fields + [T.StructField("batch", T.LongType())])
-USERS_A_PARTITION = 20_000  # of a bounded input, so that few users do not spread over many state stores
+USERS_A_PARTITION = 25  # of a small bounded input: a user takes milliseconds in a micro-batch, an empty state store hundreds
 MARKER_USER = -1  # user id of the row that closes a bounded input
 HOME_ZIPS = "user_id long, zipcode string, day date"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
