@@ -6,10 +6,10 @@ emitted once the watermark closes it, and ``foreachBatch`` turns each closed
 day into home zips with the same batch operator.
 
 ``mover_stream`` (per-user state carried from day to day): daily home zips
-arrive as files, in any order within ``lateness``.  ``transformWithState`` keeps a user's state in typed value and map
-variables of a RocksDB store.  Sightings wait in a map until an event-time timer says that the watermark has closed
-their day; then they are applied in order of days by ``UserState``, learning the reference on the fly.  A second timer
-fires when the pool rows reach the age limit without the user being seen.  Each micro-batch writes, for every woken user, the
+arrive as files, in any order within ``lateness``.  ``transformWithState`` keeps the states of a group of users (by hash of
+the id) in typed columns of a RocksDB store.  Sightings wait in a list until an event-time timer says that the watermark has closed
+their day; then they are applied in order of days by ``UserState``, learning the reference on the fly.  The timer also
+fires when the pool rows of a user reach the age limit without the user being seen.  Each micro-batch writes, for every woken user, the
 current pool / streak / reference rows and the eviction audits, in a folder of that batch; ``latest_state`` reads each
 user's last batch.
 
@@ -32,7 +32,8 @@ import os
 import posixpath
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -43,14 +44,16 @@ from homeshift.operators import user_state as us
 from homeshift.operators.fold import EPOCH, FOLD_COLUMNS, UserState
 from homeshift.operators.partitioning import user_partitions
 from homeshift.schemas import FOLD_OUTPUT
-from homeshift.session import is_file, materialize, scratch_path, ship_package
+from homeshift.session import is_file, materialize, path_exists, scratch_path, ship_package
 from homeshift.sources.tables import visit_rows
 
 DAY_MS = 86_400_000
 
 STREAM_OUTPUT = T.StructType(FOLD_OUTPUT.fields + [T.StructField("as_of", T.DateType())])
 STORED_OUTPUT = T.StructType(STREAM_OUTPUT.fields + [T.StructField("batch", T.LongType())])
-USERS_A_PARTITION = 25  # of a small bounded input: a user takes milliseconds in a micro-batch, an empty state store hundreds
+USERS_A_PARTITION = 500  # of a small bounded input: a user takes a fraction of a millisecond in a micro-batch, an empty state store hundreds
+USERS_A_GROUP = 200  # of a bounded input, on average
+USER_GROUPS = 4096  # of a stream whose number of users isn't known
 MARKER_USER = -1  # user id of the row that closes a bounded input
 HOME_ZIPS = "user_id long, zipcode string, day date"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -132,88 +135,130 @@ def run_daily_home_zip_stream(spark: SparkSession, events_path: str) -> DataFram
 
 # -------------------------------------------------------------- mover stream
 
-def _days_since_epoch(day: _dt.date) -> int:
-    return (day - EPOCH).days
+def _columns(rows: list[tuple], width: int) -> tuple[list, ...]:
+    return tuple(map(list, zip(*rows))) if rows else tuple([] for _ in range(width))
 
 
 class MoverProcessor(StatefulProcessor):
-    """State of a user in typed variables; a timer for every waiting day's close and for the end of the pool age.
+    """States of a group of users in typed columns, read and written whole, and one timer for the next thing due in the group.
 
-    ``user`` (value): reference, streak, first pool day, first / last / previous fed day.  ``pool`` (map): (zip, week) ->
-    since.  ``fed`` (map): zip -> weekend and weekday counts.  ``waiting`` (map): day -> zip of days that are still open.
+    A call to the store costs about the same for one user and for hundreds, and so does a frame of rows.  So the key is a group of users,
+    with a fixed number of calls a group and micro-batch.  ``users`` (value, an array a column): a user's reference, streak,
+    first pool day, first / last / previous fed day.  ``pool`` and ``fed`` (values, so too): pool rows and fed history, each with its user's place in
+    ``users``.  ``waiting`` (list, an entry of arrays a micro-batch): sightings of days that are still open.  ``due`` (value): the
+    group's timer, at the earliest close of a waiting day or end of a pool age.
     A row behind the watermark is handed out as ``late`` and leaves the state as it is.
     """
 
-    USER = ("reference_zip string, ref_day long, streak_zip string, streak_start long, streak_weekend long, streak_weekday long, streak_week long, "
-            "first long, fed_first long, fed_last long, fed_before long, age_timer long")
+    USERS = ("user_id array<long>, reference_zip array<string>, ref_day array<long>, streak_zip array<string>, streak_start array<long>, "
+             "streak_weekend array<long>, streak_weekday array<long>, streak_week array<long>, first array<long>, fed_first array<long>, "
+             "fed_last array<long>, fed_before array<long>")
+    POOL = "place array<long>, zipcode array<string>, week array<long>, since array<long>"
+    FED = "place array<long>, zipcode array<string>, weekend_days array<long>, weekday_days array<long>"
+    WAITING = "user_id array<long>, day array<long>, zipcode array<string>"
 
     def __init__(self, th: Thresholds):
         self.th = th
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.user = handle.getValueState("user", self.USER)
-        self.pool = handle.getMapState("pool", "zipcode string, week long", "since long")
-        self.fed = handle.getMapState("fed", "zipcode string", "weekend_days long, weekday_days long")
-        self.waiting = handle.getMapState("waiting", "day long", "zipcode string")
-
-    def _load(self, user_id: int) -> tuple[UserState, int | None]:
-        known = self.user.get() if self.user.exists() else (None,) * 12
-        u = UserState(user_id, known[0], known[1], self.th, learn=True)
-        u.streak = None if known[2] is None else list(known[2:7])
-        u.first, u.fed_days = known[7], list(known[8:11])
-        u.pool = {(z, w): s for (z, w), (s,) in self.pool.iterator()}
-        u.fed = {z: [we, sem] for (z,), (we, sem) in self.fed.iterator()}
-        return u, known[11]
-
-    def _save(self, u: UserState, old_pool: dict, old_fed: dict, age_timer: int | None) -> None:
-        for k in old_pool.keys() - u.pool.keys():
-            self.pool.removeKey(k)
-        for k, since in u.pool.items():
-            if old_pool.get(k) != since:
-                self.pool.updateValue(k, (since,))
-        for z, counts in u.fed.items():
-            if old_fed.get(z) != counts:
-                self.fed.updateValue((z,), tuple(counts))
-        self.user.update((u.ref_zip, u.ref_day, *(u.streak or (None,) * 5), u.first, *u.fed_days, age_timer))
+        self.users = handle.getValueState("users", self.USERS)
+        self.pool = handle.getValueState("pool", self.POOL)
+        self.fed = handle.getValueState("fed", self.FED)
+        self.waiting = handle.getListState("waiting", self.WAITING)
+        self.due = handle.getValueState("due", "at long")
+
+    def _load(self) -> dict[int, UserState]:
+        users = []
+        for row in zip(*(self.users.get() or ())):
+            u = UserState(row[0], row[1], row[2], self.th, learn=True)
+            u.streak = None if row[3] is None else list(row[3:8])
+            u.first, u.fed_days = row[8], list(row[9:12])
+            users.append(u)
+        for place, zipcode, week, since in zip(*(self.pool.get() or ())):
+            users[place].pool[zipcode, week] = since
+        for place, zipcode, we, sem in zip(*(self.fed.get() or ())):
+            users[place].fed[zipcode] = [we, sem]
+        return {u.user_id: u for u in users}
+
+    def _save(self, users: list[UserState]) -> None:
+        self.users.update(_columns([(u.user_id, u.ref_zip, u.ref_day, *(u.streak or (None,) * 5), u.first, *u.fed_days) for u in users], 12))
+        self.pool.update(_columns([(k, z, w, since) for k, u in enumerate(users) for (z, w), since in u.pool.items()], 4))
+        self.fed.update(_columns([(k, z, we, sem) for k, u in enumerate(users) for z, (we, sem) in u.fed.items()], 4))
+
+    def _wake_at(self, due: int) -> None:
+        self.handle.registerTimer(due)
+        self.due.update((due,))
 
     def handleInputRows(self, key, rows, timerValues):
         open_day = timerValues.getCurrentWatermarkInMs() // DAY_MS  # days before it are closed
-        for r in rows:
-            if key[0] == MARKER_USER:
-                continue
-            d = _days_since_epoch(r["day"])
-            if d < open_day:
-                yield _out_row((key[0], "late") + tuple({"day": r["day"], "zipcode": r["zipcode"]}.get(c) for c in FOLD_COLUMNS[2:]), open_day)
-            else:
-                self.waiting.updateValue((d,), (r["zipcode"],))
-                self.handle.registerTimer((d + 1) * DAY_MS - 1)  # fires when the watermark is past it
+        arrived, late = [], []
+        for frame in rows:
+            for user, zipcode, d in zip(frame["user"].tolist(), frame["zipcode"].tolist(), frame["day"].tolist()):
+                user_id = None if user is None else int(user)
+                if user_id != MARKER_USER:
+                    (late if d < open_day else arrived).append((user_id, int(d), zipcode))
+        if arrived:
+            self.waiting.appendValue(_columns(arrived, 3))
+            due, old = _closes(min(d for _, d, _ in arrived)), self.due.get()
+            if old is None or due < old[0]:
+                if old is not None:
+                    self.handle.deleteTimer(old[0])
+                self._wake_at(due)
+        if late:
+            yield _out_rows([(u, "late") + tuple({"day": _date(d), "zipcode": z}.get(c) for c in FOLD_COLUMNS[2:]) for u, d, z in late], open_day)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        user_id, open_day = key[0], timerValues.getCurrentWatermarkInMs() // DAY_MS
-        closed = sorted(d for (d,) in self.waiting.keys() if d < open_day)
-        u, age_timer = self._load(user_id)
-        old_pool, old_fed = dict(u.pool), {z: list(c) for z, c in u.fed.items()}
-        for d in closed:
-            u.observe(d, self.waiting.getValue((d,))[0], (d + 3) % 7 >= 5)
-            self.waiting.removeKey((d,))
-        u.expire(open_day - 1)
-        if not closed and not u.out:  # an earlier timer of this batch has done the work
-            return
-        due = None if u.first is None else (u.first + self.th.age_limit + 1) * DAY_MS - 1
-        if due != age_timer:
-            if age_timer is not None and age_timer > expiredTimerInfo.getExpiryTimeInMs():
-                self.handle.deleteTimer(age_timer)
-            if due is not None:
-                self.handle.registerTimer(due)
-        rows = u.snapshot()
-        self._save(u, old_pool, old_fed, due)
-        for row in rows or [(user_id, "none") + (None,) * (len(FOLD_COLUMNS) - 2)]:
-            yield _out_row(row, open_day)
-
-
-def _out_row(row: tuple, open_day: int) -> Row:
-    return Row(**dict(zip(FOLD_COLUMNS, row)), as_of=EPOCH + _dt.timedelta(days=int(open_day - 1)) if open_day else None)
+        open_day = timerValues.getCurrentWatermarkInMs() // DAY_MS
+        closed: dict[int, dict[int, str]] = {}  # user -> day -> zip; of a day that came twice the last row counts
+        still_open = []
+        for entry in self.waiting.get():
+            for user_id, d, zipcode in zip(*entry):
+                if d < open_day:
+                    closed.setdefault(user_id, {})[d] = zipcode
+                else:
+                    still_open.append((user_id, d, zipcode))
+        users, out = self._load(), []
+        next_due = [_closes(d) for _, d, _ in still_open]
+        for user_id in closed:
+            if user_id not in users:
+                users[user_id] = UserState(user_id, None, None, self.th, learn=True)
+        for user_id, u in users.items():
+            days = closed.get(user_id, {})
+            for d in sorted(days):
+                u.observe(d, days[d], (d + 3) % 7 >= 5)
+            u.expire(open_day - 1)
+            if u.first is not None:
+                next_due.append(_closes(u.first + self.th.age_limit))
+            if days or u.out:
+                out += u.snapshot() or [(user_id, "none") + (None,) * (len(FOLD_COLUMNS) - 2)]
+        if closed:
+            self.waiting.clear()
+            if still_open:
+                self.waiting.appendValue(_columns(still_open, 3))
+        if out:
+            self._save(list(users.values()))
+        if next_due:  # the expired timer itself is removed by Spark
+            self._wake_at(min(next_due))
+        else:
+            self.due.clear()
+        if out:
+            yield _out_rows(out, open_day)
+
+
+def _closes(day: int) -> int:
+    """Time of the timer that fires when the watermark is past ``day``."""
+    return (day + 1) * DAY_MS - 1
+
+
+def _date(day: int) -> _dt.date:
+    return EPOCH + _dt.timedelta(days=int(day))
+
+
+def _out_rows(rows: list[tuple], open_day: int) -> pd.DataFrame:
+    as_of = _date(open_day - 1) if open_day else None
+    columns = dict(zip(FOLD_COLUMNS, zip(*rows)))
+    return pd.DataFrame({c: pd.Series(v, dtype=object) for c, v in columns.items()} | {"as_of": pd.Series([as_of] * len(rows), dtype=object)})
 
 
 @contextmanager
@@ -241,17 +286,27 @@ def _package_on_the_driver(spark: SparkSession):
         env.pop("PYTHONPATH") if old is None else env.update(PYTHONPATH=old)
 
 
+def _groups_of(spark: SparkSession, checkpoint: str, groups: int) -> int:
+    """Number of user groups of a checkpoint: written at its first start, since its state is kept by group."""
+    path = f"{checkpoint}/user_groups"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        spark.createDataFrame([(groups,)], "groups long").write.mode("overwrite").parquet(path)
+    return spark.read.schema("groups long").parquet(path).first()[0]
+
+
 def mover_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, th: Thresholds,
                  available_now: bool = True, max_files: int | None = None, lateness_days: int = 0,
-                 closing_path: str | None = None, settle: bool = True, partitions: int | None = None):
+                 closing_path: str | None = None, settle: bool = True, partitions: int | None = None, groups: int = USER_GROUPS):
     """Start the per-user stateful stream over daily home zip files in ``source_dir``.
 
     Files may come in any order within ``lateness_days``; a day is applied once a
     row ``lateness_days`` + 1 days later was seen, or the input was closed.  Without ``settle`` days that the last
     files close are applied when the next files come, not by a micro-batch of their own.  ``partitions`` of the state are fixed by the
-    first start of a checkpoint (default: the session's shuffle partitions).
+    first start of a checkpoint (default: the session's shuffle partitions), and so are ``groups``, by hash, in which users are kept:
+    a group is held in memory and written whole when one of its users is woken.
     """
     ship_package(spark)
+    groups = _groups_of(spark, checkpoint, groups)
 
     def source(path: str) -> DataFrame:
         src = spark.readStream.schema(HOME_ZIPS)
@@ -263,7 +318,10 @@ def mover_stream(spark: SparkSession, source_dir: str, out_path: str, checkpoint
     timed = rows.withColumn("event_time", wall_clock_as_utc(F.col("day"), with_time=False)).withWatermark("event_time", f"{lateness_days} days")
     # without the event time column Spark drops no late row: the processor sees them all and hands them out
     with _package_on_the_driver(spark):
-        out = timed.select("user_id", "zipcode", "day").groupBy("user_id").transformWithState(
+        group = F.pmod(F.xxhash64("user_id"), F.lit(groups)).alias("user_group")
+        # a frame's column of numbers turns to doubles where one is null, so ids travel as text
+        rows = timed.select(F.col("user_id").cast("string").alias("user"), "zipcode", F.unix_date("day").cast("long").alias("day"), group)
+        out = rows.groupBy("user_group").transformWithStateInPandas(
             MoverProcessor(th), STREAM_OUTPUT, outputMode="Append", timeMode="EventTime"
         )
 
@@ -345,9 +403,10 @@ class BoundedRun:
         self.staged = materialize(dhz.select("user_id", "zipcode", "day", chunk.alias("chunk")), "stream-staged", ["chunk"])
         users = self.staged.agg(F.approx_count_distinct("user_id")).first()[0]
         self.partitions = min(user_partitions(self.spark), 1 + users // USERS_A_PARTITION)
+        self.groups = 1 + users // USERS_A_GROUP
 
     def go(self, settle: bool = False) -> None:
-        mover_stream(self.spark, self.source, self.out, self.checkpoint, self.th, lateness_days=self.lateness, closing_path=self.closing, settle=settle, partitions=self.partitions).awaitTermination()
+        mover_stream(self.spark, self.source, self.out, self.checkpoint, self.th, lateness_days=self.lateness, closing_path=self.closing, settle=settle, partitions=self.partitions, groups=self.groups).awaitTermination()
 
     def run(self) -> DataFrame:
         self.spark.createDataFrame([], HOME_ZIPS).write.parquet(self.closing)

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +107,82 @@ def test_small_lateness_applies_days_in_order(spark):
     assert sorted(r[0] for r in res.where("kind = 'pool'").select("zipcode").collect()) == ["b", "c", "d", "e", "f"]
 
 
+class _Store:
+    """State variables, timers and watermark of one group; every access counts as a call."""
+
+    def __init__(self):
+        self.calls, self.timers, self.watermark = 0, set(), 0
+
+    def getValueState(self, name, schema):
+        return _Variable(self, None)
+
+    def getListState(self, name, schema):
+        return _Variable(self, [])
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+class _Variable:
+    def __init__(self, store, value):
+        self.store, self.value, self.none = store, value, value
+
+    def get(self):
+        self.store.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.store.calls += 1
+        self.value = value
+
+    def appendValue(self, value):
+        self.store.calls += 1
+        self.value = self.value + [value]
+
+    def clear(self):
+        self.store.calls += 1
+        self.value = self.none
+
+
+def _feed_group(days, th):
+    """(rows handed out, store calls) of one group fed a list of (user, zip, day) a micro-batch, its last day closed at the end."""
+    store, out = _Store(), []
+    p = ms.MoverProcessor(th)
+    p.init(store)
+    for batch, watermark_day in days:
+        store.watermark = watermark_day * ms.DAY_MS
+        frame = pd.DataFrame({"user": [str(u) for u, _, _ in batch], "zipcode": [z for _, z, _ in batch], "day": [d for _, _, d in batch]})
+        out += p.handleInputRows((0,), iter([frame] if batch else []), store)
+        for at in sorted(t for t in store.timers if t < store.watermark):
+            out += p.handleExpiredTimer((0,), store, None)
+            store.timers.remove(at)
+    return [tuple(r) for frame in out for r in frame.itertuples(index=False)], store.calls
+
+
+def test_store_calls_of_a_group_do_not_grow_with_its_users():
+    """Three hundred users cost as many store calls as one, and each gets the rows it gets alone."""
+    th = TH.with_(min_days=2, age_limit=4)
+
+    def feed(users):
+        sight = lambda d: [(u, f"{75001 + (u * d if d > 102 else u)}", d) for u in users]
+        return _feed_group([(sight(101) + sight(100), 0), (sight(103) + sight(104), 102), (sight(106), 104), ([], 107), ([], 120)], th)
+
+    rows, calls = feed(range(2, 302))
+    alone, calls_alone = feed([7])
+    assert calls == calls_alone
+    assert [r for r in rows if r[0] == 7] == alone
+    assert {"pool", "streak", "reference", "aged"} <= {r[1] for r in alone}
+    assert {r[0] for r in rows} == set(range(2, 302))
+
+
 def test_daily_home_zip_stream_emits_every_day(spark):
     got = ms.run_daily_home_zip_stream(spark, f"{SF_SMALL}/events.parquet")
     want = hz.daily_home_zip(tb.visits(spark, SF_SMALL))
