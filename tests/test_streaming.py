@@ -183,6 +183,25 @@ def test_store_calls_of_a_group_do_not_grow_with_its_users():
     assert {r[0] for r in rows} == set(range(2, 302))
 
 
+def test_late_rows_of_a_group_leave_its_other_users_alone():
+    """A late row is handed out once for its own user; ids that a double can't hold, and null, stay apart in a group."""
+    th = TH.with_(min_days=1, min_share=0.0)
+    big = 2 ** 53
+    days = [([(big, "75001", 100), (big + 1, "75002", 100)], 0), ([(big, "75003", 100), (big + 1, "75004", 103)], 102), ([], 110)]
+    rows, _ = _feed_group(days, th)
+    late = [r for r in rows if r[1] == "late"]
+    assert [(r[0], r[ms.STORED_OUTPUT.fieldNames().index("zipcode")]) for r in late] == [(big, "75003")]
+    assert [r for r in rows if r[0] == big + 1] == _feed_group([([t for t in b if t[0] == big + 1], w) for b, w in days], th)[0]
+    assert not any(r[1] == "pool" for r in rows if r[0] == big)
+
+    p = ms.MoverProcessor(th)
+    p.init(store := _Store())
+    assert not list(p.handleInputRows((0,), iter([pd.DataFrame({"user": [None, "5", str(ms.MARKER_USER)], "zipcode": ["75001"] * 3, "day": [100] * 3})]), store))
+    store.watermark = 102 * ms.DAY_MS
+    (out,) = p.handleExpiredTimer((0,), store, None)
+    assert out["user_id"].tolist() == [None, 5]
+
+
 def test_daily_home_zip_stream_emits_every_day(spark):
     got = ms.run_daily_home_zip_stream(spark, f"{SF_SMALL}/events.parquet")
     want = hz.daily_home_zip(tb.visits(spark, SF_SMALL))
