@@ -202,6 +202,19 @@ def test_late_rows_of_a_group_leave_its_other_users_alone():
     assert out["user_id"].tolist() == [None, 5]
 
 
+def test_user_groups_are_those_of_the_first_start(spark):
+    """State is kept by group, so a restart with another number of groups goes on with the first one."""
+    rows = lambda *days: spark.createDataFrame([(1, f"7500{d}", dt.date(2024, 1, d)) for d in days], "user_id long, zipcode string, day date")
+    src, out, ck = (scratch_path(spark, n) for n in ("src", "out", "ck"))
+    th = TH.with_(min_days=1, min_share=0.0)
+    for days, groups in (((1,), 7), ((2, 9), 1000)):
+        rows(*days).write.mode("append").parquet(src)
+        ms.mover_stream(spark, src, out, ck, th, groups=groups).awaitTermination()
+    res = ms.latest_state(ms.read_output(spark, out))
+    assert [tuple(r) for r in res.where("kind = 'reference'").select("zipcode", "day").collect()] == [("75001", dt.date(2024, 1, 1))]
+    assert [r[0] for r in res.where("kind = 'pool'").select("zipcode").collect()] == ["75002"]
+
+
 def test_daily_home_zip_stream_emits_every_day(spark):
     got = ms.run_daily_home_zip_stream(spark, f"{SF_SMALL}/events.parquet")
     want = hz.daily_home_zip(tb.visits(spark, SF_SMALL))
