@@ -51,7 +51,7 @@ DAY_MS = 86_400_000
 
 STREAM_OUTPUT = T.StructType(FOLD_OUTPUT.fields + [T.StructField("as_of", T.DateType())])
 STORED_OUTPUT = T.StructType(STREAM_OUTPUT.fields + [T.StructField("batch", T.LongType())])
-USERS_A_PARTITION = 500  # of a small bounded input: a user takes a fraction of a millisecond in a micro-batch, an empty state store hundreds
+USERS_A_PARTITION = 8000  # of a bounded input: a user takes some tenths of a millisecond in a micro-batch, opening and committing a store hundreds
 USERS_A_GROUP = 200  # of a bounded input, on average
 USER_GROUPS = 4096  # of a stream whose number of users isn't known
 MARKER_USER = -1  # user id of the row that closes a bounded input
