@@ -215,16 +215,20 @@ def test_user_groups_are_those_of_the_first_start(spark):
     assert [r[0] for r in res.where("kind = 'pool'").select("zipcode").collect()] == ["75002"]
 
 
-def test_state_stores_are_few_for_their_users(spark):
+@pytest.mark.parametrize("delay", [None, "CASE WHEN user_id % 4 = 1 AND day = date'2024-01-03' THEN 10 ELSE 0 END"])
+def test_state_stores_are_few_for_their_users(spark, delay):
     """A store costs as much a micro-batch as thousands of users, so two thousand users share one; the rows stay those of the batch run."""
     zipcode = F.when(F.col("d") < 3, "75001").otherwise("75002")
     dhz = spark.range(2000).crossJoin(spark.range(6).toDF("d")).select(F.col("id").alias("user_id"), zipcode.alias("zipcode"), F.expr("date_add(date'2024-01-01', cast(d as int))").alias("day"))
     th = TH.with_(min_days=2)
-    run = ms.BoundedRun(dhz, th)
-    pool = ms.stream_pool(run.run())
+    run = ms.BoundedRun(dhz, th, delay=None if delay is None else F.expr(delay))
+    out = run.run()
+    horizon = dt.date(2024, 1, 6)
+    pool = ms.stream_pool(out) if delay is None else ms.corrected_pool(out, ms.correct_late(out, run.day_history(), th, F.lit(horizon)))
+    assert ms.late_rows(out).count() == (0 if delay is None else 500)
     assert len(spark.read.format("binaryFile").option("pathGlobFilter", "1.zip").load(f"{run.checkpoint}/state/0/*").select("path").collect()) == 1
     assert run.groups > 5
-    want = MoverRun(dhz, th, horizon=dt.date(2024, 1, 6)).pool
+    want = MoverRun(dhz, th, horizon=horizon).pool
     assert pool.count() == 2000 and sorted(pool.collect()) == sorted(want.collect())
 
 
